@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from classkit.operators.scale import apply_fold_scaler, apply_scaler, fit_fold_scalers, fit_scaler
-from classkit.runtime import written
+from classkit.runtime import local_table, small, written
 
 # The grid of odd k, and the number of folds.
 K_GRID = tuple(range(1, 31, 2))
@@ -132,7 +133,8 @@ def _with_cell(points: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 radius[rows] = distances.min(axis=1)
             yield batch.append_column("_cell", pa.array(cell)).append_column("_radius", pa.array(radius))
 
-    schema = T.StructType(points.schema.fields).add("_cell", "int").add("_radius", "double")
+    added = [T.StructField("_cell", T.IntegerType()), T.StructField("_radius", T.DoubleType())]
+    schema = T.StructType([*points.schema.fields, *added])
     return points.mapInArrow(assign, schema)
 
 
@@ -174,7 +176,7 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFra
                     lists[row] = [cells[i] for i in np.nonzero(hit)[0]]
             yield batch.append_column("_cells", pa.array(lists, pa.list_(pa.int32())))
 
-    schema = T.StructType(queries.schema.fields).add("_cells", "array<int>")
+    schema = T.StructType([*queries.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
     return queries.mapInArrow(route, schema).withColumn("_cell", F.explode("_cells")).drop("_cells")
 
 
@@ -202,25 +204,35 @@ def nearest_neighbours(
     p = points.select(key.alias("_task"), F.col(id_col).alias("_pid"), F.col(payload).alias("_payload"), vector)
     p = _lowest_copies(p, k)
 
-    sizes = p.groupBy("_task").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("width")).collect()
+    counted = [F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("width")]
+    sides = [df.groupBy("_task").agg(*counted).withColumn("side", F.lit(side)) for side, df in (("p", p), ("q", q))]
+    sizes = sides[0].unionByName(sides[1]).collect()  # one row per task and side
     per_block = max(1, block_values // max([r["width"] for r in sizes], default=1))
-    wanted = {r["_task"]: cells or min(MAX_CELLS, -(-r["n"] // CELL_POINTS)) for r in sizes}
+    wanted = {r["_task"]: cells or min(MAX_CELLS, -(-r["n"] // CELL_POINTS)) for r in sizes if r["side"] == "p"}
     if max(wanted.values(), default=1) > 1:
         p = written(p, "points")
         pivots = _pivots(p, wanted)
         p = written(_with_cell(p, pivots), "cells")
         bounds = _cell_bounds(p, k)
         p = p.drop("_radius")
-        q = _with_candidate_cells(q, pivots, bounds, k)
+        q = written(_with_candidate_cells(q, pivots, bounds, k), "queries")
+        in_cells = [df.groupBy("_task", "_cell").agg(F.count(F.lit(1)).alias("n")) for df in (p, q)]
+        sides = [df.withColumn("side", F.lit(side)) for df, side in zip(in_cells, "pq", strict=True)]
+        sizes = sides[0].unionByName(sides[1]).collect()  # one row per task, cell and side
+        blocks = {(r["_task"], r["_cell"], r["side"]): -(-r["n"] // per_block) for r in sizes}
     else:
         p, q = p.withColumn("_cell", F.lit(0)), q.withColumn("_cell", F.lit(0))
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        n = F.ceil(F.count(F.lit(1)) / per_block).cast("int")
-        return df.groupBy("_task", "_cell").agg(n.alias(name))
-
-    # One row per task and cell, so at most MAX_CELLS rows per task.
-    layout = F.broadcast(blocks(p, "_p_blocks").join(blocks(q, "_q_blocks"), ["_task", "_cell"]))
+        blocks = {(r["_task"], 0, r["side"]): -(-r["n"] // per_block) for r in sizes}
+
+    # At most MAX_CELLS rows per task.
+    rows = [
+        {"_task": t, "_cell": c, "_p_blocks": n, "_q_blocks": blocks[t, c, "q"]}
+        for (t, c, side), n in blocks.items()
+        if side == "p" and (t, c, "q") in blocks
+    ]
+    names = ("_task", "_cell", "_p_blocks", "_q_blocks")
+    schema = T.StructType([T.StructField(name, T.IntegerType()) for name in names])
+    layout = F.broadcast(local_table(q.sparkSession, rows, schema))
 
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -243,8 +255,6 @@ def nearest_neighbours(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     found = q.groupBy(*where).cogroup(p.groupBy(*where)).applyInArrow(_block_join(k, to_arrow_schema(schema)), schema)
     best = Window.partitionBy("_task", "query_id").orderBy("distance", "neighbour_id")
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -358,7 +368,8 @@ def fit_and_search(
 
 def within_best_k(neighbours: DataFrame, grid: DataFrame) -> DataFrame:
     """Keep the neighbours that the chosen k would ask for."""
-    return neighbours.where(F.col("rank") <= best_k(grid).select("k").scalar())
+    chosen = small(best_k(grid).select("k"), 1, "best k")
+    return neighbours.where(F.col("rank") <= chosen.scalar())
 
 
 __all__ = [

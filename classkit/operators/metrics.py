@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from classkit.functions import clipped_log_loss
 from classkit.runtime import MAX_CLASSES, bounded
@@ -26,6 +26,19 @@ def error_rate(scored: DataFrame, by: Sequence[str] = (), label: str = "label",
     return accuracy(scored, by, label, prediction).select(*by, (1.0 - F.col("accuracy")).alias("error_rate"))
 
 
+def _counts(scored: DataFrame, by: Sequence[str], label: str, prediction: str) -> DataFrame:
+    return scored.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def _listed(counts: DataFrame, by: Sequence[str], labels: Sequence) -> DataFrame:
+    """``(by.., classes)`` with the given classes for every group."""
+    groups = counts.select(*by).distinct() if by else counts.sparkSession.range(1)
+    values = F.array(*[F.lit(v) for v in labels]).cast(T.ArrayType(counts.schema["label"].dataType))
+    return groups.select(*by, values.alias("classes"))
+
+
 def confusion_cells(
     scored: DataFrame,
     by: Sequence[str] = (),
@@ -37,20 +50,16 @@ def confusion_cells(
 
     Without ``labels`` the classes are all values seen as real or predicted.
     """
-    counts = scored.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    counts = _counts(scored, by, label, prediction)
     if labels is None:
-        seen = F.array_sort(
-            F.array_union(F.collect_set("label"), F.collect_set("prediction"))
-        )
-        classes = counts.groupBy(*by).agg(seen.alias("classes"))
+        seen = F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction")))
+        # Counting the rows here too makes both uses of ``counts`` the same
+        # subplan, so its shuffle runs once and is reused.
+        classes = counts.groupBy(*by).agg(seen.alias("classes"), F.sum("rows").alias("all")).where("all > 0")
         n = F.size("classes")
         classes = classes.withColumn("classes", bounded(n, F.col("classes"), "classes", MAX_CLASSES))
     else:
-        classes = counts.select(*by).distinct() if by else counts.agg(F.count(F.lit(1)))
-        values = F.array(*[F.lit(v) for v in labels]).cast(f"array<{counts.schema['label'].dataType.simpleString()}>")
-        classes = classes.select(*by, values.alias("classes"))
+        classes = _listed(counts, by, labels)
     grid = classes.select(*by, F.explode("classes").alias("label"), "classes").select(
         *by, "label", F.explode("classes").alias("prediction")
     )
@@ -69,29 +78,40 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom == 0, 0.0).otherwise(top / F.when(bottom == 0, 1).otherwise(bottom))
 
 
-def class_scores(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Precision, recall, F1 and support per class, from confusion cells."""
+def class_scores(
+    scored: DataFrame,
+    by: Sequence[str] = (),
+    labels: Sequence | None = None,
+    label: str = "label",
+    prediction: str = "prediction",
+) -> DataFrame:
+    """Precision, recall, F1 and support per class, for the classes seen and ``labels``."""
+    counts = _counts(scored, by, label, prediction)
+    rows, none = F.col("rows"), F.lit(0).cast("long")
+    hit = F.when(F.col("label") == F.col("prediction"), rows).otherwise(none)
+
+    def side(value: str, tp: Column, support: Column, predicted: Column) -> Column:
+        return F.struct(
+            F.col(value).alias("class"), tp.alias("tp"), support.alias("support"), predicted.alias("predicted")
+        )
+
     # Every cell counts once for its real and once for its predicted class.
-    sides = F.array(
-        F.struct(F.col("label").alias("class"), F.col("rows").alias("real"), F.lit(0).cast("long").alias("predicted")),
-        F.struct(
-            F.col("prediction").alias("class"), F.lit(0).cast("long").alias("real"), F.col("rows").alias("predicted")
-        ),
-    )
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("rows")).otherwise(0)
-    long = cells.select(*by, hit.alias("hit"), F.inline(sides))
-    sums = long.groupBy(*by, "class").agg(
-        (F.sum("hit") / 2).alias("tp"), F.sum("real").alias("support"), F.sum("predicted").alias("predicted")
+    sides = counts.select(
+        *by, F.inline(F.array(side("label", hit, rows, none), side("prediction", none, none, rows)))
     )
+    if labels is not None:
+        listed = _listed(counts, by, labels).select(*by, F.explode("classes").alias("class"))
+        sides = sides.unionByName(listed.select("*", *[none.alias(c) for c in ("tp", "support", "predicted")]))
+    sums = sides.groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
+    tp, support, predicted = F.col("tp"), F.col("support"), F.col("predicted")
     return sums.select(
         *by,
         F.col("class").alias("label"),
-        _ratio(F.col("tp"), F.col("predicted")).alias("precision"),
-        _ratio(F.col("tp"), F.col("support")).alias("recall"),
-        _ratio(2 * F.col("tp"), F.col("support") + F.col("predicted")).alias("f1"),
+        _ratio(tp, predicted).alias("precision"),
+        _ratio(tp, support).alias("recall"),
+        _ratio(2 * tp, support + predicted).alias("f1"),
         "support",
         "tp",
-        "predicted",
     )
 
 
@@ -108,63 +128,39 @@ def classification_report(
 
     Classes are shown by ``target_names[class]``, else as ``"{class}{suffix}"``.
     """
-    scores = class_scores(confusion_cells(scored, by, labels, **names), by)
+    scores = class_scores(scored, by, labels, **names)
     shown = F.concat(F.col("label").cast("string"), F.lit(suffix))
     if target_names:
         pairs = [F.lit(x) for item in target_names.items() for x in item]
         shown = F.coalesce(F.create_map(*pairs)[F.col("label")], shown)
-    per_class = scores.select(
-        *by,
-        F.lit("class").alias("row_kind"),
-        shown.alias("name"),
-        *[F.col(m) for m in ("precision", "recall", "f1", "support")],
-    )
-    weight = F.sum("support")
+    ratios = ("precision", "recall", "f1")
 
-    def weighted(metric: str) -> Column:
-        return _ratio(F.sum(F.col(metric) * F.col("support")), weight)
+    def row(kind: str, name: Column, values: Sequence[Column]) -> Column:
+        named = [(v if digits is None else F.round(v, digits)).alias(m) for m, v in zip(ratios, values, strict=True)]
+        return F.struct(F.lit(kind).alias("row_kind"), name.alias("name"), *named, F.col("support").alias("support"))
 
-    totals = scores.groupBy(*by).agg(
-        F.sum("tp").alias("tp"),
-        weight.alias("support"),
-        *[F.avg(m).alias(f"macro_{m}") for m in ("precision", "recall", "f1")],
-        *[weighted(m).alias(f"weighted_{m}") for m in ("precision", "recall", "f1")],
+    def weighted(metric: str) -> Column:
+        return _ratio(F.sum(F.col(metric) * F.col("support")), F.sum("support"))
+
+    # One row per group holds its class rows and the sums, so the scores are used once.
+    groups = scores.groupBy(*by).agg(
+        F.collect_list(row("class", shown, [F.col(m) for m in ratios])).alias("rows"),
+        _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        *[F.avg(m).alias(f"macro_{m}") for m in ratios],
+        *[weighted(m).alias(f"weighted_{m}") for m in ratios],
+        F.sum("support").alias("support"),
     )
     nothing = F.lit(None).cast("double")
-    hits = _ratio(F.col("tp"), F.col("support"))
-
-    def summary(name: str, precision: Column, recall: Column, f1: Column) -> Column:
-        return F.struct(
-            F.lit("summary").alias("row_kind"),
-            F.lit(name).alias("name"),
-            precision.alias("precision"),
-            recall.alias("recall"),
-            f1.alias("f1"),
-            F.col("support").alias("support"),
-        )
-
-    summaries = totals.select(
-        *by,
-        F.inline(
-            F.array(
-                summary("accuracy", nothing, nothing, hits),
-                *[
-                    summary(f"{kind} avg", *[F.col(f"{kind}_{m}") for m in ("precision", "recall", "f1")])
-                    for kind in ("macro", "weighted")
-                ],
-            )
-        ),
+    summaries = F.array(
+        row("summary", F.lit("accuracy"), [nothing, nothing, F.col("accuracy")]),
+        *[row("summary", F.lit(f"{k} avg"), [F.col(f"{k}_{m}") for m in ratios]) for k in ("macro", "weighted")],
     )
-    report = per_class.unionByName(summaries)
-    if digits is not None:
-        for m in ("precision", "recall", "f1"):
-            report = report.withColumn(m, F.round(m, digits))
-    return report
+    return groups.select(*by, F.inline(F.concat("rows", summaries)))
 
 
 def f1_scores(scored: DataFrame, by: Sequence[str] = (), positive=1, negative=0, **names) -> DataFrame:
     """F1 of the positive and the negative class, macro and support-weighted."""
-    scores = class_scores(confusion_cells(scored, by, **names), by)
+    scores = class_scores(scored, by, **names)
 
     def of(value) -> Column:
         return F.coalesce(F.max(F.when(F.col("label") == F.lit(value), F.col("f1"))), F.lit(0.0))

@@ -1,8 +1,8 @@
 """Standardisation: mean and population standard deviation, fitted on train rows.
 
 Feature vectors are ``array<double>`` columns. Statistics come from one pass with
-a vector aggregate that combines on the map side; a fitted table has one row, or
-one row per held-out fold.
+a vector aggregate that combines on the map side. Fitted statistics are computed
+when the fit function is called: one row, or one row per held-out fold.
 """
 
 from __future__ import annotations
@@ -12,6 +12,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classkit.runtime import small
+
+MAX_FOLDS = 1_000
+
 
 def _population(row: Column, n: Column) -> list[Column]:
     """Mean and population variance arrays; the vector aggregate divides by n - 1."""
@@ -27,7 +31,8 @@ def _summary(df: DataFrame, features: str, by: list[str]) -> DataFrame:
 
 def fit_scaler(train: DataFrame, features: str) -> DataFrame:
     """One row ``(n, mean, std)`` with array columns."""
-    return _summary(train, features, []).select("n", "mean", F.transform("variance", F.sqrt).alias("std"))
+    stats = _summary(train, features, []).select("n", "mean", F.transform("variance", F.sqrt).alias("std"))
+    return small(stats, 1, "scaler")
 
 
 def fit_column_scaler(train: DataFrame, columns: list[str]) -> DataFrame:
@@ -70,9 +75,10 @@ def fit_fold_scalers(df: DataFrame, features: str, fold: str = "fold") -> DataFr
     ordered = merged.groupBy("_held").agg(
         F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "mean", "std"))).alias("cells")
     )
-    return ordered.select(
+    stats = ordered.select(
         F.col("_held").alias(fold), "n", F.col("cells.mean").alias("mean"), F.col("cells.std").alias("std")
     )
+    return small(stats, MAX_FOLDS, "folds")
 
 
 def standardise(value: Column, mean: Column, std: Column) -> Column:

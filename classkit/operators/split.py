@@ -3,103 +3,133 @@
 Rows of a class are ordered by ``md5(id | seed)``. A part of a split is a range
 of that order, so a row's part follows from comparing its key with a few cut
 keys per class. The cuts are found from a histogram of key prefixes (combined on
-the map side); only the rows of the prefix holding a cut are ranked. The data
-itself is scanned, never shuffled, however uneven the classes are.
+the map side); only the rows of the prefix holding a cut are ranked. The cut
+keys, one row per class, are fitted when the function is called; applying them
+is a scan with a broadcast lookup, and the data itself is never shuffled,
+however uneven the classes are.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from classkit.runtime import bounded
+from classkit.runtime import MAX_CLASSES, local_table
 
 PREFIX_DIGITS = 4  # 65,536 prefixes per class
 
+# From the size of every class, in class order, the rank of the last row of each
+# part but the final one.
+PartEnds = Callable[[list[int]], list[list[int]]]
+
 
 def order_key(id_col: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
-def _class_sizes(histogram: DataFrame) -> DataFrame:
-    """``(label, n, below, total)``: size, rows in lower classes, rows in all."""
-    sizes = histogram.groupBy("label").agg(F.sum("rows").alias("n"))
-    everything = Window.partitionBy()  # one row per class
-    n_classes = F.count(F.lit(1)).over(everything)
-    return sizes.select(
-        "label",
-        bounded(n_classes, F.col("n"), "classes").alias("n"),
-        (F.sum("n").over(Window.orderBy("label")) - F.col("n")).alias("below"),
-        F.sum("n").over(everything).alias("total"),
-    )
+def _cut_keys(keyed: DataFrame, ends: list[dict], label_type: T.DataType) -> dict:
+    """``(label, part) -> {key, id}`` of the rows that close the parts in ``ends``."""
+    spark = keyed.sparkSession
+    schema = T.StructType().add("label", label_type).add("part", "integer").add("last", "long")
+    histogram = keyed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("label").orderBy("prefix"))
+    running = histogram.withColumn("upto", upto).join(F.broadcast(local_table(spark, ends, schema)), "label")
+    nth = (F.col("last") - F.col("upto") + F.col("rows")).cast("int").alias("nth")
+    inside = running.where((F.col("last") <= F.col("upto")) & (F.col("last") > F.col("upto") - F.col("rows")))
+    located = inside.select("label", "prefix", nth, "part").collect()  # one row per class and part
+    parts = {(r["label"], r["prefix"], r["nth"]): [] for r in located}
+    for r in located:
+        parts[r["label"], r["prefix"], r["nth"]].append(r["part"])
+    wanted: dict[tuple, list[int]] = {}
+    for label, prefix, n in parts:
+        wanted.setdefault((label, prefix), []).append(n)
+    # Only the rows that share a prefix with a cut: about 1 in 65,536 per cut.
+    schema = T.StructType().add("label", label_type).add("prefix", "string").add("wanted", T.ArrayType(T.IntegerType()))
+    rows = [{"label": label, "prefix": prefix, "wanted": n} for (label, prefix), n in wanted.items()]
+    near = keyed.join(F.broadcast(local_table(spark, rows, schema)), ["label", "prefix"])
+    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("label", "prefix").orderBy("key", "id")))
+    closing = ranked.where(F.array_contains("wanted", F.col("nth"))).drop("wanted").collect()
+    return {
+        (r["label"], part): {"key": r["key"], "id": r["id"]}
+        for r in closing
+        for part in parts[r["label"], r["prefix"], r["nth"]]
+    }
 
 
-def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, ends_of, part: str) -> DataFrame:
-    """Add ``part``: the number of part ends lying below the row in its class order.
+def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: PartEnds, target: str) -> DataFrame:
+    """Add ``target``: how many part ends lie below the row in the order of its class.
 
-    ``ends_of(class sizes)`` gives ``(label, part, last)``, the rank of the last
-    row of each part but the final one. A row without a label gets no part.
+    A row without a label gets no part.
     """
-    keyed = df.select(
+    keyed = df.where(F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(id_col).alias("id"), order_key(id_col, seed).alias("key")
-    ).withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
-    keyed = keyed.where(F.col("label").isNotNull())
-
-    histogram = keyed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows"))
-    running = histogram.select(
-        "label",
-        "prefix",
-        "rows",
-        (F.sum("rows").over(Window.partitionBy("label").orderBy("prefix")) - F.col("rows")).alias("before"),
     )
-    ends = ends_of(_class_sizes(histogram))
-    located = (
-        running.join(F.broadcast(ends), "label")
-        .where((F.col("before") < F.col("last")) & (F.col("last") <= F.col("before") + F.col("rows")))
-        .select("label", "prefix", "part", (F.col("last") - F.col("before")).cast("int").alias("nth"))
+    keyed = keyed.withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
+    sizes = keyed.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    classes = sorted((r["label"], r["n"]) for r in sizes.limit(MAX_CLASSES + 1).collect())
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    ends = [
+        {"label": label, "part": part, "last": last}
+        for (label, _), lasts in zip(classes, part_ends([n for _, n in classes]), strict=True)
+        for part, last in enumerate(lasts)
+    ]
+    label_type, id_type = df.schema[label_col].dataType, df.schema[id_col].dataType
+    # A part that ends at rank 0 holds no row, and its end lies below every key.
+    cut_of = _cut_keys(keyed, [e for e in ends if e["last"] > 0], label_type)
+    cuts = {label: [] for label, _ in classes}
+    for e in ends:
+        cuts[e["label"]].append(cut_of.get((e["label"], e["part"]), {"key": "", "id": None}))
+    cut_type = T.ArrayType(T.StructType().add("key", "string").add("id", id_type))
+    cuts = local_table(
+        df.sparkSession,
+        [{label_col: label, "_cuts": c} for label, c in cuts.items()],
+        T.StructType().add(label_col, label_type).add("_cuts", cut_type),
     )
-    # Only the rows that share a prefix with a cut, about 1 in 65,536 per cut.
-    near = keyed.join(F.broadcast(located.select("label", "prefix").distinct()), ["label", "prefix"])
-    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("label", "prefix").orderBy("key", "id")))
-    found = ranked.join(F.broadcast(located), ["label", "prefix", "nth"]).select("label", "part", "key", "id")
-    # A part without rows ends before every key.
-    cuts = (
-        ends.join(found, ["label", "part"], "left")
-        .groupBy("label")
-        .agg(F.collect_list(F.struct(F.coalesce("key", F.lit("")).alias("key"), F.col("id").alias("id"))).alias("cuts"))
-        .select(F.col("label").alias(label_col), F.col("cuts").alias("_cuts"))
-    )
-    key = order_key(id_col, seed)
-    passed = F.filter(
+    below = F.filter(
         "_cuts",
         lambda c: (c["key"] < F.col("_key")) | ((c["key"] == F.col("_key")) & (c["id"] < F.col(id_col))),
     )
     return (
-        df.withColumn("_key", key)
+        df.withColumn("_key", order_key(id_col, seed))
         .join(F.broadcast(cuts), label_col, "left")
-        .withColumn(part, F.size(passed))
-        .select(*df.columns, part)
+        .withColumn(target, F.size(below))
+        .select(*df.columns, target)
     )
 
 
-def _test_ends(test_size: float):
+def _test_ends(test_size: float) -> PartEnds:
     """Test rows per class: floor of the proportional share, leftovers to the
-    largest fractions, ties to the lower class. All in integers."""
-
-    def ends(sizes: DataFrame) -> DataFrame:
-        wide = sizes.withColumn("want", F.ceil(F.lit(test_size) * F.col("total")).cast("decimal(18,0)"))
-        product = F.col("n").cast("decimal(19,0)") * F.col("want")
-        shares = wide.withColumn("rest", (product % F.col("total")).cast("decimal(19,0)")).withColumn(
-            "base", ((product - F.col("rest")) / F.col("total")).cast("long")
-        )
-        spare = F.col("want").cast("long") - F.sum("base").over(Window.partitionBy())
-        place = F.row_number().over(Window.orderBy(F.col("rest").desc(), F.col("label")))
-        last = F.col("base") + (place <= spare).cast("long")
-        alone = F.concat(F.lit("class with fewer than 2 rows: "), F.col("label").cast("string"))
-        return shares.select(
-            "label", F.lit(0).alias("part"), F.when(F.col("n") < 2, F.raise_error(alone)).otherwise(last).alias("last")
-        )
+    largest fractions, ties to the lower class."""
+
+    def ends(sizes: list[int]) -> list[list[int]]:
+        if min(sizes, default=2) < 2:
+            raise ValueError("every class needs at least 2 rows to be split")
+        total = sum(sizes)
+        want = math.ceil(test_size * total)
+        shares = [divmod(want * n, total) for n in sizes]
+        spare = want - sum(base for base, _ in shares)
+        favoured = set(sorted(range(len(sizes)), key=lambda i: (-shares[i][1], i))[:spare])
+        return [[base + (i in favoured)] for i, (base, _) in enumerate(shares)]
+
+    return ends
+
+
+def _fold_ends(n_folds: int) -> PartEnds:
+    """Fold sizes of dealing the rows, sorted by class, round robin to the folds."""
+
+    def ends(sizes: list[int]) -> list[list[int]]:
+        lasts, start = [], 0
+        for n in sizes:
+            dealt = [len(range(start + (fold - start) % n_folds, start + n, n_folds)) for fold in range(n_folds)]
+            lasts.append([sum(dealt[: fold + 1]) for fold in range(n_folds - 1)])
+            start += n
+        return lasts
 
     return ends
 
@@ -115,7 +145,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``; the test part has ``ceil(test_size * rows)`` rows in all.
 
-    ``id_col`` must be unique. A class with a single row fails the query.
+    ``id_col`` must be unique. A class with a single row is an error.
     """
     parts = _assign_parts(df, id_col, label_col, seed, _test_ends(test_size), "_part")
     name = F.when(F.col("_part") == 0, names[0]).when(F.col("_part") > 0, names[1])
@@ -142,22 +172,9 @@ def nested_split(
 def stratified_folds(
     df: DataFrame, id_col: str, label_col: str, n_folds: int = 5, seed: int | str = 42, target: str = "fold"
 ) -> DataFrame:
-    """Add a fold number 0..n_folds-1.
-
-    Sizes are those of dealing the rows, sorted by class, round robin to the
-    folds: both the classes and the folds differ by at most one row.
-    """
-
-    def dealt(upto: Column, fold: Column) -> Column:
-        return F.floor((upto - fold + n_folds - 1) / n_folds)
-
-    def ends(sizes: DataFrame) -> DataFrame:
-        folds = sizes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-        size = dealt(F.col("below") + F.col("n"), F.col("part")) - dealt(F.col("below"), F.col("part"))
-        last = F.sum(size).over(Window.partitionBy("label").orderBy("part"))
-        return folds.select("label", "part", last.cast("long").alias("last")).where(F.col("part") < n_folds - 1)
-
-    return _assign_parts(df, id_col, label_col, seed, ends, target)
+    """Add a fold number 0..n_folds-1; folds differ by at most one row, in every
+    class and in all."""
+    return _assign_parts(df, id_col, label_col, seed, _fold_ends(n_folds), target)
 
 
 def class_shares(df: DataFrame, split_col: str, label_col: str) -> DataFrame:

@@ -1 +1,312 @@
-"""Queries that train models."""
+"""Queries that train and apply models.
+
+Training takes the library's defaults except for the number of passes, which is
+kept small here so that a whole run over a table stays short.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from classkit import functions as fn
+from classkit.operators import boosting, knn, metrics, mlp, model_tables, scale, split
+from classkit.operators.early_stop import EarlyStopping
+from classkit.plans.inputs import (
+    BINARY_VECTORS,
+    DOC_FEATURES,
+    SEED,
+    TEST_SIZE,
+    VALID_SIZE,
+    VECTORS,
+    binary_vectors,
+    judged_documents,
+    vectors,
+)
+from classkit.plans.neighbours import binary_summary
+from classkit.plans.registry import query
+from classkit.sources import pack_features
+
+ITERATIONS = 25
+EPOCHS = 25
+ROUNDS = 4
+
+
+def _rounded(df, names, digits=6):
+    return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+def documents(spark, sf_dir):
+    """Judged documents with their counts in one array column."""
+    df = judged_documents(spark, sf_dir).select("doc_id", "label", *DOC_FEATURES)
+    return pack_features(df, DOC_FEATURES)
+
+
+# --- a network with formula weights: forward pass and gradient ---------------
+
+HIDDEN, CLASSES, WIDTH = 8, 10, 64
+
+
+def formula_network() -> mlp.Network:
+    """Weights sin(1 + place) / 4, biases cos(place) / 4, as in FORMULA below."""
+
+    def matrix(n_in, n_out):
+        return np.sin(1.0 + np.arange(n_in * n_out)).reshape(n_in, n_out) / 4.0
+
+    return mlp.Network(
+        [matrix(WIDTH, HIDDEN), matrix(HIDDEN, CLASSES)],
+        [np.cos(np.arange(HIDDEN)) / 4.0, np.cos(np.arange(CLASSES)) / 4.0],
+    )
+
+
+FORMULA = f"""{VECTORS},
+x AS (SELECT vec_id, label, unnest(features) AS x, generate_subscripts(features, 1) - 1 AS i FROM vectors),
+w1 AS (SELECT i, j, sin(1.0::DOUBLE + i * {HIDDEN} + j) / 4 AS w
+       FROM (SELECT unnest(range({WIDTH})) AS i) a, (SELECT unnest(range({HIDDEN})) AS j) b),
+w2 AS (SELECT j, k, sin(1.0::DOUBLE + j * {CLASSES} + k) / 4 AS w
+       FROM (SELECT unnest(range({HIDDEN})) AS j) a, (SELECT unnest(range({CLASSES})) AS k) b),
+z1 AS (SELECT vec_id, label, j, sum(x * w) + cos(j::DOUBLE) / 4 AS z FROM x JOIN w1 USING (i) GROUP BY vec_id, label, j),
+z2 AS (SELECT vec_id, label, k, sum(greatest(z, 0) * w) + cos(k::DOUBLE) / 4 AS z FROM z1 JOIN w2 USING (j) GROUP BY vec_id, label, k),
+p AS (SELECT *, exp(z) / sum(exp(z)) OVER (PARTITION BY vec_id) AS p FROM z2)"""
+
+
+@query("mlp_forward", f"WITH {FORMULA} SELECT vec_id, k::INTEGER AS class, round(p, 9) AS probability FROM p")
+def mlp_forward(spark, sf_dir):
+    scored = mlp.predict(vectors(spark, sf_dir), mlp.Fit(formula_network()))
+    long = scored.select("vec_id", F.posexplode("p").alias("class", "probability"))
+    return long.withColumn("probability", F.round("probability", 9))
+
+
+@query(
+    "mlp_gradient",
+    f"""WITH {FORMULA},
+d2 AS (SELECT vec_id, k, p - (label = k)::INT AS d FROM p),
+d1 AS (SELECT vec_id, j, any_value(z) AS z, sum(d * w) * (any_value(z) > 0)::INT AS d
+       FROM z1 JOIN w2 USING (j) JOIN d2 USING (vec_id, k) GROUP BY vec_id, j),
+g AS (
+  SELECT 0 AS layer, i AS src, j AS dst, sum(x * d) AS gradient FROM x JOIN d1 USING (vec_id) GROUP BY i, j
+  UNION ALL SELECT 0, -1, j, sum(d) FROM d1 GROUP BY j
+  UNION ALL SELECT 1, j, k, sum(greatest(z, 0) * d2.d) FROM z1 JOIN d2 USING (vec_id) GROUP BY j, k
+  UNION ALL SELECT 1, -1, k, sum(d) FROM d2 GROUP BY k)
+SELECT layer, src::INTEGER AS src, dst::INTEGER AS dst, round(gradient, 6) AS gradient FROM g""",
+)
+def mlp_gradient(spark, sf_dir):
+    """The summed gradient of one full pass; biases have ``src`` -1."""
+    network = formula_network()
+    total = mlp.sum_gradients(vectors(spark, sf_dir), {0: mlp.Fit(network)})[0]
+    gradient = network.like(total[2:])
+    weights = mlp.weight_table(spark, gradient).withColumnRenamed("weight", "gradient")
+    biases = mlp.bias_table(spark, gradient).select("layer", F.lit(-1).alias("src"), F.col("node").alias("dst"), F.col("bias").alias("gradient"))
+    return _rounded(weights.unionByName(biases), ["gradient"])
+
+
+# --- scaled network on ten classes, with cross-validation --------------------
+
+
+def _vector_network(spark, sf_dir):
+    parts = split.stratified_split(vectors(spark, sf_dir), "vec_id", "label", TEST_SIZE, SEED)
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    scaler = scale.fit_scaler(train, "features")
+    fit = mlp.fit_full_batch(train, n_classes=CLASSES, max_iter=ITERATIONS, seed=SEED, scalers=scaler)[0]
+    return fit, test
+
+
+def _with_class(scored):
+    return scored.withColumn("prediction", fn.argmax(F.col("p")))
+
+
+@query("mlp_loss_curve")
+def mlp_loss_curve(spark, sf_dir):
+    return mlp.loss_table(spark, _vector_network(spark, sf_dir)[0])
+
+
+@query("mlp_report")
+def mlp_report(spark, sf_dir):
+    fit, test = _vector_network(spark, sf_dir)
+    return metrics.classification_report(_with_class(mlp.predict(test, fit)), labels=range(CLASSES))
+
+
+@query("mlp_cross_validation")
+def mlp_cross_validation(spark, sf_dir):
+    """All folds of the whole table are trained by the same passes."""
+    folds = split.stratified_folds(vectors(spark, sf_dir), "vec_id", "label", 5, SEED)
+    scalers = scale.fit_fold_scalers(folds, "features")
+    fits = mlp.fit_full_batch(folds, n_classes=CLASSES, max_iter=10, seed=SEED, scalers=scalers, folds=range(5))
+    return metrics.cross_validation_summary(_with_class(mlp.predict_held_out(folds, fits)))
+
+
+# --- network on two classes, epochs with early stopping ----------------------
+
+
+def _document_network(spark, sf_dir):
+    parts = split.nested_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, VALID_SIZE, SEED)
+    scaler = scale.fit_scaler(parts.where("split = 'train'"), "features")
+    scaled = scale.apply_scaler(parts, scaler, "features")
+    train, valid, test = (scaled.where(F.col("split") == s) for s in ("train", "valid", "test"))
+    fit = mlp.fit_epochs(train, valid, "doc_id", max_epochs=EPOCHS, stopping=EarlyStopping(patience=5), seed=SEED)
+    return fit, test
+
+
+def _document_scores(spark, sf_dir):
+    fit, test = _document_network(spark, sf_dir)
+    score = fn.positive_probability(F.col("p"))
+    scored = mlp.predict(test, fit).withColumn("score", score)
+    return scored.select("doc_id", "label", fn.threshold(F.col("score")).alias("prediction"), "score")
+
+
+@query("mlp_early_stop_history")
+def mlp_early_stop_history(spark, sf_dir):
+    return mlp.history_table(spark, _document_network(spark, sf_dir)[0])
+
+
+@query("mlp_test_summary")
+def mlp_test_summary(spark, sf_dir):
+    return binary_summary(_document_scores(spark, sf_dir))
+
+
+@query("knn_vs_mlp")
+def knn_vs_mlp(spark, sf_dir):
+    """Both models on the same test rows, one metric row per model."""
+    parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
+    train, test = parts.where("split = 'train'").drop("split"), parts.where("split = 'test'")
+    folds = split.stratified_folds(train, "doc_id", "label", knn.CV_FOLDS, SEED)
+    grid = knn.grid_scores(knn.cross_validated_votes(folds, "doc_id", "label", "features"))
+    near = knn.fit_and_search(train, test, max(knn.K_GRID), "doc_id", "label", "features")
+    votes = knn.positive_share(knn.within_best_k(near, grid)).withColumnRenamed("query_id", "doc_id")
+    scored = votes.join(test.select("doc_id", "label"), "doc_id").withColumn("model", F.lit("knn"))
+    other = _document_scores(spark, sf_dir).withColumn("model", F.lit("mlp"))
+    return binary_summary(scored.unionByName(other), by=["model"])
+
+
+# --- what the network looks like ---------------------------------------------
+
+
+@query("mlp_edges")
+def mlp_edges(spark, sf_dir):
+    """The strong connections of a fitted network with their drawing styles."""
+    weights = mlp.weight_table(spark, _document_network(spark, sf_dir)[0].network)
+    return model_tables.strong_edges(model_tables.edge_styles(weights))
+
+
+@query("mlp_nodes")
+def mlp_nodes(spark, sf_dir):
+    """Biases on a zero-centred scale, and the layer sizes beside them."""
+    network = _document_network(spark, sf_dir)[0].network
+    biases = mlp.bias_table(spark, network)
+    ceiling = model_tables.robust_maximum(biases, "bias").scalar()
+    sizes = model_tables.layer_sizes(mlp.weight_table(spark, network))
+    shown = biases.withColumn("_c", ceiling).withColumn("colour", fn.centred_unit(F.col("bias"), F.col("_c"))).drop("_c")
+    return shown.join(F.broadcast(sizes), "layer")
+
+
+@query("mlp_input_weights")
+def mlp_input_weights(spark, sf_dir):
+    fit, _ = _vector_network(spark, sf_dir)
+    first = mlp.weight_table(spark, fit.network).where("layer = 0")
+    return model_tables.weight_matrix(first, 32).withColumnRenamed("src", "feature")
+
+
+# --- boosted trees -----------------------------------------------------------
+
+BINS = 16
+
+FIRST_GAINS = f"""{BINARY_VECTORS},
+x AS (SELECT label, unnest(features) AS x, generate_subscripts(features, 1) - 1 AS feature FROM vectors),
+r AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM x GROUP BY feature),
+b AS (SELECT feature, label, least(floor((x - lo) / (hi - lo) * {BINS}), {BINS - 1})::INTEGER AS bin FROM x JOIN r USING (feature)),
+c AS (SELECT feature, bin, sum(0.5::DOUBLE - label) AS g, sum(0.25::DOUBLE) AS h FROM b GROUP BY feature, bin),
+s AS (
+  SELECT feature::INTEGER AS feature, bin, sum(g) OVER (PARTITION BY feature ORDER BY bin) AS gl,
+    sum(h) OVER (PARTITION BY feature ORDER BY bin) AS hl, sum(g) OVER (PARTITION BY feature) AS ga,
+    sum(h) OVER (PARTITION BY feature) AS ha FROM c),
+gains AS (
+  SELECT feature, bin, gl, hl, ga, ha, CASE WHEN least(hl, ha - hl) >= 1 THEN
+    0.5::DOUBLE * (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) END AS gain FROM s)"""
+
+
+def _first_histogram(spark, sf_dir):
+    """Derivatives of the logistic loss at score 0, summed over equal-width bins."""
+    long = binary_vectors(spark, sf_dir).select("label", F.posexplode("features").alias("feature", "x"))
+    ranges = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))  # one row per feature
+    place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
+    binned = long.join(F.broadcast(ranges), "feature").select(
+        "feature", "label", F.least(place, F.lit(BINS - 1)).cast("int").alias("bin")
+    )
+    sums = binned.groupBy("feature", "bin").agg(
+        F.sum(F.lit(0.5) - F.col("label")).alias("g"), (F.count(F.lit(1)) * F.lit(0.25)).alias("h")
+    )
+    return sums.select(F.lit(0).alias("tree"), F.lit(0).alias("node"), "feature", "bin", "g", "h")
+
+
+@query(
+    "boosting_split_gains",
+    f"WITH {FIRST_GAINS} SELECT feature, bin, round(gl, 6) AS g_left, round(hl, 6) AS h_left, round(gain, 6) AS gain FROM gains",
+)
+def boosting_split_gains(spark, sf_dir):
+    gains = boosting.split_gains(_first_histogram(spark, sf_dir))
+    return _rounded(gains.select("feature", "bin", "g_left", "h_left", "gain"), ["g_left", "h_left", "gain"])
+
+
+@query(
+    "boosting_best_split",
+    f"""WITH {FIRST_GAINS} SELECT feature, bin, round(gain, 6) AS gain, round(ga, 6) AS g_all, round(ha, 6) AS h_all
+FROM gains ORDER BY round(gains.gain, 9) DESC NULLS LAST, feature, bin LIMIT 1""",
+)
+def boosting_best_split(spark, sf_dir):
+    best = boosting.best_splits(boosting.split_gains(_first_histogram(spark, sf_dir)))
+    return _rounded(best.select("feature", "bin", "gain", "g_all", "h_all"), ["gain", "g_all", "h_all"])
+
+
+def formula_trees() -> boosting.Boosted:
+    """Two fixed trees of two classes, spelled out in SQL beside their query."""
+    first, second = boosting.Tree(), boosting.Tree()
+    left, right = first.split(0, 0, 0.0, 0, 1.0)
+    first.value[right] = 0.75
+    low, high = first.split(left, 1, 0.1, 0, 1.0)
+    first.value[low], first.value[high] = 0.5, -0.25
+    left, right = second.split(0, 2, -0.05, 0, 1.0)
+    second.value[left], second.value[right] = -0.5, 0.125
+    return boosting.Boosted([first, second], 1, 0.1)
+
+
+@query(
+    "boosted_scores",
+    f"""WITH {VECTORS}, m AS (SELECT vec_id,
+  CASE WHEN features[1] <= 0 THEN CASE WHEN features[2] <= 0.1::DOUBLE THEN 0.5 ELSE -0.25 END ELSE 0.75 END::DOUBLE
+  + CASE WHEN features[3] <= -0.05::DOUBLE THEN -0.5 ELSE 0.125 END::DOUBLE AS margin FROM vectors)
+SELECT vec_id, round(1 / (1 + exp(-margin)), 9) AS score, (1 / (1 + exp(-margin)) >= 0.5)::INTEGER AS prediction FROM m""",
+)
+def boosted_scores(spark, sf_dir):
+    scored = boosting.predict_boosted(vectors(spark, sf_dir), formula_trees())
+    score = fn.positive_probability(F.col("p"))
+    return scored.select("vec_id", F.round(score, 9).alias("score"), fn.threshold(score).alias("prediction"))
+
+
+def _document_trees(spark, sf_dir, rounds=ROUNDS):
+    parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=rounds, settings=boosting.BINARY)
+    return model, parts.where("split = 'test'")
+
+
+@query("boosted_multiclass_report")
+def boosted_multiclass_report(spark, sf_dir):
+    parts = split.stratified_split(vectors(spark, sf_dir), "vec_id", "label", TEST_SIZE, SEED)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS)
+    scored = _with_class(boosting.predict_boosted(parts.where("split = 'test'"), model))
+    return metrics.classification_report(scored, labels=range(CLASSES), digits=4)
+
+
+@query("boosted_binary_report")
+def boosted_binary_report(spark, sf_dir):
+    model, test = _document_trees(spark, sf_dir)
+    score = fn.positive_probability(F.col("p"))
+    scored = boosting.predict_boosted(test, model).withColumn("prediction", fn.threshold(score))
+    names = {0: "low", 1: "high"}
+    return metrics.classification_report(scored, labels=[0, 1], target_names=names, digits=4)
+
+
+@query("boosted_tree_nodes")
+def boosted_tree_nodes(spark, sf_dir):
+    """Nodes of chosen trees; trees the short model lacks are reported as missing."""
+    model, _ = _document_trees(spark, sf_dir)
+    return boosting.chosen_trees(boosting.tree_table(spark, model), [0, 2, 499, 14_999])

@@ -132,8 +132,7 @@ SELECT c AS label, round(coalesce(tp / nullif(predicted, 0), 0), 6) AS precision
   round(coalesce(2 * tp / nullif(support + predicted, 0), 0), 6) AS f1, support FROM t""",
 )
 def class_scores(spark, sf_dir):
-    cells = metrics.confusion_cells(line_scored(spark, sf_dir), labels=["A", "N", "R", "Z"])
-    scores = metrics.class_scores(cells).drop("tp", "predicted")
+    scores = metrics.class_scores(line_scored(spark, sf_dir), labels=["A", "N", "R", "Z"]).drop("tp")
     return _round(scores, "precision", "recall", "f1")
 
 

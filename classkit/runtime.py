@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # A label column with more classes than this is refused, so every "one row per
 # class" table in this package has a proven size and may be broadcast.
@@ -40,6 +43,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, limit: int, what: str) -> DataFrame:
+    """Compute a table of at most ``limit`` rows now and keep it as a local relation.
+
+    For fitted state (cut keys, means, a grid): later plans then start from its
+    few rows instead of computing them again. A larger table is refused.
+    """
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        raise ValueError(f"{what}: more than {limit} rows")
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+
+
+def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, which joins without a job."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema=schema)
+
+
 def bounded(count: Column, value: Column, what: str, limit: int = MAX_CLASSES) -> Column:
     """``value``, or a failing query once ``count`` passes ``limit``."""
     message = F.concat(F.lit(f"too many {what}: "), count.cast("string"), F.lit(f" > {limit}"))
