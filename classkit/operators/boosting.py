@@ -43,7 +43,7 @@ class BoostingSettings:
     reg_lambda: float = 1.0
     gamma: float = 0.0
     min_child_weight: float = 1.0
-    max_bins: int = 64
+    max_bins: int = 256
     seed: int = 42
 
 

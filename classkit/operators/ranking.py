@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from classkit.functions import clipped_log_loss
+
 BUCKETS = 256
 
 
@@ -55,10 +57,17 @@ def score_counts(scored: DataFrame, by: Sequence[str] = (), label: str = "label"
     )
 
 
-def _area(pos: Column, neg: Column, cum_neg: Column) -> Column:
-    """Share of (positive, negative) pairs in the right order, ties counting half."""
-    ordered = F.sum(pos.cast("double") * (cum_neg - neg / 2))
-    return ordered / F.nullif(F.sum(pos).cast("double") * F.sum(neg), F.lit(0.0))
+def _ranking_sums() -> list[Column]:
+    """ROC-AUC and average precision over rows with ``pos``, ``neg`` and their totals."""
+    pos, neg = F.col("pos"), F.col("neg")
+    # Share of (positive, negative) pairs in the right order, ties counting half.
+    ordered = F.sum(pos.cast("double") * (F.col("cum_neg") - neg / 2))
+    auc = ordered / F.nullif(F.sum(pos).cast("double") * F.sum(neg), F.lit(0.0))
+    # Rows at or above a score = all rows minus the rows strictly below it.
+    pos_above = F.col("all_pos") - F.col("cum_pos") + pos
+    neg_above = F.col("all_neg") - F.col("cum_neg") + neg
+    gained = F.sum(pos * pos_above / (pos_above + neg_above))
+    return [auc.alias("roc_auc"), (gained / F.nullif(F.sum(pos).cast("double"), F.lit(0.0))).alias("average_precision")]
 
 
 def ranking_metrics(
@@ -75,14 +84,48 @@ def ranking_metrics(
     the precision reached.
     """
     counts = score_counts(scored, by, label, score, positive)
+    return running_totals(counts, by, "score", ["pos", "neg"], buckets).groupBy(*by).agg(*_ranking_sums())
+
+
+def binary_summary(scored: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """All metrics of a two-class model, one row per group, from one pass over the rows.
+
+    ``scored`` has ``label``, ``prediction`` (0 or 1) and ``score``. Every metric
+    follows from the counts per distinct score.
+    """
+    real, predicted = F.col("label") == 1, F.col("prediction") == 1
+    counts = scored.groupBy(*by, "score").agg(
+        F.count_if(real).alias("pos"),
+        F.count_if(~real).alias("neg"),
+        F.count_if(real & predicted).alias("tp"),
+        F.count_if(~real & predicted).alias("fp"),
+    )
+    loss = F.col("pos") * clipped_log_loss(F.col("score")) + F.col("neg") * clipped_log_loss(1.0 - F.col("score"))
     running = running_totals(counts, by, "score", ["pos", "neg"], buckets)
-    # Rows at or above a score = all rows minus the rows strictly below it.
-    pos_above = F.col("all_pos") - F.col("cum_pos") + F.col("pos")
-    neg_above = F.col("all_neg") - F.col("cum_neg") + F.col("neg")
-    step = F.col("pos") * pos_above / (pos_above + neg_above)
-    return running.groupBy(*by).agg(
-        _area(F.col("pos"), F.col("neg"), F.col("cum_neg")).alias("roc_auc"),
-        (F.sum(step) / F.nullif(F.sum("pos").cast("double"), F.lit(0.0))).alias("average_precision"),
+    sums = running.groupBy(*by).agg(
+        *[F.sum(c).cast("double").alias(c) for c in ("pos", "neg", "tp", "fp")],
+        F.sum(loss).alias("loss"),
+        *_ranking_sums(),
+    )
+    pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
+    rows, tn = pos + neg, neg - fp
+
+    def f1(hits: Column, sides: Column) -> Column:
+        return F.when(sides == 0, 0.0).otherwise(2 * hits / F.greatest(sides, F.lit(1.0)))
+
+    positive, negative = f1(tp, pos + tp + fp), f1(tn, neg + rows - tp - fp)
+    # A class that is neither real nor predicted anywhere is not averaged.
+    seen = (pos + tp + fp > 0).cast("int") + (neg + rows - tp - fp > 0).cast("int")
+    return sums.select(
+        *by,
+        ((tp + tn) / rows).alias("accuracy"),
+        positive.alias("f1_positive"),
+        negative.alias("f1_negative"),
+        ((positive + negative) / seen).alias("f1_macro"),
+        ((positive * pos + negative * neg) / rows).alias("f1_weighted"),
+        "roc_auc",
+        "average_precision",
+        (F.col("loss") / rows).alias("log_loss"),
     )
 
 

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from classkit import functions as fn
-from classkit.operators import boosting, knn, metrics, mlp, model_tables, scale, split
+from classkit.operators import boosting, knn, metrics, mlp, model_tables, ranking, scale, split
 from classkit.operators.early_stop import EarlyStopping
 from classkit.plans.inputs import (
     BINARY_VECTORS,
@@ -23,8 +23,8 @@ from classkit.plans.inputs import (
     judged_documents,
     vectors,
 )
-from classkit.plans.neighbours import binary_summary
 from classkit.plans.registry import query
+from classkit.runtime import written
 from classkit.sources import pack_features
 
 ITERATIONS = 25
@@ -37,9 +37,12 @@ def _rounded(df, names, digits=6):
 
 
 def documents(spark, sf_dir):
-    """Judged documents with their counts in one array column."""
+    """Judged documents with their counts in one array column.
+
+    Written once: training scans the few numbers many times, the texts only now.
+    """
     df = judged_documents(spark, sf_dir).select("doc_id", "label", *DOC_FEATURES)
-    return pack_features(df, DOC_FEATURES)
+    return written(pack_features(df, DOC_FEATURES), "documents")
 
 
 # --- a network with formula weights: forward pass and gradient ---------------
@@ -138,8 +141,8 @@ def mlp_cross_validation(spark, sf_dir):
 # --- network on two classes, epochs with early stopping ----------------------
 
 
-def _document_network(spark, sf_dir):
-    parts = split.nested_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, VALID_SIZE, SEED)
+def _document_network(spark, sf_dir, table=None):
+    parts = split.nested_split(table or documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, VALID_SIZE, SEED)
     scaler = scale.fit_scaler(parts.where("split = 'train'"), "features")
     scaled = scale.apply_scaler(parts, scaler, "features")
     train, valid, test = (scaled.where(F.col("split") == s) for s in ("train", "valid", "test"))
@@ -147,8 +150,8 @@ def _document_network(spark, sf_dir):
     return fit, test
 
 
-def _document_scores(spark, sf_dir):
-    fit, test = _document_network(spark, sf_dir)
+def _document_scores(spark, sf_dir, table=None):
+    fit, test = _document_network(spark, sf_dir, table)
     score = fn.positive_probability(F.col("p"))
     scored = mlp.predict(test, fit).withColumn("score", score)
     return scored.select("doc_id", "label", fn.threshold(F.col("score")).alias("prediction"), "score")
@@ -161,21 +164,22 @@ def mlp_early_stop_history(spark, sf_dir):
 
 @query("mlp_test_summary")
 def mlp_test_summary(spark, sf_dir):
-    return binary_summary(_document_scores(spark, sf_dir))
+    return ranking.binary_summary(_document_scores(spark, sf_dir))
 
 
 @query("knn_vs_mlp")
 def knn_vs_mlp(spark, sf_dir):
     """Both models on the same test rows, one metric row per model."""
-    parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
+    table = documents(spark, sf_dir)
+    parts = split.stratified_split(table, "doc_id", "label", TEST_SIZE, SEED)
     train, test = parts.where("split = 'train'").drop("split"), parts.where("split = 'test'")
     folds = split.stratified_folds(train, "doc_id", "label", knn.CV_FOLDS, SEED)
     grid = knn.grid_scores(knn.cross_validated_votes(folds, "doc_id", "label", "features"))
     near = knn.fit_and_search(train, test, max(knn.K_GRID), "doc_id", "label", "features")
     votes = knn.positive_share(knn.within_best_k(near, grid)).withColumnRenamed("query_id", "doc_id")
     scored = votes.join(test.select("doc_id", "label"), "doc_id").withColumn("model", F.lit("knn"))
-    other = _document_scores(spark, sf_dir).withColumn("model", F.lit("mlp"))
-    return binary_summary(scored.unionByName(other), by=["model"])
+    other = _document_scores(spark, sf_dir, table).withColumn("model", F.lit("mlp"))
+    return ranking.binary_summary(scored.unionByName(other), by=["model"])
 
 
 # --- what the network looks like ---------------------------------------------
@@ -282,16 +286,16 @@ def boosted_scores(spark, sf_dir):
     return scored.select("vec_id", F.round(score, 9).alias("score"), fn.threshold(score).alias("prediction"))
 
 
-def _document_trees(spark, sf_dir, rounds=ROUNDS):
+def _document_trees(spark, sf_dir):
     parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=rounds, settings=boosting.BINARY)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=ROUNDS, max_bins=64)
     return model, parts.where("split = 'test'")
 
 
 @query("boosted_multiclass_report")
 def boosted_multiclass_report(spark, sf_dir):
     parts = split.stratified_split(vectors(spark, sf_dir), "vec_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS, max_bins=64)
     scored = _with_class(boosting.predict_boosted(parts.where("split = 'test'"), model))
     return metrics.classification_report(scored, labels=range(CLASSES), digits=4)
 

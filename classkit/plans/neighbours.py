@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from classkit.operators import knn, metrics, ranking, split
+from classkit.operators import knn, metrics, split
 from classkit.plans.inputs import (
     BINARY_VECTORS,
     SEED,
@@ -195,26 +195,3 @@ def selected_scores(grid, train, test):
     scored = knn.positive_share(knn.within_best_k(near, grid))
     truth = test.select(F.col("vec_id").alias("query_id"), "label")
     return scored.join(truth, "query_id").select(F.col("query_id").alias("vec_id"), "label", "prediction", "score")
-
-
-def knn_test_scores(spark, sf_dir):
-    grid, train, test = _grid(spark, sf_dir)
-    return selected_scores(grid, train, test)
-
-
-def binary_summary(scored, by=()):
-    """Accuracy, four F1 values, ROC-AUC and average precision in one row per model."""
-    parts = [
-        metrics.accuracy(scored, by),
-        metrics.f1_scores(scored, by),
-        ranking.ranking_metrics(scored, by),
-    ]
-    if by:
-        first, *rest = parts
-        for part in rest:
-            first = first.join(part, list(by))
-        return first
-    out = parts[0]
-    for i, part in enumerate(parts[1:]):
-        out = out.withColumn(f"_{i}", part.select(F.struct("*")).scalar()).select("*", f"_{i}.*").drop(f"_{i}")
-    return out

@@ -167,6 +167,17 @@ def f1_scores(spark, sf_dir):
     return _round(scores, "f1_positive", "f1_negative", "f1_macro", "f1_weighted")
 
 
+SUMMARY = [
+    "accuracy",
+    "f1_positive",
+    "f1_negative",
+    "f1_macro",
+    "f1_weighted",
+    "roc_auc",
+    "average_precision",
+    "log_loss",
+]
+
 AUC_SQL = """SELECT {by} (sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0::DOUBLE)
   / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)::DOUBLE) AS roc_auc FROM (
   SELECT *, rank() OVER ({part} ORDER BY score) + (count(*) OVER ({part2} score) - 1) / 2.0::DOUBLE AS r FROM scored) x"""
@@ -267,12 +278,16 @@ def cross_validation_summary(spark, sf_dir):
 @query(
     "model_comparison",
     f"""WITH {DOC_SCORED}, a AS ({auc_sql("model")}), p AS ({ap_sql("model")}),
-b AS (SELECT model, avg((label = prediction)::INT) AS accuracy, avg({LOSS}) AS log_loss FROM scored GROUP BY model)
-SELECT model, round(accuracy, 6) AS accuracy, round(log_loss, 6) AS log_loss, round(roc_auc, 6) AS roc_auc,
-  round(average_precision, 6) AS average_precision FROM a JOIN p USING (model) JOIN b USING (model) ORDER BY model""",
+b AS (SELECT model, avg((label = prediction)::INT) AS accuracy, avg({LOSS}) AS log_loss FROM scored GROUP BY model),
+t AS (
+  SELECT model, c, count(*) FILTER (label = c AND prediction = c) AS tp, count(*) FILTER (label = c) AS support,
+    count(*) FILTER (prediction = c) AS predicted FROM scored, {BINARY_CLASSES} k GROUP BY model, c),
+f AS (SELECT *, coalesce(2.0::DOUBLE * tp / nullif(support + predicted, 0), 0) AS f1 FROM t),
+g AS (
+  SELECT model, max(f1) FILTER (c = 1) AS f1_positive, max(f1) FILTER (c = 0) AS f1_negative, avg(f1) AS f1_macro,
+    sum(f1 * support) / sum(support) AS f1_weighted FROM f GROUP BY model)
+SELECT model, {", ".join(f"round({m}, 6) AS {m}" for m in SUMMARY)}
+FROM a JOIN p USING (model) JOIN b USING (model) JOIN g USING (model) ORDER BY model""",
 )
 def model_comparison(spark, sf_dir):
-    scored = document_models(spark, sf_dir)
-    out = metrics.accuracy(scored, ["model"]).join(metrics.log_loss(scored, ["model"]), "model")
-    out = out.join(ranking.ranking_metrics(scored, ["model"]), "model")
-    return _round(out, "accuracy", "log_loss", "roc_auc", "average_precision").orderBy("model")
+    return _round(ranking.binary_summary(document_models(spark, sf_dir), ["model"]), *SUMMARY).orderBy("model")
