@@ -1,5 +1,6 @@
 from classkit.functions.scores import (  # noqa: F401
     argmax,
+    bind,
     centred_unit,
     clipped_log_loss,
     edge_width,

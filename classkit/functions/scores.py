@@ -5,6 +5,8 @@ All of them are built-in Spark functions, so they stay inside the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,11 +34,20 @@ def logistic(margin: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, not at every use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softmax(margins: Column) -> Column:
     """Normalised exponentials of an array, shifted by its maximum."""
-    shifted = F.transform(margins, lambda m: F.exp(m - F.array_max(margins)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, e: acc + e)
-    return F.transform(shifted, lambda e: e / total)
+
+    def normalised(exps: Column) -> Column:
+        total = F.aggregate(exps, F.lit(0.0), lambda acc, e: acc + e)
+        return bind(total, lambda t: F.transform(exps, lambda e: e / t))
+
+    shifted = bind(F.array_max(margins), lambda top: F.transform(margins, lambda m: F.exp(m - top)))
+    return bind(shifted, normalised)
 
 
 def clipped_log_loss(p_true: Column) -> Column:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from classkit.functions import bind
 from classkit.operators.scale import apply_fold_scaler, apply_scaler, fit_fold_scalers, fit_scaler
 from classkit.runtime import local_table, small, written
 
@@ -300,7 +301,7 @@ def grid_votes(neighbours: DataFrame, by: Sequence[str], grid: Sequence[int] = K
     """``(by.., k, prediction)`` for every k at once, from one ranked list per query."""
     ranked = neighbours.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("rank", F.col(label).alias("c")))).alias("r"))
     each = ranked.select(*by, F.col("r.c").alias("labels"), F.explode(F.array(*[F.lit(k) for k in grid])).alias("k"))
-    won = _tally(F.slice("labels", 1, F.col("k")))
+    won = bind(F.slice("labels", 1, F.col("k")), _tally)
     return each.select(*by, "k", (-won["negated"]).alias("prediction"))
 
 

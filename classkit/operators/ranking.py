@@ -1,10 +1,9 @@
 """Running totals over a whole column, and the metrics that need them.
 
 A window without a partition would sort everything in one task. Here equal
-values are collapsed first (so a hot value is one row), the remaining values are
-cut into buckets at approximate quantiles, and totals run inside each bucket on
-top of the totals of the lower buckets. Where the cuts fall changes the load,
-never the result.
+values are collapsed first (so a hot value is one row), the values left are
+range-partitioned, and totals run inside each range on top of the totals of the
+lower ranges. Where the ranges meet changes the load, never the result.
 """
 
 from __future__ import annotations
@@ -16,29 +15,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from classkit.functions import clipped_log_loss
+from classkit.runtime import written
 
-BUCKETS = 256
 
-
-def running_totals(df: DataFrame, by: Sequence[str], order: str, totals: Sequence[str], buckets: int = BUCKETS):
+def running_totals(df: DataFrame, by: Sequence[str], order: str, totals: Sequence[str]) -> DataFrame:
     """Add ``cum_<t>``, the total of each column over rows up to and including
     this one, and ``all_<t>``, its total over all rows.
 
-    ``df`` holds one row per (``by``, ``order``) value.
+    ``df`` holds one row per (``by``, ``order``) value. It is written once with
+    its ranges, so the rows behind it are read a single time; Spark chooses the
+    number of ranges by size.
     """
-    quantiles = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), quantiles)).scalar()
-    placed = (
-        df.withColumn("_cuts", cuts)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
-        .drop("_cuts")
-    )
-    keys = [*by, "_bucket"]
+    ranged = df.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id())
+    placed = written(ranged, "ranges")
+    keys = [*by, "_range"]
     sums = placed.groupBy(*keys).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
-    group = Window.partitionBy(*by)  # at most `buckets` rows
+    group = Window.partitionBy(*by)  # one row per range
     bases = sums.select(
         *keys,
-        *[(F.sum(f"_sum_{t}").over(group.orderBy("_bucket")) - F.col(f"_sum_{t}")).alias(f"_base_{t}") for t in totals],
+        *[(F.sum(f"_sum_{t}").over(group.orderBy("_range")) - F.col(f"_sum_{t}")).alias(f"_base_{t}") for t in totals],
         *[F.sum(f"_sum_{t}").over(group).alias(f"all_{t}") for t in totals],
     )
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -76,7 +71,6 @@ def ranking_metrics(
     label: str = "label",
     score: str = "score",
     positive=1,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """ROC-AUC and average precision; AUC is null when only one class is present.
 
@@ -84,10 +78,10 @@ def ranking_metrics(
     the precision reached.
     """
     counts = score_counts(scored, by, label, score, positive)
-    return running_totals(counts, by, "score", ["pos", "neg"], buckets).groupBy(*by).agg(*_ranking_sums())
+    return running_totals(counts, by, "score", ["pos", "neg"]).groupBy(*by).agg(*_ranking_sums())
 
 
-def binary_summary(scored: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+def binary_summary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """All metrics of a two-class model, one row per group, from one pass over the rows.
 
     ``scored`` has ``label``, ``prediction`` (0 or 1) and ``score``. Every metric
@@ -101,7 +95,7 @@ def binary_summary(scored: DataFrame, by: Sequence[str] = (), buckets: int = BUC
         F.count_if(~real & predicted).alias("fp"),
     )
     loss = F.col("pos") * clipped_log_loss(F.col("score")) + F.col("neg") * clipped_log_loss(1.0 - F.col("score"))
-    running = running_totals(counts, by, "score", ["pos", "neg"], buckets)
+    running = running_totals(counts, by, "score", ["pos", "neg"])
     sums = running.groupBy(*by).agg(
         *[F.sum(c).cast("double").alias(c) for c in ("pos", "neg", "tp", "fp")],
         F.sum(loss).alias("loss"),
@@ -137,10 +131,10 @@ def average_precision(scored: DataFrame, by: Sequence[str] = (), **names) -> Dat
     return ranking_metrics(scored, by, **names).select(*by, "average_precision")
 
 
-def exact_percentile(df: DataFrame, value: str, q: float, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+def exact_percentile(df: DataFrame, value: str, q: float, by: Sequence[str] = ()) -> DataFrame:
     """``(by.., percentile)`` with linear interpolation between neighbouring values."""
     counts = df.groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    running = running_totals(counts, by, "value", ["rows"], buckets)
+    running = running_totals(counts, by, "value", ["rows"])
     place = F.lit(q) * (F.col("all_rows") - 1)  # position counted from 0
     covers = lambda at: (F.col("cum_rows") - F.col("rows") <= at) & (at < F.col("cum_rows"))
     found = running.groupBy(*by).agg(

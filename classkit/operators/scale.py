@@ -81,20 +81,16 @@ def fit_fold_scalers(df: DataFrame, features: str, fold: str = "fold") -> DataFr
     return small(stats, MAX_FOLDS, "folds")
 
 
-def standardise(value: Column, mean: Column, std: Column) -> Column:
-    """``(value - mean) / std`` where a constant column keeps its unit scale."""
-    return (value - mean) / F.when(std == 0, 1.0).otherwise(std)
-
-
 def _scaled(features: str, mean: Column, std: Column) -> Column:
-    stats = F.arrays_zip(mean.alias("mean"), std.alias("std"))
-    return F.zip_with(
-        F.col(features).cast("array<double>"), stats, lambda x, s: standardise(x, s["mean"], s["std"])
-    )
+    centred = F.zip_with(F.col(features).cast("array<double>"), mean, lambda x, m: x - m)
+    return F.zip_with(centred, std, lambda d, s: d / F.when(s == 0, 1.0).otherwise(s))
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, features: str, target: str | None = None) -> DataFrame:
-    """Scale any split with stored statistics; the one-row table is a scalar subquery."""
+    """``(x - mean) / std`` with stored statistics; a constant column keeps its unit scale.
+
+    The one-row table of statistics is a scalar subquery.
+    """
     stats = scaler.select(F.struct("mean", "std")).scalar()
     return (
         df.withColumn("_stats", stats)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from classkit.runtime import MAX_CLASSES, local_table
+from classkit.runtime import MAX_CLASSES, local_table, written
 
 PREFIX_DIGITS = 4  # 65,536 prefixes per class
 
@@ -32,11 +32,10 @@ def order_key(id_col: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
-def _cut_keys(keyed: DataFrame, ends: list[dict], label_type: T.DataType) -> dict:
+def _cut_keys(keyed: DataFrame, histogram: DataFrame, ends: list[dict], label_type: T.DataType) -> dict:
     """``(label, part) -> {key, id}`` of the rows that close the parts in ``ends``."""
     spark = keyed.sparkSession
     schema = T.StructType().add("label", label_type).add("part", "integer").add("last", "long")
-    histogram = keyed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows"))
     upto = F.sum("rows").over(Window.partitionBy("label").orderBy("prefix"))
     running = histogram.withColumn("upto", upto).join(F.broadcast(local_table(spark, ends, schema)), "label")
     nth = (F.col("last") - F.col("upto") + F.col("rows")).cast("int").alias("nth")
@@ -70,7 +69,9 @@ def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: P
         F.col(label_col).alias("label"), F.col(id_col).alias("id"), order_key(id_col, seed).alias("key")
     )
     keyed = keyed.withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
-    sizes = keyed.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    # At most 65,536 rows per class, written so that the table is not scanned again for them.
+    histogram = written(keyed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows")), "histogram")
+    sizes = histogram.groupBy("label").agg(F.sum("rows").alias("n"))
     classes = sorted((r["label"], r["n"]) for r in sizes.limit(MAX_CLASSES + 1).collect())
     if len(classes) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
@@ -81,7 +82,7 @@ def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: P
     ]
     label_type, id_type = df.schema[label_col].dataType, df.schema[id_col].dataType
     # A part that ends at rank 0 holds no row, and its end lies below every key.
-    cut_of = _cut_keys(keyed, [e for e in ends if e["last"] > 0], label_type)
+    cut_of = _cut_keys(keyed, histogram, [e for e in ends if e["last"] > 0], label_type)
     cuts = {label: [] for label, _ in classes}
     for e in ends:
         cuts[e["label"]].append(cut_of.get((e["label"], e["part"]), {"key": "", "id": None}))
