@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from classkit.runtime import bounded
+from classkit.runtime import MAX_CLASSES, bounded, few
 
 
 def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
@@ -49,22 +49,22 @@ def map_values(df: DataFrame, source: str, target: str, mapping: Mapping) -> Dat
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """One row per class: ``(label, label_idx, n_classes)``, index 0.. in sorted order.
 
-    The window runs over the distinct labels only, whose number is checked.
+    The windows run over the distinct labels only, of which no more are taken
+    than a classification may have.
     """
-    everything = Window.orderBy(label)
-    classes = df.select(label).where(F.col(label).isNotNull()).distinct()
+    classes = df.select(label).where(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1)
     n = F.count(F.lit(1)).over(Window.partitionBy())
     return classes.select(
         label,
-        (F.row_number().over(everything) - 1).alias("label_idx"),
+        (F.row_number().over(Window.orderBy(label)) - 1).alias("label_idx"),
         bounded(n, n, "classes").cast("int").alias("n_classes"),
     )
 
 
 def with_label_index(df: DataFrame, label: str, target: str = "label_idx") -> DataFrame:
-    """Add the class index; the class table is small by the check above."""
-    classes = label_index(df, label).select(label, F.col("label_idx").alias(target))
-    return df.join(F.broadcast(classes), label)
+    """Add the class index; a row without a label keeps a null index."""
+    classes = label_index(df, label).where("n_classes > 0").select(label, F.col("label_idx").alias(target))
+    return df.join(few(classes, MAX_CLASSES, "classes"), label, "left")
 
 
 def decode_label(df: DataFrame, index: str, classes: DataFrame, label: str, target: str, suffix: str = "") -> DataFrame:
@@ -73,7 +73,7 @@ def decode_label(df: DataFrame, index: str, classes: DataFrame, label: str, targ
         F.col("label_idx").alias(index),
         F.concat(F.col(label).cast("string"), F.lit(suffix)).alias(target),
     )
-    return df.join(F.broadcast(names), index, "left")
+    return df.join(few(names, MAX_CLASSES, "classes"), index, "left")
 
 
 def bad_feature_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -91,6 +91,27 @@ def bad_feature_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*cells)))
 
 
+def bad_vector_counts(df: DataFrame, features: str) -> DataFrame:
+    """``(n_rows, null_rows, null_entry_rows, nan_rows, min_width, max_width)`` of an array column."""
+    value = F.col(features)
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(value.isNull()).alias("null_rows"),
+        F.count_if(F.exists(value, lambda x: x.isNull())).alias("null_entry_rows"),
+        F.count_if(F.exists(value, lambda x: F.isnan(x))).alias("nan_rows"),
+        F.min(F.size(value)).alias("min_width"),
+        F.max(F.size(value)).alias("max_width"),
+    )
+
+
+def require_clean_vectors(df: DataFrame, features: str) -> DataFrame:
+    """``df`` itself, or a ``ValueError`` that counts the rows unfit for training."""
+    r = bad_vector_counts(df, features).first()
+    if r["null_rows"] or r["null_entry_rows"] or r["nan_rows"] or r["min_width"] != r["max_width"]:
+        raise ValueError(f"{features}: {r.asDict()}")
+    return df
+
+
 def require_clean(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``df`` itself, or a ``ValueError`` that counts the null and NaN features."""
     bad = bad_feature_counts(df, features).where("nulls + nans > 0").collect()  # at most one row per feature

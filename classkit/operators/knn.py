@@ -257,10 +257,12 @@ def nearest_neighbours(
         ]
     )
     found = q.groupBy(*where).cogroup(p.groupBy(*where)).applyInArrow(_block_join(k, to_arrow_schema(schema)), schema)
-    best = Window.partitionBy("_task", "query_id").orderBy("distance", "neighbour_id")
+    found = found.withColumnRenamed("_task", task) if task else found.drop("_task")
+    # Later steps group by the same keys, so this shuffle serves them too.
+    keys = [task, "query_id"] if task else ["query_id"]
+    best = Window.partitionBy(*keys).orderBy("distance", "neighbour_id")
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    named = [F.col("_task").alias(task)] if task else []
-    return top.select(*named, "query_id", "rank", "neighbour_id", payload, "distance")
+    return top.select(*keys, "rank", "neighbour_id", payload, "distance")
 
 
 def _tally(labels: Column) -> Column:
@@ -297,12 +299,23 @@ def positive_share(neighbours: DataFrame, by: Sequence[str] = ("query_id",), lab
     return scored.select(*by, (F.col("score") > 0.5).cast("int").alias("prediction"), "score")
 
 
-def grid_votes(neighbours: DataFrame, by: Sequence[str], grid: Sequence[int] = K_GRID, label: str = "label") -> DataFrame:
-    """``(by.., k, prediction)`` for every k at once, from one ranked list per query."""
+def grid_votes(
+    neighbours: DataFrame,
+    by: Sequence[str],
+    grid: Sequence[int] = K_GRID,
+    label: str = "label",
+    truth: DataFrame | None = None,
+) -> DataFrame:
+    """``(by.., k, prediction)`` for every k at once, from one ranked list per query.
+
+    Columns of ``truth``, keyed by ``by``, are joined to that list and carried along.
+    """
     ranked = neighbours.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("rank", F.col(label).alias("c")))).alias("r"))
-    each = ranked.select(*by, F.col("r.c").alias("labels"), F.explode(F.array(*[F.lit(k) for k in grid])).alias("k"))
+    ranked = ranked if truth is None else ranked.join(truth, list(by))
+    carried = [c for c in ranked.columns if c != "r"]
+    each = ranked.select(*carried, F.col("r.c").alias("labels"), F.explode(F.array(*[F.lit(k) for k in grid])).alias("k"))
     won = bind(F.slice("labels", 1, F.col("k")), _tally)
-    return each.select(*by, "k", (-won["negated"]).alias("prediction"))
+    return each.select(*carried, "k", (-won["negated"]).alias("prediction"))
 
 
 def cross_validated_votes(
@@ -331,9 +344,8 @@ def cross_validated_votes(
     )
     points = apply_fold_scaler(others, scalers, features, fold)
     found = nearest_neighbours(held, points, max(grid), id_col, features, label_col, task=fold, **search)
-    votes = grid_votes(found, [fold, "query_id"], grid, label_col)
-    truth = train.select(F.col(id_col).alias("query_id"), F.col(label_col).alias("label"))
-    return votes.join(truth, "query_id").withColumnRenamed("query_id", id_col)
+    truth = train.select(fold, F.col(id_col).alias("query_id"), F.col(label_col).alias("label"))
+    return grid_votes(found, [fold, "query_id"], grid, label_col, truth).withColumnRenamed("query_id", id_col)
 
 
 def grid_scores(votes: DataFrame, positive=1, fold: str = "fold") -> DataFrame:

@@ -37,7 +37,8 @@ ADAM_BETA1, ADAM_BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
 STALL_TOLERANCE, STALL_ITERATIONS = 1e-4, 10
 BATCH_ROWS = 32
 
-SHARD_ROWS = 200_000
+SHARD_ROWS = 200_000  # rows per shard, more once there are MAX_SHARDS
+MAX_SHARDS = 8_192
 FAN_IN = 256  # partial results added up by one task
 
 
@@ -383,7 +384,7 @@ def fit_epochs(
     """
     stopping = stopping or EarlyStopping()
     head = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("width")).first()
-    shards = max(1, -(-head["n"] // shard_rows))
+    shards = min(MAX_SHARDS, max(1, -(-head["n"] // shard_rows)))
     # Shards and the order inside them follow the ids, not the cluster.
     shard = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(shards)).cast("int")
     placed = train.withColumn("shard", shard).withColumn("place", order_key(id_col, seed))

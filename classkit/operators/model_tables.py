@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from classkit.functions import centred_unit, edge_width, edge_width_clipped
 from classkit.operators.ranking import exact_percentile
+from classkit.runtime import few
 
 # Share of the layer's largest weight, percentile of the robust scale.
 WEAK_SHARE = 0.05
 ROBUST_PERCENTILE = 0.99
 
+MAX_LAYERS = 100_000
+
 
 def strong_edges(weights: DataFrame, share: float = WEAK_SHARE, group: str = "layer") -> DataFrame:
     """Drop weights below ``share`` of the largest absolute weight of their layer.
@@ -26,7 +29,7 @@ def strong_edges(weights: DataFrame, share: float = WEAK_SHARE, group: str = "la
     so a layer with most of the weights is not gathered in one task.
     """
     largest = weights.groupBy(group).agg(F.max(F.abs("weight")).alias("_largest"))
-    kept = weights.join(largest, group).where(F.abs("weight") >= share * F.col("_largest"))
+    kept = weights.join(few(largest, MAX_LAYERS, "layers"), group).where(F.abs("weight") >= share * F.col("_largest"))
     return kept.select(*weights.columns)
 
 

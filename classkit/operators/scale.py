@@ -7,11 +7,14 @@ when the fit function is called: one row, or one row per held-out fold.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classkit.operators.columns import require_clean_vectors
 from classkit.runtime import small
 
 MAX_FOLDS = 1_000
@@ -30,9 +33,12 @@ def _summary(df: DataFrame, features: str, by: list[str]) -> DataFrame:
 
 
 def fit_scaler(train: DataFrame, features: str) -> DataFrame:
-    """One row ``(n, mean, std)`` with array columns."""
+    """One row ``(n, mean, std)`` with array columns; NaN features are an error that counts them."""
     stats = _summary(train, features, []).select("n", "mean", F.transform("variance", F.sqrt).alias("std"))
-    return small(stats, 1, "scaler")
+    fitted = small(stats, 1, "scaler")
+    if any(math.isnan(m) for m in fitted.first()["mean"]):
+        require_clean_vectors(train, features)
+    return fitted
 
 
 def fit_column_scaler(train: DataFrame, columns: list[str]) -> DataFrame:

@@ -195,6 +195,17 @@ def bad_features(spark, sf_dir):
     return columns.bad_feature_counts(df, ["n_chars", "per_digit"])
 
 
+@query(
+    "bad_vectors",
+    """SELECT count(*) AS n_rows, count(*) FILTER (embedding IS NULL) AS null_rows,
+  count(*) FILTER (len(list_filter(embedding, lambda x: x IS NULL)) > 0) AS null_entry_rows,
+  count(*) FILTER (len(list_filter(embedding, lambda x: isnan(x))) > 0) AS nan_rows,
+  min(len(embedding))::INTEGER AS min_width, max(len(embedding))::INTEGER AS max_width FROM embeddings""",
+)
+def bad_vectors(spark, sf_dir):
+    return columns.bad_vector_counts(table(spark, sf_dir, "embeddings"), "embedding")
+
+
 # --- splits -----------------------------------------------------------------
 
 

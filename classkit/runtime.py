@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
 # A label column with more classes than this is refused, so every "one row per
 # class" table in this package has a proven size and may be broadcast.
@@ -60,6 +61,19 @@ def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType) ->
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema=schema)
 
 
+def few(df: DataFrame, limit: int, what: str) -> DataFrame:
+    """A lazily checked broadcast side: the query fails once ``df`` passes ``limit`` rows.
+
+    At most one row more than the limit is ever looked at.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    message = F.lit(f"too many {what}: more than {limit}")
+    cut = df.limit(limit + 1).withColumn("_n", n)
+    first, *rest = df.columns
+    checked = F.when(F.col("_n") > limit, F.raise_error(message)).otherwise(F.col(first)).alias(first)
+    return F.broadcast(cut.select(checked, *rest))
+
+
 def bounded(count: Column, value: Column, what: str, limit: int = MAX_CLASSES) -> Column:
     """``value``, or a failing query once ``count`` passes ``limit``."""
     message = F.concat(F.lit(f"too many {what}: "), count.cast("string"), F.lit(f" > {limit}"))

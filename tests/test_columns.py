@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from classkit import functions as fn
 from classkit.operators import columns
-from classkit.runtime import small
+from classkit.runtime import few, small
 from classkit.sources import explode_features, pack_features, preview, read_table, write_table
 
 
@@ -71,3 +71,10 @@ def test_small_refuses_a_larger_table(spark):
     assert small(spark.range(3), 3, "rows").count() == 3
     with pytest.raises(ValueError):
         small(spark.range(4), 3, "rows")
+
+
+def test_few_fails_a_broadcast_side_that_is_too_large(spark):
+    df = spark.range(10)
+    assert df.join(few(spark.range(3), 3, "rows"), "id").count() == 3
+    with pytest.raises(Exception, match="too many rows"):
+        df.join(few(spark.range(4), 3, "rows"), "id").collect()

@@ -93,3 +93,9 @@ def test_scaler_divides_by_n(spark):
     assert scale.fit_scaler(df, "features").first()["std"][0] == pytest.approx(np.std([1, 2, 4]))
     one = scale.fit_scaler(df.where("id = 1"), "features").first()
     assert one["std"] == [0.0] and one["mean"] == [1.0]
+
+
+def test_nan_features_are_refused(spark):
+    df = table(spark, [(1, [1.0, float("nan")], 0), (2, [2.0, 1.0], 1)])
+    with pytest.raises(ValueError, match="'nan_rows': 1"):
+        scale.fit_scaler(df, "features")
