@@ -63,7 +63,11 @@ def confusion_cells(
     grid = classes.select(*by, F.explode("classes").alias("label"), "classes").select(
         *by, "label", F.explode("classes").alias("prediction")
     )
-    return grid.join(counts, [*by, "label", "prediction"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    keys = [*by, "label", "prediction"]
+    # Null-safe keys: a plain equality would push a null filter below one use only.
+    found = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], "rows")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return grid.join(found, same, "left").select(*keys, F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def confusion_matrix(scored: DataFrame, labels: Sequence, by: Sequence[str] = (), prefix: str = "pred_", **names):
