@@ -7,8 +7,8 @@ partial histograms up and ranks the possible splits with a window per feature,
 and the driver receives one row per open node. Trees are grown for all classes
 at once, so a round costs one job per level.
 
-Rows are binned into one byte per feature and written with their margins to the
-shared folder. Every few rounds the margins are brought up to date and written
+Rows are binned into one byte per feature, packed into blocks and written with
+their margins to the shared folder. Every few rounds the margins are brought up to date and written
 again; in between, tasks add the trees grown since. So no plan grows with the
 number of rounds, and a lost executor costs only its tasks.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from classkit.operators.knn import _matrix
+from classkit.operators.blocks import block, block_schema, blocks, list_column, matrix
 from classkit.runtime import local_table, written
 
 MARGIN_ROUNDS = 10  # rounds between two writes of the margins
@@ -153,46 +153,27 @@ def _binned(df: DataFrame, id_col: str, features: str, label: str, edges: list[n
 
     def to_bins(batches):
         for batch in batches:
-            x = _matrix(batch.column("features"))
-            if not len(x):
-                continue
-            bins = np.column_stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)])
-            margins = [[0.0] * outputs] * len(x)
-            columns = [batch.column("key"), _packed(bins), batch.column("label"), pa.array(margins, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=STATE.names)
-
-    return rows.mapInArrow(to_bins, STATE)
-
-
-STATE = T.StructType(
-    [
-        T.StructField("key", T.LongType()),
-        T.StructField("bins", T.BinaryType()),
-        T.StructField("label", T.IntegerType()),
-        T.StructField("margin", T.ArrayType(T.DoubleType())),
-    ]
-)
-
+            if batch.num_rows:
+                x = matrix(batch.column("features"))
+                held = {
+                    "key": batch.column("key").to_numpy(zero_copy_only=False),
+                    "bins": np.column_stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)]),
+                    "label": batch.column("label").to_numpy(zero_copy_only=False),
+                    "margin": np.zeros((len(x), outputs)),
+                }
+                yield block(held, STATE)
 
-def _packed(bins: np.ndarray) -> pa.Array:
-    """One byte per bin, one binary value per row."""
-    raw = np.ascontiguousarray(bins, dtype=np.uint8)
-    offsets = np.arange(0, raw.size + 1, raw.shape[1], dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    return rows.mapInArrow(to_bins, block_schema(STATE))
 
 
-def _unpacked(column: pa.Array) -> np.ndarray:
-    fixed = b"".join(column.to_pylist())
-    return np.frombuffer(fixed, dtype=np.uint8).reshape(len(column), -1)
+# What a block of training rows holds: a bin is one byte, a margin per output.
+STATE = {"key": np.int64, "bins": np.uint8, "label": np.int32, "margin": np.float64}
 
 
-def _state_batches(batches, pending):
-    """Key, bins, label and up-to-date margins of every batch."""
-    for batch in batches:
-        if batch.num_rows:
-            bins = _unpacked(batch.column("bins"))
-            margins = _add_trees(_matrix(batch.column("margin")).copy(), pending, bins)
-            yield batch, bins, batch.column("label").to_numpy(zero_copy_only=False), margins
+def _state_blocks(batches, pending):
+    """Every block with its margins brought up to date."""
+    for held in blocks(batches, STATE):
+        yield {**held, "margin": _add_trees(held["margin"].copy(), pending, held["bins"])}
 
 
 def _with_margins(state: DataFrame, pending: list[tuple]) -> DataFrame:
@@ -200,12 +181,10 @@ def _with_margins(state: DataFrame, pending: list[tuple]) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast(pending)
 
     def update(batches):
-        for batch, _, _, margins in _state_batches(batches, shared.value):
-            offsets = pa.array(np.arange(0, margins.size + 1, margins.shape[1], dtype=np.int32))
-            margin = pa.ListArray.from_arrays(offsets, pa.array(margins.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in STATE.names[:3]), margin], names=STATE.names)
+        for held in _state_blocks(batches, shared.value):
+            yield block(held, STATE)
 
-    return written(state.mapInArrow(update, STATE), "margins")
+    return written(state.mapInArrow(update, block_schema(STATE)), "margins")
 
 
 HISTOGRAM = T.StructType(
@@ -232,9 +211,10 @@ def _histogram(state: DataFrame, pending, growing, frontier, columns, settings:
     def sums(batches):
         pending, growing, frontier, columns = shared.value
         dense: dict[int, np.ndarray] = {}
-        for batch, bins, y, margins in _state_batches(batches, pending):
-            g, h = _derivatives(margins, y)
-            drawn = _drawn(batch.column("key").to_numpy(), round_, seed, subsample)
+        for held in _state_blocks(batches, pending):
+            bins = held["bins"]
+            g, h = _derivatives(held["margin"], held["label"][:, 0])
+            drawn = _drawn(held["key"][:, 0], round_, seed, subsample)
             for tree, nodes in frontier.items():
                 used = columns[tree]
                 slot_of = np.full(len(growing[tree][0]), -1)
@@ -362,10 +342,9 @@ def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", t
     def score(batches):
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch.column(features))
+                x = matrix(batch.column(features))
                 p = _probabilities(_add_trees(np.zeros((len(x), outputs)), shared.value, x))
-                offsets = pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32))
-                yield batch.append_column(target, pa.ListArray.from_arrays(offsets, pa.array(p.ravel())))
+                yield batch.append_column(target, list_column(p))
 
     schema = T.StructType([*df.schema.fields, T.StructField(target, T.ArrayType(T.DoubleType()))])
     return df.mapInArrow(score, schema)

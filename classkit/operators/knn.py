@@ -26,6 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from classkit.functions import bind
+from classkit.operators.blocks import matrix
 from classkit.operators.scale import apply_fold_scaler, apply_scaler, fit_fold_scalers, fit_scaler
 from classkit.runtime import local_table, small, written
 
@@ -39,13 +40,6 @@ MAX_CELLS = 256  # pivots kept by every task
 DISTANCE_DIGITS = 9  # distances are ranked at this precision, ties by lower id
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column as a matrix, without a Python object per row."""
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = flat.flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(values, dtype=np.float64).reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
-
-
 def _squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     norms = np.einsum("ij,ij->i", left, left)[:, None] + np.einsum("ij,ij->i", right, right)[None, :]
     return np.maximum(norms - 2.0 * left @ right.T, 0.0)
@@ -79,7 +73,7 @@ def _block_join(k: int, schema: pa.Schema):
         if not len(queries) or not len(points):
             return schema.empty_table()
         points = points.sort_by("_pid")  # row order now breaks ties towards the lower id
-        found = list(_nearest_in_block(_matrix(queries["_vec"]), _matrix(points["_vec"]), k))
+        found = list(_nearest_in_block(matrix(queries["_vec"]), matrix(points["_vec"]), k))
         rows = pa.array(np.concatenate([f[0] for f in found]))
         cols = pa.array(np.concatenate([f[1] for f in found]))
         columns = [
@@ -115,7 +109,7 @@ def _pivots(points: DataFrame, cells: dict[int, int]) -> dict[int, np.ndarray]:
 
 def _per_task(batch: pa.RecordBatch):
     tasks = batch.column("_task").to_numpy(zero_copy_only=False)
-    vectors = _matrix(batch.column("_vec"))
+    vectors = matrix(batch.column("_vec"))
     for task in np.unique(tasks):
         rows = np.nonzero(tasks == task)[0]
         yield int(task), rows, vectors[rows]

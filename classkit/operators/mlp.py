@@ -22,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classkit.functions.scores import DECISION_THRESHOLD, PROBABILITY_EPS
+from classkit.operators.blocks import blocks, list_column, matrix, pack
 from classkit.operators.early_stop import MAX_EPOCHS, EarlyStopping
-from classkit.operators.knn import _matrix
 from classkit.operators.split import order_key
 from classkit.runtime import local_table
 
@@ -112,9 +112,9 @@ class Network:
         return loss, np.concatenate([a.ravel() for pair in reversed(parts) for a in pair])
 
     def decay(self, alpha: float) -> np.ndarray:
-        """Gradient of the penalty: weights only, biases are free."""
+        """Factor of every flat weight in the penalty's gradient: biases are free."""
         pairs = zip(self.weights, self.biases, strict=True)
-        return np.concatenate([a for w, b in pairs for a in (alpha * w.ravel(), np.zeros(b.size))])
+        return np.concatenate([np.full(a.size, f) for w, b in pairs for a, f in ((w, alpha), (b, 0.0))])
 
 
 def cross_entropy(p: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -122,20 +122,19 @@ def cross_entropy(p: np.ndarray, y: np.ndarray) -> np.ndarray:
     return -np.log(np.clip(p_true, PROBABILITY_EPS, 1.0 - PROBABILITY_EPS))
 
 
-@dataclass
 class Adam:
-    rate: float
-    step: int = 0
-    first: np.ndarray | float = 0.0
-    second: np.ndarray | float = 0.0
+    """Steps over one flat vector of weights; ``start`` is changed in place."""
+
+    def __init__(self, start: np.ndarray, rate: float):
+        self.flat, self.rate, self.step = start, rate, 0
+        self.first, self.second = np.zeros_like(start), np.zeros_like(start)
 
-    def move(self, gradient: np.ndarray) -> np.ndarray:
-        """The change of the weights for one gradient."""
+    def move(self, gradient: np.ndarray) -> None:
         self.step += 1
-        self.first = ADAM_BETA1 * self.first + (1 - ADAM_BETA1) * gradient
-        self.second = ADAM_BETA2 * self.second + (1 - ADAM_BETA2) * gradient**2
+        self.first += (1 - ADAM_BETA1) * (gradient - self.first)
+        self.second += (1 - ADAM_BETA2) * (gradient * gradient - self.second)
         scale = np.sqrt(1 - ADAM_BETA2**self.step) / (1 - ADAM_BETA1**self.step)
-        return -self.rate * scale * self.first / (np.sqrt(self.second) + ADAM_EPS)
+        self.flat -= self.rate * scale * self.first / (np.sqrt(self.second) + ADAM_EPS)
 
 
 def _sum_partials(partials: DataFrame, tasks: int) -> dict[int, np.ndarray]:
@@ -167,10 +166,26 @@ def _partial_rows(values: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["net", "values"])
 
 
-def _feature_batches(batches):
-    for batch in batches:
-        if batch.num_rows:
-            yield batch, _matrix(batch.column("features")), batch.column("label").to_numpy(zero_copy_only=False)
+# What a block of training rows holds; ``tag`` is a fold or a shard.
+TRAINING = {"features": np.float64, "label": np.int32, "tag": np.int32}
+
+
+def _training_rows(df: DataFrame, features: str, label: str, tag: Column | None = None, *more: Column) -> DataFrame:
+    return df.select(
+        F.col(features).cast("array<double>").alias("features"),
+        F.col(label).cast("int").alias("label"),
+        (F.lit(0) if tag is None else tag).cast("int").alias("tag"),
+        *more,
+    )
+
+
+def training_blocks(df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None):
+    return pack(_training_rows(df, features, label, tag), TRAINING)
+
+
+def _training(batches):
+    for held in blocks(batches, TRAINING):
+        yield held["features"], held["label"][:, 0], held["tag"][:, 0]
 
 
 @dataclass
@@ -187,7 +202,7 @@ def output_units(n_classes: int) -> int:
 def sum_gradients(
     rows: DataFrame, fits: dict[int, Fit], held_out: bool = False, tasks: int = 1
 ) -> dict[int, np.ndarray]:
-    """Per network ``[rows, loss, gradient..]`` summed over the table, in one pass.
+    """Per network ``[rows, loss, gradient..]`` summed over training blocks, in one pass.
 
     With ``held_out`` a network skips the rows of the fold it is named after.
     """
@@ -196,8 +211,7 @@ def sum_gradients(
     def partials(batches):
         networks = {k: (Network(w, b), scale) for k, (w, b, scale) in shared.value.items()}
         totals: dict[int, np.ndarray] = {}
-        for batch, x, y in _feature_batches(batches):
-            fold = batch.column("fold").to_numpy(zero_copy_only=False) if held_out else None
+        for x, y, fold in _training(batches):
             for name, (network, scale) in networks.items():
                 used = fold != name if held_out else slice(None)
                 xs, ys = x[used], y[used]
@@ -216,12 +230,6 @@ def sum_gradients(
         shared.unpersist()
 
 
-def _training_columns(df: DataFrame, features: str, label: str, *more: str) -> DataFrame:
-    return df.select(
-        F.col(features).cast("array<double>").alias("features"), F.col(label).cast("int").alias("label"), *more
-    )
-
-
 def _scales(scalers: DataFrame | None, keys: Sequence[int]) -> dict[int, tuple | None]:
     if scalers is None:
         return dict.fromkeys(keys)
@@ -249,13 +257,14 @@ def fit_full_batch(
     its loss has not improved by the tolerance for more than the stall limit.
     """
     keys = list(folds) if folds is not None else [0]
-    rows = _training_columns(train, features, label, *(["fold"] if folds is not None else [])).persist()
+    rows = training_blocks(train, features, label, None if folds is None else F.col("fold")).persist()
     scales = _scales(scalers, keys)
-    width = rows.select(F.size("features").alias("n")).first()["n"]
+    width = train.select(F.size(features).alias("n")).first()["n"]
     tasks = rows.rdd.getNumPartitions()
     start = Network.create([width, *hidden, output_units(n_classes)], seed)
-    fits = {k: Fit(start.like(start.flat), scale=scales[k]) for k in keys}
-    adams = {k: Adam(rate) for k in keys}
+    adams = {k: Adam(start.flat, rate) for k in keys}
+    fits = {k: Fit(start.like(adams[k].flat), scale=scales[k]) for k in keys}  # views of the moving weights
+    decay = start.decay(alpha)
     best, stalled = dict.fromkeys(keys, np.inf), dict.fromkeys(keys, 0)
     active = set(keys)
     try:
@@ -263,10 +272,9 @@ def fit_full_batch(
             sums = sum_gradients(rows, {k: fits[k] for k in sorted(active)}, folds is not None, tasks)
             for k, total in sums.items():
                 n, loss, gradient = total[0], total[1], total[2:]
-                network = fits[k].network
-                penalised = loss / n + 0.5 * alpha * network.penalty / n
+                penalised = loss / n + 0.5 * alpha * fits[k].network.penalty / n
                 fits[k].losses.append(penalised)
-                fits[k].network = network.like(network.flat + adams[k].move((gradient + network.decay(alpha)) / n))
+                adams[k].move((gradient + decay * adams[k].flat) / n)
                 stalled[k] = stalled[k] + 1 if penalised > best[k] - STALL_TOLERANCE else 0
                 best[k] = min(best[k], penalised)
                 if stalled[k] > STALL_ITERATIONS:
@@ -282,15 +290,15 @@ class _ShardRun:
     """Mini-batch steps over the rows of one shard, fed in pieces."""
 
     def __init__(self, network: Network, alpha: float, rate: float, batch_rows: int):
-        self.network, self.adam = network, Adam(rate)
-        self.alpha, self.batch_rows = alpha, batch_rows
+        self.adam = Adam(network.flat, rate)
+        self.network = network.like(self.adam.flat)  # its arrays are views, so they follow each step
+        self.decay, self.batch_rows = network.decay(alpha), batch_rows
         self.rows = 0
         self.rest: tuple[np.ndarray, np.ndarray] | None = None  # rows short of a whole batch
 
     def _step(self, x: np.ndarray, y: np.ndarray) -> None:
         _, gradient = self.network.gradient(x, y)
-        change = self.adam.move((gradient + self.network.decay(self.alpha)) / len(y))
-        self.network = self.network.like(self.network.flat + change)
+        self.adam.move((gradient + self.decay * self.adam.flat) / len(y))
         self.rows += len(y)
 
     def feed(self, x: np.ndarray, y: np.ndarray) -> None:
@@ -305,7 +313,7 @@ class _ShardRun:
         """``[rows, rows * weights..]``, ready to be added to other shards."""
         if self.rest is not None:
             self._step(*self.rest)
-        return np.concatenate([[self.rows], self.rows * self.network.flat])
+        return np.concatenate([[self.rows], self.rows * self.adam.flat])
 
 
 TRAINED, MEASURED = 0, 1
@@ -325,8 +333,7 @@ def _epoch_pass(rows: DataFrame, network: Network, alpha: float, rate: float, ba
         def add(kind: int, values: np.ndarray) -> None:
             sums[kind] = sums[kind] + values if kind in sums else values
 
-        for batch, x, y in _feature_batches(batches):
-            shards = batch.column("shard").to_numpy(zero_copy_only=False)
+        for x, y, shards in _training(batches):
             for value in np.unique(shards):  # rows arrive ordered by shard
                 xs, ys = x[shards == value], y[shards == value]
                 if value == VALID_SHARD:
@@ -387,11 +394,9 @@ def fit_epochs(
     shards = min(MAX_SHARDS, max(1, -(-head["n"] // shard_rows)))
     # Shards and the order inside them follow the ids, not the cluster.
     shard = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(shards)).cast("int")
-    placed = train.withColumn("shard", shard).withColumn("place", order_key(id_col, seed))
-    dealt = _training_columns(placed, features, label, "shard", "place")
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place").drop("place")
-    checked = _training_columns(valid, features, label).withColumn("shard", F.lit(VALID_SHARD))
-    rows = dealt.union(checked).persist()
+    dealt = _training_rows(train, features, label, shard, order_key(id_col, seed).alias("place"))
+    dealt = pack(dealt.repartition(shards, "tag").sortWithinPartitions("tag", "place"), TRAINING)
+    rows = dealt.union(training_blocks(valid, features, label, F.lit(VALID_SHARD))).persist()
     network = Network.create([head["width"], *hidden, output_units(n_classes)], seed)
     best, history = network, []
     tasks = rows.rdd.getNumPartitions()
@@ -418,7 +423,7 @@ def _scored(df: DataFrame, networks: dict, features: str, target: str, fold: str
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(features))
+            x = matrix(batch.column(features))
             names = batch.column(fold).to_numpy(zero_copy_only=False) if fold else np.zeros(len(x), dtype=int)
             p = None
             for name in np.unique(names):
@@ -428,8 +433,7 @@ def _scored(df: DataFrame, networks: dict, features: str, target: str, fold: str
                 if p is None:
                     p = np.empty((len(x), part.shape[1]))
                 p[mine] = part
-            offsets = pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32))
-            yield batch.append_column(target, pa.ListArray.from_arrays(offsets, pa.array(p.ravel())))
+            yield batch.append_column(target, list_column(p))
 
     schema = T.StructType([*df.schema.fields, T.StructField(target, T.ArrayType(T.DoubleType()))])
     return df.mapInArrow(score, schema)

@@ -96,7 +96,7 @@ SELECT layer, src::INTEGER AS src, dst::INTEGER AS dst, round(gradient, 6) AS gr
 def mlp_gradient(spark, sf_dir):
     """The summed gradient of one full pass; biases have ``src`` -1."""
     network = formula_network()
-    total = mlp.sum_gradients(vectors(spark, sf_dir), {0: mlp.Fit(network)})[0]
+    total = mlp.sum_gradients(mlp.training_blocks(vectors(spark, sf_dir)), {0: mlp.Fit(network)})[0]
     gradient = network.like(total[2:])
     weights = mlp.weight_table(spark, gradient).withColumnRenamed("weight", "gradient")
     biases = mlp.bias_table(spark, gradient).select("layer", F.lit(-1).alias("src"), F.col("node").alias("dst"), F.col("bias").alias("gradient"))
