@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from classkit.llm.common import documents, text_of
 from classkit.llm.exact_dedup import exact_duplicates
 from classkit.llm.packing import pack, piece_digests
+from classkit.llm.sentencepiece_rounds import encode_and_decode
 from classkit.llm.sharding import shuffle_into_shards
+from classkit.llm.simhash import near_duplicates
 from classkit.llm.tokens import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +32,11 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words=3, max_bits=3)
+
+
 @query("""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -60,3 +67,9 @@ def op7_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", size, F.crc32(text_of("text")).alias("text_crc32"))
     law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return shuffle_into_shards(rows, shards=24).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query()
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_and_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
