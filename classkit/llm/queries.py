@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from classkit.llm.common import documents, text_of
 from classkit.llm.exact_dedup import exact_duplicates
+from classkit.llm.langid import identify
 from classkit.llm.packing import pack, piece_digests
+from classkit.llm.pii import BASE_KINDS, private_spans, spelled
 from classkit.llm.sentencepiece_rounds import encode_and_decode
 from classkit.llm.sharding import shuffle_into_shards
 from classkit.llm.simhash import near_duplicates
@@ -37,6 +39,11 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), words=3, max_bits=3)
 
 
+@query()
+def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 @query("""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -69,6 +76,13 @@ def op7_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle_into_shards(rows, shards=24).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+@query()
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_spans(documents(spark, sf_dir))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)]
+    return found.select("doc_id", *counts, F.sha2(spelled(F.col("base")), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"))
+
+
 @query()
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_and_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
