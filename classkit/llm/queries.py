@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from classkit.llm.common import documents, text_of
 from classkit.llm.exact_dedup import exact_duplicates
 from classkit.llm.langid import identify
+from classkit.llm.line_templates import drop_recurring_lines
 from classkit.llm.packing import pack, piece_digests
 from classkit.llm.pii import BASE_KINDS, private_spans, spelled
 from classkit.llm.sentencepiece_rounds import encode_and_decode
@@ -83,6 +84,13 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spelled(F.col("base")), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"))
 
 
+@query()
+def op9_recurring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=True)
+    text = text_of("text")
+    return docs.select("doc_id", "n_lines", "n_dropped", F.char_length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
 @query()
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_and_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
