@@ -12,12 +12,14 @@ from classkit.llm.common import documents, text_of
 from classkit.llm.exact_dedup import exact_duplicates
 from classkit.llm.langid import identify
 from classkit.llm.line_templates import drop_recurring_lines
+from classkit.llm.mtree import top_inner_products
 from classkit.llm.packing import pack, piece_digests
 from classkit.llm.pii import BASE_KINDS, private_spans, spelled
 from classkit.llm.sentencepiece_rounds import encode_and_decode
 from classkit.llm.sharding import shuffle_into_shards
 from classkit.llm.simhash import near_duplicates
 from classkit.llm.tokens import count_tokens
+from classkit.sources import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +42,20 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), words=3, max_bits=3)
 
 
+@query("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op2_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, f"{sf_dir}/embeddings.parquet")
+    return top_inner_products(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 @query()
 def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
