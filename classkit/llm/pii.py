@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from classkit.llm.common import OUT_ROWS, named, packed, rebatched, text_of, unpacked, written
@@ -17,7 +18,8 @@ from classkit.llm.common import OUT_ROWS, named, packed, rebatched, text_of, unp
 # Kinds in the order that breaks ties between spans; terms are the ones added by the method.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "term")
-SPANS = "array<struct<start:int,kind:int,end:int>>"
+_INT = T.IntegerType()
+SPANS = T.ArrayType(T.StructType([T.StructField("start", _INT), T.StructField("kind", _INT), T.StructField("end", _INT)]))
 
 # A term is in a finding's context if it is one of so many words next to it, on either side, within so many characters.
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
@@ -158,7 +160,7 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, min_contexts: int = 3,
     pairs = near.groupBy("entity", "term", "context").agg(F.sum("first").alias("docs"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("together"), F.count("*").alias("contexts"))
     pairs = written(pairs.where(F.col("contexts") >= min_contexts).select("entity", "term", "together"), "pairs")
-    schema = f"key string, terms {SPANS}"
+    schema = f"key string, terms {SPANS.simpleString()}"
     if pairs.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
     total = texts.count()
@@ -217,7 +219,7 @@ def _generalised(word: str) -> str:
     return "<name>" if word[:1].isupper() else "<term>"
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _redacted(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for text, found in zip(texts, spans):
