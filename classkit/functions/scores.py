@@ -68,5 +68,5 @@ def edge_width_clipped(weight: Column, ceiling: Column, narrowest: float, widest
 
 
 def centred_unit(value: Column, largest: Column) -> Column:
-    """Map [-largest, largest] onto [0, 1] with zero at one half."""
-    return F.lit(0.5) + F.lit(0.5) * value / largest
+    """Map [-largest, largest] onto [0, 1] with zero at one half; values beyond saturate."""
+    return F.least(F.greatest(F.lit(0.5) + F.lit(0.5) * value / largest, F.lit(0.0)), F.lit(1.0))

@@ -11,15 +11,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column as a matrix, without a Python object per row."""
+    """A list column as a matrix, without a Python object per row.
+
+    Null vectors, null or NaN entries and uneven widths are an error that counts them.
+    """
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = flat.flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(values, dtype=np.float64).reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
+    if not len(flat):
+        return np.empty((0, 0))
+    widths = pc.list_value_length(flat)
+    entries = flat.flatten()
+    values = np.asarray(entries.to_numpy(zero_copy_only=False), dtype=np.float64)
+    missing = int(np.isnan(values).sum())
+    if flat.null_count or missing or len(pc.unique(widths)) > 1:
+        nulls = entries.null_count
+        raise ValueError(
+            f"bad vectors among {len(flat)}: {flat.null_count} null, {nulls} null entries, "
+            f"{missing - nulls} NaN entries, widths {sorted(pc.unique(widths).drop_null().to_pylist())[:10]}"
+        )
+    return values.reshape(len(flat), -1)
 
 
 def list_column(values: np.ndarray) -> pa.Array:
@@ -51,8 +66,12 @@ def blocks(batches, dtypes: dict[str, type]) -> Iterator[dict[str, np.ndarray]]:
             }
 
 
-def pack(df: DataFrame, dtypes: dict[str, type]) -> DataFrame:
-    """Pack the named columns, keeping the order of rows; arrays become matrices."""
+def pack(df: DataFrame, dtypes: dict[str, type], part: str | None = None) -> DataFrame:
+    """Pack the named columns, keeping the order of rows; arrays become matrices.
+
+    With ``part``, an integer column, every block holds the rows of one value of
+    it, which stands in column ``part`` beside the block.
+    """
 
     def to_block(batches):
         for batch in batches:
@@ -62,6 +81,12 @@ def pack(df: DataFrame, dtypes: dict[str, type]) -> DataFrame:
                     name: matrix(c) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False)
                     for name, c in columns.items()
                 }
-                yield block(arrays, dtypes)
-
-    return df.select(*dtypes).mapInArrow(to_block, block_schema(dtypes))
+                if part is None:
+                    yield block(arrays, dtypes)
+                    continue
+                for value in np.unique(arrays[part]):
+                    made = block({name: a[arrays[part] == value] for name, a in arrays.items()}, dtypes)
+                    yield made.append_column("part", pa.array([value], pa.int32()))
+
+    schema = block_schema(dtypes) if part is None else block_schema(dtypes).add("part", "integer")
+    return df.select(*dtypes).mapInArrow(to_block, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -54,16 +54,18 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
     """
     classes = df.select(label).where(F.col(label).isNotNull()).distinct().limit(MAX_CLASSES + 1)
     n = F.count(F.lit(1)).over(Window.partitionBy())
+    place = F.row_number().over(Window.orderBy(label)) - 1
+    # Every column carries the check, so no projection can drop it.
     return classes.select(
-        label,
-        (F.row_number().over(Window.orderBy(label)) - 1).alias("label_idx"),
+        bounded(n, F.col(label), "classes").alias(label),
+        bounded(n, place, "classes").alias("label_idx"),
         bounded(n, n, "classes").cast("int").alias("n_classes"),
     )
 
 
 def with_label_index(df: DataFrame, label: str, target: str = "label_idx") -> DataFrame:
     """Add the class index; a row without a label keeps a null index."""
-    classes = label_index(df, label).where("n_classes > 0").select(label, F.col("label_idx").alias(target))
+    classes = label_index(df, label).select(label, F.col("label_idx").alias(target))
     return df.join(few(classes, MAX_CLASSES, "classes"), label, "left")
 
 
@@ -93,22 +95,39 @@ def bad_feature_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def bad_vector_counts(df: DataFrame, features: str) -> DataFrame:
     """``(n_rows, null_rows, null_entry_rows, nan_rows, min_width, max_width)`` of an array column."""
-    value = F.col(features)
-    return df.agg(
+    return df.agg(*bad_vector_aggregates(F.col(features).cast("array<double>")))
+
+
+def bad_vector_aggregates(value: Column) -> list[Column]:
+    """The columns of `bad_vector_counts`, for use beside other aggregates."""
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(value.isNull()).alias("null_rows"),
         F.count_if(F.exists(value, lambda x: x.isNull())).alias("null_entry_rows"),
         F.count_if(F.exists(value, lambda x: F.isnan(x))).alias("nan_rows"),
         F.min(F.size(value)).alias("min_width"),
         F.max(F.size(value)).alias("max_width"),
-    )
+    ]
+
+
+def refuse_bad_vectors(counts: Row, features: str) -> None:
+    """A ``ValueError`` if a row of `bad_vector_counts` has anything unfit for training."""
+    if not counts["n_rows"]:
+        raise ValueError(f"{features}: no rows")
+    if counts["null_rows"] or counts["null_entry_rows"] or counts["nan_rows"] or counts["min_width"] != counts["max_width"]:
+        raise ValueError(f"{features}: {counts.asDict()}")
+
+
+def clean_vector_shape(df: DataFrame, features: str) -> tuple[int, int]:
+    """Rows and width of an array column, or a ``ValueError`` that counts the rows unfit for training."""
+    counts = bad_vector_counts(df, features).first()
+    refuse_bad_vectors(counts, features)
+    return counts["n_rows"], counts["max_width"]
 
 
 def require_clean_vectors(df: DataFrame, features: str) -> DataFrame:
     """``df`` itself, or a ``ValueError`` that counts the rows unfit for training."""
-    r = bad_vector_counts(df, features).first()
-    if r["null_rows"] or r["null_entry_rows"] or r["nan_rows"] or r["min_width"] != r["max_width"]:
-        raise ValueError(f"{features}: {r.asDict()}")
+    clean_vector_shape(df, features)
     return df
 
 

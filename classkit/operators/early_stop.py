@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Longest run, epochs without improvement, smallest improvement.
 MAX_EPOCHS = 200
@@ -44,44 +46,47 @@ def early_stop(
     loss: str = "val_loss",
     patience: int = PATIENCE,
     min_delta: float = MIN_DELTA,
-    max_epochs: int = MAX_EPOCHS,
+    max_epochs: int | None = None,
 ) -> DataFrame:
     """``(run.., best_epoch, best_loss, stop_epoch, stopped_early)`` for every run.
 
-    A run lasts at most ``max_epochs`` epochs, so the later rows of a longer one
-    are cut before its history is gathered and the gathered list stays short.
+    Histories may be of any length, or end at ``max_epochs``: the rows of a run
+    stream through one task in order, which keeps the rule's state and no rows.
+    A null or NaN loss is no improvement.
     """
-    order = Window.partitionBy(*run).orderBy(epoch)
-    short = history.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_epochs)
-    steps = short.groupBy(*run).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("epoch"), F.col(loss).cast("double").alias("loss")))).alias(
-            "steps"
-        )
-    )
-    epoch_type = history.schema[epoch].dataType
-    none = F.lit(None).cast(epoch_type)
-    start = F.struct(
-        F.lit(float("inf")).alias("best"),
-        none.alias("best_epoch"),
-        none.alias("stop_epoch"),
-        F.lit(0).alias("waited"),
-    )
-
-    def advance(acc, step):
-        better = step["loss"] < acc["best"] - F.lit(min_delta)
-        waited = F.when(better, 0).otherwise(acc["waited"] + 1)
-        moved = F.struct(
-            F.when(better, step["loss"]).otherwise(acc["best"]).alias("best"),
-            F.when(better, step["epoch"]).otherwise(acc["best_epoch"]).alias("best_epoch"),
-            step["epoch"].alias("stop_epoch"),
-            waited.alias("waited"),
-        )
-        return F.when(acc["waited"] >= patience, acc).otherwise(moved)
-
-    return steps.select(*run, F.aggregate("steps", start, advance).alias("s")).select(
-        *run,
-        F.col("s.best_epoch").alias("best_epoch"),
-        F.when(F.col("s.best_epoch").isNotNull(), F.col("s.best")).alias("best_loss"),
-        F.col("s.stop_epoch").alias("stop_epoch"),
-        (F.col("s.waited") >= patience).alias("stopped_early"),
-    )
+    rows = history.select(*run, F.col(epoch).alias("_epoch"), F.col(loss).cast("double").alias("_loss"))
+    dealt = rows.repartition(*run).sortWithinPartitions(*run, "_epoch")
+    kind = history.schema[epoch].dataType
+    added = [
+        T.StructField("best_epoch", kind),
+        T.StructField("best_loss", T.DoubleType()),
+        T.StructField("stop_epoch", kind),
+        T.StructField("stopped_early", T.BooleanType()),
+    ]
+    schema = T.StructType([*rows.schema.fields[: len(run)], *added])
+    target = to_arrow_schema(schema)
+
+    def walk(batches):
+        name, rule, steps, best, last = None, None, 0, None, None
+
+        def closed():
+            found = rule.best if best is not None else None
+            return pa.RecordBatch.from_pylist(
+                [dict(zip(target.names, (*name, best, found, last, rule.stopped), strict=True))], schema=target
+            )
+
+        for batch in batches:
+            for *key, step, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rule is None or key != name:
+                    if rule is not None:
+                        yield closed()
+                    name, rule, steps, best, last = key, EarlyStopping(patience, min_delta), 0, None, None
+                if rule.stopped or (max_epochs is not None and steps >= max_epochs):
+                    continue
+                steps, last = steps + 1, step
+                if rule.improved(steps, float("nan") if value is None else value):
+                    best = step
+        if rule is not None:
+            yield closed()
+
+    return dealt.mapInArrow(walk, schema)

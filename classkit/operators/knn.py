@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 
 from classkit.functions import bind
 from classkit.operators.blocks import matrix
+from classkit.operators.columns import bad_vector_aggregates, refuse_bad_vectors
 from classkit.operators.scale import apply_fold_scaler, apply_scaler, fit_fold_scalers, fit_scaler
 from classkit.runtime import local_table, small, written
 
@@ -153,7 +154,7 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFra
 
     def route(batches):
         for batch in batches:
-            lists = [[] for _ in range(batch.num_rows)]
+            rows_of, cells_of = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for task, rows, vectors in _per_task(batch):
                 cells = sorted(c for t, c in bounds if t == task)
                 if not cells:
@@ -167,9 +168,13 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFra
                 limit = np.partition(reach, k - 1, axis=1)[:, k - 1] if reach.shape[1] >= k else np.full(len(rows), np.inf)
                 limit = (limit + 1e-6 * (1.0 + limit))[:, None]  # room for rounding
                 may = (to_cell - limit <= high) & (to_cell + limit >= low) & ((to_cell - home) / 2 <= limit)
-                for row, hit in zip(rows, may, strict=True):
-                    lists[row] = [cells[i] for i in np.nonzero(hit)[0]]
-            yield batch.append_column("_cells", pa.array(lists, pa.list_(pa.int32())))
+                query, cell = np.nonzero(may)
+                rows_of.append(rows[query])
+                cells_of.append(np.array(cells, np.int32)[cell])
+            owner, cell = np.concatenate(rows_of), np.concatenate(cells_of)
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cell[np.argsort(owner, kind="stable")]))
+            yield batch.append_column("_cells", lists)
 
     schema = T.StructType([*queries.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
     return queries.mapInArrow(route, schema).withColumn("_cell", F.explode("_cells")).drop("_cells")
@@ -199,9 +204,13 @@ def nearest_neighbours(
     p = points.select(key.alias("_task"), F.col(id_col).alias("_pid"), F.col(payload).alias("_payload"), vector)
     p = _lowest_copies(p, k)
 
-    counted = [F.count(F.lit(1)).alias("n"), F.max(F.size("_vec")).alias("width")]
+    counted = [F.count(F.lit(1)).alias("n"), *bad_vector_aggregates(F.col("_vec"))]
     sides = [df.groupBy("_task").agg(*counted).withColumn("side", F.lit(side)) for side, df in (("p", p), ("q", q))]
-    sizes = sides[0].unionByName(sides[1]).collect()  # one row per task and side
+    sizes = sides[0].unionByName(sides[1]).withColumn("width", F.col("max_width")).collect()  # one row per task and side
+    for row in sizes:
+        refuse_bad_vectors(row, features)
+    if len({r["width"] for r in sizes}) > 1:
+        raise ValueError(f"{features}: vectors of widths {sorted({r['width'] for r in sizes})}")
     per_block = max(1, block_values // max([r["width"] for r in sizes], default=1))
     wanted = {r["_task"]: cells or min(MAX_CELLS, -(-r["n"] // CELL_POINTS)) for r in sizes if r["side"] == "p"}
     if max(wanted.values(), default=1) > 1:

@@ -52,12 +52,13 @@ def confusion_cells(
     """
     counts = _counts(scored, by, label, prediction)
     if labels is None:
-        seen = F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction")))
-        # Counting the rows here too makes both uses of ``counts`` the same
-        # subplan, so its shuffle runs once and is reused.
-        classes = counts.groupBy(*by).agg(seen.alias("classes"), F.sum("rows").alias("all")).where("all > 0")
-        n = F.size("classes")
-        classes = classes.withColumn("classes", bounded(n, F.col("classes"), "classes", MAX_CLASSES))
+        # The classes are counted before any are gathered.
+        both = F.explode(F.array("label", "prediction")).alias("_class")
+        seen = counts.select(*by, both).where("_class IS NOT NULL").distinct()
+        sized = seen.withColumn("_one", F.lit(1)).groupBy(*by).agg(F.sum("_one").alias("_n"))
+        joined = seen.crossJoin(F.broadcast(sized)) if not by else seen.join(sized, list(by))
+        checked = joined.select(*by, bounded(F.col("_n"), F.col("_class"), "classes", MAX_CLASSES).alias("_class"))
+        classes = checked.groupBy(*by).agg(F.array_sort(F.collect_list("_class")).alias("classes"))
     else:
         classes = _listed(counts, by, labels)
     grid = classes.select(*by, F.explode("classes").alias("label"), "classes").select(
@@ -146,20 +147,22 @@ def classification_report(
     def weighted(metric: str) -> Column:
         return _ratio(F.sum(F.col(metric) * F.col("support")), F.sum("support"))
 
-    # One row per group holds its class rows and the sums, so the scores are used once.
+    # The class rows are never gathered: one aggregate gives the summaries, which refuse too many classes.
     groups = scores.groupBy(*by).agg(
-        F.collect_list(row("class", shown, [F.col(m) for m in ratios])).alias("rows"),
+        F.count("label").alias("classes"),
         _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
         *[F.avg(m).alias(f"macro_{m}") for m in ratios],
         *[weighted(m).alias(f"weighted_{m}") for m in ratios],
         F.sum("support").alias("support"),
     )
+    groups = groups.withColumn("support", bounded(F.col("classes"), F.col("support"), "classes", MAX_CLASSES))
     nothing = F.lit(None).cast("double")
     summaries = F.array(
         row("summary", F.lit("accuracy"), [nothing, nothing, F.col("accuracy")]),
         *[row("summary", F.lit(f"{k} avg"), [F.col(f"{k}_{m}") for m in ratios]) for k in ("macro", "weighted")],
     )
-    return groups.select(*by, F.inline(F.concat("rows", summaries)))
+    classes = scores.select(*by, row("class", shown, [F.col(m) for m in ratios]).alias("r")).select(*by, "r.*")
+    return classes.unionByName(groups.select(*by, F.inline(summaries)))
 
 
 def f1_scores(scored: DataFrame, by: Sequence[str] = (), positive=1, negative=0, **names) -> DataFrame:

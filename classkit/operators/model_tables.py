@@ -50,8 +50,8 @@ def robust_maximum(
 def edge_styles(
     weights: DataFrame, widest: float = 4.0, narrowest_clipped: float = 0.2, widest_clipped: float = 3.5
 ) -> DataFrame:
-    """Per edge: width by the largest weight, width by the robust maximum, and a
-    zero-centred position on a colour scale."""
+    """Per edge: width by the largest weight, width by the robust maximum, and
+    zero-centred positions on a colour scale that ends at either."""
     robust = robust_maximum(weights).scalar()
     top = weights.agg(F.max(F.abs("weight")).alias("m"))
     largest = top.select(F.when(F.col("m") > 0, F.col("m")).otherwise(1.0)).scalar()
@@ -62,6 +62,7 @@ def edge_styles(
         edge_width(w, F.col("_largest"), widest).alias("width"),
         edge_width_clipped(w, F.col("_robust"), narrowest_clipped, widest_clipped).alias("clipped_width"),
         centred_unit(w, F.col("_largest")).alias("colour"),
+        centred_unit(w, F.col("_robust")).alias("robust_colour"),
     )
 
 

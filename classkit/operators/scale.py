@@ -33,11 +33,21 @@ def _summary(df: DataFrame, features: str, by: list[str]) -> DataFrame:
 
 
 def fit_scaler(train: DataFrame, features: str) -> DataFrame:
-    """One row ``(n, mean, std)`` with array columns; NaN features are an error that counts them."""
+    """One row ``(n, mean, std)`` with array columns; unfit vectors are an error that counts them."""
     stats = _summary(train, features, []).select("n", "mean", F.transform("variance", F.sqrt).alias("std"))
-    fitted = small(stats, 1, "scaler")
-    if any(math.isnan(m) for m in fitted.first()["mean"]):
-        require_clean_vectors(train, features)
+    return _checked(stats, 1, "scaler", train, features)
+
+
+def _checked(stats: DataFrame, limit: int, what: str, rows: DataFrame, features: str) -> DataFrame:
+    """The fitted rows; vectors that make the aggregate fail, or its means NaN, are counted in an error."""
+    try:
+        fitted = small(stats, limit, what)
+        clean = not any(math.isnan(m) for r in fitted.select("mean").collect() for m in r["mean"] or [math.nan])
+    except Exception:
+        require_clean_vectors(rows, features)
+        raise
+    if not clean:
+        require_clean_vectors(rows, features)
     return fitted
 
 
@@ -84,7 +94,7 @@ def fit_fold_scalers(df: DataFrame, features: str, fold: str = "fold") -> DataFr
     stats = ordered.select(
         F.col("_held").alias(fold), "n", F.col("cells.mean").alias("mean"), F.col("cells.std").alias("std")
     )
-    return small(stats, MAX_FOLDS, "folds")
+    return _checked(stats, MAX_FOLDS, "folds", df, features)
 
 
 def _scaled(features: str, mean: Column, std: Column) -> Column:

@@ -57,14 +57,17 @@ DOC_FEATURES = ["n_chars", "n_words", "n_digits", "n_lines"]
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a quality label (imbalanced) and counts over their whole text."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    counts = documents.select(
+    # Only labelled documents' texts are looked at: the counts stand above the join.
+    judged = documents.join(labels.select("doc_id", F.col("quality").alias("label"), "toxic"), "doc_id")
+    return judged.select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split("text", " ")).cast("double").alias("n_words"),
         F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        "label",
+        "toxic",
     )
-    return counts.join(labels.select("doc_id", F.col("quality").alias("label"), "toxic"), "doc_id")
 
 
 JUDGED = """judged AS (

@@ -350,13 +350,14 @@ def strong_weights(spark, sf_dir):
     f"""WITH {WEIGHTS}, c AS (SELECT quantile_cont(abs(weight), 0.99) AS robust, max(abs(weight)) AS largest FROM weights)
 SELECT layer, src, dst, round(greatest(0.3, 4.0 * abs(weight) / largest), 6) AS width,
   round(0.2 + least(abs(weight), robust) / robust * (3.0 - 0.2), 6) AS clipped_width,
-  round(0.5 + 0.5 * weight / largest, 6) AS colour FROM weights, c""",
+  round(0.5 + 0.5 * weight / largest, 6) AS colour,
+  round(least(greatest(0.5 + 0.5 * weight / robust, 0), 1), 6) AS robust_colour FROM weights, c""",
 )
 def edge_styles(spark, sf_dir):
     from classkit.operators.model_tables import edge_styles as styled
 
     out = styled(weights(spark, sf_dir), widest=4.0, narrowest_clipped=0.2, widest_clipped=3.0)
-    rounded = [F.round(c, 6).alias(c) for c in ("width", "clipped_width", "colour")]
+    rounded = [F.round(c, 6).alias(c) for c in ("width", "clipped_width", "colour", "robust_colour")]
     return out.select("layer", "src", "dst", *rounded)
 
 
@@ -420,7 +421,7 @@ walk AS (
     CASE WHEN val_loss < best - 0.001::DOUBLE THEN h.epoch ELSE best_epoch END,
     CASE WHEN val_loss < best - 0.001::DOUBLE THEN 0 ELSE waited + 1 END
   FROM walk JOIN history h ON h.run = walk.run AND h.epoch = walk.epoch + 1
-  WHERE waited < 3 AND h.epoch <= 200)
+  WHERE waited < 3)
 SELECT run, best_epoch::INTEGER AS best_epoch, best AS best_loss, epoch::INTEGER AS stop_epoch, waited >= 3 AS stopped_early
 FROM walk QUALIFY row_number() OVER (PARTITION BY run ORDER BY epoch DESC) = 1""",
 )
@@ -431,7 +432,7 @@ def early_stop_query(spark, sf_dir):
         F.col("user_id").alias("run"),
         F.row_number().over(order).alias("epoch"),
         F.round(F.col("value") / 100, 6).alias("val_loss"),
-    ).where(F.col("epoch") <= early_stop.MAX_EPOCHS)
+    )
     return early_stop.early_stop(history, patience=3)
 
 

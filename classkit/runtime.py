@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -18,17 +17,9 @@ MAX_CLASSES = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The folder every executor can read: ``spark.checkpoint.dir``, else one in the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="classkit-"))
-    return spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -44,6 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by `written` that nothing reads any more."""
+    jvm, paths = df.sparkSession._jvm, {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    for path in paths:
+        if "/classkit/" in path:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small(df: DataFrame, limit: int, what: str) -> DataFrame:
     """Compute a table of at most ``limit`` rows now and keep it as a local relation.
 

@@ -36,6 +36,13 @@ def test_bad_features_are_counted(spark):
     assert columns.require_clean(df, ["id"]) is df
 
 
+@pytest.mark.parametrize("names", [["c"], ["label_idx"], ["c", "label_idx"], ["n_classes"]])
+def test_too_many_classes_raise_under_every_projection(spark, names):
+    df = spark.range(10_500).withColumnRenamed("id", "c")
+    with pytest.raises(Exception, match="too many classes"):
+        columns.label_index(df, "c").select(*names).collect()
+
+
 def test_label_index_is_sorted_not_by_frequency(spark):
     df = spark.createDataFrame([(8,), (8,), (8,), (4,), (6,)], "cyl int")
     index = {r["cyl"]: r["label_idx"] for r in columns.label_index(df, "cyl").collect()}

@@ -107,3 +107,10 @@ def test_cross_validation_uses_population_deviation(spark):
     df = spark.createDataFrame([(0, 1, 1), (0, 1, 0), (1, 1, 1)], "fold int, label int, prediction int")
     row = metrics.cross_validation_summary(df).first()
     assert row["accuracy_mean"] == 0.75 and row["accuracy_sd"] == 0.25
+
+
+def test_too_many_classes_raise(spark):
+    scored = spark.range(30_000).selectExpr("id AS label", "id AS prediction")
+    for found in (metrics.classification_report(scored), metrics.confusion_cells(scored)):
+        with pytest.raises(Exception, match="too many classes"):
+            found.count() if "name" not in found.columns else found.collect()
