@@ -26,11 +26,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from classkit.operators.blocks import block, block_schema, blocks, list_column, matrix
-from classkit.runtime import local_table, written
+from classkit.runtime import discard, local_table, written
 
 MARGIN_ROUNDS = 10  # rounds between two writes of the margins
 DENSE_CELLS = 1 << 21  # above this many cells a task keeps no dense histogram
 SKETCH_ACCURACY = 10_000  # quantile error at most 1 / 10,000; exact for fewer distinct values
+SENT_NODES = 2_000_000  # tree nodes broadcast at once, 40 bytes each; larger models score in several passes
 GAIN_DIGITS = 9  # gains are ranked at this precision, ties by lower feature and bin
 
 
@@ -126,20 +127,20 @@ def _derivatives(margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.nda
     return p - np.eye(p.shape[1])[y], 2.0 * p * (1.0 - p)
 
 
-def _drawn(keys: np.ndarray, round_: int, seed: int, share: float) -> np.ndarray:
-    """A repeatable draw of rows: a mixed hash of key and round against the share."""
-    x = keys.astype(np.uint64) + np.uint64((round_ + 1) * 0x9E3779B97F4A7C15 % 2**64) + np.uint64(seed)
+def _drawn(keys: np.ndarray, tree: int, seed: int, share: float) -> np.ndarray:
+    """A repeatable draw of rows: a mixed hash of key and the tree's number against the share."""
+    x = keys.astype(np.uint64) + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64) + np.uint64(seed)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     x ^= x >> np.uint64(31)
     return (x >> np.uint64(11)) < np.uint64(int(share * 2**53))
 
 
-def bin_edges(df: DataFrame, features: str, max_bins: int) -> list[np.ndarray]:
-    """Approximate quantiles per feature, from sketches that combine on the map side."""
+def bin_edges(df: DataFrame, features: str, max_bins: int, accuracy: int = SKETCH_ACCURACY) -> list[np.ndarray]:
+    """Approximate quantiles per feature, from sketches that combine on the map side; their error is 1 / ``accuracy``."""
     quantiles = [i / max_bins for i in range(1, max_bins)]
     long = df.select(F.posexplode(F.col(features).cast("array<double>")).alias("feature", "x"))
-    cuts = F.percentile_approx("x", quantiles, SKETCH_ACCURACY)
+    cuts = F.percentile_approx("x", quantiles, accuracy)
     rows = long.groupBy("feature").agg(cuts.alias("cuts")).orderBy("feature").collect()  # one row per feature
     return [np.unique(np.array(r["cuts"])) for r in rows]
 
@@ -214,8 +215,8 @@ def _histogram(state: DataFrame, pending, growing, frontier, columns, settings:
         for held in _state_blocks(batches, pending):
             bins = held["bins"]
             g, h = _derivatives(held["margin"], held["label"][:, 0])
-            drawn = _drawn(held["key"][:, 0], round_, seed, subsample)
             for tree, nodes in frontier.items():
+                drawn = _drawn(held["key"][:, 0], round_ * held["margin"].shape[1] + tree, seed, subsample)
                 used = columns[tree]
                 slot_of = np.full(len(growing[tree][0]), -1)
                 slot_of[nodes] = np.arange(len(nodes))
@@ -282,14 +283,19 @@ def fit_boosted(
     label: str = "label",
     n_classes: int = 2,
     settings: BoostingSettings | None = None,
+    accuracy: int = SKETCH_ACCURACY,
     **changes,
 ) -> Boosted:
-    """Boost ``settings.rounds`` rounds; two classes use one logistic output."""
+    """Boost ``settings.rounds`` rounds; two classes use one logistic output.
+
+    ``accuracy`` is that of the quantile sketches behind the bins: ranks of bin
+    edges are off by at most rows / ``accuracy``.
+    """
     settings = replace(settings or (BINARY if n_classes == 2 else MULTICLASS), **changes)
     if not 2 <= settings.max_bins <= 256:
         raise ValueError("max_bins must fit one byte")
     outputs = 1 if n_classes == 2 else n_classes
-    edges = bin_edges(train, features, settings.max_bins)
+    edges = bin_edges(train, features, settings.max_bins, accuracy)
     state = written(_binned(train, id_col, features, label, edges, outputs), "binned")
     rng = np.random.default_rng(settings.seed)
     used = max(1, int(len(edges) * settings.colsample))
@@ -309,7 +315,9 @@ def fit_boosted(
         model.trees += trees
         pending += [t.columns(by_bin=True) for t in trees]
         if len(pending) >= MARGIN_ROUNDS * outputs and round_ + 1 < settings.rounds:
-            state, pending = _with_margins(state, pending), []
+            before, (state, pending) = state, (_with_margins(state, pending), [])
+            discard(before)
+    discard(state)
     return model
 
 
@@ -334,20 +342,48 @@ def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, last: boo
     return frontier
 
 
-def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", target: str = "p") -> DataFrame:
-    """Add the class probabilities as an array column; a map over the rows."""
-    outputs = model.outputs
-    shared = df.sparkSession.sparkContext.broadcast([t.columns(by_bin=False) for t in model.trees])
+def _parts(trees: Sequence[Tree], outputs: int) -> list[list[Tree]]:
+    """Whole rounds of trees, at most SENT_NODES nodes together where a round allows it."""
+    parts, nodes = [[]], 0
+    for at in range(0, len(trees), outputs):
+        round_ = trees[at : at + outputs]
+        size = sum(len(t.feature) for t in round_)
+        if parts[-1] and nodes + size > SENT_NODES:
+            parts.append([])
+            nodes = 0
+        parts[-1] += round_
+        nodes += size
+    return parts
 
-    def score(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column(features))
-                p = _probabilities(_add_trees(np.zeros((len(x), outputs)), shared.value, x))
-                yield batch.append_column(target, list_column(p))
 
+def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", target: str = "p") -> DataFrame:
+    """Add the class probabilities as an array column; a map over the rows.
+
+    The trees are broadcast, those of a large model part by part, each part
+    adding to the margins of the one before.
+    """
+    outputs, parts = model.outputs, _parts(model.trees, model.outputs)
     schema = T.StructType([*df.schema.fields, T.StructField(target, T.ArrayType(T.DoubleType()))])
-    return df.mapInArrow(score, schema)
+
+    def add(rows: DataFrame, trees: list[Tree], first: bool, last: bool) -> DataFrame:
+        shared = rows.sparkSession.sparkContext.broadcast([t.columns(by_bin=False) for t in trees])
+
+        def score(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    x = matrix(batch.column(features))
+                    margins = np.zeros((len(x), outputs)) if first else matrix(batch.column(target)).copy()
+                    margins = _add_trees(margins, shared.value, x)
+                    found = list_column(_probabilities(margins) if last else margins)
+                    place = batch.num_columns if first else batch.schema.get_field_index(target)
+                    kept = batch if first else batch.remove_column(place)
+                    yield kept.append_column(target, found)
+
+        return rows.mapInArrow(score, schema)
+
+    for i, trees in enumerate(parts):
+        df = add(df, trees, i == 0, i + 1 == len(parts))
+    return df
 
 
 TREE_NODES = T.StructType(
@@ -360,10 +396,12 @@ TREE_NODES = T.StructType(
 )
 
 
-def tree_table(spark: SparkSession, model: Boosted) -> DataFrame:
-    """One row per node: ``(tree_id, node_id, feature, threshold, left, right, gain, cover, prediction)``."""
+def tree_table(spark: SparkSession, model: Boosted, tree_ids: Sequence[int]) -> DataFrame:
+    """One row per node of the chosen trees that the model has:
+    ``(tree_id, node_id, feature, threshold, left, right, gain, cover, prediction)``."""
     rows = []
-    for t, tree in enumerate(model.trees):
+    for t in sorted(set(tree_ids) & set(range(len(model.trees)))):
+        tree = model.trees[t]
         for n, feature in enumerate(tree.feature):
             inner = feature >= 0
             rows.append(

@@ -2,15 +2,13 @@
 
 Rectified hidden layers, one logistic output for two classes or a softmax for
 more, cross-entropy plus an L2 penalty, Adam. Only weights travel: every task
-turns its rows into one partial result (a summed gradient, or the weights it
-reached), Spark adds the partials up, and the driver keeps the network.
+turns its rows into one partial result (a summed gradient), Spark adds the
+partials up, and the driver keeps the network.
 
 * :func:`fit_full_batch` takes one Adam step per pass over all rows. Several
   networks, one per held-out fold, are trained by the same passes.
-* :func:`fit_epochs` takes mini-batch steps. Rows are dealt to shards of a fixed
-  size; each epoch every shard starts from the current weights with fresh Adam
-  moments, and the weights reached are averaged by rows. A table that fits one
-  shard is trained exactly as a sequential loop would.
+* :func:`fit_epochs` takes one Adam step per batch of rows, each a distributed
+  sum of gradients as well; the number of batches is an argument.
 """
 
 from __future__ import annotations
@@ -28,17 +26,15 @@ from pyspark.sql import types as T
 
 from classkit.functions.scores import DECISION_THRESHOLD, PROBABILITY_EPS
 from classkit.operators.blocks import blocks, list_column, matrix, pack
+from classkit.operators.columns import clean_vector_shape
 from classkit.operators.early_stop import MAX_EPOCHS, EarlyStopping
-from classkit.operators.split import order_key
 from classkit.runtime import local_table
 
 # Adam's decay rates and guard, and the stall rule of the full-batch fit.
 ADAM_BETA1, ADAM_BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
 STALL_TOLERANCE, STALL_ITERATIONS = 1e-4, 10
-BATCH_ROWS = 32
 
-SHARD_ROWS = 200_000  # rows per shard, more once there are MAX_SHARDS
-MAX_SHARDS = 8_192
+STEPS = 8  # Adam steps, and so batches, per epoch unless asked otherwise
 FAN_IN = 256  # partial results added up by one task
 
 
@@ -166,21 +162,20 @@ def _partial_rows(values: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["net", "values"])
 
 
-# What a block of training rows holds; ``tag`` is a fold or a shard.
+# What a block of training rows holds; ``tag`` is a fold or a batch.
 TRAINING = {"features": np.float64, "label": np.int32, "tag": np.int32}
 
 
-def _training_rows(df: DataFrame, features: str, label: str, tag: Column | None = None, *more: Column) -> DataFrame:
-    return df.select(
+def training_blocks(
+    df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None, each: bool = False
+):
+    """Training rows in blocks; with ``each``, the rows of each tag in blocks of their own, told by column ``part``."""
+    rows = df.select(
         F.col(features).cast("array<double>").alias("features"),
         F.col(label).cast("int").alias("label"),
         (F.lit(0) if tag is None else tag).cast("int").alias("tag"),
-        *more,
     )
-
-
-def training_blocks(df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None):
-    return pack(_training_rows(df, features, label, tag), TRAINING)
+    return pack(rows, TRAINING, part="tag" if each else None)
 
 
 def _training(batches):
@@ -250,8 +245,9 @@ def fit_full_batch(
     seed: int = 42,
     scalers: DataFrame | None = None,
     folds: Sequence[int] | None = None,
+    start: Network | None = None,
 ) -> dict[int, Fit]:
-    """Fit network 0, or one network per held-out fold of ``folds``.
+    """Fit network 0, or one network per held-out fold of ``folds``, from ``start`` or random weights.
 
     ``losses`` holds the penalised loss of every iteration. A network stops once
     its loss has not improved by the tolerance for more than the stall limit.
@@ -259,9 +255,9 @@ def fit_full_batch(
     keys = list(folds) if folds is not None else [0]
     rows = training_blocks(train, features, label, None if folds is None else F.col("fold")).persist()
     scales = _scales(scalers, keys)
-    width = train.select(F.size(features).alias("n")).first()["n"]
+    _, width = clean_vector_shape(train, features)
     tasks = rows.rdd.getNumPartitions()
-    start = Network.create([width, *hidden, output_units(n_classes)], seed)
+    start = start or Network.create([width, *hidden, output_units(n_classes)], seed)
     adams = {k: Adam(start.flat, rate) for k in keys}
     fits = {k: Fit(start.like(adams[k].flat), scale=scales[k]) for k in keys}  # views of the moving weights
     decay = start.decay(alpha)
@@ -273,6 +269,8 @@ def fit_full_batch(
             for k, total in sums.items():
                 n, loss, gradient = total[0], total[1], total[2:]
                 penalised = loss / n + 0.5 * alpha * fits[k].network.penalty / n
+                if not np.isfinite(penalised):
+                    raise FloatingPointError(f"loss is {penalised} in iteration {len(fits[k].losses) + 1}")
                 fits[k].losses.append(penalised)
                 adams[k].move((gradient + decay * adams[k].flat) / n)
                 stalled[k] = stalled[k] + 1 if penalised > best[k] - STALL_TOLERANCE else 0
@@ -286,78 +284,23 @@ def fit_full_batch(
     return fits
 
 
-class _ShardRun:
-    """Mini-batch steps over the rows of one shard, fed in pieces."""
-
-    def __init__(self, network: Network, alpha: float, rate: float, batch_rows: int):
-        self.adam = Adam(network.flat, rate)
-        self.network = network.like(self.adam.flat)  # its arrays are views, so they follow each step
-        self.decay, self.batch_rows = network.decay(alpha), batch_rows
-        self.rows = 0
-        self.rest: tuple[np.ndarray, np.ndarray] | None = None  # rows short of a whole batch
-
-    def _step(self, x: np.ndarray, y: np.ndarray) -> None:
-        _, gradient = self.network.gradient(x, y)
-        self.adam.move((gradient + self.decay * self.adam.flat) / len(y))
-        self.rows += len(y)
-
-    def feed(self, x: np.ndarray, y: np.ndarray) -> None:
-        if self.rest is not None:
-            x, y = np.concatenate([self.rest[0], x]), np.concatenate([self.rest[1], y])
-        whole = len(y) - len(y) % self.batch_rows
-        for at in range(0, whole, self.batch_rows):
-            self._step(x[at : at + self.batch_rows], y[at : at + self.batch_rows])
-        self.rest = (x[whole:], y[whole:]) if whole < len(y) else None
-
-    def close(self) -> np.ndarray:
-        """``[rows, rows * weights..]``, ready to be added to other shards."""
-        if self.rest is not None:
-            self._step(*self.rest)
-        return np.concatenate([[self.rows], self.rows * self.adam.flat])
-
-
-TRAINED, MEASURED = 0, 1
-VALID_SHARD = -1
-
-
-def _epoch_pass(rows: DataFrame, network: Network, alpha: float, rate: float, batch_rows: int, tasks: int):
-    """One job: train every shard from ``network`` and, beside it, measure
-    ``network`` on the validation rows."""
+def _measure(rows: DataFrame, network: Network, tasks: int) -> tuple[float, float]:
+    """Mean cross-entropy and accuracy over training blocks."""
     shared = rows.sparkSession.sparkContext.broadcast(network.arrays)
 
     def run(batches):
-        start = Network(*shared.value)
-        sums: dict[int, np.ndarray] = {}
-        shard, running = None, None
-
-        def add(kind: int, values: np.ndarray) -> None:
-            sums[kind] = sums[kind] + values if kind in sums else values
-
-        for x, y, shards in _training(batches):
-            for value in np.unique(shards):  # rows arrive ordered by shard
-                xs, ys = x[shards == value], y[shards == value]
-                if value == VALID_SHARD:
-                    p = start.activations(xs)[-1]
-                    predicted = (p[:, 0] >= DECISION_THRESHOLD).astype(int) if p.shape[1] == 1 else p.argmax(axis=1)
-                    add(MEASURED, np.array([len(ys), cross_entropy(p, ys).sum(), (predicted == ys).sum()]))
-                    continue
-                if value != shard:
-                    if running:
-                        add(TRAINED, running.close())
-                    shard, running = value, _ShardRun(start, alpha, rate, batch_rows)
-                running.feed(xs, ys)
-        if running:
-            add(TRAINED, running.close())
-        for kind, values in sums.items():
-            yield from _partial_rows({kind: values})
+        held, total = Network(*shared.value), np.zeros(3)
+        for x, y, _ in _training(batches):
+            p = held.activations(x)[-1]
+            predicted = (p[:, 0] >= DECISION_THRESHOLD).astype(int) if p.shape[1] == 1 else p.argmax(axis=1)
+            total += [len(y), cross_entropy(p, y).sum(), (predicted == y).sum()]
+        yield from _partial_rows({0: total})
 
     try:
-        sums = _sum_partials(rows.mapInArrow(run, _partial_schema()), tasks)
+        n, loss, hits = _sum_partials(rows.mapInArrow(run, _partial_schema()), tasks)[0]
     finally:
         shared.unpersist()
-    trained = network.like(sums[TRAINED][1:] / sums[TRAINED][0])
-    n, loss, hits = sums[MEASURED]
-    return trained, loss / n, hits / n
+    return float(loss / n), float(hits / n)
 
 
 @dataclass
@@ -378,40 +321,50 @@ def fit_epochs(
     hidden: Sequence[int] = (64, 32, 16),
     alpha: float = 1e-4,
     rate: float = 1e-3,
-    batch_rows: int = BATCH_ROWS,
+    steps: int = STEPS,
     max_epochs: int = MAX_EPOCHS,
     stopping: EarlyStopping | None = None,
     seed: int = 42,
-    shard_rows: int = SHARD_ROWS,
 ) -> EpochFit:
     """Epochs of mini-batch Adam with early stopping on the validation loss.
 
-    The network kept is the one of the best epoch. A pass trains epoch e + 1 and
-    measures epoch e at once, so each epoch costs one job.
+    An epoch takes ``steps`` Adam steps. Rows are dealt to as many batches by
+    their ids, and a step is one distributed sum of gradients over its batch, so
+    the same table gives the same network however it is partitioned, at any
+    size, and no task needs more than its own rows. ``steps`` = rows / 32 gives
+    batches of 32 rows; fewer steps give larger batches and fewer jobs. The
+    network kept is the one of the best epoch.
     """
     stopping = stopping or EarlyStopping()
-    head = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(features)).alias("width")).first()
-    shards = min(MAX_SHARDS, max(1, -(-head["n"] // shard_rows)))
-    # Shards and the order inside them follow the ids, not the cluster.
-    shard = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(shards)).cast("int")
-    dealt = _training_rows(train, features, label, shard, order_key(id_col, seed).alias("place"))
-    dealt = pack(dealt.repartition(shards, "tag").sortWithinPartitions("tag", "place"), TRAINING)
-    rows = dealt.union(training_blocks(valid, features, label, F.lit(VALID_SHARD))).persist()
-    network = Network.create([head["width"], *hidden, output_units(n_classes)], seed)
-    best, history = network, []
-    tasks = rows.rdd.getNumPartitions()
+    _, width = clean_vector_shape(train, features)
+    if clean_vector_shape(valid, features)[1] != width:
+        raise ValueError(f"{features}: the validation vectors have another width than {width}")
+    batch = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(steps)).cast("int")
+    dealt = training_blocks(train, features, label, batch, each=True).persist()
+    held_out = training_blocks(valid, features, label).persist()
+    tasks = [rows.rdd.getNumPartitions() for rows in (dealt, held_out)]
+    start = Network.create([width, *hidden, output_units(n_classes)], seed)
+    adam = Adam(start.flat, rate)
+    network, decay = start.like(adam.flat), start.decay(alpha)  # views of the moving weights
+    best, history = start, []
     try:
-        for done in range(max_epochs + 1):
-            trained, loss, accuracy = _epoch_pass(rows, network, alpha, rate, batch_rows, tasks)
-            if done:  # `network` is the result of epoch `done`
-                history.append({"epoch": done, "val_loss": float(loss), "val_acc": float(accuracy)})
-                if stopping.improved(done, loss):
-                    best = network
-                if stopping.stopped:
-                    break
-            network = trained
+        for epoch in range(1, max_epochs + 1):
+            for step in range(steps):
+                sums = sum_gradients(dealt.where(F.col("part") == step), {0: Fit(network)}, tasks=tasks[0])
+                if 0 in sums:  # a batch of a tiny table may be empty
+                    n, gradient = sums[0][0], sums[0][2:]
+                    adam.move((gradient + decay * adam.flat) / n)
+            loss, accuracy = _measure(held_out, network, tasks[1])
+            if not np.isfinite(loss):
+                raise FloatingPointError(f"validation loss is {loss} in epoch {epoch}")
+            history.append({"epoch": epoch, "val_loss": loss, "val_acc": accuracy})
+            if stopping.improved(epoch, loss):
+                best = start.like(adam.flat.copy())
+            if stopping.stopped:
+                break
     finally:
-        rows.unpersist()
+        dealt.unpersist()
+        held_out.unpersist()
     return EpochFit(best, history, stopping.best_step)
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from classkit.operators import boosting, mlp, model_tables, scale, split
+from classkit.operators import boosting, knn, mlp, model_tables, scale, split
 from classkit.operators.early_stop import EarlyStopping, early_stop
 
 
@@ -82,35 +82,57 @@ def test_fold_networks_equal_separate_fits(spark):
     assert scored.count() == 90 and scored.where(F.abs(F.col("p")[0] + F.col("p")[1] - 1) > 1e-12).count() == 0
 
 
-def test_one_shard_is_the_sequential_loop(spark):
+def test_epochs_equal_a_plain_loop(spark):
     df = moons(spark, 130)
-    fit = mlp.fit_epochs(df, df, "id", hidden=(5,), max_epochs=3, batch_rows=32)
-    rows = df.orderBy(split.order_key("id", 42)).collect()
+    fit = mlp.fit_epochs(df.repartition(3), df, "id", hidden=(5,), max_epochs=3, steps=4)
+    rows = df.withColumn("batch", F.expr("pmod(xxhash64(id, 42), 4)")).orderBy("id").collect()
     x, y = np.array([r["features"] for r in rows]), np.array([r["label"] for r in rows])
-    network, losses = mlp.Network.create([2, 5, 1]), []
+    batch = np.array([r["batch"] for r in rows])
+    network, losses, adam = mlp.Network.create([2, 5, 1]), [], PlainAdam(1e-3)
     for _ in range(3):
-        adam = PlainAdam(1e-3)
-        for at in range(0, 130, 32):
-            xs, ys = x[at : at + 32], y[at : at + 32]
+        for step in range(4):
+            xs, ys = x[batch == step], y[batch == step]
             _, gradient = network.gradient(xs, ys)
             network = network.like(network.flat + adam.change((gradient + 1e-4 * weights_only(network)) / len(ys)))
         losses.append(mlp.cross_entropy(network.activations(x)[-1], y).mean())
     assert np.allclose([h["val_loss"] for h in fit.history], losses)
 
 
-def test_shards_do_not_depend_on_partitions(spark):
+def test_epochs_do_not_depend_on_partitions(spark):
     df = moons(spark, 200)
     one, two = (
-        mlp.fit_epochs(df.repartition(n), df, "id", hidden=(5,), max_epochs=3, shard_rows=50).network.flat for n in (1, 6)
+        mlp.fit_epochs(df.repartition(n), df, "id", hidden=(5,), max_epochs=3, steps=5).network.flat for n in (1, 6)
     )
     assert np.allclose(one, two)
 
 
+@pytest.mark.parametrize("bad", [None, [1.0, None], [1.0, float("nan")], [1.0]])
+def test_bad_vectors_are_counted(spark, bad):
+    rows = [(i, [float(i), 1.0], i % 2) for i in range(20)] + [(20, bad, 0)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    folds = df.withColumn("fold", (F.col("id") % 2).cast("int"))
+    good = df.where("id < 20")
+    attempts = [
+        lambda: mlp.fit_full_batch(df, max_iter=1),
+        lambda: mlp.fit_epochs(df, good, "id", max_epochs=1),
+        lambda: mlp.fit_epochs(good, df, "id", max_epochs=1),
+        lambda: boosting.fit_boosted(df, "id", rounds=1, max_depth=1),
+        lambda: knn.nearest_neighbours(df, good, 2, "id", "features").count(),
+        lambda: knn.nearest_neighbours(good, df, 2, "id", "features").count(),
+        lambda: scale.fit_fold_scalers(folds, "features"),
+    ]
+    for attempt in attempts:
+        with pytest.raises(Exception, match="(features: \\{|bad vectors among)"):
+            attempt()
+
+
 def test_epochs_learn_and_stop(spark):
     df = moons(spark)
     parts = split.stratified_split(df, "id", "label")
     train, valid = parts.where("split = 'train'"), parts.where("split = 'test'")
-    fit = mlp.fit_epochs(train, valid, "id", hidden=(16, 8), rate=0.01, max_epochs=25, stopping=EarlyStopping(patience=6))
+    fit = mlp.fit_epochs(
+        train, valid, "id", hidden=(16, 8), rate=0.01, steps=6, max_epochs=25, stopping=EarlyStopping(patience=6)
+    )
     assert max(h["val_acc"] for h in fit.history) > 0.85
     assert fit.best_epoch == min(fit.history, key=lambda h: h["val_loss"])["epoch"] or len(fit.history) < 25
 
@@ -143,14 +165,14 @@ def history(spark, losses):
         ([0.5, 0.499, 0.4], 3, 3, False),  # a gain of exactly min_delta is none
         ([0.5] + [0.5] * 20 + [0.1], 1, 21, True),  # stops after 20 epochs without gain
         ([1.0 - 0.01 * i for i in range(60)], 60, 60, False),
-        ([1.0 - 0.002 * i for i in range(250)], 200, 200, False),  # the longest run
+        ([1.0 - 0.002 * i for i in range(450)], 450, 450, False),
     ],
 )
 def test_early_stop_rule(spark, losses, best, stop, early):
     row = early_stop(history(spark, losses)).first()
     assert (row["best_epoch"], row["stop_epoch"], row["stopped_early"]) == (best, stop, early)
     rule = EarlyStopping()
-    for step, loss in enumerate(losses[:200], 1):
+    for step, loss in enumerate(losses, 1):
         rule.improved(step, loss)
         if rule.stopped:
             break
@@ -200,6 +222,6 @@ def test_margins_and_histograms_do_not_depend_on_how_they_are_kept(spark, monkey
 
 def test_missing_trees_are_reported(spark):
     model = boosting.fit_boosted(moons(spark, 60), "id", rounds=2, max_depth=2, max_bins=8)
-    nodes = boosting.chosen_trees(boosting.tree_table(spark, model), [0, 499])
+    nodes = boosting.chosen_trees(boosting.tree_table(spark, model, [0, 499]), [0, 499])
     by_tree = {r["tree_id"]: r["status"] for r in nodes.collect()}
     assert by_tree == {0: "found", 499: "missing"}
