@@ -88,21 +88,20 @@ class CrossParser:
 
     def _phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases per language and lane; ``lanes`` is symbol x lane, longest lane first."""
-        counts = np.ones((len(self.languages), lanes.shape[1]), np.int64)
+        counts = np.zeros((len(self.languages), lanes.shape[1]), np.int64)
         active = np.searchsorted(-lengths, -np.arange(lanes.shape[0]), side="left")
         for out, automaton in zip(counts, self.automata):
             begin, follow = automaton.next[self.width : 2 * self.width], automaton.next
-            state = np.full(lanes.shape[1], self.width, np.int32)
+            state = np.zeros(lanes.shape[1], np.int32)
             for symbols, n in zip(lanes, active.tolist()):
                 state, symbols = state[:n], symbols[:n]
                 state = follow[state + symbols]
                 ended = np.flatnonzero(state == 0)
                 if ended.size:
-                    # The phrase ends before this byte, which begins the next one, or is one if no sample has it.
+                    # This byte begins the next phrase, or is one by itself if the sample doesn't have it: then the
+                    # state stays 0, so that the byte after it begins a phrase again.
                     out[ended] += 1
-                    again = begin[symbols[ended]]
-                    again[again == 0] = self.width
-                    state[ended] = again
+                    state[ended] = begin[symbols[ended]]
         return counts
 
     def rates(self, texts: list[str]) -> list[list[float] | None]:
