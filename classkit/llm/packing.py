@@ -101,7 +101,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity:
     for batch in batches:
         doc_ids = batch.column(0).to_pylist()
         for doc_id, text in zip(doc_ids, batch.column(1)):
-            ids = np.concatenate([np.frombuffer(own.encode(text.as_py()), "<u4"), last])
+            ids = np.concatenate([own.encode(text.as_py()), last]).astype("<u4", copy=False)
             total, start = len(ids), 0
             while total - start >= capacity:
                 yield doc_id, start, capacity, ids[start : start + capacity].tobytes(), total, sequence, 0
@@ -144,7 +144,7 @@ def pack(
     kind = texts.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], ddl).schema)
-    return texts.mapInArrow(lambda batches: rebatched(_packed(batches, tokenizer, end_id, capacity, piece, block_windows), schema), ddl)
+    return texts.mapInArrow(lambda batches: rebatched(_packed(batches, tokenizer, end_id, capacity, piece, block_windows), schema, 500), ddl)
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
