@@ -284,18 +284,20 @@ def fit_boosted(
     n_classes: int = 2,
     settings: BoostingSettings | None = None,
     accuracy: int = SKETCH_ACCURACY,
+    edges: list[np.ndarray] | None = None,
     **changes,
 ) -> Boosted:
     """Boost ``settings.rounds`` rounds; two classes use one logistic output.
 
     ``accuracy`` is that of the quantile sketches behind the bins: ranks of bin
-    edges are off by at most rows / ``accuracy``.
+    edges are off by at most rows / ``accuracy``. ``edges`` are used instead,
+    if given: per feature, the values up to which a bin reaches.
     """
     settings = replace(settings or (BINARY if n_classes == 2 else MULTICLASS), **changes)
     if not 2 <= settings.max_bins <= 256:
         raise ValueError("max_bins must fit one byte")
     outputs = 1 if n_classes == 2 else n_classes
-    edges = bin_edges(train, features, settings.max_bins, accuracy)
+    edges = edges or bin_edges(train, features, settings.max_bins, accuracy)
     state = written(_binned(train, id_col, features, label, edges, outputs), "binned")
     rng = np.random.default_rng(settings.seed)
     used = max(1, int(len(edges) * settings.colsample))

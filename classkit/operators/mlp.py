@@ -36,6 +36,7 @@ STALL_TOLERANCE, STALL_ITERATIONS = 1e-4, 10
 
 STEPS = 8  # Adam steps, and so batches, per epoch unless asked otherwise
 FAN_IN = 256  # partial results added up by one task
+TASK_VALUES = 1 << 21  # numbers that a task of a training pass should have at least: 16 MB
 
 
 @dataclass
@@ -183,6 +184,11 @@ def _training(batches):
         yield held["features"], held["label"][:, 0], held["tag"][:, 0]
 
 
+def _spread(blocks: DataFrame, rows: int, width: int) -> DataFrame:
+    """Blocks for repeated passes: no more tasks than their size is worth, since a pass costs a start of each."""
+    return blocks.coalesce(max(2, -(-rows * width // TASK_VALUES))).persist()
+
+
 @dataclass
 class Fit:
     network: Network
@@ -253,9 +259,9 @@ def fit_full_batch(
     its loss has not improved by the tolerance for more than the stall limit.
     """
     keys = list(folds) if folds is not None else [0]
-    rows = training_blocks(train, features, label, None if folds is None else F.col("fold")).persist()
+    n_rows, width = clean_vector_shape(train, features)
+    rows = _spread(training_blocks(train, features, label, None if folds is None else F.col("fold")), n_rows, width)
     scales = _scales(scalers, keys)
-    _, width = clean_vector_shape(train, features)
     tasks = rows.rdd.getNumPartitions()
     start = start or Network.create([width, *hidden, output_units(n_classes)], seed)
     adams = {k: Adam(start.flat, rate) for k in keys}
@@ -336,12 +342,13 @@ def fit_epochs(
     network kept is the one of the best epoch.
     """
     stopping = stopping or EarlyStopping()
-    _, width = clean_vector_shape(train, features)
-    if clean_vector_shape(valid, features)[1] != width:
+    n_train, width = clean_vector_shape(train, features)
+    n_valid, valid_width = clean_vector_shape(valid, features)
+    if valid_width != width:
         raise ValueError(f"{features}: the validation vectors have another width than {width}")
     batch = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(steps)).cast("int")
-    dealt = training_blocks(train, features, label, batch, each=True).persist()
-    held_out = training_blocks(valid, features, label).persist()
+    dealt = _spread(training_blocks(train, features, label, batch, each=True), n_train, width)
+    held_out = _spread(training_blocks(valid, features, label), n_valid, width)
     tasks = [rows.rdd.getNumPartitions() for rows in (dealt, held_out)]
     start = Network.create([width, *hidden, output_units(n_classes)], seed)
     adam = Adam(start.flat, rate)
@@ -429,10 +436,12 @@ def weight_table(spark: SparkSession, network: Network) -> DataFrame:
     return local_table(spark, rows, schema)
 
 
-def bias_table(spark: SparkSession, network: Network) -> DataFrame:
-    """``(layer, node, bias)``."""
+def bias_table(spark: SparkSession, network: Network, inputs: bool = False) -> DataFrame:
+    """``(layer, node, bias)``; with ``inputs`` also the input nodes, in layer -1 with bias 0."""
     rows = [
         {"layer": layer, "node": j, "bias": float(v)} for layer, b in enumerate(network.biases) for j, v in enumerate(b)
     ]
+    if inputs:
+        rows = [{"layer": -1, "node": i, "bias": 0.0} for i in range(len(network.weights[0]))] + rows
     schema = T.StructType([T.StructField(c, T.IntegerType()) for c in ("layer", "node")]).add("bias", "double")
     return local_table(spark, rows, schema)

@@ -73,7 +73,8 @@ def layer_sizes(weights: DataFrame) -> DataFrame:
     )
 
 
-def weight_matrix(weights: DataFrame, width: int) -> DataFrame:
-    """One row per source node, one column ``h1..h{width}`` per target node."""
+def weight_matrix(weights: DataFrame, width: int, names: Sequence[str] | None = None) -> DataFrame:
+    """One row per source node, one column ``h1..h{width}`` per target node; ``names`` adds the sources' names."""
     wide = weights.groupBy("src").pivot("dst", list(range(width))).agg(F.first("weight"))
-    return wide.select("src", *[F.col(f"`{j}`").alias(f"h{j + 1}") for j in range(width)])
+    shown = [] if names is None else [F.get(F.array(*[F.lit(n) for n in names]), F.col("src")).alias("name")]
+    return wide.select("src", *shown, *[F.col(f"`{j}`").alias(f"h{j + 1}") for j in range(width)])

@@ -3,7 +3,8 @@
 Rows of a class are ordered by ``md5(id | seed)``. A part of a split is a range
 of that order, so a row's part follows from comparing its key with a few cut
 keys per class. The cuts are found from a histogram of key prefixes (combined on
-the map side); only the rows of the prefix holding a cut are ranked. The cut
+the map side), refined below a prefix that holds a cut and many rows; only the
+rows of a small prefix holding a cut are ranked. The cut
 keys, one row per class, are fitted when the function is called; applying them
 is a scan with a broadcast lookup, and the data itself is never shuffled,
 however uneven the classes are.
@@ -21,7 +22,9 @@ from pyspark.sql.window import Window
 
 from classkit.runtime import MAX_CLASSES, local_table, written
 
-PREFIX_DIGITS = 4  # 65,536 prefixes per class
+PREFIX_DIGITS = 3  # 4,096 prefixes per class, and as many again below each that is cut finer
+KEY_DIGITS = 32  # of an order key
+BUCKET_ROWS = 100_000  # rows of one prefix that are ranked together at most, unless their keys are equal
 
 # From the size of every class, in class order, the rank of the last row of each
 # part but the final one.
@@ -32,32 +35,62 @@ def order_key(id_col: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
+def _prefix(digits: int) -> Column:
+    return F.substring("key", 1, digits).alias("prefix")
+
+
+def _locate(histogram: DataFrame, ends: list[dict], label_type: T.DataType) -> list:
+    """For every end, the prefix whose rows hold it, its place among them, and how many they are.
+
+    ``histogram`` counts prefixes below (label, parent), ``ends`` are ranks there.
+    """
+    below = T.StructType().add("label", label_type).add("parent", "string")
+    table = local_table(histogram.sparkSession, ends, below.add("part", "integer").add("last", "long"))
+    upto = F.sum("rows").over(Window.partitionBy("label", "parent").orderBy("prefix"))
+    running = histogram.withColumn("upto", upto).join(F.broadcast(table), ["label", "parent"])
+    inside = running.where((F.col("last") <= F.col("upto")) & (F.col("last") > F.col("upto") - F.col("rows")))
+    nth = (F.col("last") - F.col("upto") + F.col("rows")).alias("nth")
+    return inside.select("label", "prefix", nth, "part", "rows").collect()  # one row per class and part
+
+
 def _cut_keys(keyed: DataFrame, histogram: DataFrame, ends: list[dict], label_type: T.DataType) -> dict:
     """``(label, part) -> {key, id}`` of the rows that close the parts in ``ends``."""
-    spark = keyed.sparkSession
-    schema = T.StructType().add("label", label_type).add("part", "integer").add("last", "long")
-    upto = F.sum("rows").over(Window.partitionBy("label").orderBy("prefix"))
-    running = histogram.withColumn("upto", upto).join(F.broadcast(local_table(spark, ends, schema)), "label")
-    nth = (F.col("last") - F.col("upto") + F.col("rows")).cast("int").alias("nth")
-    inside = running.where((F.col("last") <= F.col("upto")) & (F.col("last") > F.col("upto") - F.col("rows")))
-    located = inside.select("label", "prefix", nth, "part").collect()  # one row per class and part
-    parts = {(r["label"], r["prefix"], r["nth"]): [] for r in located}
-    for r in located:
-        parts[r["label"], r["prefix"], r["nth"]].append(r["part"])
-    wanted: dict[tuple, list[int]] = {}
-    for label, prefix, n in parts:
-        wanted.setdefault((label, prefix), []).append(n)
-    # Only the rows that share a prefix with a cut: about 1 in 65,536 per cut.
-    schema = T.StructType().add("label", label_type).add("prefix", "string").add("wanted", T.ArrayType(T.IntegerType()))
-    rows = [{"label": label, "prefix": prefix, "wanted": n} for (label, prefix), n in wanted.items()]
-    near = keyed.join(F.broadcast(local_table(spark, rows, schema)), ["label", "prefix"])
-    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("label", "prefix").orderBy("key", "id")))
-    closing = ranked.where(F.array_contains("wanted", F.col("nth"))).drop("wanted").collect()
-    return {
-        (r["label"], part): {"key": r["key"], "id": r["id"]}
-        for r in closing
-        for part in parts[r["label"], r["prefix"], r["nth"]]
-    }
+    spark, digits, settled = keyed.sparkSession, PREFIX_DIGITS, []
+    prefixes = T.StructType().add("label", label_type).add("parent", "string")
+
+    def within(pairs: set[tuple], digits: int) -> DataFrame:
+        """The rows of the given (label, prefix) pairs; few prefixes, so the join is a scan."""
+        table = local_table(spark, [{"label": x, "parent": p} for x, p in sorted(pairs)], prefixes)
+        return keyed.withColumn("parent", _prefix(digits)).join(F.broadcast(table), ["label", "parent"])
+
+    located = _locate(histogram, [{**e, "parent": ""} for e in ends], label_type)
+    while located:
+        # A prefix with many rows is cut finer by the key's next digits, so few rows are ever ranked together.
+        large = [r for r in located if r["rows"] > BUCKET_ROWS and digits < KEY_DIGITS]
+        settled += [(digits, r) for r in located if r not in large]
+        if not large:
+            break
+        finer = within({(r["label"], r["prefix"]) for r in large}, digits).groupBy("label", "parent", _prefix(digits + PREFIX_DIGITS))
+        open_ends = [{"label": r["label"], "parent": r["prefix"], "part": r["part"], "last": r["nth"]} for r in large]
+        located = _locate(finer.agg(F.count(F.lit(1)).alias("rows")), open_ends, label_type)
+        digits += PREFIX_DIGITS
+
+    cuts = {}
+    for length in sorted({d for d, _ in settled}):
+        parts: dict[tuple, list[int]] = {}
+        for r in (r for d, r in settled if d == length):
+            parts.setdefault((r["label"], r["prefix"], r["nth"]), []).append(r["part"])
+        schema = T.StructType([*prefixes.fields]).add("nth", "long")
+        wanted = local_table(spark, [{"label": x, "parent": p, "nth": n} for x, p, n in parts], schema)
+        near = within({(x, p) for x, p, _ in parts}, length)
+        place = F.row_number().over(Window.partitionBy("label", "parent").orderBy("key", "id")).cast("long")
+        closing = near.withColumn("nth", place).join(F.broadcast(wanted), ["label", "parent", "nth"]).collect()
+        cuts |= {
+            (r["label"], part): {"key": r["key"], "id": r["id"]}
+            for r in closing
+            for part in parts[r["label"], r["parent"], r["nth"]]
+        }
+    return cuts
 
 
 def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: PartEnds, target: str) -> DataFrame:
@@ -68,9 +101,9 @@ def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: P
     keyed = df.where(F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(id_col).alias("id"), order_key(id_col, seed).alias("key")
     )
-    keyed = keyed.withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
-    # At most 65,536 rows per class, written so that the table is not scanned again for them.
-    histogram = written(keyed.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("rows")), "histogram")
+    counts = keyed.groupBy("label", F.lit("").alias("parent"), _prefix(PREFIX_DIGITS)).agg(F.count(F.lit(1)).alias("rows"))
+    # At most 4,096 rows per class, written so that the table is not scanned again for them.
+    histogram = written(counts, "histogram")
     sizes = histogram.groupBy("label").agg(F.sum("rows").alias("n"))
     classes = sorted((r["label"], r["n"]) for r in sizes.limit(MAX_CLASSES + 1).collect())
     if len(classes) > MAX_CLASSES:

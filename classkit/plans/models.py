@@ -220,20 +220,20 @@ def mlp_edges(spark, sf_dir):
 
 @query("mlp_nodes")
 def mlp_nodes(spark, sf_dir):
-    """Biases on a zero-centred scale, and the layer sizes beside them."""
+    """Biases on a zero-centred scale, and the layer sizes beside them; input nodes have bias 0 and layer -1."""
     network = _document_network(spark, sf_dir)[0].network
-    biases = mlp.bias_table(spark, network)
-    ceiling = model_tables.robust_maximum(biases, "bias").scalar()
+    biases = mlp.bias_table(spark, network, inputs=True)
+    ceiling = model_tables.robust_maximum(biases.where("layer >= 0"), "bias").scalar()
     sizes = model_tables.layer_sizes(mlp.weight_table(spark, network))
     shown = biases.withColumn("_c", ceiling).withColumn("colour", fn.centred_unit(F.col("bias"), F.col("_c"))).drop("_c")
-    return shown.join(F.broadcast(sizes), "layer")
+    return shown.join(F.broadcast(sizes), "layer", "left")
 
 
 @query("mlp_input_weights")
 def mlp_input_weights(spark, sf_dir):
     fit, _ = _vector_network(spark, sf_dir)
     first = mlp.weight_table(spark, fit.network).where("layer = 0")
-    return model_tables.weight_matrix(first, 32).withColumnRenamed("src", "feature")
+    return model_tables.weight_matrix(first, 32, [f"x{i + 1}" for i in range(WIDTH)]).withColumnRenamed("src", "feature")
 
 
 # --- boosted trees -----------------------------------------------------------
@@ -287,6 +287,48 @@ def boosting_best_split(spark, sf_dir):
     return _rounded(best.select("feature", "bin", "gain", "g_all", "h_all"), ["gain", "g_all", "h_all"])
 
 
+FIRST_TREE = f"""{FIRST_GAINS},
+root AS (SELECT * FROM gains ORDER BY round(gain, 9) DESC NULLS LAST, feature, bin LIMIT 1),
+y AS (SELECT vec_id, label, unnest(features) AS x, generate_subscripts(features, 1) - 1 AS feature FROM vectors),
+z AS (SELECT vec_id, feature, label, least(floor((x - lo) / (hi - lo) * {BINS}), {BINS - 1})::INTEGER AS bin FROM y JOIN r USING (feature)),
+side AS (SELECT vec_id, CASE WHEN z.bin <= root.bin THEN 1 ELSE 2 END AS node FROM z JOIN root USING (feature)),
+c2 AS (SELECT node, feature, bin, sum(0.5::DOUBLE - label) AS g, sum(0.25::DOUBLE) AS h FROM z JOIN side USING (vec_id) GROUP BY ALL),
+s2 AS (
+  SELECT node, feature::INTEGER AS feature, bin, sum(g) OVER (PARTITION BY node, feature ORDER BY bin) AS gl,
+    sum(h) OVER (PARTITION BY node, feature ORDER BY bin) AS hl, sum(g) OVER (PARTITION BY node, feature) AS ga,
+    sum(h) OVER (PARTITION BY node, feature) AS ha FROM c2),
+g2 AS (
+  SELECT *, CASE WHEN least(hl, ha - hl) >= 1 THEN
+    0.5::DOUBLE * (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) END AS gain FROM s2),
+b2 AS (SELECT * FROM g2 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC NULLS LAST, feature, bin) = 1),
+n2 AS (SELECT *, coalesce(round(gain, 9) > 0, false) AS parts,
+         3 + 2 * coalesce(sum(coalesce(round(gain, 9) > 0, false)::INT) OVER (ORDER BY node ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS child FROM b2),
+nodes AS (
+  SELECT 0 AS node_id, true AS inner_node, feature, bin, gain, ga AS g, ha AS h FROM root
+  UNION ALL SELECT node, parts, feature, bin, gain, ga, ha FROM n2
+  UNION ALL SELECT child, false, NULL, NULL, NULL, gl, hl FROM n2 WHERE parts
+  UNION ALL SELECT child + 1, false, NULL, NULL, NULL, ga - gl, ha - hl FROM n2 WHERE parts)"""
+
+
+@query(
+    "boosted_first_tree",
+    f"""WITH {FIRST_TREE} SELECT node_id::INTEGER AS node_id, CASE WHEN inner_node THEN nodes.feature END::INTEGER AS feature,
+  round(CASE WHEN inner_node THEN lo + (hi - lo) * (bin + 1) / {BINS} END, 6) AS threshold,
+  round(CASE WHEN inner_node THEN gain END, 6) AS gain, round(h, 6) AS cover,
+  round(CASE WHEN NOT inner_node THEN -0.05::DOUBLE * g / (h + 1) END, 6) AS prediction
+FROM nodes LEFT JOIN r ON r.feature = nodes.feature""",
+)
+def boosted_first_tree(spark, sf_dir):
+    """A finished tree of depth 2: splits, routing and leaf values, over equal-width bins and all rows and columns."""
+    df = binary_vectors(spark, sf_dir)
+    long = df.select(F.posexplode("features").alias("feature", "x"))
+    ranges = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("feature").collect()
+    edges = [np.array([r["lo"] + (r["hi"] - r["lo"]) * (b + 1) / BINS for b in range(BINS - 1)]) for r in ranges]
+    model = boosting.fit_boosted(df, "vec_id", rounds=1, max_depth=2, subsample=1.0, colsample=1.0, max_bins=BINS, edges=edges)
+    nodes = boosting.tree_table(spark, model, [0]).select("node_id", "feature", "threshold", "gain", "cover", "prediction")
+    return _rounded(nodes, ["threshold", "gain", "cover", "prediction"])
+
+
 def formula_trees() -> boosting.Boosted:
     """Two fixed trees of two classes, spelled out in SQL beside their query."""
     first, second = boosting.Tree(), boosting.Tree()

@@ -43,9 +43,10 @@ def test_same_seed_same_split_other_seed_other_split(spark):
     assert one == two != other
 
 
-@pytest.mark.parametrize("digits", [1, 4])
-def test_cuts_equal_plain_ranks(spark, monkeypatch, digits):
+@pytest.mark.parametrize(("digits", "rows"), [(1, 100_000), (3, 100_000), (1, 20), (8, 0)])
+def test_cuts_equal_plain_ranks(spark, monkeypatch, digits, rows):
     monkeypatch.setattr(split, "PREFIX_DIGITS", digits)
+    monkeypatch.setattr(split, "BUCKET_ROWS", rows)
     # two thirds of the rows in one class
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("label"))
     out = split.stratified_folds(df, "id", "label", 7, seed=5)
