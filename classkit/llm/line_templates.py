@@ -57,7 +57,7 @@ def _occurrences(depth: int, min_tokens: int):
                         for column, value in zip(held, (tag, leaf, line, len(tokens))):
                             column.append(value)
                         held[4].extend(map(crc32, tokens))
-                        if len(held[4]) >= 1_000_000:
+                        if len(held[4]) >= 200_000:
                             yield emit(*held)
                             held = ([], [], [], [], [])
         if held[0]:
@@ -69,18 +69,20 @@ def _occurrences(depth: int, min_tokens: int):
 def _dropper(depth: int, min_tokens: int):
     kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
 
+    def one(text: str | None, gone: set[int]) -> dict:
+        if text is None:
+            return {"text": None, "n_lines": 0, "n_dropped": 0}
+        raws = text.encode().split(b"\n")
+        kept = [r for r in raws if not (gone and (p := _parse(r, depth, min_tokens)) and p[1] in gone)]
+        return {"text": b"\n".join(kept).decode() if gone else text, "n_lines": len(raws), "n_dropped": len(raws) - len(kept)}
+
     @F.arrow_udf("text string, n_lines long, n_dropped long")
     def drop(texts: pa.Array, lines: pa.Array) -> pa.Array:
-        made = []
-        for text, gone in zip(texts, lines):
-            text, gone = text.as_py(), set(gone.as_py() or ())
-            if text is None:
-                made.append({"text": None, "n_lines": 0, "n_dropped": 0})
-                continue
-            raws = text.encode().split(b"\n")
-            kept = [r for r in raws if not (gone and (p := _parse(r, depth, min_tokens)) and p[1] in gone)]
-            made.append({"text": b"\n".join(kept).decode() if gone else text, "n_lines": len(raws), "n_dropped": len(raws) - len(kept)})
-        return pa.array(made, kind)
+        parts = [pa.array([], kind)]
+        for start in range(0, len(texts), 200):  # few texts at a time as Python objects
+            pairs = zip(texts.slice(start, 200), lines.slice(start, 200))
+            parts.append(pa.array([one(t.as_py(), set(g.as_py() or ())) for t, g in pairs], kind))
+        return pa.concat_arrays(parts)
 
     return drop
 
@@ -99,9 +101,13 @@ def recurring_lines(tagged: DataFrame, min_docs: int, share: float, depth: int,
     texts = tagged.select("tag", F.coalesce("text", F.lit("")).alias("text"))
     schema = "tag long, leaf long, line long, codes array<smallint>"
     seen = written(texts.mapInArrow(_occurrences(depth, min_tokens), schema), "occurrences")
-    leaves = written(seen.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves")
-    own = seen.join(leaves, "leaf", "left_semi")
-    lines = own.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.first("codes").alias("codes"))
+    counted = seen.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("tag").alias("tag"))
+    counted = written(counted, "counted")
+    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
+    # Joins with all lines and all texts are shuffled ones at every size: their small sides grow with the corpus. Of a
+    # line's many copies only one, by its document and so evenly spread, is asked for its tokens.
+    chosen = counted.join(written(leaves, "leaves").hint("merge"), "leaf", "left_semi")
+    lines = chosen.hint("merge").join(seen.select("tag", "line", "codes"), ["tag", "line"]).drop("tag")
     lines = written(lines, "lines")
     tokens = lines.select("leaf", "line", "docs", F.size("codes").alias("n"), F.posexplode("codes").alias("place", "code"))
     constants = tokens.groupBy("leaf", "place", "code").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
@@ -145,7 +151,7 @@ def drop_recurring_lines(
     narrow = tagged.select("tag", F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"))
     gone = written(recurring_lines(narrow, min_docs, share, depth, min_tokens), "gone")
     text = F.col("row").getField(text_col)
-    made = tagged.join(gone, "tag", "left").select("row", _dropper(depth, min_tokens)(text, F.col("lines")).alias("made"))
+    made = tagged.join(gone.hint("merge"), "tag", "left").select("row", _dropper(depth, min_tokens)(text, F.col("lines")).alias("made"))
     more = [F.col("made.n_lines"), F.col("made.n_dropped")] if counts else []
     names = [*docs.columns, *(c for c in ("n_lines", "n_dropped") if counts and c not in docs.columns)]
     out = unpacked(made, "row", docs.columns, F.col("made.text").alias(text_col), *more)
