@@ -219,22 +219,26 @@ def _generalised(word: str) -> str:
     return "<name>" if word[:1].isupper() else "<term>"
 
 
+def _redact(text: str | None, spans: list[dict]) -> str | None:
+    if not text or not spans:
+        return text
+    parts, at = [], 0
+    for span in spans:
+        start, kind, end = span["start"], span["kind"], span["end"]
+        if start >= at:
+            new = _generalised(text[start:end]) if KINDS[kind] == "term" else f"<{KINDS[kind]}>"
+            parts += [text[at:start], new]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
 @F.arrow_udf(T.StringType())
 def _redacted(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    out = []
-    for text, found in zip(texts, spans):
-        text, parts, at = text.as_py(), [], 0
-        if text is None:
-            out.append(None)
-            continue
-        for span in found.as_py():
-            start, kind, end = span["start"], span["kind"], span["end"]
-            if start >= at:
-                new = _generalised(text[start:end]) if KINDS[kind] == "term" else f"<{KINDS[kind]}>"
-                parts += [text[at:start], new]
-            at = max(at, end)
-        out.append("".join(parts) + text[at:])
-    return pa.array(out, pa.string())
+    parts = [pa.array([], pa.string())]
+    for start in range(0, len(texts), 200):  # few texts at a time as Python objects
+        pairs = zip(texts.slice(start, 200), spans.slice(start, 200))
+        parts.append(pa.array([_redact(t.as_py(), s.as_py()) for t, s in pairs], pa.string()))
+    return pa.concat_arrays(parts)
 
 
 def sanitise(docs: DataFrame, share: float = 0.9, min_contexts: int = 3, text_col: str = "text") -> DataFrame:
@@ -245,5 +249,5 @@ def sanitise(docs: DataFrame, share: float = 0.9, min_contexts: int = 3, text_co
     """
     rows = _spans(docs, packed(docs), share, min_contexts, text_col)
     text = F.col("row").getField(text_col)
-    rows = rows.select("row", F.when(F.size("spans") > 0, _redacted(text, F.col("spans"))).otherwise(text).alias(text_col))
+    rows = rows.select("row", _redacted(text, F.col("spans")).alias(text_col))
     return unpacked(rows, "row", docs.columns, named(text_col)).select(*[named(c) for c in docs.columns])
