@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,18 @@ from classkit.sources import read_table
 OUT_ROWS = 2_000
 
 
+# Rows of an Arrow batch of texts: with the default of 10,000, each worker holds tens of megabytes several times over.
+BATCH_ROWS = 1_000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands Python at most BATCH_ROWS rows at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/documents.parquet")
 
@@ -40,6 +53,21 @@ def unpacked(df: DataFrame, row: str, columns: list[str], *more: Column) -> Data
     return df.select(*[F.col(row).getField(c).alias(c) for c in columns if c.lower() not in taken], *more)
 
 
+def tagged(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns as a struct) and ``tag``, which names a row wherever and however often the rows are read.
+
+    Rows of stored files are named by file and place in it, which hold if executors are lost and the scan is cut anew.
+    Other tables are written with a number for each row first.
+    """
+    try:
+        place = docs.select(packed(docs).alias("row"), F.struct(F.xxhash64("_metadata.file_path").alias("a"), F.col("_metadata.row_index").alias("b")).alias("tag"))
+        place.schema  # resolves the names
+        return place
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        return written(docs.select(packed(docs).alias("row"), F.struct(number.alias("a"), F.lit(0).cast("long").alias("b")).alias("tag")), "tagged")
+
+
 def text_of(text_col: str) -> Column:
     """The text, a null one being empty."""
     return F.coalesce(named(text_col).cast("string"), F.lit(""))
@@ -77,4 +105,4 @@ def per_text(function: Callable[[], Callable[[str], tuple]], types: list[pa.Data
     return run
 
 
-__all__ = ["OUT_ROWS", "documents", "named", "packed", "per_text", "rebatched", "text_of", "unpacked", "written"]
+__all__ = ["OUT_ROWS", "documents", "in_small_batches", "named", "packed", "per_text", "rebatched", "tagged", "text_of", "unpacked", "written"]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classkit.llm.common import named, packed, text_of, unpacked
+from classkit.llm.common import in_small_batches, named, packed, text_of, unpacked
 
 # Learning sample, per language: documents, and bytes of their normalised text (a middle part of each document).
 SAMPLE_DOCS, SAMPLE_BYTES = 64, 32_768
@@ -40,37 +40,33 @@ class Automaton:
     """Suffix automaton of a byte string as a table: state x symbol -> state; 0 is no match, 1 the start."""
 
     def __init__(self, text: bytes, symbols: np.ndarray, width: int):
-        edges: list[dict[int, int]] = [{}, {}]
+        # A suffix automaton has fewer than two states a byte.
+        edges = np.zeros((2 * len(text) + 2, width), np.int32)
         link, length = [0, 0], [0, 0]
         last = 1
         for c in symbols[np.frombuffer(text, np.uint8)].tolist():
-            new = len(edges)
-            edges.append({})
+            new = len(link)
             link.append(1)
             length.append(length[last] + 1)
             p = last
-            while p and c not in edges[p]:
-                edges[p][c] = new
+            while p and not edges[p, c]:
+                edges[p, c] = new
                 p = link[p]
             if p:
-                q = edges[p][c]
+                q = int(edges[p, c])
                 if length[q] == length[p] + 1:
                     link[new] = q
                 else:
-                    twin = len(edges)
-                    edges.append(dict(edges[q]))
+                    twin = len(link)
+                    edges[twin] = edges[q]
                     link.append(link[q])
                     length.append(length[p] + 1)
-                    while p and edges[p].get(c) == q:
-                        edges[p][c] = twin
+                    while p and edges[p, c] == q:
+                        edges[p, c] = twin
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        self.table = np.zeros((len(edges), width), np.int32)
-        for state, out in enumerate(edges):
-            for c, to in out.items():
-                self.table[state, c] = to
-        self.next = (self.table * width).ravel()  # states as offsets of their rows
+        self.next = (edges[: len(link)] * width).ravel()  # states as offsets of their rows
 
 
 class CrossParser:
@@ -80,7 +76,7 @@ class CrossParser:
         self.languages = sorted(samples)
         used = np.unique(np.frombuffer(b"".join(samples.values()), np.uint8))
         # Symbol 0 stands for bytes that no sample has.
-        self.symbols = np.zeros(256, np.int32)
+        self.symbols = np.zeros(256, np.uint8)  # UTF-8 never has all 256 bytes
         self.symbols[used] = np.arange(1, used.size + 1)
         self.width = used.size + 1
         self.automata = [Automaton(samples[x], self.symbols, self.width) for x in self.languages]
@@ -216,7 +212,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.coalesce(_fold(named(id_col)) == 1, F.lit(False)).alias("held_out"),
         predicted(text_of(text_col), samples).alias("made"),
     )
-    return rows.select("doc_id", "held_out", "made.lang_pred", "made.score")
+    return in_small_batches(rows).select("doc_id", "held_out", "made.lang_pred", "made.score")
 
 
 def keep_identified(
@@ -227,5 +223,5 @@ def keep_identified(
     Rows that `identify` calls ``und`` go. Learning is as in `identify`.
     """
     samples = _sample(docs, id_col, text_col, lang_col)
-    rows = docs.select(packed(docs).alias("row"), predicted(text_of(text_col), samples).alias("made"))
+    rows = in_small_batches(docs).select(packed(docs).alias("row"), predicted(text_of(text_col), samples).alias("made"))
     return unpacked(rows.where((F.col("made.lang_pred") != UNKNOWN) & (F.col("made.score") >= min_score)), "row", docs.columns)

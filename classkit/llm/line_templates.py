@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from classkit.llm.common import packed, unpacked, written
+from classkit.llm.common import in_small_batches, tagged, unpacked, written
 
 # Tokens with a digit are variable fields wherever they stand.
 _VARIABLE = re.compile(rb"\S*[0-9]\S*")
@@ -38,30 +38,30 @@ def _signed(value: int) -> int:
 def _occurrences(depth: int, min_tokens: int):
     """mapInArrow over (tag, text): (tag, leaf, line, codes) of each different line of a document, 16 bits a token."""
 
-    def emit(tags, leaves, lines, sizes, codes) -> pa.RecordBatch:
+    def emit(tags: pa.Array, rows, leaves, lines, sizes, codes) -> pa.RecordBatch:
         values = np.fromiter(codes, np.uint32, len(codes)).astype(np.uint16).view(np.int16)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        arrays = [pa.array(tags, pa.int64()), pa.array(leaves, pa.int64()), pa.array(lines, pa.int64())]
+        arrays = [tags.take(pa.array(rows, pa.int64())), pa.array(leaves, pa.int64()), pa.array(lines, pa.int64())]
         return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(offsets, values)], names=["tag", "leaf", "line", "codes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, ...] = ([], [], [], [], [])
         for batch in batches:
-            for tag, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held: tuple[list, ...] = ([], [], [], [], [])
+            for row, text in enumerate(batch.column(1)):
                 seen = set()
                 for raw in text.as_py().encode().split(b"\n"):
                     parsed = _parse(raw, depth, min_tokens)
                     if parsed and parsed[1] not in seen:
                         seen.add(parsed[1])
                         leaf, line, tokens = parsed
-                        for column, value in zip(held, (tag, leaf, line, len(tokens))):
+                        for column, value in zip(held, (row, leaf, line, len(tokens))):
                             column.append(value)
                         held[4].extend(map(crc32, tokens))
                         if len(held[4]) >= 200_000:
-                            yield emit(*held)
+                            yield emit(batch.column(0), *held)
                             held = ([], [], [], [], [])
-        if held[0]:
-            yield emit(*held)
+            if held[0]:
+                yield emit(batch.column(0), *held)
 
     return run
 
@@ -87,7 +87,7 @@ def _dropper(depth: int, min_tokens: int):
     return drop
 
 
-def recurring_lines(tagged: DataFrame, min_docs: int, share: float, depth: int, min_tokens: int) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int, share: float, depth: int, min_tokens: int) -> DataFrame:
     """``tag, lines``: per document (tag, id, text) the hashes of the lines that go.
 
     Lines with equal token count and equal leading tokens share a leaf of the tree. In a leaf, a token that ``min_docs``
@@ -98,8 +98,8 @@ def recurring_lines(tagged: DataFrame, min_docs: int, share: float, depth: int,
     Nothing is gathered by leaf: constants, templates and documents are counted, in each task first. Only lines in
     leaves that recur are looked at token by token.
     """
-    texts = tagged.select("tag", F.coalesce("text", F.lit("")).alias("text"))
-    schema = "tag long, leaf long, line long, codes array<smallint>"
+    texts = docs.select("tag", F.coalesce("text", F.lit("")).alias("text"))
+    schema = f"tag {docs.schema['tag'].dataType.simpleString()}, leaf long, line long, codes array<smallint>"
     seen = written(texts.mapInArrow(_occurrences(depth, min_tokens), schema), "occurrences")
     counted = seen.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("tag").alias("tag"))
     counted = written(counted, "counted")
@@ -120,7 +120,7 @@ def recurring_lines(tagged: DataFrame, min_docs: int, share: float, depth: int,
     hits = written(seen.select("tag", "line").join(templates, "line"), "hits")
     per_doc = hits.groupBy("template", "tag").agg(F.lit(1).alias("one"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")
-    ids = tagged.select("tag", "doc_id")
+    ids = docs.select("tag", "doc_id")
     homes = per_doc.join(ids, "tag").groupBy("template").agg(F.count("*").alias("docs"), F.min(order).alias("home"))
     homes = homes.where(F.col("docs") >= min_docs).select("template", F.col("home.tag").alias("home"))
     homes = written(homes, "homes")
@@ -143,15 +143,13 @@ def drop_recurring_lines(
     See `recurring_lines` for what recurs. A line ends at a line feed; lines of fewer than ``min_tokens`` tokens always
     stay. The first occurrence of everything stays, in the document with the smallest id (null ids after all others, and
     of repeated ids one), so no content is lost; a document all of whose lines stand elsewhere becomes empty. Null texts
-    stay null. An empty table gives an empty result. ``docs`` must give the same rows in the same places when it is read
-    twice, as a stored table does.
+    stay null. An empty table gives an empty result.
     """
-    row, tag = packed(docs).alias("row"), F.monotonically_increasing_id().alias("tag")
-    tagged = docs.select(row, tag)
-    narrow = tagged.select("tag", F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"))
+    rows = tagged(in_small_batches(docs))
+    narrow = rows.select("tag", F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"))
     gone = written(recurring_lines(narrow, min_docs, share, depth, min_tokens), "gone")
     text = F.col("row").getField(text_col)
-    made = tagged.join(gone.hint("merge"), "tag", "left").select("row", _dropper(depth, min_tokens)(text, F.col("lines")).alias("made"))
+    made = rows.join(gone.hint("merge"), "tag", "left").select("row", _dropper(depth, min_tokens)(text, F.col("lines")).alias("made"))
     more = [F.col("made.n_lines"), F.col("made.n_dropped")] if counts else []
     names = [*docs.columns, *(c for c in ("n_lines", "n_dropped") if counts and c not in docs.columns)]
     out = unpacked(made, "row", docs.columns, F.col("made.text").alias(text_col), *more)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from classkit.llm.common import named, rebatched, text_of
+from classkit.llm.common import in_small_batches, named, rebatched, text_of
 from classkit.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -140,7 +140,7 @@ def pack(
     own; rests are cut into pieces, and blocks of pieces are dealt into windows of near-equal totals, with more windows
     while one is over capacity. Besides that, each task leaves at most one block with less than a full last window.
     """
-    texts = docs.select(named(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    texts = in_small_batches(docs).select(named(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], ddl).schema)

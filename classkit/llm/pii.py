@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from classkit.llm.common import OUT_ROWS, named, packed, rebatched, text_of, unpacked, written
+from classkit.llm.common import OUT_ROWS, in_small_batches, named, packed, rebatched, text_of, unpacked, written
 
 # Kinds in the order that breaks ties between spans; terms are the ones added by the method.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -24,6 +24,7 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", _INT), T.StructField("k
 # A term is in a finding's context if it is one of so many words next to it, on either side, within so many characters.
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
 MIN_TERM_CHARS = 3
+KEPT_TERMS = 200_000
 
 # The patterns find what the plain ones in comments do, without trying a run of digits again from its middle.
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")  # with what stands before it: [A-Za-z0-9._%+-]+@...
@@ -131,18 +132,20 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(term, documents) of each batch of documents."""
+    """(term, documents), added up over as many documents as have KEPT_TERMS different terms."""
+    counts: Counter[str] = Counter()
     for batch in batches:
-        counts: Counter[str] = Counter()
-        for start in range(0, batch.num_rows, 500):
-            for text in batch.column(0).slice(start, 500).to_pylist():
-                counts.update({w for w in _WORD.findall(text.lower()) if len(w) >= MIN_TERM_CHARS})
-        yield from counts.items()
+        for text in batch.column(0):
+            counts.update({w for w in _WORD.findall(text.as_py().lower()) if len(w) >= MIN_TERM_CHARS})
+        if len(counts) >= KEPT_TERMS:
+            yield from counts.items()
+            counts.clear()
+    yield from counts.items()
 
 
 def _rows(df: DataFrame, function, ddl: str) -> DataFrame:
     schema = to_arrow_schema(df.sparkSession.createDataFrame([], ddl).schema)
-    return df.mapInArrow(lambda batches: rebatched(function(batches), schema, OUT_ROWS * 10), ddl)
+    return df.mapInArrow(lambda batches: rebatched(function(batches), schema, OUT_ROWS * 5), ddl)
 
 
 def disclosing_spans(docs: DataFrame, share: float = 0.9, min_contexts: int = 3, text_col: str = "text") -> DataFrame:
@@ -153,7 +156,7 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, min_contexts: int = 3,
     if PMI reaches ``share`` of IC, that is, if knowing t nearly tells e. Words seen near e in fewer than
     ``min_contexts`` different contexts are no evidence, so copies of one text count once there.
     """
-    texts = docs.select(text_of(text_col).alias("text"))
+    texts = in_small_batches(docs).select(text_of(text_col).alias("text"))
     ddl = "key string, entity string, term string, context long, first int, start int, end int"
     mentions = written(_rows(texts, _mentions, ddl), "mentions")
     near = mentions.where("term is not null")

@@ -102,7 +102,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_recurring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=True)
+    docs = drop_recurring_lines(documents(spark, sf_dir), counts=True)
     text = text_of("text")
     return docs.select("doc_id", "n_lines", "n_dropped", F.char_length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
 

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from classkit.llm.common import named, text_of
+from classkit.llm.common import in_small_batches, named, text_of
 
 # The character that stands for a space inside pieces.
 SPACE = "▁"
@@ -202,6 +202,6 @@ def encode_and_decode(docs: DataFrame, model: str, text_col: str = "text", id_co
                 arrays = [part.column(0), pa.array(counts, pa.int64()), pa.array(joined, pa.string()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    texts = docs.select(named(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    texts = in_small_batches(docs).select(named(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids string, decoded string")

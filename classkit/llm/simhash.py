@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from classkit.llm.common import named, packed, text_of, unpacked, written
+from classkit.llm.common import in_small_batches, named, packed, tagged, text_of, unpacked, written
 from classkit.llm.components import connected_components
 
 SEED = 42
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text_col: str = "text") -> Dat
         for array in texts:
             yield pa.array([fingerprint(t.as_py().encode(), words) for t in array], pa.int64())
 
-    return docs.select(packed(docs).alias("row"), of(text_of(text_col)).alias("fingerprint"))
+    return in_small_batches(docs).select(packed(docs).alias("row"), of(text_of(text_col)).alias("fingerprint"))
 
 
 def block_masks(max_bits: int, blocks: int | None = None) -> list[int]:
@@ -187,15 +187,13 @@ def one_per_group(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that stay when each group of near duplicates keeps its smallest id.
 
-    Of repeated rows one stays; a null id stays only where all are null. ``docs`` must give the same rows in the same
-    places when it is read twice, as a stored table does.
+    Of repeated rows one stays; a null id stays only where all are null. An empty table gives an empty result.
     """
-    tagged = docs.select(packed(docs).alias("row"), F.monotonically_increasing_id().alias("tag"))
-    narrow = tagged.select(F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"), "tag")
-    rows = fingerprints(narrow, words).select("row.doc_id", "row.tag", "fingerprint")
-    rows = written(rows, "fingerprints")
-    component = written(_components(rows, max_bits, blocks), "component")
-    best = rows.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")).alias("best"))
+    rows = tagged(docs)
+    narrow = rows.select(F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"), "tag")
+    prints = written(fingerprints(narrow, words).select("row.doc_id", "row.tag", "fingerprint"), "fingerprints")
+    component = written(_components(prints, max_bits, blocks), "component")
+    best = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")).alias("best"))
     kept = component.join(best, "fingerprint").groupBy("component").agg(F.min("best").alias("best"))
     kept = written(kept.select(F.col("best.tag").alias("tag")), "kept")
-    return unpacked(tagged.join(kept, "tag", "left_semi"), "row", docs.columns)
+    return unpacked(rows.join(kept.hint("merge"), "tag", "left_semi"), "row", docs.columns)

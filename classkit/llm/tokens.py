@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from classkit.llm.common import named, per_text, text_of
+from classkit.llm.common import in_small_batches, named, per_text, text_of
 
 # Characters that are encoded at once.
 SLICE_CHARS = 1 << 20
@@ -205,7 +205,7 @@ def count_tokens(
         own = encoder(tokenizer)
         return lambda text: (own.count(text, chunk_chars, overlap_chars),)
 
-    texts = docs.select(named(id_col).alias("doc_id"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes"), text_of(text_col).alias("text"))
+    texts = in_small_batches(docs).select(named(id_col).alias("doc_id"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes"), text_of(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     counted = texts.mapInArrow(per_text(start, [pa.int64()]), f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
