@@ -25,6 +25,8 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", _INT), T.StructField("k
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
 MIN_TERM_CHARS = 3
 KEPT_TERMS = 200_000
+# So many further documents with a term, which hold an entity as often as all documents do, are added to those counted.
+SMOOTHING = 0.5
 
 # The patterns find what the plain ones in comments do, without trying a run of digits again from its middle.
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")  # with what stands before it: [A-Za-z0-9._%+-]+@...
@@ -108,74 +110,98 @@ def _context(text: str, span: tuple[int, int, int], spans: list[tuple[int, int,
     ]
 
 
-def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(text key, entity, term, context, first of its document, start, end); a null term counts the entity."""
+def _words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """Words in the context of any span, each once."""
+    return sorted({word for span in spans for word in _context(text, span, spans)}, key=lambda w: w[1:])
+
+
+def _private(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(text key, text, entities) of the texts with findings."""
     for batch in batches:
         for text in batch.column(0):
             text = text.as_py()
             spans = base_spans(text)
-            if not spans:
-                continue
-            key, seen = hashlib.md5(text.encode()).hexdigest(), set()
-            for span in spans:
-                entity = _entity(text, span)
-                if entity not in seen:
-                    seen.add(entity)
-                    yield key, entity, None, 0, 1, 0, 0
-                words = _context(text, span, spans)
-                around = hashlib.blake2b(" ".join(w for w, _, _ in words).encode(), digest_size=8).digest()
-                around = int.from_bytes(around, "little", signed=True)
-                for term, start, end in words:
-                    pair = (entity, term)
-                    yield key, entity, term, around, int(pair not in seen), start, end
-                    seen.add(pair)
+            if spans:
+                yield hashlib.md5(text.encode()).hexdigest(), text, sorted({_entity(text, s) for s in spans})
+
+
+def _text_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(text number, term): the different terms of a text that could disclose what is in it."""
+    for batch in batches:
+        for doc, text in zip(batch.column(0), batch.column(1)):
+            text = text.as_py()
+            for term in {w for w, _, _ in _words(text, base_spans(text))}:
+                yield doc.as_py(), term
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(text key, spans of its disclosing terms)."""
+    term = KINDS.index("term")
+    for batch in batches:
+        for key, text, terms in zip(*batch.columns):
+            text, terms = text.as_py(), set(terms.as_py())
+            found = [(a, b) for w, a, b in _words(text, base_spans(text)) if w in terms]
+            yield key.as_py(), [{"start": a, "kind": term, "end": b} for a, b in found]
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(term, documents), added up over as many documents as have KEPT_TERMS different terms."""
+    """(term, weight of its texts), added up over as many texts as have KEPT_TERMS different terms."""
     counts: Counter[str] = Counter()
     for batch in batches:
-        for text in batch.column(0):
-            counts.update({w for w in _WORD.findall(text.as_py().lower()) if len(w) >= MIN_TERM_CHARS})
+        for text, weight in zip(batch.column(0), batch.column(1)):
+            terms = {w for w in _WORD.findall(text.as_py().lower()) if len(w) >= MIN_TERM_CHARS}
+            counts.update(dict.fromkeys(terms, weight.as_py()))
         if len(counts) >= KEPT_TERMS:
             yield from counts.items()
             counts.clear()
     yield from counts.items()
 
 
-def _rows(df: DataFrame, function, ddl: str) -> DataFrame:
+def _rows(df: DataFrame, function, ddl: str, size: int = OUT_ROWS * 5) -> DataFrame:
     schema = to_arrow_schema(df.sparkSession.createDataFrame([], ddl).schema)
-    return df.mapInArrow(lambda batches: rebatched(function(batches), schema, OUT_ROWS * 5), ddl)
+    return df.mapInArrow(lambda batches: rebatched(function(batches), schema, size), ddl)
 
 
-def disclosing_spans(docs: DataFrame, share: float = 0.9, min_contexts: int = 3, text_col: str = "text") -> DataFrame:
+def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text") -> DataFrame:
     """``key, terms``: per text (by MD5) the spans of terms that disclose something the patterns found in it.
 
-    Over all documents, an entity e (an address, a number) has information content IC = log2(documents / documents with
-    e). A word t in e's context has PMI = log2(documents with t near e * documents / (with e * with t)). It discloses e
-    if PMI reaches ``share`` of IC, that is, if knowing t nearly tells e. Words seen near e in fewer than
-    ``min_contexts`` different contexts are no evidence, so copies of one text count once there.
+    Documents are counted by text: copies of one text are pooled into one. Over them, an entity e (an address, a
+    number) has information content IC = log2(1 / p), where p = with e / all. A word t that stands near a finding has
+    PMI = log2((with e and t + SMOOTHING * p) / ((with t + SMOOTHING) * p)). It discloses e if PMI reaches ``share`` of
+    IC, that is, if knowing t nearly tells e. Smoothing leaves a term seen once, in the only document of an entity, a
+    PMI of log2(1 + SMOOTHING) bits less than IC: at a share of 0.9 that is enough among 58 texts or more.
     """
     texts = in_small_batches(docs).select(text_of(text_col).alias("text"))
-    ddl = "key string, entity string, term string, context long, first int, start int, end int"
-    mentions = written(_rows(texts, _mentions, ddl), "mentions")
-    near = mentions.where("term is not null")
-    pairs = near.groupBy("entity", "term", "context").agg(F.sum("first").alias("docs"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("together"), F.count("*").alias("contexts"))
-    pairs = written(pairs.where(F.col("contexts") >= min_contexts).select("entity", "term", "together"), "pairs")
     schema = f"key string, terms {SPANS.simpleString()}"
-    if pairs.isEmpty():
+    private = _rows(texts, _private, "key string, text string, entities array<string>", 200).dropDuplicates(["key"])
+    private = written(private.withColumn("doc", F.monotonically_increasing_id()), "private")
+    if private.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    total = texts.count()
-    entities = mentions.where("term is null").groupBy("entity").agg(F.sum("first").alias("with_entity"))
-    terms = _rows(texts, _term_counts, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("with_term"))
-    known = pairs.join(entities, "entity").join(terms, "term")
-    content = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    pmi = F.log2(F.col("together") * F.lit(float(total)) / (F.col("with_entity") * F.col("with_term")))
-    telling = written(known.where((content > 0) & (pmi >= share * content)).select("entity", "term"), "telling")
-    found = near.join(telling, ["entity", "term"]).select("key", "start", "end").distinct()
-    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end")
-    return found.groupBy("key").agg(F.sort_array(F.collect_list(span)).alias("terms"))
+    key = F.md5("text").alias("key")
+    copies = written(texts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), "copies")
+    total = texts.count() - (copies.agg(F.sum(F.col("n") - 1)).head()[0] or 0)
+    # Terms are counted in all texts, and those of each copied text are taken off again for all copies but one.
+    extra = texts.select("text", key).join(copies, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("n").alias("n"))
+    weighed = texts.select("text", F.lit(1).cast("long").alias("weight")).union(extra.select("text", 1 - F.col("n")))
+    terms = _rows(weighed, _term_counts, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("with_term"))
+
+    named_in = private.select("doc", F.explode("entities").alias("entity"))
+    p = F.col("with_entity") / F.lit(float(total))
+    content = -F.log2(p)
+    # No term in more texts than this can reach the share, even if it is in all texts of the entity.
+    most = (F.col("with_entity") + SMOOTHING * p) * F.pow(p, share - 1) - SMOOTHING
+    entities = named_in.groupBy("entity").agg(F.count("*").alias("with_entity")).where(content > 0)
+    entities = written(entities.withColumn("most", most + 1e-6), "entities")
+    rare = terms.where(F.col("with_term") <= F.lit(entities.agg(F.max("most")).head()[0] or 0.0))
+    held = _rows(private.select("doc", "text"), _text_terms, "doc long, term string").join(rare, "term")
+    pairs = held.join(named_in.join(entities, "entity"), "doc").where("with_term <= most")
+    pairs = written(pairs.select("doc", "entity", "term", "with_entity", "with_term"), "pairs")
+    known = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("together"))
+    pmi = F.log2((F.col("together") + SMOOTHING * p) / ((F.col("with_term") + SMOOTHING) * p))
+    telling = written(known.where(pmi >= share * content).select("entity", "term"), "telling")
+    found = pairs.join(telling, ["entity", "term"]).groupBy("doc").agg(F.collect_set("term").alias("telling"))
+    located = private.join(found, "doc").select("key", "text", "telling")
+    return _rows(located, _located, schema, 200)
 
 
 @F.arrow_udf(SPANS)
@@ -186,9 +212,9 @@ def _found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(made, kind)
 
 
-def _spans(docs: DataFrame, kept: Column, share: float, min_contexts: int, text_col: str) -> DataFrame:
+def _spans(docs: DataFrame, kept: Column, share: float, text_col: str) -> DataFrame:
     """Columns ``kept`` (a struct), ``base`` and ``spans`` (base and terms)."""
-    terms = written(disclosing_spans(docs, share, min_contexts, text_col), "terms")
+    terms = written(disclosing_spans(docs, share, text_col), "terms")
     rows = docs.select(kept.alias("row"), text_of(text_col).alias("text"), _found(text_of(text_col)).alias("base"))
     # Texts without findings have no terms; keys of their own kind keep them spread.
     key = F.when(F.size("base") > 0, F.md5("text")).otherwise(F.xxhash64("text").cast("string"))
@@ -198,7 +224,7 @@ def _spans(docs: DataFrame, kept: Column, share: float, min_contexts: int, text_
 
 
 def private_spans(
-    docs: DataFrame, share: float = 0.9, min_contexts: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, share: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: ``doc_id, base, spans``, arrays of (start, kind, end) by start, then kind.
 
@@ -206,7 +232,7 @@ def private_spans(
     code points, ends are exclusive, kinds are indexes of `KINDS`. A null text is empty. Ids may be null or repeated; an
     empty table gives an empty result; other columns are not looked at. Equal texts get equal spans.
     """
-    rows = _spans(docs, F.struct(named(id_col).alias("doc_id")), share, min_contexts, text_col)
+    rows = _spans(docs, F.struct(named(id_col).alias("doc_id")), share, text_col)
     return rows.select("row.doc_id", "base", "spans")
 
 
@@ -244,13 +270,13 @@ def _redacted(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.concat_arrays(parts)
 
 
-def sanitise(docs: DataFrame, share: float = 0.9, min_contexts: int = 3, text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, share: float = 0.9, text_col: str = "text") -> DataFrame:
     """``docs``, all rows and columns, with every span of `private_spans` in the text replaced by a name of its kind.
 
     Findings become ``<email>`` and so on; terms are generalised to ``<code>`` (with digits), ``<name>`` (capitalised)
     or ``<term>``. Of spans that overlap, the first one's name is put in and all are taken out. Null texts stay null.
     """
-    rows = _spans(docs, packed(docs), share, min_contexts, text_col)
+    rows = _spans(docs, packed(docs), share, text_col)
     text = F.col("row").getField(text_col)
     rows = rows.select("row", _redacted(text, F.col("spans")).alias(text_col))
     return unpacked(rows, "row", docs.columns, named(text_col)).select(*[named(c) for c in docs.columns])

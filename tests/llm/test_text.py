@@ -149,6 +149,19 @@ def test_terms_that_disclose(spark, telling):
     assert all(made[i] == text[i] for i in range(40))
 
 
+def test_a_rare_name_beside_a_rare_address_discloses_it(spark):
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    pairs = [(i, f"{words[i % 6]} {words[i // 6 % 6]} {words[i // 36]} plain") for i in range(150)]
+    pairs += [(200, "alpha beta Quillon eve@z.org"), (201, "gamma Quillon eve@z.org omega")]  # in two documents
+    pairs += [(300, "delta Wexford +44 20 7946 0958 sigma")]  # in one
+    pairs += [(400 + i, f"{words[i % 6]} {words[i // 6]} Yardley sam@w.org") for i in range(20)]  # a signature
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(spark, pairs)).collect()}
+    assert clean[200] == "alpha beta <name> <email>" and clean[201] == "gamma <name> <email> omega"
+    assert clean[300] == "delta <name> <phone> sigma"
+    assert all("<name> <email>" in clean[400 + i] for i in range(20))
+    assert all(clean[i] == text for i, text in pairs[:150])
+
+
 def test_sanitised_nulls_stay(spark, odd_pairs):
     rows = pii.sanitise(make_docs(spark, odd_pairs)).collect()
     assert len(rows) == len(odd_pairs) and sum(r["text"] is None for r in rows) == 2
