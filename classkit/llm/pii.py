@@ -21,8 +21,6 @@ KINDS = (*BASE_KINDS, "term")
 _INT = T.IntegerType()
 SPANS = T.ArrayType(T.StructType([T.StructField("start", _INT), T.StructField("kind", _INT), T.StructField("end", _INT)]))
 
-# A term is in a finding's context if it is one of so many words next to it, on either side, within so many characters.
-CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
 MIN_TERM_CHARS = 3
 KEPT_TERMS = 200_000
 # So many further documents with a term, which hold an entity as often as all documents do, are added to those counted.
@@ -96,23 +94,16 @@ def _entity(text: str, span: tuple[int, int, int]) -> str:
     return hashlib.blake2b(f"{BASE_KINDS[kind]}:{value}".encode(), digest_size=16).hexdigest()
 
 
-def _context(text: str, span: tuple[int, int, int], spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
-    """Words around a span: (term, start, end); words cut by the window or inside a span are left out."""
-    start, _, end = span
-    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
-    before = [m.span() for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0][-CONTEXT_WORDS:]
-    after = [m.span() for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)][:CONTEXT_WORDS]
-    near = [s for s in spans if s[0] < high and s[2] > low]
-    return [
-        (text[a:b].lower(), a, b)
-        for a, b in before + after
-        if b - a >= MIN_TERM_CHARS and not any(s[0] < b and a < s[2] for s in near)
-    ]
-
-
 def _words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
-    """Words in the context of any span, each once."""
-    return sorted({word for span in spans for word in _context(text, span, spans)}, key=lambda w: w[1:])
+    """The words of a text outside its spans, wherever they stand: (term, start, end)."""
+    words, at, past = [], 0, 0
+    for found in _WORD.finditer(text):
+        a, b = found.span()
+        while at < len(spans) and spans[at][0] < b:
+            past, at = max(past, spans[at][2]), at + 1
+        if b - a >= MIN_TERM_CHARS and past <= a:
+            words.append((found[0].lower(), a, b))
+    return words
 
 
 def _private(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -166,10 +157,11 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text"
     """``key, terms``: per text (by MD5) the spans of terms that disclose something the patterns found in it.
 
     Documents are counted by text: copies of one text are pooled into one. Over them, an entity e (an address, a
-    number) has information content IC = log2(1 / p), where p = with e / all. A word t that stands near a finding has
+    number) has information content IC = log2(1 / p), where p = with e / all. A word t anywhere in a text with e has
     PMI = log2((with e and t + SMOOTHING * p) / ((with t + SMOOTHING) * p)). It discloses e if PMI reaches ``share`` of
     IC, that is, if knowing t nearly tells e. Smoothing leaves a term seen once, in the only document of an entity, a
-    PMI of log2(1 + SMOOTHING) bits less than IC: at a share of 0.9 that is enough among 58 texts or more.
+    PMI of log2(1 + SMOOTHING) bits less than IC: at a share of 0.9 that is enough among 58 texts or more. All
+    occurrences of a term that discloses an entity are spans, in every text that holds that entity.
     """
     texts = in_small_batches(docs).select(text_of(text_col).alias("text"))
     schema = f"key string, terms {SPANS.simpleString()}"
@@ -228,7 +220,7 @@ def private_spans(
 ) -> DataFrame:
     """One row per input row: ``doc_id, base, spans``, arrays of (start, kind, end) by start, then kind.
 
-    ``base`` are the matches of the fixed patterns, ``spans`` those and the disclosing terms around them; offsets count
+    ``base`` are the matches of the fixed patterns, ``spans`` those and the disclosing terms of the text; offsets count
     code points, ends are exclusive, kinds are indexes of `KINDS`. A null text is empty. Ids may be null or repeated; an
     empty table gives an empty result; other columns are not looked at. Equal texts get equal spans.
     """

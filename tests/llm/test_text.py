@@ -162,6 +162,17 @@ def test_a_rare_name_beside_a_rare_address_discloses_it(spark):
     assert all(clean[i] == text for i, text in pairs[:150])
 
 
+def test_a_disclosing_name_goes_from_the_whole_document(spark):
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    pairs = [(i, f"{words[i % 6]} {words[i // 6 % 6]} {words[i // 36]} plain") for i in range(150)]
+    body = " ".join(words) + " plain"
+    pairs += [(200, f"QUILLON\n{body * 60}\nask Quillon at eve@z.org"), (201, f"Wexford {body * 60} +44 20 7946 0958")]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(spark, pairs)).collect()}
+    assert clean[200].startswith("<name>\n") and clean[200].endswith("<name> at <email>")
+    assert clean[201].startswith("<name> alpha") and clean[201].endswith("<phone>")
+    assert all(clean[i] == text for i, text in pairs[:150])
+
+
 def test_sanitised_nulls_stay(spark, odd_pairs):
     rows = pii.sanitise(make_docs(spark, odd_pairs)).collect()
     assert len(rows) == len(odd_pairs) and sum(r["text"] is None for r in rows) == 2
