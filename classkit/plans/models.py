@@ -356,14 +356,14 @@ def boosted_scores(spark, sf_dir):
 
 def _document_trees(spark, sf_dir):
     parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=ROUNDS, max_bins=64)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=ROUNDS)
     return model, parts.where("split = 'test'")
 
 
 @query("boosted_multiclass_report")
 def boosted_multiclass_report(spark, sf_dir):
     parts = split.stratified_split(vectors(spark, sf_dir), "vec_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS, max_bins=64)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS)
     scored = _with_class(boosting.predict_boosted(parts.where("split = 'test'"), model))
     return metrics.classification_report(scored, labels=range(CLASSES), digits=4)
 

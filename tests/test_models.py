@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from classkit.operators import boosting, knn, mlp, model_tables, scale, split
 from classkit.operators.early_stop import EarlyStopping, early_stop
+from classkit.plans import QUERIES
 
 
 def moons(spark, n=300, seed=0):
@@ -225,3 +226,23 @@ def test_missing_trees_are_reported(spark):
     nodes = boosting.chosen_trees(boosting.tree_table(spark, model, [0, 499]), [0, 499])
     by_tree = {r["tree_id"]: r["status"] for r in nodes.collect()}
     assert by_tree == {0: "found", 499: "missing"}
+
+
+class Called(Exception):
+    """Carries what a registered query hands to a trainer."""
+
+
+def handed(monkeypatch, spark, module, trainer, name):
+    def record(*tables, **settings):
+        raise Called(tables, settings)
+
+    monkeypatch.setattr(module, trainer, record)
+    with pytest.raises(Called) as caught:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    return caught.value.args
+
+
+@pytest.mark.parametrize("name", ["boosted_binary_report", "boosted_multiclass_report", "boosted_tree_nodes"])
+def test_registered_trees_have_all_bins(spark, monkeypatch, name):
+    _, settings = handed(monkeypatch, spark, boosting, "fit_boosted", name)
+    assert settings.get("max_bins", boosting.BINARY.max_bins) == 256
