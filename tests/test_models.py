@@ -246,3 +246,9 @@ def handed(monkeypatch, spark, module, trainer, name):
 def test_registered_trees_have_all_bins(spark, monkeypatch, name):
     _, settings = handed(monkeypatch, spark, boosting, "fit_boosted", name)
     assert settings.get("max_bins", boosting.BINARY.max_bins) == 256
+
+
+@pytest.mark.parametrize("name", ["mlp_early_stop_history", "mlp_test_summary", "mlp_edges", "mlp_nodes"])
+def test_registered_networks_take_batches_of_32_rows(spark, monkeypatch, name):
+    (train, *_), settings = handed(monkeypatch, spark, mlp, "fit_epochs", name)
+    assert settings["steps"] == -(-train.count() // 32)
