@@ -18,6 +18,8 @@ from classkit.llm.common import in_small_batches, tagged, unpacked, written
 _VARIABLE = re.compile(rb"\S*[0-9]\S*")
 MASK = b"<*>"
 DEPTH = 3
+# Equal lines of so many tokens recur if two documents have them.
+LONG_TOKENS = 50
 
 
 def _parse(line: bytes, depth: int, min_tokens: int) -> tuple[int, int, list[bytes]] | None:
@@ -87,13 +89,14 @@ def _dropper(depth: int, min_tokens: int):
     return drop
 
 
-def recurring_lines(docs: DataFrame, min_docs: int, share: float, depth: int, min_tokens: int) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int, share: float, depth: int, min_tokens: int, long_tokens: int) -> DataFrame:
     """``tag, lines``: per document (tag, id, text) the hashes of the lines that go.
 
     Lines with equal token count and equal leading tokens share a leaf of the tree. In a leaf, a token that ``min_docs``
     lines' documents have at a place is a constant there, any other is a variable field; a line whose constants make up
     ``share`` of its tokens has a template, the leaf with its constants. Templates of at least ``min_docs`` documents
-    recur; they stay in the document with the smallest id and go from all others.
+    recur; they stay in the document with the smallest id and go from all others. A line of at least ``long_tokens``
+    tokens is also a template by itself, which recurs if two documents have it, equal but for variable fields.
 
     Nothing is gathered by leaf: constants, templates and documents are counted, in each task first. Only lines in
     leaves that recur are looked at token by token.
@@ -101,12 +104,12 @@ def recurring_lines(docs: DataFrame, min_docs: int, share: float, depth: int, mi
     texts = docs.select("tag", F.coalesce("text", F.lit("")).alias("text"))
     schema = f"tag {docs.schema['tag'].dataType.simpleString()}, leaf long, line long, codes array<smallint>"
     seen = written(texts.mapInArrow(_occurrences(depth, min_tokens), schema), "occurrences")
-    counted = seen.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("tag").alias("tag"))
+    counted = seen.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("tag").alias("tag"), F.max(F.size("codes")).alias("size"))
     counted = written(counted, "counted")
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
     # Joins with all lines and all texts are shuffled ones at every size: their small sides grow with the corpus. Of a
     # line's many copies only one, by its document and so evenly spread, is asked for its tokens.
-    chosen = counted.join(written(leaves, "leaves").hint("merge"), "leaf", "left_semi")
+    chosen = counted.drop("size").join(written(leaves, "leaves").hint("merge"), "leaf", "left_semi")
     lines = chosen.hint("merge").join(seen.select("tag", "line", "codes"), ["tag", "line"]).drop("tag")
     lines = written(lines, "lines")
     tokens = lines.select("leaf", "line", "docs", F.size("codes").alias("n"), F.posexplode("codes").alias("place", "code"))
@@ -115,14 +118,17 @@ def recurring_lines(docs: DataFrame, min_docs: int, share: float, depth: int, mi
     constant = tokens.join(constants, ["leaf", "place", "code"]).groupBy("line", "leaf", "n")
     templates = constant.agg(F.bit_xor(F.xxhash64("place", "code")).alias("constants"), F.count("*").alias("constant"))
     templates = templates.where(F.col("constant") >= share * F.col("n"))
-    templates = written(templates.select("line", F.xxhash64("leaf", "constants").alias("template")), "templates")
+    templates = templates.select("line", F.xxhash64("leaf", "constants").alias("template"), F.lit(min_docs).alias("least"))
+    long = counted.where((F.col("docs") >= 2) & (F.col("size") >= long_tokens))
+    templates = templates.union(long.select("line", F.xxhash64("line", F.lit("long")), F.lit(2)))
+    templates = written(templates, "templates")
 
     hits = written(seen.select("tag", "line").join(templates, "line"), "hits")
-    per_doc = hits.groupBy("template", "tag").agg(F.lit(1).alias("one"))
+    per_doc = hits.groupBy("template", "tag").agg(F.max("least").alias("least"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")
     ids = docs.select("tag", "doc_id")
-    homes = per_doc.join(ids, "tag").groupBy("template").agg(F.count("*").alias("docs"), F.min(order).alias("home"))
-    homes = homes.where(F.col("docs") >= min_docs).select("template", F.col("home.tag").alias("home"))
+    homes = per_doc.join(ids, "tag").groupBy("template").agg(F.count("*").alias("docs"), F.max("least").alias("least"), F.min(order).alias("home"))
+    homes = homes.where("docs >= least").select("template", F.col("home.tag").alias("home"))
     homes = written(homes, "homes")
     gone = hits.join(homes, "template").where("tag != home")
     return gone.groupBy("tag").agg(F.collect_set("line").alias("lines"))
@@ -137,6 +143,7 @@ def drop_recurring_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     counts: bool = False,
+    long_tokens: int = LONG_TOKENS,
 ) -> DataFrame:
     """``docs``, all rows and columns, without the lines of recurring templates; ``counts`` adds n_lines and n_dropped.
 
@@ -147,7 +154,7 @@ def drop_recurring_lines(
     """
     rows = tagged(in_small_batches(docs))
     narrow = rows.select("tag", F.col("row").getField(id_col).alias("doc_id"), F.col("row").getField(text_col).alias("text"))
-    gone = written(recurring_lines(narrow, min_docs, share, depth, min_tokens), "gone")
+    gone = written(recurring_lines(narrow, min_docs, share, depth, min_tokens, long_tokens), "gone")
     text = F.col("row").getField(text_col)
     made = rows.join(gone.hint("merge"), "tag", "left").select("row", _dropper(depth, min_tokens)(text, F.col("lines")).alias("made"))
     more = [F.col("made.n_lines"), F.col("made.n_dropped")] if counts else []

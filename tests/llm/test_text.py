@@ -250,6 +250,13 @@ def test_recurring_lines(spark, odd_pairs, tmp_path):
     assert drop_lines(spark, [], str(tmp_path / "none")) == []
 
 
+def test_long_lines_of_two_documents_recur(spark):
+    passage, short = " ".join(f"word{'abcdefgh'[i % 8]}" for i in range(60)), "a line of a few words"
+    pairs = [(1, f"one\n{passage}\n{short}"), (2, f"two\n{passage}\n{short}"), (3, "three")]
+    got = line_templates.drop_recurring_lines(make_docs(spark, pairs).drop("n_lines"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: pairs[0][1], 2: f"two\n{short}", 3: "three"}
+
+
 def test_registered_recurring_lines(spark, sample):
     rows = {r["doc_id"]: r for r in QUERIES["op9_recurring_lines"](spark, SF).collect()}
     for i, text, n, dropped in plain_lines([(i, t) for i, t, _ in sample]):
