@@ -17,6 +17,13 @@ from classkit.llm.common import in_small_batches, tagged, unpacked, written
 # Tokens with a digit are variable fields wherever they stand.
 _VARIABLE = re.compile(rb"\S*[0-9]\S*")
 MASK = b"<*>"
+# Scripts without spaces (Thai, Lao, Myanmar, Khmer, kana, Chinese characters) in UTF-8: in longer runs, each character is
+# a token.
+_UNSPACED = (
+    rb"(?:\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xe2[\xba-\xbf][\x80-\xbf]"
+    rb"|[\xe3-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xb3][\x80-\xbf]{2})"
+)
+_CHARACTER, _RUN = re.compile(_UNSPACED), re.compile(_UNSPACED + rb"{6,}")
 DEPTH = 3
 # Equal lines of so many tokens recur if two documents have them.
 LONG_TOKENS = 50
@@ -26,6 +33,8 @@ def _parse(line: bytes, depth: int, min_tokens: int) -> tuple[int, int, list[byt
     """Leaf (token count and leading tokens), the line's own hash, and its tokens, variable fields masked."""
     if len(line) < 2 * min_tokens - 1:
         return None
+    if not line.isascii():
+        line = _RUN.sub(lambda run: b" " + _CHARACTER.sub(rb"\g<0> ", run[0]), line)
     tokens = _VARIABLE.sub(MASK, line).split()
     if len(tokens) < min_tokens:
         return None
@@ -148,7 +157,7 @@ def drop_recurring_lines(
     """``docs``, all rows and columns, without the lines of recurring templates; ``counts`` adds n_lines and n_dropped.
 
     See `recurring_lines` for what recurs. A line ends at a line feed; lines of fewer than ``min_tokens`` tokens always
-    stay. The first occurrence of everything stays, in the document with the smallest id (null ids after all others, and
+    stay; in runs of six or more characters of a script without spaces, each character is a token. The first occurrence of everything stays, in the document with the smallest id (null ids after all others, and
     of repeated ids one), so no content is lost; a document all of whose lines stand elsewhere becomes empty. Null texts
     stay null. An empty table gives an empty result.
     """

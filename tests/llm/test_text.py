@@ -257,6 +257,13 @@ def test_long_lines_of_two_documents_recur(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: pairs[0][1], 2: f"two\n{short}", 3: "three"}
 
 
+def test_lines_without_spaces_recur(spark):
+    lines = ["本网站的所有内容均受版权保护未经许可不得转载", "無断転載を禁じます詳しくは利用規約をご覧ください", "สงวนลิขสิทธิ์ห้ามทำซ้ำหรือเผยแพร่"]
+    pairs = [(i, "\n".join([*lines, f"page{'abcd'[i]}"])) for i in range(4)]
+    got = line_templates.drop_recurring_lines(make_docs(spark, pairs).drop("n_lines"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {i: t if not i else f"page{'abcd'[i]}" for i, t in pairs}
+
+
 def test_registered_recurring_lines(spark, sample):
     rows = {r["doc_id"]: r for r in QUERIES["op9_recurring_lines"](spark, SF).collect()}
     for i, text, n, dropped in plain_lines([(i, t) for i, t, _ in sample]):
