@@ -135,13 +135,13 @@ class CrossParser:
 def learn(labelled: DataFrame, seed: int = 42, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> dict[str, bytes]:
     """Per language in ``labelled`` (doc_id, text, lang), a sample of normalised text.
 
-    At most ``docs`` documents a language, those with the smallest hash of their id, give at most ``size`` bytes
+    At most ``docs`` documents a language, those with the smallest hash of their id (one row of each id), give at most ``size`` bytes
     together: a middle part of each. Rows with a null language, id or text are left out, and so are languages whose
     sampled texts have no letter; more than MAX_LANGUAGES languages are refused.
     """
     rows = labelled.where("lang is not null and doc_id is not null and text is not null")
     key = F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("key")
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("count")).limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
@@ -149,7 +149,7 @@ def learn(labelled: DataFrame, seed: int = 42, docs: int = SAMPLE_DOCS, size: in
     # Hash limits that let about four times the wanted documents through, so that few rows are ranked.
     limits = [(r["lang"], min(2**63 - 1, 2**64 * 4 * docs // r["count"] - 2**63)) for r in counts]
     limits = F.broadcast(labelled.sparkSession.createDataFrame(limits, "lang string, most long"))
-    few = rows.select("lang", "doc_id", key).join(limits, "lang").where("key <= most")
+    few = rows.select("lang", "doc_id", key).join(limits, "lang").where("key <= most").distinct()
     few = few.withColumn("place", F.expr("row_number() over (partition by lang order by key, doc_id)"))
     chosen = few.where(F.col("place") <= docs).select("doc_id").distinct().collect()
     chosen = rows.where(F.col("doc_id").isin([r[0] for r in chosen]))
@@ -157,7 +157,12 @@ def learn(labelled: DataFrame, seed: int = 42, docs: int = SAMPLE_DOCS, size: in
     share = max(64, size // docs)
     middle = F.greatest(F.lit(1), F.floor((F.char_length("text") - 2 * share) / 2) + 1).cast("int")
     parts = chosen.select("lang", "doc_id", key, F.expr("text").substr(middle, F.lit(2 * share)).alias("part"))
-    parts = parts.orderBy("lang", "key", "doc_id", "part").limit(len(counts) * docs * 4).collect()
+    parts = parts.groupBy("lang", "key", "doc_id").agg(F.min("part").alias("part"))
+    parts = parts.withColumn("place", F.expr("row_number() over (partition by lang order by key, doc_id)"))
+    parts = parts.where(F.col("place") <= docs).orderBy("lang", "place").collect()
+    lost = {r["lang"] for r in limits.collect()} - {r["lang"] for r in parts}
+    if lost:
+        raise RuntimeError(f"no sample of {sorted(lost)}")
     samples: dict[str, bytes] = {}
     for lang in sorted({r["lang"] for r in parts}):
         pure = [normalise(r["part"])[:share].decode("utf-8", "ignore").encode() for r in parts if r["lang"] == lang]

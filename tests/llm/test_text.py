@@ -66,6 +66,12 @@ def test_nothing_to_learn(spark, odd_pairs):
     assert langid.identify(make_docs(spark, [])).count() == 0
 
 
+def test_repeated_ids_leave_every_language_a_sample(spark):
+    rows = [(1, "ab cd", "aa")] * 600 + [(2, "ef gh", "bb"), (3, "ij kl", "bb")]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {x: s.count(b" ") for x, s in langid.learn(labelled).items()} == {"aa": 1, "bb": 3}
+
+
 def test_registered_languages_are_right(spark, sample):
     import zlib
 
