@@ -36,7 +36,7 @@ PAGE_BYTES, PAGE_ROWS = 256 << 10, 4_096
 # Rows and ids that leave a task together; a longer document leaves alone.
 BATCH_ROWS, BATCH_IDS = 1_000, 1 << 20
 # Characters whose words are looked up at once, and words that a worker remembers.
-SLICE_CHARS, KEPT_WORDS = 1 << 20, 1 << 19
+SLICE_CHARS, KEPT_WORDS = 1 << 20, 500_000
 MAX_PARTS = 1_000_000
 
 # What a file's pre-tokeniser must be so that no match ever holds white space (fixed value).
@@ -49,6 +49,18 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _MANIFEST = T.StructType([T.StructField("part", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("n_docs", "n_tokens", "base")]])
 
 
+class _Known(dict):
+    """Ids by word. What is not known comes from the words known before, so those that recur are kept, or is made."""
+
+    def __init__(self, make, before: dict[bytes, bytes]):
+        super().__init__()
+        self.make, self.before = make, dict(before)
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.before.get(word) or self.make(word)
+        return ids
+
+
 class WordEncoder:
     """Ids by the `tokenizers` library, without added begin or end ids, truncation or padding.
 
@@ -67,7 +79,7 @@ class WordEncoder:
         # Added tokens are of other characters, the bytes' letters those of the usual byte-level vocabularies.
         self.simple = self.by_words and not any(_SIMPLE.fullmatch(t["content"]) for t in about.get("added_tokens") or [])
         self.letters = {byte: letter for letter, byte in _byte_letters().items()}
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self.word, {})
 
     @staticmethod
     def _divides(about: dict) -> bool:
@@ -87,31 +99,33 @@ class WordEncoder:
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def word(self, word: bytes) -> bytes:
         """The ids of a word: a simple one's straight from the library's merges, several times as fast."""
-        simple = _SIMPLE.fullmatch(word) if self.simple else None
+        text = word.decode()
+        simple = _SIMPLE.fullmatch(text) if self.simple else None
         if not simple:
-            return self._library(word)
-        letters = "".join(map(self.letters.__getitem__, simple[1].lower().encode()))
-        merged = self.tokenizer.model.tokenize
-        tokens = merged(letters) + merged(simple[2]) if simple[2] else merged(letters)
-        return pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            return self._library(text)
+        letters, marks = simple[1].lower(), simple[2]
+        if marks or letters != text:  # made of others
+            return self.known[letters.encode()] + (self._merged(marks) if marks else b"")
+        return self._merged(text if text.isascii() else "".join(map(self.letters.__getitem__, word)))
+
+    def _merged(self, run: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize(run)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """All ids of the text, as little-endian unsigned 32-bit integers."""
         if not self.by_words:
             return self._library(text)
-        made, start, known = [], 0, self.known
+        made, start = [], 0
         while start < len(text):
             cut = _GAP.search(text, start + SLICE_CHARS) if len(text) - start > SLICE_CHARS else None
             end = cut.start() if cut else len(text)
             words = text[start:end].encode().split()  # of bytes, ASCII white space alone divides
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            for word in words:
-                if word not in known:
-                    known[word] = self._word(word.decode())
-            made.append(b"".join(map(known.__getitem__, words)))
+            if len(self.known) > KEPT_WORDS:
+                self.known = _Known(self.word, self.known)
+            made.append(b"".join(map(self.known.__getitem__, words)))
             start = end
         return b"".join(made)
 
