@@ -4,8 +4,9 @@ Occurrences are counted by multikey three-way quicksort of suffix pointers, leve
 pointers to the places of its texts by language and the d words there; the sizes of equal partitions are its counts.
 Counts are routed by the language and the leading words and summed, and partitions that stay below the least count are
 abandoned: a pointer is followed to depth d + 1 only if both phrases of d words in it, the leading and the trailing one,
-are in partitions that live on. Tasks learn those from a bitmap of phrase hashes of bounded size. Phrases that share a
-place in it are sorted and counted in vain and abandoned by their own count, so counts are exact at any size.
+are in partitions that live on. Tasks learn those from a bitmap of phrase hashes of bounded size. Pairs, of which most
+are rare, are first routed by their hashes alone, and only those that live are spelled out. Phrases that share a hash or a
+place in the bitmap are sorted and counted in vain and abandoned by their own count, so counts are exact at any size.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ _WORD = re.compile(rb"\.|[^ \t.]+")
 
 SLICE_BYTES = 1 << 22
 # Places that are sorted together, and the size below which a partition is sorted at once.
-BLOCK_WORDS, SMALL = 1 << 21, 2_048
+BLOCK_WORDS, SMALL = 1 << 20, 2_048
+# Different words that a task counts together, and rows that leave it together.
+KEPT_WORDS, ROWS = 500_000, 20_000
 # Bits of the bitmap of living phrases: 16 a phrase, within these bounds (128 KB and 32 MB).
 LEAST_BITS, MOST_BITS = 20, 28
 # Rows of a language that are ranked together before its first ones meet.
@@ -77,6 +80,11 @@ class Living:
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
 
+    @classmethod
+    def of(cls, shared) -> Living:
+        """From a broadcast bitmap."""
+        return cls(np.frombuffer(shared.value, np.uint8))
+
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & self.mask
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -138,31 +146,43 @@ class _Block:
         self.spans.append((self.langs.setdefault(lang, len(self.langs)), len(words), len(ahead) + 1))
         self.size += len(made)
 
-    def phrases(self, depth: int, living: Living) -> pa.RecordBatch:
-        """(lang, phrase, n) of the block's phrases of ``depth`` words, both parts of which live."""
-        codes = np.concatenate(self.codes)
-        langs = np.repeat([s[0] for s in self.spans], [s[1] + s[2] for s in self.spans])
-        begins = np.repeat([True, False] * len(self.spans), [x for s in self.spans for x in s[1:]])
-        words, names = list(self.index), list(self.langs)
-        hashes = np.fromiter(map(_digest, words), np.uint64, len(words))
-        lang_hashes = np.fromiter((_digest(n.encode()) for n in names), np.uint64, len(names))
-        # Living parts by the place where they begin; a part across a stop begins at no living place.
-        last = len(codes) - depth + 1
-        inside = codes != self.stop
-        part = np.zeros(len(codes), bool)
-        reach = max(0, len(codes) - depth + 2)
-        whole = np.logical_and.reduce([inside[d : d + reach] for d in range(depth - 1)])
-        at = np.flatnonzero(whole)
-        part[at] = living.holds(_folded([lang_hashes[langs[at]], *[hashes[codes[at + d]] for d in range(depth - 1)]]))
-        pointers = np.flatnonzero(begins[:last] & part[:last] & part[1 : last + 1]) if last > 0 else np.zeros(0, np.int64)
-        order, starts = multikey_quicksort([langs[pointers], *[codes[pointers + d] for d in range(depth)]])
-        sizes = np.diff(np.append(starts, len(order)))
-        first = pointers[order[starts]]
-        vocabulary = pa.array(words, pa.binary())
-        columns = [vocabulary.take(pa.array(codes[first + d])).cast(pa.string()) for d in range(depth)]
-        phrase = pc.binary_join_element_wise(*columns, " ") if depth > 1 else columns[0]
-        lang = pa.array(names, pa.string()).take(pa.array(langs[first]))
-        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(sizes, pa.int64())], names=["lang", "phrase", "n"])
+    def close(self) -> None:
+        """Put the texts together."""
+        self.words, self.names = list(self.index), list(self.langs)
+        self.all = np.concatenate(self.codes)
+        self.codes.clear()
+        self.of = np.repeat([s[0] for s in self.spans], [s[1] + s[2] for s in self.spans])
+        self.begins = np.repeat([True, False] * len(self.spans), [x for s in self.spans for x in s[1:]])
+        self.hashes = np.fromiter(map(_digest, self.words), np.uint64, len(self.words))
+        self.lang_hashes = np.fromiter((_digest(n.encode()) for n in self.names), np.uint64, len(self.names))
+
+    def hashed(self, pointers: np.ndarray, depth: int) -> np.ndarray:
+        return _folded([self.lang_hashes[self.of[pointers]], *[self.hashes[self.all[pointers + d]] for d in range(depth)]])
+
+    def places(self, depth: int, living: Living) -> np.ndarray:
+        """Pointers at which a living phrase of ``depth`` words lies within a piece, those to look at only included."""
+        inside, reach = self.all != self.stop, max(0, len(self.all) - depth + 1)
+        at = np.flatnonzero(np.logical_and.reduce([inside[d : d + reach] for d in range(depth)]))
+        return at[living.holds(self.hashed(at, depth))]
+
+    def partitions(self, depth: int, living: Living, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+        """A pointer into each equal partition of depth ``depth``, and its size. Followed are pointers to phrases that
+        live or, if not ``whole``, whose leading and trailing words, all but one, live."""
+        if whole:
+            pointers = self.places(depth, living)
+        else:
+            lives = np.zeros(len(self.all) + 1, bool)
+            lives[self.places(depth - 1, living)] = True
+            pointers = np.flatnonzero(lives[:-1] & lives[1:])
+        pointers = pointers[self.begins[pointers]]
+        order, starts = multikey_quicksort([self.of[pointers], *[self.all[pointers + d] for d in range(depth)]])
+        return pointers[order[starts]], np.diff(np.append(starts, len(order)))
+
+    def spelled(self, first: np.ndarray, depth: int) -> tuple[pa.Array, pa.Array]:
+        """Language and phrase at each pointer."""
+        vocabulary = pa.array(self.words, pa.binary())
+        columns = [vocabulary.take(pa.array(self.all[first + d])).cast(pa.string()) for d in range(depth)]
+        return pa.array(self.names, pa.string()).take(pa.array(self.of[first])), pc.binary_join_element_wise(*columns, " ")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -173,7 +193,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             own = counts.setdefault(lang.as_py(), Counter())
             for words, _ in _slices(text.as_py().encode(), 0):
                 own.update(words)
-            if sum(map(len, counts.values())) >= BLOCK_WORDS:
+            if sum(map(len, counts.values())) >= KEPT_WORDS:
                 yield from _listed(counts)
                 counts.clear()
     yield from _listed(counts)
@@ -185,44 +205,65 @@ def _listed(counts: dict[str, Counter]) -> Iterator[tuple]:
         yield from ((lang, word.decode(), n) for word, n in own.items())
 
 
-def _phrase_counts(depth: int, shared):
-    """mapInArrow over (lang, text): (lang, phrase, n) of blocks of texts."""
+def _sorted(depth: int, report):
+    """mapInArrow over (lang, text): what ``report`` gives of each block of texts, whose phrases have ``depth`` words at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        living, block = Living(np.frombuffer(shared.value, np.uint8)), _Block()
+        block = _Block()
 
-        def sorted_block() -> Iterator[pa.RecordBatch]:
-            made = block.phrases(depth, living) if block.size else None
-            for start in range(0, made.num_rows if made else 0, 20_000):
-                yield made.slice(start, 20_000)
+        def closed() -> Iterator[pa.RecordBatch]:
+            if block.size:
+                block.close()
+                yield from report(block)
 
         for batch in batches:
             for lang, text in zip(*batch.columns):
                 for words, ahead in _slices(text.as_py().encode(), depth - 1):
                     block.add(lang.as_py(), words, ahead)
                     if block.size >= BLOCK_WORDS:
-                        yield from sorted_block()
+                        yield from closed()
                         block = _Block()
-        yield from sorted_block()
+        yield from closed()
 
     return run
 
 
-def _bitmap(counted: DataFrame, depth: int) -> bytes:
-    """The phrases of a table (lang, phrase) as the bits of `Living`: at most 2**MOST_BITS of them."""
-    count = counted.count()
-    bits = min(max(LEAST_BITS, (16 * count).bit_length()), MOST_BITS)
-    mask = np.uint64((1 << bits) - 1)
+def _hashed_pairs(shared):
+    """(hash, n) of the pairs of living words."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = np.fromiter((_digest(x.encode()) for x in batch.column(0).to_pylist()), np.uint64, batch.num_rows)
-            words = [p.encode().split(b" ") for p in batch.column(1).to_pylist()]
-            columns = [np.fromiter((_digest(w[d]) for w in words), np.uint64, len(words)) for d in range(depth)]
-            at = (_folded([langs, *columns]) & mask).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
+    def report(block: _Block) -> Iterator[pa.RecordBatch]:
+        first, sizes = block.partitions(2, Living.of(shared), False)
+        for start in range(0, len(first), ROWS):
+            part = slice(start, start + ROWS)
+            hashes = block.hashed(first[part], 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(sizes[part], pa.int32())], names=["hash", "n"])
+
+    return _sorted(2, report)
+
+
+def _spelled_phrases(wanted: list[tuple[int, bool]], shared):
+    """(words, lang, phrase, n) of the phrases of each wanted length; see `_Block.partitions`."""
+
+    def report(block: _Block) -> Iterator[pa.RecordBatch]:
+        living = Living.of(shared)
+        for depth, whole in wanted:
+            first, sizes = block.partitions(depth, living, whole)
+            for start in range(0, len(first), ROWS):
+                part = slice(start, start + ROWS)
+                lang, phrase = block.spelled(first[part], depth)
+                words = pa.array(np.full(len(phrase), depth, np.int32))
+                yield pa.RecordBatch.from_arrays([words, lang, phrase, pa.array(sizes[part], pa.int64())], names=["words", "lang", "phrase", "n"])
+
+    return _sorted(max(depth for depth, _ in wanted), report)
 
-    at = counted.select("lang", "phrase").mapInArrow(places, "at long")
+
+def _bits(count: int) -> int:
+    return min(max(LEAST_BITS, (16 * count).bit_length()), MOST_BITS)
+
+
+def _bitmap(hashes: DataFrame, bits: int) -> bytes:
+    """The hashes of living phrases (one column) as the bits of `Living`, 2**bits of them."""
+    at = hashes.select((F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))).alias("at"))
     pages = at.groupBy(F.shiftright("at", 15).alias("page")).agg(F.expr("bitmap_construct_agg(at & 32767)").alias("bits"))
     made = np.zeros(1 << (bits - 3), np.uint8)
     for row in pages.collect():  # at most 2**(MOST_BITS - 15) pages of 4 KB
@@ -230,21 +271,42 @@ def _bitmap(counted: DataFrame, depth: int) -> bytes:
     return made.tobytes()
 
 
+def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of phrases (lang, phrase) of one length."""
+    for batch in batches:
+        langs = np.fromiter((_digest(x.encode()) for x in batch.column(0).to_pylist()), np.uint64, batch.num_rows)
+        words = list(zip(*(p.encode().split(b" ") for p in batch.column(1).to_pylist())))
+        columns = [np.fromiter(map(_digest, column), np.uint64, batch.num_rows) for column in words]
+        yield pa.RecordBatch.from_arrays([pa.array(_folded([langs, *columns]).view(np.int64))], names=["hash"])
+
+
 def phrase_counts(docs: DataFrame, max_words: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
     """Of a table (lang, text): words per language (lang, n), and for each length the phrases (lang, phrase, n) that
     occur at least ``least`` times within pieces, overlaps included."""
     spark = docs.sparkSession
     ddl = "lang string, phrase string, n long"
     schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
-    found = docs.mapInArrow(lambda batches: rebatched(_word_counts(batches), schema, 20_000), ddl)
+    found = docs.mapInArrow(lambda batches: rebatched(_word_counts(batches), schema, ROWS), ddl)
     words = written(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     counted = [words.where(F.col("n") >= least)]
-    for depth in range(2, max_words + 1):
-        shared = spark.sparkContext.broadcast(_bitmap(counted[-1], depth - 1))
-        found = docs.mapInArrow(_phrase_counts(depth, shared), ddl)
-        routed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        counted.append(written(routed, "phrases"))
+
+    def shared(hashes: DataFrame, count: int):
+        return spark.sparkContext.broadcast(_bitmap(hashes, _bits(count)))
+
+    living = shared(counted[0].select("lang", "phrase").mapInArrow(_phrase_hashes, "hash long"), counted[0].count())
+    # Most of a task's pairs are different: they are routed as they are and summed where they meet.
+    pairs = docs.mapInArrow(_hashed_pairs(living), "hash long, n int").repartition("hash")
+    pairs = written(pairs.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("hash"), "pairs")
+    living = shared(pairs, pairs.count())
+    for depth in range(min(3, max_words), max_words + 1):
+        wanted = [(2, True)] * (depth <= 3) + [(depth, False)] * (depth > 2)
+        found = docs.mapInArrow(_spelled_phrases(wanted, living), f"words int, {ddl}")
+        routed = found.groupBy("words", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        routed = written(routed, "phrases")
+        counted += [routed.where(F.col("words") == w).drop("words") for w, _ in wanted]
+        if depth < max_words:
+            living = shared(counted[-1].select("lang", "phrase").mapInArrow(_phrase_hashes, "hash long"), counted[-1].count())
     return totals, counted
 
 
