@@ -7,19 +7,24 @@ partials up, and the driver keeps the network.
 
 * :func:`fit_full_batch` takes one Adam step per pass over all rows. Several
   networks, one per held-out fold, are trained by the same passes.
-* :func:`fit_epochs` takes one Adam step per batch of rows, each a distributed
-  sum of gradients as well; the number of batches is an argument.
+* :func:`fit_epochs` takes one Adam step per batch of rows. Small batches are a
+  relay: their order is sequential by nature, so the weights and Adam's state go
+  from partition to partition, and a task takes all steps of its batches. With
+  ``steps``, large batches are summed by all tasks at once, a job per step.
+
+Rows are packed once into an RDD of numpy blocks, which is kept; a pass is a job
+over it, without a query plan of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +39,11 @@ from classkit.runtime import local_table
 ADAM_BETA1, ADAM_BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
 STALL_TOLERANCE, STALL_ITERATIONS = 1e-4, 10
 
-STEPS = 8  # Adam steps, and so batches, per epoch unless asked otherwise
+BATCH_ROWS = 32  # rows of an Adam step of the relay, on average (fixed value)
 FAN_IN = 256  # partial results added up by one task
 TASK_VALUES = 1 << 21  # numbers that a task of a training pass should have at least: 16 MB
+RELAY_ROWS = 100_000  # rows of a relay's partition, which a task reads whole
+UNIT_ROWS = 1_000  # validation rows that are measured together
 
 
 @dataclass
@@ -134,59 +141,106 @@ class Adam:
         self.flat -= self.rate * scale * self.first / (np.sqrt(self.second) + ADAM_EPS)
 
 
-def _sum_partials(partials: DataFrame, tasks: int) -> dict[int, np.ndarray]:
-    """Add up ``(net, values)`` rows, of which every task emits one per network.
-
-    Up to FAN_IN tasks the driver adds them; for more, executors first add up
-    FAN_IN tasks at a time, so the driver gets few rows in either case.
-    """
-    if tasks > FAN_IN:
-        total = vector_to_array(Summarizer.sum(array_to_vector("values")))
-        slot = F.floor(F.spark_partition_id() / FAN_IN)
-        partials = partials.withColumn("slot", slot).groupBy("net", "slot").agg(total.alias("values"))
+def _added(partials: list[dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
+    """Partial results added by network, in their order."""
     sums: dict[int, np.ndarray] = {}
-    for net, values in zip(*partials.select("net", "values").toArrow().to_pydict().values(), strict=True):
-        sums[net] = sums.get(net, 0.0) + np.array(values)
+    for part in partials:
+        for net, values in part.items():
+            sums[net] = sums[net] + values if net in sums else values
     return sums
 
 
-def _partial_schema() -> T.StructType:
-    return T.StructType().add("net", "integer").add("values", T.ArrayType(T.DoubleType()))
+def _summed(partials: RDD) -> dict[int, np.ndarray]:
+    """Add up the results of tasks, one ``{network: values}`` each.
 
-
-def _partial_rows(values: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if values:
-        columns = [
-            pa.array(list(values), pa.int32()),
-            pa.array([v.tolist() for v in values.values()], pa.list_(pa.float64())),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["net", "values"])
+    Up to FAN_IN tasks the driver adds them; for more, executors first add up
+    FAN_IN neighbours at a time, so the driver gets few in either case.
+    """
+    tasks = partials.getNumPartitions()
+    if tasks > FAN_IN:
+        groups = -(-tasks // FAN_IN)
+        numbered = partials.mapPartitionsWithIndex(lambda at, parts: ((at // FAN_IN, (at, p)) for p in parts))
+        gathered = numbered.groupByKey(groups).mapValues(lambda parts: _added([p for _, p in sorted(parts, key=lambda x: x[0])]))
+        return _added([p for _, p in sorted(gathered.collect(), key=lambda x: x[0])])
+    return _added(partials.collect())
 
 
 # What a block of training rows holds; ``tag`` is a fold or a batch.
 TRAINING = {"features": np.float64, "label": np.int32, "tag": np.int32}
 
 
-def training_blocks(
-    df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None, each: bool = False
-):
-    """Training rows in blocks; with ``each``, the rows of each tag in blocks of their own, told by column ``part``."""
+def training_blocks(df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None) -> DataFrame:
+    """Training rows in blocks, in the order of the rows."""
     rows = df.select(
         F.col(features).cast("array<double>").alias("features"),
         F.col(label).cast("int").alias("label"),
         (F.lit(0) if tag is None else tag).cast("int").alias("tag"),
     )
-    return pack(rows, TRAINING, part="tag" if each else None)
+    return pack(rows, TRAINING)
 
 
-def _training(batches):
-    for held in blocks(batches, TRAINING):
-        yield held["features"], held["label"][:, 0], held["tag"][:, 0]
+def _unpacked(rows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of `training_blocks` as (features, labels, tags)."""
+    for row in rows:
+        held = [np.frombuffer(row[name], dtype).reshape(row["rows"], -1) for name, dtype in TRAINING.items()]
+        yield held[0], held[1][:, 0], held[2][:, 0]
 
 
-def _spread(blocks: DataFrame, rows: int, width: int) -> DataFrame:
+def training_rows(df: DataFrame, features: str = "features", label: str = "label", tag: Column | None = None) -> RDD:
+    """(features, labels, tags) blocks of training rows, for one pass."""
+    return training_blocks(df, features, label, tag).rdd.mapPartitions(_unpacked)
+
+
+def _kept(blocks: DataFrame, rows: int, width: int) -> RDD:
     """Blocks for repeated passes: no more tasks than their size is worth, since a pass costs a start of each."""
-    return blocks.coalesce(max(2, -(-rows * width // TASK_VALUES))).persist()
+    few = blocks.coalesce(max(2, -(-rows * width // TASK_VALUES)))
+    return few.rdd.mapPartitions(_unpacked).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _in_units(rows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]]:
+    """Rows that are sorted by tag as (features, labels, tags, edges of the tags' rows), no tag in two blocks."""
+    held: tuple[np.ndarray, ...] | None = None
+    for block in _unpacked(rows):
+        held = block if held is None else tuple(np.concatenate(both) for both in zip(held, block, strict=True))
+        edges = np.flatnonzero(np.diff(held[2])) + 1
+        if len(edges):  # the last tag may go on in the next block
+            yield held[0][: edges[-1]], held[1][: edges[-1]], held[2][[0, *edges[:-1]]], [0, *edges.tolist()]
+            held = tuple(a[edges[-1] :] for a in held)
+    if held is not None and len(held[0]):
+        yield held[0], held[1], held[2][:1], [0, len(held[0])]
+
+
+def _dealt(df: DataFrame, id_col: str, features: str, label: str, rows: int, units: int, seed: int) -> RDD:
+    """Rows dealt to ``units`` batches by their ids, over partitions of about RELAY_ROWS rows in the batches' order.
+
+    A partition holds whole batches or, of batches that are larger, a share of one; either is told by number alone.
+    Rows of a batch are in the order of ids, features and labels. So the same table gives the same blocks, however it
+    was partitioned.
+    """
+    key = batch_key(F.col(id_col), seed)
+    parts, shares = _partitions(rows, units)
+    unit, share = key % units, F.floor(key / units) % shares
+    named = df.select(
+        F.col(features).cast("array<double>").alias("features"),
+        F.col(label).cast("int").alias("label"),
+        unit.cast("int").alias("unit"),
+        (F.floor(unit * parts / units) if shares == 1 else unit * shares + share).cast("int").alias("part"),
+        F.col(id_col).alias("id"),
+    )
+    ordered = named.repartitionById(parts * shares, "part").sortWithinPartitions("unit", "id", "features", "label")
+    packed = training_blocks(ordered, tag=F.col("unit"))
+    return packed.rdd.mapPartitions(_in_units).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _partitions(rows: int, units: int) -> tuple[int, int]:
+    """Partitions for whole batches, and shares of each batch: one of both is 1 or the other all batches."""
+    parts = max(1, -(-rows // RELAY_ROWS))
+    return (parts, 1) if parts <= units else (units, -(-parts // units))
+
+
+def batch_key(id_col: Column, seed: int) -> Column:
+    """A number below 2**32 by which rows are dealt to batches: the first digits of ``md5(id | seed)``."""
+    return F.conv(F.substring(F.md5(F.concat(id_col.cast("string"), F.lit(f"|{seed}"))), 1, 8), 16, 10).cast("long")
 
 
 @dataclass
@@ -200,19 +254,17 @@ def output_units(n_classes: int) -> int:
     return 1 if n_classes == 2 else n_classes
 
 
-def sum_gradients(
-    rows: DataFrame, fits: dict[int, Fit], held_out: bool = False, tasks: int = 1
-) -> dict[int, np.ndarray]:
-    """Per network ``[rows, loss, gradient..]`` summed over training blocks, in one pass.
+def sum_gradients(rows: RDD, fits: dict[int, Fit], held_out: bool = False) -> dict[int, np.ndarray]:
+    """Per network ``[rows, loss, gradient..]`` summed over (features, labels, folds) blocks, in one pass.
 
     With ``held_out`` a network skips the rows of the fold it is named after.
     """
-    shared = rows.sparkSession.sparkContext.broadcast({k: (*f.network.arrays, f.scale) for k, f in fits.items()})
+    shared = rows.context.broadcast({k: (*f.network.arrays, f.scale) for k, f in fits.items()})
 
-    def partials(batches):
+    def partials(blocks):
         networks = {k: (Network(w, b), scale) for k, (w, b, scale) in shared.value.items()}
         totals: dict[int, np.ndarray] = {}
-        for x, y, fold in _training(batches):
+        for x, y, fold in blocks:
             for name, (network, scale) in networks.items():
                 used = fold != name if held_out else slice(None)
                 xs, ys = x[used], y[used]
@@ -223,10 +275,10 @@ def sum_gradients(
                 loss, gradient = network.gradient(xs, ys)
                 part = np.concatenate([[len(ys), loss], gradient])
                 totals[name] = totals[name] + part if name in totals else part
-        yield from _partial_rows(totals)
+        yield totals
 
     try:
-        return _sum_partials(rows.mapInArrow(partials, _partial_schema()), tasks)
+        return _summed(rows.mapPartitions(partials))
     finally:
         shared.unpersist()
 
@@ -260,9 +312,8 @@ def fit_full_batch(
     """
     keys = list(folds) if folds is not None else [0]
     n_rows, width = clean_vector_shape(train, features)
-    rows = _spread(training_blocks(train, features, label, None if folds is None else F.col("fold")), n_rows, width)
+    rows = _kept(training_blocks(train, features, label, None if folds is None else F.col("fold")), n_rows, width)
     scales = _scales(scalers, keys)
-    tasks = rows.rdd.getNumPartitions()
     start = start or Network.create([width, *hidden, output_units(n_classes)], seed)
     adams = {k: Adam(start.flat, rate) for k in keys}
     fits = {k: Fit(start.like(adams[k].flat), scale=scales[k]) for k in keys}  # views of the moving weights
@@ -271,7 +322,7 @@ def fit_full_batch(
     active = set(keys)
     try:
         for _ in range(max_iter):
-            sums = sum_gradients(rows, {k: fits[k] for k in sorted(active)}, folds is not None, tasks)
+            sums = sum_gradients(rows, {k: fits[k] for k in sorted(active)}, folds is not None)
             for k, total in sums.items():
                 n, loss, gradient = total[0], total[1], total[2:]
                 penalised = loss / n + 0.5 * alpha * fits[k].network.penalty / n
@@ -290,23 +341,21 @@ def fit_full_batch(
     return fits
 
 
-def _measure(rows: DataFrame, network: Network, tasks: int) -> tuple[float, float]:
-    """Mean cross-entropy and accuracy over training blocks."""
-    shared = rows.sparkSession.sparkContext.broadcast(network.arrays)
+def _measure(units: RDD, network: Network) -> tuple[float, float]:
+    """Mean cross-entropy and accuracy over the units of `_dealt`, added in their order."""
+    weights = network.arrays
 
-    def run(batches):
-        held, total = Network(*shared.value), np.zeros(3)
-        for x, y, _ in _training(batches):
-            p = held.activations(x)[-1]
-            predicted = (p[:, 0] >= DECISION_THRESHOLD).astype(int) if p.shape[1] == 1 else p.argmax(axis=1)
-            total += [len(y), cross_entropy(p, y).sum(), (predicted == y).sum()]
-        yield from _partial_rows({0: total})
+    def run(blocks):
+        held, found = Network(*weights), []
+        for x, y, _, edges in blocks:
+            for a, b in zip(edges, edges[1:]):
+                p = held.activations(x[a:b])[-1]
+                predicted = (p[:, 0] >= DECISION_THRESHOLD).astype(int) if p.shape[1] == 1 else p.argmax(axis=1)
+                found.append([b - a, cross_entropy(p, y[a:b]).sum(), (predicted == y[a:b]).sum()])
+        yield np.array(found).reshape(-1, 3)
 
-    try:
-        n, loss, hits = _sum_partials(rows.mapInArrow(run, _partial_schema()), tasks)[0]
-    finally:
-        shared.unpersist()
-    return float(loss / n), float(hits / n)
+    n, loss, hits = (math.fsum(column) for column in np.concatenate(units.mapPartitions(run).collect()).T)
+    return loss / n, hits / n
 
 
 @dataclass
@@ -317,6 +366,49 @@ class EpochFit:
     scale: tuple[np.ndarray, np.ndarray] | None = None
 
 
+def _relay(units: RDD, adam: Adam, shape: Network, decay: np.ndarray) -> Adam:
+    """An epoch: every partition's batches in turn, a job per partition that takes Adam's state and hands it on.
+
+    A lost task is run again from the state it was given, which gives the same weights.
+    """
+    for at in range(units.getNumPartitions()):
+
+        def run(blocks, given=adam):
+            network = shape.like(given.flat)  # views of the moving weights
+            for x, y, _, edges in blocks:
+                for a, b in zip(edges, edges[1:]):
+                    _, gradient = network.gradient(x[a:b], y[a:b])
+                    given.move((gradient + decay * given.flat) / (b - a))
+            yield given
+
+        (adam,) = units.context.runJob(units, run, [at])
+    return adam
+
+
+def _large_steps(units: RDD, adam: Adam, shape: Network, decay: np.ndarray, steps: int) -> Adam:
+    """An epoch of ``steps`` batches, each summed by the tasks that hold its shares, and by them alone."""
+    shares = max(1, units.getNumPartitions() // steps)
+    for step in range(steps):
+        weights = shape.like(adam.flat).arrays
+
+        def run(blocks, step=step, weights=weights):
+            network, total = Network(*weights), 0.0
+            for x, y, tags, edges in blocks:
+                for tag, a, b in zip(tags, edges, edges[1:]):
+                    if tag == step:
+                        loss, gradient = network.gradient(x[a:b], y[a:b])
+                        total = total + np.concatenate([[b - a, loss], gradient])
+            yield total
+
+        held = range(step * shares, (step + 1) * shares) if units.getNumPartitions() >= steps else [step * units.getNumPartitions() // steps]
+        total = 0.0
+        for first in range(0, len(held), FAN_IN):  # so many results at once on the driver
+            total = total + sum(units.context.runJob(units, run, list(held[first : first + FAN_IN])))
+        if np.ndim(total):  # a batch of a tiny table may be empty
+            adam.move((total[2:] + decay * adam.flat) / total[0])
+    return adam
+
+
 def fit_epochs(
     train: DataFrame,
     valid: DataFrame,
@@ -327,41 +419,44 @@ def fit_epochs(
     hidden: Sequence[int] = (64, 32, 16),
     alpha: float = 1e-4,
     rate: float = 1e-3,
-    steps: int = STEPS,
+    steps: int | None = None,
     max_epochs: int = MAX_EPOCHS,
     stopping: EarlyStopping | None = None,
     seed: int = 42,
+    batch_rows: int = BATCH_ROWS,
+    start: Network | None = None,
 ) -> EpochFit:
     """Epochs of mini-batch Adam with early stopping on the validation loss.
 
-    An epoch takes ``steps`` Adam steps. Rows are dealt to as many batches by
-    their ids, and a step is one distributed sum of gradients over its batch, so
-    the same table gives the same network however it is partitioned, at any
-    size, and no task needs more than its own rows. ``steps`` = rows / 32 gives
-    batches of 32 rows; fewer steps give larger batches and fewer jobs. The
-    network kept is the one of the best epoch.
+    Rows are dealt by their ids to batches of ``batch_rows`` rows on average, and
+    an epoch takes an Adam step per batch, in their order: a relay of one small
+    job per RELAY_ROWS rows, whose tasks hold no more than their partition. Such
+    steps follow one another by nature, so an epoch takes as long on a cluster as
+    on one machine. With ``steps``, there are as many large batches, and a step
+    is a distributed sum of gradients: the way for tables of very many rows.
+
+    The same table gives the same network however it is partitioned. The network
+    kept is the one of the best epoch; ``start`` replaces random first weights.
     """
     stopping = stopping or EarlyStopping()
     n_train, width = clean_vector_shape(train, features)
     n_valid, valid_width = clean_vector_shape(valid, features)
     if valid_width != width:
         raise ValueError(f"{features}: the validation vectors have another width than {width}")
-    batch = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(steps)).cast("int")
-    dealt = _spread(training_blocks(train, features, label, batch, each=True), n_train, width)
-    held_out = _spread(training_blocks(valid, features, label), n_valid, width)
-    tasks = [rows.rdd.getNumPartitions() for rows in (dealt, held_out)]
-    start = Network.create([width, *hidden, output_units(n_classes)], seed)
-    adam = Adam(start.flat, rate)
-    network, decay = start.like(adam.flat), start.decay(alpha)  # views of the moving weights
+    spread = steps or max(1, -(-n_train // batch_rows))
+    dealt = _dealt(train, id_col, features, label, n_train, spread, seed)
+    held_out = _dealt(valid, id_col, features, label, n_valid, max(1, -(-n_valid // UNIT_ROWS)), seed)
+    start = start or Network.create([width, *hidden, output_units(n_classes)], seed)
+    adam, decay = Adam(start.flat, rate), start.decay(alpha)
     best, history = start, []
     try:
         for epoch in range(1, max_epochs + 1):
-            for step in range(steps):
-                sums = sum_gradients(dealt.where(F.col("part") == step), {0: Fit(network)}, tasks=tasks[0])
-                if 0 in sums:  # a batch of a tiny table may be empty
-                    n, gradient = sums[0][0], sums[0][2:]
-                    adam.move((gradient + decay * adam.flat) / n)
-            loss, accuracy = _measure(held_out, network, tasks[1])
+            if steps:
+                adam = _large_steps(dealt, adam, start, decay, steps)
+            else:
+                adam = _relay(dealt, adam, start, decay)
+            network = start.like(adam.flat)
+            loss, accuracy = _measure(held_out, network)
             if not np.isfinite(loss):
                 raise FloatingPointError(f"validation loss is {loss} in epoch {epoch}")
             history.append({"epoch": epoch, "val_loss": loss, "val_acc": accuracy})

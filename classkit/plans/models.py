@@ -28,7 +28,6 @@ from classkit.runtime import written
 from classkit.sources import pack_features
 
 ROUNDS = 4
-BATCH_ROWS = 32  # rows of an Adam step of the networks with epochs, on average
 # The trees of the binary model that are shown.
 BINARY_TREE_IDS = [0, 4, 499, 14_999]
 
@@ -107,7 +106,7 @@ SELECT layer, src::INTEGER AS src, dst::INTEGER AS dst, round(gradient, 6) AS gr
 def mlp_gradient(spark, sf_dir):
     """The summed gradient of one full pass."""
     network = formula_network()
-    total = mlp.sum_gradients(mlp.training_blocks(vectors(spark, sf_dir)), {0: mlp.Fit(network)})[0]
+    total = mlp.sum_gradients(mlp.training_rows(vectors(spark, sf_dir)), {0: mlp.Fit(network)})[0]
     return _network_table(spark, network.like(total[2:]), "gradient")
 
 
@@ -130,6 +129,64 @@ def mlp_first_step(spark, sf_dir):
     return _network_table(spark, fit.network, "weight")
 
 
+# --- a short epoch: three batches, one after the other -------------------------
+
+EPOCH_STEPS, EPOCH_ALPHA = 3, 1e-4
+
+
+def _epoch_sql() -> str:
+    """Forward pass, gradient and Adam's step for each batch in turn, from the formula network."""
+    sql = f"""WITH {VECTORS},
+x AS MATERIALIZED (
+  SELECT vec_id, label, ('0x' || substr(md5(concat(vec_id::VARCHAR, '|{SEED}')), 1, 8))::BIGINT % {EPOCH_STEPS} AS batch,
+    unnest(features) AS x, generate_subscripts(features, 1) - 1 AS i FROM vectors),
+w0 AS MATERIALIZED (
+  SELECT *, 0::DOUBLE AS m, 0::DOUBLE AS v, CASE WHEN src >= 0 THEN {EPOCH_ALPHA}::DOUBLE ELSE 0 END AS decay FROM (
+    SELECT 0 AS layer, i AS src, j AS dst, sin(1.0::DOUBLE + i * {HIDDEN} + j) / 4 AS w FROM range({WIDTH}) a(i), range({HIDDEN}) b(j)
+    UNION ALL SELECT 1, j, k, sin(1.0::DOUBLE + j * {CLASSES} + k) / 4 FROM range({HIDDEN}) a(j), range({CLASSES}) b(k)
+    UNION ALL SELECT 0, -1, j, cos(j::DOUBLE) / 4 FROM range({HIDDEN}) a(j)
+    UNION ALL SELECT 1, -1, k, cos(k::DOUBLE) / 4 FROM range({CLASSES}) a(k)))"""
+    for t in range(EPOCH_STEPS):
+        rate = f"0.001::DOUBLE * sqrt(1 - pow(0.999::DOUBLE, {t + 1})) / (1 - pow(0.9::DOUBLE, {t + 1}))"
+        sql += f""",
+a{t} AS MATERIALIZED (
+  SELECT x.vec_id, x.label, w.dst AS j, sum(x.x * w.w) + any_value(c.w) AS z
+  FROM x JOIN w{t} w ON w.layer = 0 AND w.src = x.i JOIN w{t} c ON c.layer = 0 AND c.src = -1 AND c.dst = w.dst
+  WHERE x.batch = {t} GROUP BY x.vec_id, x.label, w.dst),
+z{t} AS (
+  SELECT a.vec_id, a.label, w.dst AS k, sum(greatest(a.z, 0) * w.w) + any_value(c.w) AS z
+  FROM a{t} a JOIN w{t} w ON w.layer = 1 AND w.src = a.j JOIN w{t} c ON c.layer = 1 AND c.src = -1 AND c.dst = w.dst
+  GROUP BY a.vec_id, a.label, w.dst),
+d{t} AS MATERIALIZED (SELECT vec_id, k, exp(z) / sum(exp(z)) OVER (PARTITION BY vec_id) - (label = k)::INT AS d FROM z{t}),
+e{t} AS MATERIALIZED (
+  SELECT a.vec_id, a.j, sum(d.d * w.w) * (any_value(a.z) > 0)::INT AS d
+  FROM a{t} a JOIN w{t} w ON w.layer = 1 AND w.src = a.j JOIN d{t} d ON d.vec_id = a.vec_id AND d.k = w.dst GROUP BY a.vec_id, a.j),
+g{t} AS (
+  SELECT 0 AS layer, x.i AS src, e.j AS dst, sum(x.x * e.d) AS g FROM x JOIN e{t} e ON e.vec_id = x.vec_id GROUP BY x.i, e.j
+  UNION ALL SELECT 0, -1, j, sum(d) FROM e{t} GROUP BY j
+  UNION ALL SELECT 1, a.j, d.k, sum(greatest(a.z, 0) * d.d) FROM a{t} a JOIN d{t} d ON d.vec_id = a.vec_id GROUP BY a.j, d.k
+  UNION ALL SELECT 1, -1, k, sum(d) FROM d{t} GROUP BY k),
+s{t} AS (
+  SELECT w.layer, w.src, w.dst, w.w, w.decay, w.m, w.v,
+    (g.g + w.decay * w.w) / (SELECT count(DISTINCT vec_id) FROM x WHERE batch = {t}) AS g
+  FROM w{t} w JOIN g{t} g ON g.layer = w.layer AND g.src = w.src AND g.dst = w.dst),
+m{t} AS (SELECT * REPLACE (m + 0.1::DOUBLE * (g - m) AS m, v + 0.001::DOUBLE * (g * g - v) AS v) FROM s{t}),
+w{t + 1} AS MATERIALIZED (SELECT layer, src, dst, w - {rate} * m / (sqrt(v) + 1e-8::DOUBLE) AS w, m, v, decay FROM m{t})"""
+    return sql + f"""
+SELECT layer, src::INTEGER AS src, dst::INTEGER AS dst, round(w, 6) AS weight FROM w{EPOCH_STEPS}"""
+
+
+@query("mlp_first_epoch", _epoch_sql())
+def mlp_first_epoch(spark, sf_dir):
+    """All weights after the relay of one epoch from the formula network, in three batches."""
+    df = vectors(spark, sf_dir)
+    third = -(-df.count() // EPOCH_STEPS)
+    fit = mlp.fit_epochs(
+        df, df, "vec_id", n_classes=CLASSES, alpha=EPOCH_ALPHA, max_epochs=1, seed=SEED, batch_rows=third, start=formula_network()
+    )
+    return _network_table(spark, fit.network, "weight")
+
+
 # --- scaled network on ten classes, with cross-validation --------------------
 
 
@@ -173,8 +230,7 @@ def _document_network(spark, sf_dir, table=None):
     scaler = scale.fit_scaler(parts.where("split = 'train'"), "features")
     scaled = scale.apply_scaler(parts, scaler, "features")
     train, valid, test = (scaled.where(F.col("split") == s) for s in ("train", "valid", "test"))
-    steps = max(1, -(-train.count() // BATCH_ROWS))
-    fit = mlp.fit_epochs(train, valid, "doc_id", steps=steps, seed=SEED)
+    fit = mlp.fit_epochs(train, valid, "doc_id", seed=SEED)
     return fit, test
 
 

@@ -83,10 +83,13 @@ def test_fold_networks_equal_separate_fits(spark):
     assert scored.count() == 90 and scored.where(F.abs(F.col("p")[0] + F.col("p")[1] - 1) > 1e-12).count() == 0
 
 
-def test_epochs_equal_a_plain_loop(spark):
+@pytest.mark.parametrize("how", [{"batch_rows": 33}, {"steps": 4}, {"batch_rows": 33, "relay": 40}, {"steps": 4, "relay": 20}])
+def test_epochs_equal_a_plain_loop(spark, monkeypatch, how):
     df = moons(spark, 130)
-    fit = mlp.fit_epochs(df.repartition(3), df, "id", hidden=(5,), max_epochs=3, steps=4)
-    rows = df.withColumn("batch", F.expr("pmod(xxhash64(id, 42), 4)")).orderBy("id").collect()
+    monkeypatch.setattr(mlp, "RELAY_ROWS", how.get("relay", mlp.RELAY_ROWS))  # several partitions, or shares of a batch
+    settings = {k: v for k, v in how.items() if k != "relay"}
+    fit = mlp.fit_epochs(df.repartition(3), df, "id", hidden=(5,), max_epochs=3, **settings)
+    rows = df.withColumn("batch", mlp.batch_key(F.col("id"), 42) % 4).orderBy("id").collect()
     x, y = np.array([r["features"] for r in rows]), np.array([r["label"] for r in rows])
     batch = np.array([r["batch"] for r in rows])
     network, losses, adam = mlp.Network.create([2, 5, 1]), [], PlainAdam(1e-3)
@@ -99,12 +102,23 @@ def test_epochs_equal_a_plain_loop(spark):
     assert np.allclose([h["val_loss"] for h in fit.history], losses)
 
 
-def test_epochs_do_not_depend_on_partitions(spark):
+@pytest.mark.parametrize("how", [{"batch_rows": 10}, {"steps": 5}])
+def test_epochs_do_not_depend_on_partitions(spark, how):
     df = moons(spark, 200)
     one, two = (
-        mlp.fit_epochs(df.repartition(n), df, "id", hidden=(5,), max_epochs=3, steps=5).network.flat for n in (1, 6)
+        mlp.fit_epochs(df.repartition(n), df.repartition(n), "id", hidden=(5,), max_epochs=3, **how) for n in (1, 6)
     )
-    assert np.allclose(one, two)
+    assert one.history == two.history and (one.network.flat == two.network.flat).all()
+
+
+def test_a_pass_of_very_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mlp, "FAN_IN", 2)
+    df = moons(spark, 60)
+    rows = mlp.training_rows(df.repartition(7))
+    network = mlp.Network.create([2, 3, 1])
+    total = mlp.sum_gradients(rows, {0: mlp.Fit(network)})[0]
+    x, y = (np.array([r[c] for r in df.collect()]) for c in ("features", "label"))
+    assert total[0] == 60 and np.allclose(total[2:], network.gradient(x, y)[1])
 
 
 @pytest.mark.parametrize("bad", [None, [1.0, None], [1.0, float("nan")], [1.0]])
@@ -251,4 +265,4 @@ def test_registered_trees_have_all_bins(spark, monkeypatch, name):
 @pytest.mark.parametrize("name", ["mlp_early_stop_history", "mlp_test_summary", "mlp_edges", "mlp_nodes"])
 def test_registered_networks_take_batches_of_32_rows(spark, monkeypatch, name):
     (train, *_), settings = handed(monkeypatch, spark, mlp, "fit_epochs", name)
-    assert settings["steps"] == -(-train.count() // 32)
+    assert settings.get("batch_rows", mlp.BATCH_ROWS) == 32 and "steps" not in settings
