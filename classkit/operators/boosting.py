@@ -5,7 +5,12 @@ bins once; each level of a tree needs, per open node, feature and bin, the sums
 of the derivatives of the loss. Tasks sum them over their rows, Spark adds the
 partial histograms up and ranks the possible splits with a window per feature,
 and the driver receives one row per open node. Trees are grown for all classes
-at once, so a round costs one job per level.
+at once, so a round costs one job per level, as long as nodes are large.
+
+A node of few rows (LOCAL_VALUES) is finished inside a task, which gets its rows
+and grows the subtree to full depth by the same rule. If the whole table is that
+small, its roots are such nodes: one task then grows the trees of many rounds in
+a row, and hands the margins on to the next job. Either way gives the same trees.
 
 Rows are binned into one byte per feature, packed into blocks and written with
 their margins to the shared folder. Every few rounds the margins are brought up to date and written
@@ -20,6 +25,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +36,8 @@ from classkit.runtime import discard, local_table, written
 
 MARGIN_ROUNDS = 10  # rounds between two writes of the margins
 DENSE_CELLS = 1 << 21  # above this many cells a task keeps no dense histogram
+LOCAL_VALUES = 1 << 22  # rows times features and outputs, up to which a task grows a subtree alone: some 200 MB
+LOCAL_ROUNDS = 100  # rounds of a small table that a task grows in a row
 SKETCH_ACCURACY = 10_000  # quantile error at most 1 / 10,000; exact for fewer distinct values
 SENT_NODES = 2_000_000  # tree nodes broadcast at once, 40 bytes each; larger models score in several passes
 GAIN_DIGITS = 9  # gains are ranked at this precision, ties by lower feature and bin
@@ -78,6 +86,29 @@ class Tree:
                 getattr(self, name).append(0.0)
         return children
 
+    def graft(self, node: int, sub: Tree) -> None:
+        """Put a subtree in the place of a leaf."""
+        at = len(self.feature) - 1  # where the subtree's node 0 would be
+        for name in ("left", "right"):
+            moved = [x + at if x > 0 else -1 for x in getattr(sub, name)]
+            getattr(self, name)[node] = moved[0]
+            getattr(self, name).extend(moved[1:])
+        for name in ("feature", "threshold", "cut", "gain", "cover", "value"):
+            getattr(self, name)[node] = getattr(sub, name)[0]
+            getattr(self, name).extend(getattr(sub, name)[1:])
+
+    def by_level(self) -> Tree:
+        """The same tree, its nodes numbered level by level, as arrays."""
+        order = [0]
+        for node in order:  # grows as it goes
+            if self.feature[node] >= 0:
+                order += (self.left[node], self.right[node])
+        place = np.full(len(self.feature) + 1, -1)
+        place[order] = np.arange(len(order))
+        names = ("feature", "threshold", "cut", "gain", "cover", "value")
+        moved = {n: place[np.array(getattr(self, n))[order]] for n in ("left", "right")}
+        return Tree(**{n: np.array(getattr(self, n))[order] for n in names}, **moved)
+
     def columns(self, by_bin: bool) -> tuple[np.ndarray, ...]:
         bounds = self.cut if by_bin else self.threshold
         return tuple(np.array(c) for c in (self.feature, bounds, self.left, self.right, self.value))
@@ -191,50 +222,71 @@ def _with_margins(state: DataFrame, pending: list[tuple]) -> DataFrame:
 HISTOGRAM = T.StructType(
     [
         *[T.StructField(c, T.IntegerType()) for c in ("tree", "node", "feature", "bin")],
-        *[T.StructField(c, T.DoubleType()) for c in ("g", "h")],
+        *[T.StructField(c, T.DoubleType()) for c in ("g", "h", "n")],
     ]
 )
 
 
+def _merged(cells: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of several blocks ([3, cells] each) added by cell."""
+    seen, at = np.unique(np.concatenate(cells), return_inverse=True)
+    return seen, np.stack([np.bincount(at, w) for w in np.concatenate(sums, axis=1)])
+
+
+def _open_rows(held, growing, nodes, number: int, seed: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """A block's drawn rows that are in open nodes, and the place of each one's node among ``nodes``."""
+    slot_of = np.full(len(growing[0]), -1)
+    slot_of[nodes] = np.arange(len(nodes))
+    slot = slot_of[_leaf(growing, held["bins"])]
+    rows = np.nonzero(_drawn(held["key"][:, 0], number, seed, share) & (slot >= 0))[0]
+    return rows, slot[rows]
+
+
 def _histogram(state: DataFrame, pending, growing, frontier, columns, settings: BoostingSettings, round_: int):
-    """Partial sums ``(tree, node, feature, bin, g, h)`` for the open nodes."""
+    """Partial sums ``(tree, node, feature, bin, g, h, n)`` for the open nodes, added up over all blocks of a task."""
     shared = state.sparkSession.sparkContext.broadcast((pending, growing, frontier, columns))
     bins_max, seed, subsample = settings.max_bins, settings.seed, settings.subsample
 
-    def emit(tree, nodes, used, cells, g, h):
+    def emit(tree, nodes, used, cells, sums):
         slot, rest = np.divmod(cells, len(used) * bins_max)
         feature, bin_ = np.divmod(rest, bins_max)
         ids = [np.full(len(cells), tree), np.array(nodes)[slot], np.array(used)[feature], bin_]
         return pa.RecordBatch.from_arrays(
-            [*(pa.array(i.astype(np.int32)) for i in ids), pa.array(g), pa.array(h)], names=HISTOGRAM.names
+            [*(pa.array(i.astype(np.int32)) for i in ids), *(pa.array(w) for w in sums)], names=HISTOGRAM.names
         )
 
     def sums(batches):
         pending, growing, frontier, columns = shared.value
         dense: dict[int, np.ndarray] = {}
+        sparse: dict[int, tuple[list, list]] = {}
         for held in _state_blocks(batches, pending):
             bins = held["bins"]
             g, h = _derivatives(held["margin"], held["label"][:, 0])
             for tree, nodes in frontier.items():
-                drawn = _drawn(held["key"][:, 0], round_ * held["margin"].shape[1] + tree, seed, subsample)
                 used = columns[tree]
-                slot_of = np.full(len(growing[tree][0]), -1)
-                slot_of[nodes] = np.arange(len(nodes))
-                slot = slot_of[_leaf(growing[tree], bins)]
-                rows = np.nonzero(drawn & (slot >= 0))[0]
-                cells = (slot[rows, None] * len(used) + np.arange(len(used))) * bins_max + bins[np.ix_(rows, used)]
+                rows, slot = _open_rows(held, growing[tree], nodes, round_ * held["margin"].shape[1] + tree, seed, subsample)
+                cells = (slot[:, None] * len(used) + np.arange(len(used))) * bins_max + bins[np.ix_(rows, used)]
                 flat, size = cells.ravel(), len(nodes) * len(used) * bins_max
-                weights = [np.repeat(d[rows, tree], len(used)) for d in (g, h)]
+                weights = [np.repeat(d, len(used)) for d in (g[rows, tree], h[rows, tree], np.ones(len(rows)))]
                 if size <= DENSE_CELLS:
                     part = np.stack([np.bincount(flat, w, size) for w in weights])
                     dense[tree] = dense[tree] + part if tree in dense else part
                 elif len(flat):
-                    seen, at = np.unique(flat, return_inverse=True)
-                    yield emit(tree, nodes, used, seen, *[np.bincount(at, w) for w in weights])
-        for tree, (g_sum, h_sum) in dense.items():
-            cells = np.nonzero(h_sum)[0]
+                    found, parts = sparse.setdefault(tree, ([], []))
+                    found.append(flat)
+                    parts.append(np.stack(weights))
+                    if sum(map(len, found)) > DENSE_CELLS:
+                        merged = _merged(found, parts)
+                        sparse[tree] = ([merged[0]], [merged[1]])
+                        if len(merged[0]) > DENSE_CELLS // 2:  # more different cells than a task should hold
+                            yield emit(tree, nodes, used, *merged)
+                            del sparse[tree]
+        for tree, part in dense.items():
+            cells = np.nonzero(part[2])[0]
             if len(cells):
-                yield emit(tree, frontier[tree], columns[tree], cells, g_sum[cells], h_sum[cells])
+                yield emit(tree, frontier[tree], columns[tree], cells, part[:, cells])
+        for tree, (found, parts) in sparse.items():
+            yield emit(tree, frontier[tree], columns[tree], *_merged(found, parts))
 
     return state.mapInArrow(sums, HISTOGRAM)
 
@@ -246,7 +298,9 @@ def split_gains(histogram: DataFrame, settings: BoostingSettings = MULTICLASS) -
     feature together, so one shuffle of the partial histograms serves both.
     """
     place = ["tree", "node", "feature"]
-    cells = histogram.repartition(*place).groupBy(*place, "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    counted = "n" in histogram.columns
+    sums = [F.sum(c).alias(c) for c in ("g", "h", *("n",) * counted)]
+    cells = histogram.repartition(*place).groupBy(*place, "bin").agg(*sums)
     upto = Window.partitionBy(*place).orderBy("bin")
     whole = Window.partitionBy(*place)
     running = cells.select(
@@ -256,6 +310,7 @@ def split_gains(histogram: DataFrame, settings: BoostingSettings = MULTICLASS) -
         F.sum("h").over(upto).alias("h_left"),
         F.sum("g").over(whole).alias("g_all"),
         F.sum("h").over(whole).alias("h_all"),
+        *[F.sum("n").over(w).alias(name) for w, name in ((upto, "n_left"), (whole, "n_all")) if counted],
     )
 
     def score(g, h):
@@ -272,7 +327,8 @@ def split_gains(histogram: DataFrame, settings: BoostingSettings = MULTICLASS) -
 def best_splits(gains: DataFrame) -> DataFrame:
     """The best split per open node, and the node's sums even if it has none."""
     order = F.struct(F.round("gain", GAIN_DIGITS), -F.col("feature"), -F.col("bin"))
-    best = F.max_by(F.struct("feature", "bin", "gain", "g_left", "h_left", "g_all", "h_all"), order)
+    counts = [c for c in ("n_left", "n_all") if c in gains.columns]
+    best = F.max_by(F.struct("feature", "bin", "gain", "g_left", "h_left", "g_all", "h_all", *counts), order)
     return gains.groupBy("tree", "node").agg(best.alias("b")).select("tree", "node", "b.*")
 
 
@@ -301,19 +357,32 @@ def fit_boosted(
     state = written(_binned(train, id_col, features, label, edges, outputs), "binned")
     rng = np.random.default_rng(settings.seed)
     used = max(1, int(len(edges) * settings.colsample))
+    most = LOCAL_VALUES // (len(edges) + outputs)  # rows of a node that a task finishes
     model = Boosted([], outputs, settings.eta)
+
+    def drawn_columns() -> list[np.ndarray]:
+        return [np.sort(rng.choice(len(edges), used, replace=False)) for _ in range(outputs)]
+
+    if (state.agg(F.sum("rows")).head()[0] or 0) <= most:
+        _small_table(state, model, drawn_columns, edges, settings)
+        discard(state)
+        return model
     pending: list[tuple] = []
     for round_ in range(settings.rounds):
         trees = [Tree() for _ in range(outputs)]
-        columns = [np.sort(rng.choice(len(edges), used, replace=False)) for _ in trees]
+        columns = drawn_columns()
         frontier = {t: [0] for t in range(outputs)}
         for depth in range(settings.max_depth):
             growing = [t.columns(by_bin=True) for t in trees]
             partial = _histogram(state, pending, growing, frontier, columns, settings, round_)
             found = best_splits(split_gains(partial, settings)).collect()  # one row per open node
-            frontier = _grow(trees, found, edges, settings, last=depth + 1 == settings.max_depth)
+            left = settings.max_depth - depth - 1
+            frontier, small = _grow(trees, found, edges, settings, most, last=not left)
+            if small:
+                _finish(state, pending, trees, small, columns, edges, settings, round_, left)
             if not frontier:
                 break
+        trees = [t.by_level() for t in trees]
         model.trees += trees
         pending += [t.columns(by_bin=True) for t in trees]
         if len(pending) >= MARGIN_ROUNDS * outputs and round_ + 1 < settings.rounds:
@@ -323,9 +392,162 @@ def fit_boosted(
     return model
 
 
-def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, last: bool) -> dict[int, list[int]]:
-    """Apply the best splits; returns the nodes that are open next."""
+def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, depth: int, settings: BoostingSettings) -> Tree:
+    """The tree that `split_gains` and `best_splits` would grow from a node's rows, without thresholds."""
+    tree = Tree()
+    tree.cover[0] = float(h.sum())
+    tree.value[0] = -settings.eta * float(g.sum()) / (tree.cover[0] + settings.reg_lambda)
+    node, open_nodes = np.zeros(len(bins), np.int64), [0]
+    bins, shrink = bins[:, used].astype(np.int64), settings.reg_lambda
+    for _ in range(depth):
+        # Cells (node, feature, bin) that have rows, in order; running sums restart with each (node, feature).
+        slot_of = np.full(len(tree.feature), -1)
+        slot_of[open_nodes] = np.arange(len(open_nodes))
+        slot = slot_of[node]
+        rows = np.nonzero(slot >= 0)[0]
+        if not len(rows):
+            break
+        key = ((slot[rows, None] * len(used) + np.arange(len(used))) * 256 + bins[rows]).ravel()
+        size = len(open_nodes) * len(used) * 256
+        if size <= 4 * len(key):  # dense cells, else only those that have rows
+            seen, at = np.arange(size), key
+        else:
+            seen, at = np.unique(key, return_inverse=True)
+        some = np.bincount(at, minlength=len(seen)) > 0
+        seen = seen[some]
+        place = seen >> 8
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        group = np.cumsum(np.diff(place, prepend=-1) != 0) - 1
+        running, whole = [], []
+        for weight in (g, h):
+            cell = np.bincount(at, np.repeat(weight[rows], len(used)), len(some))[some]
+            upto = np.cumsum(cell)
+            running.append(upto - (upto[first] - cell[first])[group])
+            whole.append(np.add.reduceat(cell, first)[group])
+        (g_left, h_left), (g_all, h_all) = running, whole
+        rest = h_all - h_left
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = g_left * g_left / (h_left + shrink) + (g_all - g_left) ** 2 / (rest + shrink) - g_all * g_all / (h_all + shrink)
+        exact = 0.5 * gain - settings.gamma
+        gain = np.round(exact, GAIN_DIGITS)
+        gain[~(np.minimum(h_left, rest) >= settings.min_child_weight)] = -np.inf
+        of = place // len(used)  # cells of a node are side by side, by feature and bin: the first of the best wins ties
+        begins = np.flatnonzero(np.diff(of, prepend=-1))
+        top = np.maximum.reduceat(gain, begins)
+        best = np.flatnonzero(gain == top[of])
+        best = best[np.flatnonzero(np.diff(of[best], prepend=-1))]
+        best = best[gain[best] > 0]
+        if not len(best):
+            break
+        next_nodes, cut_of, column_of = [], np.full(len(open_nodes), -1), np.zeros(len(open_nodes), np.int64)
+        left_of = np.zeros(len(open_nodes), np.int64)
+        for c in best.tolist():
+            parent = open_nodes[of[c]]
+            column, cut = int(place[c] % len(used)), int(seen[c] & 255)
+            left, right = tree.split(parent, int(used[column]), 0.0, cut, float(exact[c]))
+            for child, gs, hs in ((left, g_left[c], h_left[c]), (right, g_all[c] - g_left[c], rest[c])):
+                tree.value[child], tree.cover[child] = float(-settings.eta * gs / (hs + shrink)), float(hs)
+            cut_of[of[c]], column_of[of[c]], left_of[of[c]] = cut, column, left
+            next_nodes += (left, right)
+        goes_on = cut_of[slot[rows]] >= 0
+        rows, at_node = rows[goes_on], slot[rows][goes_on]
+        node[:] = 0  # which is not open any more
+        node[rows] = left_of[at_node] + (bins[rows, column_of[at_node]] > cut_of[at_node])
+        open_nodes = next_nodes
+    return tree
+
+
+# A grown tree as it leaves a task: its columns but for the thresholds.
+GROWN_DDL = "struct<feature:array<int>,cut:array<int>,left:array<int>,right:array<int>,gain:array<double>,cover:array<double>,value:array<double>>"
+GROWN = pa.struct([(c, pa.list_(pa.int32())) for c in ("feature", "cut", "left", "right")] + [(c, pa.list_(pa.float64())) for c in ("gain", "cover", "value")])
+
+
+def _sent(tree: Tree) -> dict[str, list]:
+    return {f.name: np.asarray(getattr(tree, f.name)).tolist() for f in GROWN}
+
+
+def _received(columns: dict[str, list], edges: list[np.ndarray]) -> Tree:
+    """A tree that a task has grown, with its thresholds."""
+    return Tree(threshold=_bounds(columns, edges).tolist(), **columns)
+
+
+def _bounds(columns, edges: list[np.ndarray]) -> np.ndarray:
+    return np.array([float(edges[f][c]) if f >= 0 else 0.0 for f, c in zip(columns["feature"], columns["cut"])])
+
+
+def _finish(state, pending, trees, small, columns, edges, settings: BoostingSettings, round_: int, depth: int) -> None:
+    """Grow the subtrees of small nodes, each in the task that gets the node's rows."""
+    spark = state.sparkSession
+    shared = spark.sparkContext.broadcast((pending, [t.columns(by_bin=True) for t in trees], small, columns))
+
+    def send(batches):
+        pending, growing, small, _ = shared.value
+        for held in _state_blocks(batches, pending):
+            g, h = _derivatives(held["margin"], held["label"][:, 0])
+            for tree, nodes in small.items():
+                number = round_ * held["margin"].shape[1] + tree
+                rows, slot = _open_rows(held, growing[tree], nodes, number, settings.seed, settings.subsample)
+                raw = [held["bins"][r].tobytes() for r in rows.tolist()]
+                arrays = [np.full(len(rows), tree, np.int32), np.array(nodes, np.int32)[slot], held["key"][rows, 0]]
+                arrays = [*map(pa.array, arrays), pa.array(raw, pa.binary()), pa.array(g[rows, tree]), pa.array(h[rows, tree])]
+                yield pa.RecordBatch.from_arrays(arrays, names=["tree", "node", "key", "bins", "g", "h"])
+
+    def grow(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("bins", "ascending"), ("g", "ascending")])
+        tree, node = table["tree"][0].as_py(), table["node"][0].as_py()
+        bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        grown = _subtree(bins, table["g"].to_numpy(), table["h"].to_numpy(), shared.value[3][tree], depth, settings)
+        return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()), "grown": pa.array([_sent(grown)], GROWN)})
+
+    rows = state.mapInArrow(send, "tree int, node int, key long, bins binary, g double, h double")
+    for row in sorted(rows.groupBy("tree", "node").applyInArrow(grow, f"tree int, node int, grown {GROWN_DDL}").collect()):
+        sub = _received(row["grown"].asDict(), edges)
+        if sub.feature[0] >= 0:  # else the node stays the leaf that it is
+            trees[row["tree"]].graft(row["node"], sub)
+
+
+def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings) -> None:
+    """All rounds of a table of few rows: tasks grow LOCAL_ROUNDS rounds one after the other, from the margins that the
+    task before has handed on."""
+
+    def gathered(rows):
+        held = [[np.frombuffer(r[n], t).reshape(r["rows"], -1) for n, t in STATE.items()] for r in rows]
+        if held:
+            key, bins, label, _ = (np.concatenate(column) for column in zip(*held))
+            order = np.lexsort([*bins.T, label[:, 0], key[:, 0]])
+            yield key[order, 0], bins[order], label[order, 0]
+
+    whole = state.coalesce(1).rdd.mapPartitions(gathered).persist(StorageLevel.MEMORY_AND_DISK)
+    margins: np.ndarray | None = None
+    outputs = model.outputs
+    for first in range(0, settings.rounds, LOCAL_ROUNDS):
+        columns = [drawn_columns() for _ in range(min(LOCAL_ROUNDS, settings.rounds - first))]
+
+        def grow(parts, first=first, columns=columns, given=margins):
+            for key, bins, label in parts:
+                at = np.zeros((len(key), outputs)) if given is None else given
+                made = []
+                for n, used in enumerate(columns):
+                    g, h = _derivatives(at, label)
+                    trees = []
+                    for t in range(outputs):
+                        rows = np.nonzero(_drawn(key, (first + n) * outputs + t, settings.seed, settings.subsample))[0]
+                        trees.append(_subtree(bins[rows], g[rows, t], h[rows, t], used[t], settings.max_depth, settings).by_level())
+                    at = _add_trees(at.copy(), [t.columns(by_bin=True) for t in trees], bins)
+                    made += [{n: np.asarray(c) for n, c in vars(t).items() if n != "threshold"} for t in trees]
+                yield made, at
+
+        for made, margins in state.sparkSession.sparkContext.runJob(whole, grow, [0]):
+            model.trees += [Tree(threshold=_bounds(columns, edges), **columns) for columns in made]
+    if margins is None:  # no rows, or no rounds
+        model.trees += [Tree() for _ in range(settings.rounds * outputs)]
+    whole.unpersist()
+
+
+def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, most: int, last: bool):
+    """Apply the best splits; returns the nodes that are open next, and those of them with at most ``most`` rows."""
     frontier: dict[int, list[int]] = {}
+    small: dict[int, list[int]] = {}
 
     def settle(tree: Tree, node: int, g: float, h: float) -> None:
         tree.value[node], tree.cover[node] = -settings.eta * g / (h + settings.reg_lambda), h
@@ -340,8 +562,9 @@ def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, last: boo
         settle(tree, left, row["g_left"], row["h_left"])
         settle(tree, right, row["g_all"] - row["g_left"], row["h_all"] - row["h_left"])
         if not last:
-            frontier.setdefault(row["tree"], []).extend([left, right])
-    return frontier
+            for node, n in ((left, row["n_left"]), (right, row["n_all"] - row["n_left"])):
+                (small if n <= most else frontier).setdefault(row["tree"], []).append(node)
+    return frontier, small
 
 
 def _parts(trees: Sequence[Tree], outputs: int) -> list[list[Tree]]:
@@ -410,13 +633,13 @@ def tree_table(spark: SparkSession, model: Boosted, tree_ids: Sequence[int]) ->
                 {
                     "tree_id": t,
                     "node_id": n,
-                    "feature": feature if inner else None,
-                    "threshold": tree.threshold[n] if inner else None,
-                    "left": tree.left[n] if inner else None,
-                    "right": tree.right[n] if inner else None,
-                    "gain": tree.gain[n] if inner else None,
-                    "cover": tree.cover[n],
-                    "prediction": None if inner else tree.value[n],
+                    "feature": int(feature) if inner else None,
+                    "threshold": float(tree.threshold[n]) if inner else None,
+                    "left": int(tree.left[n]) if inner else None,
+                    "right": int(tree.right[n]) if inner else None,
+                    "gain": float(tree.gain[n]) if inner else None,
+                    "cover": float(tree.cover[n]),
+                    "prediction": None if inner else float(tree.value[n]),
                 }
             )
     return local_table(spark, rows, TREE_NODES)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from classkit.functions import centred_unit, edge_width, edge_width_clipped
@@ -78,3 +78,14 @@ def weight_matrix(weights: DataFrame, width: int, names: Sequence[str] | None =
     wide = weights.groupBy("src").pivot("dst", list(range(width))).agg(F.first("weight"))
     shown = [] if names is None else [F.get(F.array(*[F.lit(n) for n in names]), F.col("src")).alias("name")]
     return wide.select("src", *shown, *[F.col(f"`{j}`").alias(f"h{j + 1}") for j in range(width)])
+
+
+def node_name(layer: Column, node: Column, inputs: Sequence[str], outputs: Sequence[str], last: int) -> Column:
+    """What a node of a network is called: inputs (layer 0) by their features, those of layer ``last`` by their classes,
+    hidden ones ``h<layer>_<node>``, both counted from 1. A node beyond the names has none."""
+
+    def named(names: Sequence[str]) -> Column:
+        return F.get(F.array(*[F.lit(n) for n in names]), node)
+
+    hidden = F.concat(F.lit("h"), layer.cast("string"), F.lit("_"), (node + 1).cast("string"))
+    return F.when(layer == 0, named(inputs)).when(layer == last, named(outputs)).otherwise(hidden)

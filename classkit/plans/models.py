@@ -27,7 +27,7 @@ from classkit.plans.registry import query
 from classkit.runtime import written
 from classkit.sources import pack_features
 
-ROUNDS = 4
+OUTPUT_NAMES, OUTPUT_LAYER = ["high"], 4  # the one output of the network with epochs, after three hidden layers
 # The trees of the binary model that are shown.
 BINARY_TREE_IDS = [0, 4, 499, 14_999]
 
@@ -273,7 +273,13 @@ def knn_vs_mlp(spark, sf_dir):
 def mlp_edges(spark, sf_dir):
     """The strong connections of a fitted network with their drawing styles."""
     weights = mlp.weight_table(spark, _document_network(spark, sf_dir)[0].network)
-    return model_tables.strong_edges(model_tables.edge_styles(weights))
+    edges = model_tables.strong_edges(model_tables.edge_styles(weights))
+    return edges.withColumns(
+        {
+            "src_name": model_tables.node_name(F.col("layer"), F.col("src"), DOC_FEATURES, OUTPUT_NAMES, OUTPUT_LAYER),
+            "dst_name": model_tables.node_name(F.col("layer") + 1, F.col("dst"), DOC_FEATURES, OUTPUT_NAMES, OUTPUT_LAYER),
+        }
+    )
 
 
 @query("mlp_nodes")
@@ -284,7 +290,8 @@ def mlp_nodes(spark, sf_dir):
     ceiling = model_tables.robust_maximum(biases.where("layer >= 0"), "bias").scalar()
     sizes = model_tables.layer_sizes(mlp.weight_table(spark, network))
     shown = biases.withColumn("_c", ceiling).withColumn("colour", fn.centred_unit(F.col("bias"), F.col("_c"))).drop("_c")
-    return shown.join(F.broadcast(sizes), "layer", "left")
+    name = model_tables.node_name(F.col("layer") + 1, F.col("node"), DOC_FEATURES, OUTPUT_NAMES, OUTPUT_LAYER)
+    return shown.join(F.broadcast(sizes), "layer", "left").withColumn("name", name)
 
 
 @query("mlp_input_weights")
@@ -387,6 +394,74 @@ def boosted_first_tree(spark, sf_dir):
     return _rounded(nodes, ["threshold", "gain", "cover", "prediction"])
 
 
+STUMP_ROUNDS = 3
+
+
+def _stumps_sql(source: str, outputs: int, eta: float) -> str:
+    """Rounds of trees of depth 1: derivatives at the margins so far, gains, the best split of each output, new margins."""
+    if outputs == 1:
+        p, h, hit = "1 / (1 + exp(-margin))", "p * (1 - p)", "label"
+    else:
+        p, h, hit = "exp(margin) / sum(exp(margin)) OVER (PARTITION BY vec_id)", "2 * p * (1 - p)", "(label = t)::INT"
+    sql = f"""WITH {source},
+y AS (SELECT vec_id, unnest(features) AS x, generate_subscripts(features, 1) - 1 AS feature FROM vectors),
+r AS MATERIALIZED (SELECT feature, min(x) AS lo, max(x) AS hi FROM y GROUP BY feature),
+z AS MATERIALIZED (SELECT vec_id, y.feature, least(floor((x - lo) / (hi - lo) * {BINS}), {BINS - 1})::INTEGER AS bin FROM y JOIN r ON r.feature = y.feature),
+m0 AS MATERIALIZED (SELECT vec_id, label, t, 0::DOUBLE AS margin FROM vectors, range({outputs}) AS o(t))"""
+    for n in range(STUMP_ROUNDS):
+        sql += f""",
+p{n} AS (SELECT vec_id, label, t, {p} AS p FROM m{n}),
+d{n} AS (SELECT vec_id, t, p - {hit} AS g, {h} AS h FROM p{n}),
+c{n} AS (SELECT t, feature, bin, sum(g) AS g, sum(h) AS h FROM d{n} d JOIN z ON z.vec_id = d.vec_id GROUP BY t, feature, bin),
+s{n} AS (
+  SELECT t, feature, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY t, feature) AS ga, sum(h) OVER (PARTITION BY t, feature) AS ha
+  FROM c{n} WINDOW w AS (PARTITION BY t, feature ORDER BY bin)),
+g{n} AS (
+  SELECT *, CASE WHEN least(hl, ha - hl) >= 1 THEN
+    0.5::DOUBLE * (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) END AS gain FROM s{n}),
+b{n} AS MATERIALIZED (
+  SELECT *, coalesce(round(gain, 9) > 0, false) AS parts FROM g{n}
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY round(gain, 9) DESC NULLS LAST, feature, bin) = 1),
+m{n + 1} AS MATERIALIZED (
+  SELECT m.vec_id, m.label, m.t, m.margin - {eta}::DOUBLE * CASE WHEN NOT b.parts THEN ga / (ha + 1)
+    WHEN z.bin <= b.bin THEN gl / (hl + 1) ELSE (ga - gl) / (ha - hl + 1) END AS margin
+  FROM m{n} m JOIN b{n} b ON b.t = m.t JOIN z ON z.vec_id = m.vec_id AND z.feature = b.feature),
+n{n} AS (
+  SELECT {n * outputs} + t AS tree_id, 0 AS node_id, parts, feature, bin, gain, ga AS g, ha AS h FROM b{n}
+  UNION ALL SELECT {n * outputs} + t, 1, false, NULL, NULL, NULL, gl, hl FROM b{n} WHERE parts
+  UNION ALL SELECT {n * outputs} + t, 2, false, NULL, NULL, NULL, ga - gl, ha - hl FROM b{n} WHERE parts)"""
+    nodes = " UNION ALL ".join(f"SELECT * FROM n{n}" for n in range(STUMP_ROUNDS))
+    return sql + f"""
+SELECT tree_id::INTEGER AS tree_id, node_id::INTEGER AS node_id, CASE WHEN parts THEN n.feature END::INTEGER AS feature,
+  round(CASE WHEN parts THEN lo + (hi - lo) * (bin + 1) / {BINS} END, 6) AS threshold, round(CASE WHEN parts THEN gain END, 6) AS gain,
+  round(h, 6) AS cover, round(CASE WHEN NOT parts THEN -{eta}::DOUBLE * g / (h + 1) END, 6) AS prediction
+FROM ({nodes}) n LEFT JOIN r ON r.feature = n.feature"""
+
+
+def _stumps(spark, df, outputs):
+    """Trees of depth 1 over equal-width bins and all rows and columns."""
+    long = df.select(F.posexplode("features").alias("feature", "x"))
+    ranges = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("feature").collect()
+    edges = [np.array([r["lo"] + (r["hi"] - r["lo"]) * (b + 1) / BINS for b in range(BINS - 1)]) for r in ranges]
+    model = boosting.fit_boosted(
+        df, "vec_id", n_classes=max(2, outputs), rounds=STUMP_ROUNDS, max_depth=1, subsample=1.0, colsample=1.0, max_bins=BINS, edges=edges
+    )
+    nodes = boosting.tree_table(spark, model, range(STUMP_ROUNDS * outputs))
+    return _rounded(nodes.drop("left", "right"), ["threshold", "gain", "cover", "prediction"])
+
+
+@query("boosted_binary_rounds", _stumps_sql(BINARY_VECTORS, 1, 0.05))
+def boosted_binary_rounds(spark, sf_dir):
+    """Three rounds of two classes, each from the margins of the rounds before."""
+    return _stumps(spark, binary_vectors(spark, sf_dir), 1)
+
+
+@query("boosted_softmax_rounds", _stumps_sql(VECTORS, CLASSES, 0.1))
+def boosted_softmax_rounds(spark, sf_dir):
+    """Three rounds of ten classes."""
+    return _stumps(spark, vectors(spark, sf_dir), CLASSES)
+
+
 def formula_trees() -> boosting.Boosted:
     """Two fixed trees of two classes, spelled out in SQL beside their query."""
     first, second = boosting.Tree(), boosting.Tree()
@@ -414,14 +489,14 @@ def boosted_scores(spark, sf_dir):
 
 def _document_trees(spark, sf_dir):
     parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", rounds=ROUNDS)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id")
     return model, parts.where("split = 'test'")
 
 
 @query("boosted_multiclass_report")
 def boosted_multiclass_report(spark, sf_dir):
     parts = split.stratified_split(vectors(spark, sf_dir), "vec_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES, rounds=ROUNDS)
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "vec_id", n_classes=CLASSES)
     scored = _with_class(boosting.predict_boosted(parts.where("split = 'test'"), model))
     return metrics.classification_report(scored, labels=range(CLASSES), digits=4)
 
@@ -437,6 +512,6 @@ def boosted_binary_report(spark, sf_dir):
 
 @query("boosted_tree_nodes")
 def boosted_tree_nodes(spark, sf_dir):
-    """Nodes of chosen trees; trees the short model lacks are reported as missing."""
+    """Nodes of chosen trees."""
     model, _ = _document_trees(spark, sf_dir)
     return boosting.chosen_trees(boosting.tree_table(spark, model, BINARY_TREE_IDS), BINARY_TREE_IDS)

@@ -227,14 +227,42 @@ def test_margins_and_histograms_do_not_depend_on_how_they_are_kept(spark, monkey
         [(i, [float(i % 17), float((i * 7) % 23)], (i % 17 > 8) + (i % 5 > 3)) for i in range(200)],
         "id long, features array<double>, label int",
     )
+    monkeypatch.setattr(boosting, "LOCAL_VALUES", 0)
     kept = boosting.fit_boosted(df, "id", n_classes=3, rounds=3, max_depth=3, max_bins=16)
     monkeypatch.setattr(boosting, "MARGIN_ROUNDS", 1)
     monkeypatch.setattr(boosting, "DENSE_CELLS", 0)
     other = boosting.fit_boosted(df.repartition(4), "id", n_classes=3, rounds=3, max_depth=3, max_bins=16)
-    assert [t.feature for t in kept.trees] == [t.feature for t in other.trees]
+    assert [list(t.feature) for t in kept.trees] == [list(t.feature) for t in other.trees]
     assert np.allclose(np.concatenate([t.value for t in kept.trees]), np.concatenate([t.value for t in other.trees]))
 
 
+@pytest.mark.parametrize("n_classes,depth", [(2, 6), (3, 4)])
+def test_trees_are_the_same_wherever_they_are_grown(spark, monkeypatch, n_classes, depth):
+    """By levels alone, by levels and finished in tasks, or whole rounds in one task, in one go or several."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).round(2).tolist(), int(rng.integers(0, n_classes))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+
+    def grown(local_rows, local_rounds=100, parts=1):
+        monkeypatch.setattr(boosting, "LOCAL_VALUES", local_rows * (4 + (1 if n_classes == 2 else n_classes)))
+        monkeypatch.setattr(boosting, "LOCAL_ROUNDS", local_rounds)
+        return boosting.fit_boosted(df.repartition(parts), "id", n_classes=n_classes, rounds=2, max_depth=depth, max_bins=32, seed=3)
+
+    one = grown(10_000)
+    for other in (grown(10_000, 1, 3), grown(60, parts=3), grown(0)):
+        for a, b in zip(one.trees, other.trees, strict=True):
+            assert list(a.feature) == list(b.feature) and list(a.left) == list(b.left) and list(a.cut) == list(b.cut)
+            assert np.allclose(a.threshold, b.threshold) and np.allclose(a.value, b.value)
+            assert np.allclose(a.cover, b.cover) and np.allclose(a.gain, b.gain)
+    assert max(len(t.feature) for t in one.trees) > 15
+
+
+def test_no_rows_to_boost(spark):
+    empty = spark.createDataFrame([], "id long, features array<double>, label int")
+    model = boosting.fit_boosted(empty, "id", rounds=2, edges=[np.array([0.5])])
+    assert [list(t.feature) for t in model.trees] == [[-1], [-1]]
+
+
 def test_missing_trees_are_reported(spark):
     model = boosting.fit_boosted(moons(spark, 60), "id", rounds=2, max_depth=2, max_bins=8)
     nodes = boosting.chosen_trees(boosting.tree_table(spark, model, [0, 499]), [0, 499])
@@ -260,6 +288,14 @@ def handed(monkeypatch, spark, module, trainer, name):
 def test_registered_trees_have_all_bins(spark, monkeypatch, name):
     _, settings = handed(monkeypatch, spark, boosting, "fit_boosted", name)
     assert settings.get("max_bins", boosting.BINARY.max_bins) == 256
+    assert "rounds" not in settings  # the fixed 300 or 15,000
+
+
+def test_nodes_have_names(spark):
+    rows = [(0, 0), (0, 1), (0, 5), (1, 2), (2, 0)]
+    df = spark.createDataFrame(rows, "layer int, node int")
+    name = model_tables.node_name(F.col("layer"), F.col("node"), ["width", "height"], ["low"], 2)
+    assert [r[0] for r in df.select(name).collect()] == ["width", "height", None, "h1_3", "low"]
 
 
 @pytest.mark.parametrize("name", ["mlp_early_stop_history", "mlp_test_summary", "mlp_edges", "mlp_nodes"])
