@@ -4,7 +4,7 @@ Occurrences are counted by multikey three-way quicksort of suffix pointers, leve
 pointers to the places of its texts by language and the d words there; the sizes of equal partitions are its counts.
 Counts are routed by the language and the leading words and summed, and partitions that stay below the least count are
 abandoned: a pointer is followed to depth d + 1 only if both phrases of d words in it, the leading and the trailing one,
-are in partitions that live on. Tasks learn those from a bitmap of phrase hashes of bounded size. Pairs, of which most
+are in partitions that live on. Tasks learn those from a bitmap of phrase hashes (`bitmap`) of bounded size. Pairs, of which most
 are rare, are first routed by their hashes alone, and only those that live are spelled out. Phrases that share a hash or a
 place in the bitmap are sorted and counted in vain and abandoned by their own count, so counts are exact at any size.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from classkit.llm.bitmap import Living, bitmap, bitmap_bits
 from classkit.llm.common import named, rebatched, text_of
 from classkit.runtime import written
 
@@ -39,8 +40,6 @@ SLICE_BYTES = 1 << 22
 BLOCK_WORDS, SMALL = 1 << 20, 2_048
 # Different words that a task counts together, and rows that leave it together.
 KEPT_WORDS, ROWS = 500_000, 20_000
-# Bits of the bitmap of living phrases: 16 a phrase, within these bounds (128 KB and 32 MB).
-LEAST_BITS, MOST_BITS = 20, 28
 # Rows of a language that are ranked together before its first ones meet.
 RANK_SALTS = 32
 
@@ -74,22 +73,6 @@ def _digest(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text)
 
 
-class Living:
-    """Phrases of one length that live on, as a bitmap that may say yes too often but never no."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
-
-    @classmethod
-    def of(cls, shared) -> Living:
-        """From a broadcast bitmap."""
-        return cls(np.frombuffer(shared.value, np.uint8))
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & self.mask
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 def multikey_quicksort(keys: list[np.ndarray], small: int = SMALL) -> tuple[np.ndarray, np.ndarray]:
     """Pointers in the order of their keys, and where each partition of equal keys starts.
 
@@ -257,20 +240,6 @@ def _spelled_phrases(wanted: list[tuple[int, bool]], shared):
     return _sorted(max(depth for depth, _ in wanted), report)
 
 
-def _bits(count: int) -> int:
-    return min(max(LEAST_BITS, (16 * count).bit_length()), MOST_BITS)
-
-
-def _bitmap(hashes: DataFrame, bits: int) -> bytes:
-    """The hashes of living phrases (one column) as the bits of `Living`, 2**bits of them."""
-    at = hashes.select((F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))).alias("at"))
-    pages = at.groupBy(F.shiftright("at", 15).alias("page")).agg(F.expr("bitmap_construct_agg(at & 32767)").alias("bits"))
-    made = np.zeros(1 << (bits - 3), np.uint8)
-    for row in pages.collect():  # at most 2**(MOST_BITS - 15) pages of 4 KB
-        made[row["page"] << 12 : (row["page"] + 1) << 12] = np.frombuffer(row["bits"], np.uint8)
-    return made.tobytes()
-
-
 def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashes of phrases (lang, phrase) of one length."""
     for batch in batches:
@@ -292,7 +261,7 @@ def phrase_counts(docs: DataFrame, max_words: int, least: int) -> tuple[DataFram
     counted = [words.where(F.col("n") >= least)]
 
     def shared(hashes: DataFrame, count: int):
-        return spark.sparkContext.broadcast(_bitmap(hashes, _bits(count)))
+        return spark.sparkContext.broadcast(bitmap(hashes, bitmap_bits(count)))
 
     living = shared(counted[0].select("lang", "phrase").mapInArrow(_phrase_hashes, "hash long"), counted[0].count())
     # Most of a task's pairs are different: they are routed as they are and summed where they meet.

@@ -7,12 +7,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from classkit.llm.bitmap import Living, bitmap, bitmap_bits
 from classkit.llm.common import OUT_ROWS, in_small_batches, named, packed, rebatched, text_of, unpacked, written
 
 # Kinds in the order that breaks ties between spans; terms are the ones added by the method.
@@ -135,17 +137,63 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield key.as_py(), [{"start": a, "kind": term, "end": b} for a, b in found]
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(term, weight of its texts), added up over as many texts as have KEPT_TERMS different terms."""
-    counts: Counter[str] = Counter()
+def _place(key: str) -> int:
+    """Where a text's MD5 stands in a bitmap of keys, as `_places` says it."""
+    return int(key[:15], 16)
+
+
+def _places(key: str) -> Column:
+    return F.conv(F.substring(key, 1, 15), 16, 10).cast("long")
+
+
+def _is_copied(texts: list[str], copied: Living) -> tuple[list[str], np.ndarray]:
+    """Keys of the texts, and which of them may have copies: all that have, and few others."""
+    keys = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    return keys, copied.holds(np.fromiter(map(_place, keys), np.uint64, len(keys)))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+    """Few texts at a time as Python objects."""
     for batch in batches:
-        for text, weight in zip(batch.column(0), batch.column(1)):
-            terms = {w for w in _WORD.findall(text.as_py().lower()) if len(w) >= MIN_TERM_CHARS}
-            counts.update(dict.fromkeys(terms, weight.as_py()))
-        if len(counts) >= KEPT_TERMS:
-            yield from counts.items()
-            counts.clear()
-    yield from counts.items()
+        for start in range(0, batch.num_rows, 200):
+            yield batch.column(batch.num_columns - 1).slice(start, 200).to_pylist()
+
+
+def _term_counts(shared):
+    """(term, texts): in how many texts, added up over as many texts as have KEPT_TERMS different terms.
+
+    Texts in the bitmap of copied ones are left out; without a bitmap none is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        counts: Counter[str] = Counter()
+        copied = None if shared is None else Living.of(shared)
+        for texts in _parts(batches):
+            left_out = np.zeros(len(texts), bool) if copied is None else _is_copied(texts, copied)[1]
+            for text in (t for t, out in zip(texts, left_out) if not out):
+                counts.update({w for w in _WORD.findall(text.lower()) if len(w) >= MIN_TERM_CHARS})
+            if len(counts) >= KEPT_TERMS:
+                yield from counts.items()
+                counts.clear()
+        yield from counts.items()
+
+    return run
+
+
+def _copied_texts(shared):
+    """(text key, text) of the texts in the bitmap of copied ones, each once a task for as long as it remembers them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        copied, sent = Living.of(shared), set()
+        for texts in _parts(batches):
+            for text, key, may in zip(texts, *_is_copied(texts, copied)):
+                if may and key not in sent:
+                    sent.add(key)
+                    yield key, text
+            if len(sent) >= KEPT_TERMS:
+                sent.clear()
+
+    return run
 
 
 def _rows(df: DataFrame, function, ddl: str, size: int = OUT_ROWS * 5) -> DataFrame:
@@ -153,6 +201,11 @@ def _rows(df: DataFrame, function, ddl: str, size: int = OUT_ROWS * 5) -> DataFr
     return df.mapInArrow(lambda batches: rebatched(function(batches), schema, size), ddl)
 
 
+def _set_of(column: str) -> list[Column]:
+    """Two hashes of the set of a group's numbers, which stand in it once."""
+    return [F.bit_xor(F.xxhash64(column)).alias("a"), F.bit_xor(F.xxhash64(column, F.lit(1))).alias("b")]
+
+
 def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text") -> DataFrame:
     """``key, terms``: per text (by MD5) the spans of terms that disclose something the patterns found in it.
 
@@ -171,27 +224,39 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text"
         return docs.sparkSession.createDataFrame([], schema)
     key = F.md5("text").alias("key")
     copies = written(texts.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), "copies")
-    total = texts.count() - (copies.agg(F.sum(F.col("n") - 1)).head()[0] or 0)
-    # Terms are counted in all texts, and those of each copied text are taken off again for all copies but one.
-    extra = texts.select("text", key).join(copies, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("n").alias("n"))
-    weighed = texts.select("text", F.lit(1).cast("long").alias("weight")).union(extra.select("text", 1 - F.col("n")))
-    terms = _rows(weighed, _term_counts, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("with_term"))
-
-    named_in = private.select("doc", F.explode("entities").alias("entity"))
+    extra = copies.agg(F.count("*"), F.sum(F.col("n") - 1)).head()
+    total = texts.count() - (extra[1] or 0)
+    # Terms are counted where texts are read, but for texts that have copies: only those travel, to be counted once.
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(copies.select(_places("key").alias("at")), bitmap_bits(extra[0])))
+    once = _rows(texts, _copied_texts(shared), "key string, text string", 200).dropDuplicates(["key"]).select("text")
+    ddl = "term string, docs long"
+    terms = _rows(texts, _term_counts(shared), ddl).union(_rows(once, _term_counts(None), ddl))
+    terms = terms.groupBy("term").agg(F.sum("docs").alias("with_term"))
+
+    named_in = written(private.select("doc", F.explode("entities").alias("entity")), "named")
     p = F.col("with_entity") / F.lit(float(total))
     content = -F.log2(p)
     # No term in more texts than this can reach the share, even if it is in all texts of the entity.
     most = (F.col("with_entity") + SMOOTHING * p) * F.pow(p, share - 1) - SMOOTHING
-    entities = named_in.groupBy("entity").agg(F.count("*").alias("with_entity")).where(content > 0)
+    # Entities in the same texts are told alike by any term, and terms in the same texts tell alike: of either, only the
+    # sets of texts meet, so a list of many addresses and names does not make a row for each pair.
+    entities = named_in.groupBy("entity").agg(F.count("*").alias("with_entity"), *_set_of("doc"))
+    entities = entities.where(content > 0).select("entity", "with_entity", F.struct("with_entity", "a", "b").alias("e"))
     entities = written(entities.withColumn("most", most + 1e-6), "entities")
     rare = terms.where(F.col("with_term") <= F.lit(entities.agg(F.max("most")).head()[0] or 0.0))
     held = _rows(private.select("doc", "text"), _text_terms, "doc long, term string").join(rare, "term")
-    pairs = held.join(named_in.join(entities, "entity"), "doc").where("with_term <= most")
-    pairs = written(pairs.select("doc", "entity", "term", "with_entity", "with_term"), "pairs")
-    known = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("together"))
+    held = written(held, "held")
+    sets = held.groupBy("term").agg(*_set_of("doc"), F.first("with_term").alias("with"))
+    sets = sets.select("term", F.struct("with", "a", "b").alias("t"))
+    held = written(held.join(sets, "term"), "terms-of")
+    ours = held.select("doc", "t", "with_term").distinct()
+    theirs = named_in.join(entities, "entity").select("doc", "e", "with_entity", "most").distinct()
+    pairs = written(ours.join(theirs, "doc").where("with_term <= most").drop("most"), "pairs")
+    known = pairs.groupBy("e", "t", "with_entity", "with_term").agg(F.count("*").alias("together"))
     pmi = F.log2((F.col("together") + SMOOTHING * p) / ((F.col("with_term") + SMOOTHING) * p))
-    telling = written(known.where(pmi >= share * content).select("entity", "term"), "telling")
-    found = pairs.join(telling, ["entity", "term"]).groupBy("doc").agg(F.collect_set("term").alias("telling"))
+    telling = written(known.where(pmi >= share * content).select("e", "t"), "telling")
+    told = pairs.join(telling, ["e", "t"]).select("doc", "t").distinct()
+    found = held.join(told, ["doc", "t"]).groupBy("doc").agg(F.collect_set("term").alias("telling"))
     located = private.join(found, "doc").select("key", "text", "telling")
     return _rows(located, _located, schema, 200)
 
