@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,19 +52,26 @@ def unpacked(df: DataFrame, row: str, columns: list[str], *more: Column) -> Data
     return df.select(*[F.col(row).getField(c).alias(c) for c in columns if c.lower() not in taken], *more)
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether the rows are those of stored files, chosen and projected at most: no joins, no rows made of others."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and bool(df.inputFiles())
+
+
 def tagged(docs: DataFrame) -> DataFrame:
     """``row`` (all columns as a struct) and ``tag``, which names a row wherever and however often the rows are read.
 
     Rows of stored files are named by file and place in it, which hold if executors are lost and the scan is cut anew.
-    Other tables are written with a number for each row first.
+    Other tables, among them joined and exploded ones, are written with a number for each row first.
     """
-    try:
-        place = docs.select(packed(docs).alias("row"), F.struct(F.xxhash64("_metadata.file_path").alias("a"), F.col("_metadata.row_index").alias("b")).alias("tag"))
-        place.schema  # resolves the names
-        return place
-    except AnalysisException:
-        number = F.monotonically_increasing_id()
-        return written(docs.select(packed(docs).alias("row"), F.struct(number.alias("a"), F.lit(0).cast("long").alias("b")).alias("tag")), "tagged")
+    row = packed(docs).alias("row")
+    if _plain_scan(docs):
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("a"), F.col("_metadata.row_index").alias("b"))
+        return docs.select(row, place.alias("tag"))
+    number = F.struct(F.monotonically_increasing_id().alias("a"), F.lit(0).cast("long").alias("b"))
+    return written(docs.select(row, number.alias("tag")), "tagged")
 
 
 def text_of(text_col: str) -> Column:

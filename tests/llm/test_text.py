@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from classkit.llm import langid, line_templates, pii
 from classkit.llm.queries import QUERIES
@@ -155,6 +156,54 @@ def test_terms_that_disclose(spark, telling):
     assert all(made[i] == text[i] for i in range(40))
 
 
+def plain_terms(pairs, share=0.9):
+    """Disclosing terms of each text, by the formulas alone."""
+    texts = {t or "" for _, t in pairs}
+    entities, terms = {}, {}
+    for t in texts:
+        spans = plain_spans(t)
+        for s in spans:
+            entities.setdefault(pii._entity(t, s), set()).add(t)
+        for w in {m[0].lower() for m in re.finditer(r"[^\W_]+", t) if len(m[0].lower()) >= 3}:
+            terms.setdefault(w, set()).add(t)
+    inside = {t: {w for w, _, _ in pii._words(t, plain_spans(t))} for t in texts}
+    told = {}
+    for rows in entities.values():
+        p = len(rows) / len(texts)
+        for w in set().union(*(inside[t] for t in rows)):
+            together = sum(w in inside[t] for t in rows)
+            pmi = np.log2((together + 0.5 * p) / ((len(terms[w]) + 0.5) * p))
+            if p < 1 and pmi >= -share * np.log2(p):
+                for t in rows:
+                    if w in inside[t]:
+                        told.setdefault(t, set()).add(w)
+    return told
+
+
+def test_terms_by_the_formulas(spark, sample, telling):
+    for pairs in ([(i, t) for i, t, _ in sample] * 2, [*telling, (900, None), (None, telling[-1][1])]):
+        told = plain_terms(pairs)
+        rows = pii.private_spans(make_docs(spark, [(n, t) for n, (_, t) in enumerate(pairs)])).collect()
+        found = 0
+        for r in rows:
+            text = pairs[r["doc_id"]][1] or ""
+            terms = {text[a:b].lower() for a, k, b in r["spans"] if pii.KINDS[k] == "term"}
+            assert terms == told.get(text, set())
+            found += len(terms)
+        assert found
+
+
+def test_a_list_of_addresses_makes_rows_in_proportion(spark, monkeypatch):
+    made = {}
+    keep = pii.written
+    monkeypatch.setattr(pii, "written", lambda df, name: made.setdefault(name, keep(df, name)))
+    listed = " ".join(f"name{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzäöüß'[i // 100]} u{i}@x.org" for i in range(800))
+    pairs = [(i, f"plain text number {'abcdefghij'[i % 10]} of {'klmnopqrst'[i // 10]}") for i in range(99)] + [(500, listed)]
+    spans = {r["doc_id"]: r["spans"] for r in pii.private_spans(make_docs(spark, pairs)).collect()}
+    assert sum(pii.KINDS[s["kind"]] == "term" for s in spans[500]) == 800
+    assert made["pairs"].count() < 100
+
+
 def test_a_rare_name_beside_a_rare_address_discloses_it(spark):
     words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
     pairs = [(i, f"{words[i % 6]} {words[i // 6 % 6]} {words[i // 36]} plain") for i in range(150)]
@@ -197,42 +246,54 @@ def test_registered_personal_data(spark, sample):
 # --- recurring lines --------------------------------------------------------
 
 
-def plain_lines(pairs, min_docs=3, share=0.8, depth=3, min_tokens=3):
+# Scripts without spaces, as the operator lists them in UTF-8.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U00033fff]"
+
+
+def plain_tokens(line):
+    line = re.sub(UNSPACED + "{6,}", lambda run: " " + "".join(c + " " for c in run[0]), line)
+    return tuple(re.sub(rb"\S*[0-9]\S*", b"<*>", line.encode()).split())
+
+
+def plain_lines(pairs, min_docs=3, share=0.7, depth=3, min_tokens=3, long_tokens=50, percent=10):
     """Kept lines per row, by the definition: counts over different lines of each row."""
     parsed = {}
     for n, (_, text) in enumerate(pairs):
         for line in (text or "").split("\n"):
-            tokens = tuple(re.sub(rb"\S*[0-9]\S*", b"<*>", line.encode()).split())
+            tokens = plain_tokens(line)
             if len(tokens) >= min_tokens:
                 parsed.setdefault(n, {})[line] = tokens
     docs_of = {}
     for n, lines in parsed.items():
         for tokens in lines.values():
             docs_of.setdefault(tokens, set()).add(n)
-    support = {}
+    support, total = {}, {}
     for tokens, rows in docs_of.items():
         leaf = (len(tokens), tokens[:depth])
+        total[leaf] = total.get(leaf, 0) + len(rows)
         for place, token in enumerate(tokens):
             support[leaf, place, token] = support.get((leaf, place, token), 0) + len(rows)
-    template = {}
-    for tokens in docs_of:
+    homes, names = {}, {}
+    order = lambda n: (pairs[n][0] is None, pairs[n][0] or 0, n)
+    for tokens, rows in docs_of.items():
         leaf = (len(tokens), tokens[:depth])
-        constant = tuple((p, t) for p, t in enumerate(tokens) if support[leaf, p, t] >= min_docs)
+        least = min(2, min_docs) if len(tokens) >= long_tokens else min_docs
+        if len(rows) >= least:
+            homes[tokens] = (set(rows), least)
+            names.setdefault(tokens, []).append(tokens)
+        counts = [support[leaf, p, t] for p, t in enumerate(tokens)]
+        constant = tuple((p, t) for (p, t), n in zip(enumerate(tokens), counts) if n >= min_docs and 100 * n >= percent * total[leaf])
         if len(constant) >= share * len(tokens):
-            template[tokens] = (leaf, constant)
-    homes = {}
-    for tokens, name in template.items():
-        homes.setdefault(name, set()).update(docs_of[tokens])
-    order = lambda n: (pairs[n][0] is None, pairs[n][0] or 0, n)
-    home = {name: min(rows, key=order) for name, rows in homes.items() if len(rows) >= min_docs}
+            homes.setdefault((leaf, constant), (set(), min_docs))[0].update(rows)
+            names.setdefault(tokens, []).append((leaf, constant))
+    home = {name: min(rows, key=order) for name, (rows, least) in homes.items() if len(rows) >= least}
     out = []
     for n, (i, text) in enumerate(pairs):
         if text is None:
             out.append((i, None, 0, 0))
             continue
         lines = text.split("\n")
-        gone = lambda x: (name := template.get(parsed.get(n, {}).get(x))) in home and home[name] != n
-        kept = [x for x in lines if not gone(x)]
+        kept = [x for x in lines if not any(home.get(name, n) != n for name in names.get(parsed.get(n, {}).get(x), ()))]
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return out
 
@@ -270,6 +331,36 @@ def test_lines_without_spaces_recur(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {i: t if not i else f"page{'abcd'[i]}" for i, t in pairs}
 
 
+def test_fields_of_common_values_are_fields(spark):
+    rng = random.Random(5)
+    line = "dear reader your order from {} was sent to {} and will be paid by {} before the month ends as agreed"
+    field = lambda kind: f"{kind}{'abcdefghijklmnopqrstuvwxyzäöüß'[rng.randrange(30)]}"
+    lines = {line.format(field("shop"), field("town"), field("bank")) for _ in range(700)}
+    pairs = list(enumerate(sorted(lines)[:600]))
+    got = line_templates.drop_recurring_lines(make_docs(spark, pairs).drop("n_lines"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {i: "" if i else t for i, t in pairs}
+
+
+def test_unique_fields_of_many_documents(spark):
+    name = "translate(cast(id * {} % 1000003 as string), '0123456789', 'abcdefghij')"
+    text = f"concat('the account of ', {name.format(7919)}, ' was opened for ', {name.format(104729)}, ' on the usual terms and conditions')"
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.expr(text).alias("text"))
+    assert docs.select("text").distinct().count() == 60_000
+    kept = line_templates.drop_recurring_lines(docs).where("text != ''").collect()
+    assert [r["doc_id"] for r in kept] == [0]
+
+
+def test_rows_of_multiplied_tables_are_documents_of_their_own(spark, tmp_path, sample):
+    line = "a line that every document has"
+    make_docs(spark, [(i, f"{line}\n{t}") for i, t, _ in sample[:20]]).drop("n_lines").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    twice = stored.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    joined = stored.join(spark.createDataFrame([(i, c) for i, _, _ in sample[:20] for c in (1, 2)], "doc_id long, copy int"), "doc_id")
+    for docs in (twice, joined):
+        got = line_templates.drop_recurring_lines(docs).collect()
+        assert len(got) == 40 and sum((r["text"] or "").startswith(line) for r in got) == 1
+
+
 def test_registered_recurring_lines(spark, sample):
     rows = {r["doc_id"]: r for r in QUERIES["op9_recurring_lines"](spark, SF).collect()}
     for i, text, n, dropped in plain_lines([(i, t) for i, t, _ in sample]):
