@@ -17,9 +17,17 @@ MAX_CLASSES = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: ``spark.checkpoint.dir``, else one in the session's warehouse."""
+    """The folder every executor can read: ``spark.checkpoint.dir``, else one in the session's warehouse.
+
+    On a cluster, a warehouse in one machine's own files is refused: other machines would not see what is written there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} may be one machine's own")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
