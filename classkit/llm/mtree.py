@@ -152,7 +152,7 @@ def _lift(vectors: np.ndarray, norm2: int, query: bool = False) -> np.ndarray:
 
 
 def _assign(pivots: np.ndarray, width: int, norm2: int):
-    """mapInArrow over (id, vector): (id, vector, cell, distance to the cell's pivot)."""
+    """mapInArrow over (id, vector, tag): (id, vector, tag, cell, distance to the cell's pivot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lifted = _lift(pivots, norm2)
@@ -160,7 +160,7 @@ def _assign(pivots: np.ndarray, width: int, norm2: int):
             far = MTree._distances(_lift(_matrix(batch.column(1), width), norm2), lifted)
             cell = far.argmin(1)
             arrays = [*batch.columns, pa.array(cell, pa.int32()), pa.array(far[np.arange(len(cell)), cell])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "vector", "cell", "far"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "vector", "tag", "cell", "far"])
 
     return run
 
@@ -261,30 +261,30 @@ def top_inner_products(
     Components are turned into floor(scale * x). Queries are the rows for which ``is_query`` holds; candidates are all
     rows with another id than the query's (all of them, if there are fewer than k). Vectors that are null or hold null,
     NaN or infinite components, and rows with a null id, take no part; shorter vectors count as padded with zeros;
-    repeated rows count once, and an id with several vectors is several rows. Scores are exact while they fit a long.
-    Without vectors the result is empty.
+    every row stands for itself, repeated ones too: each is a candidate, and a query row that is repeated has its results
+    as often. Scores are exact while they fit a long. Without vectors the result is empty.
 
-    Rows are dealt to the cells of at most `CELLS` pivots (rows with the smallest hashes of their id), and each cell to
+    Rows are dealt to the cells of at most `CELLS` pivots (rows with the smallest hashes), and each cell to
     trees of about ``tree_rows`` rows, however many it has. A query first searches one tree of its nearest cell; its
     k-th score then rules out cells by their covering radii, and it searches the trees of the others with that bound.
     """
     spark = df.sparkSession
     result = "query_id long, rank int, vec_id long, score long"
     rows = df.select(named(id_col).cast("long").alias("vec_id"), scaled(named(vector_col), scale).alias("vector"), is_query.alias("asks"))
-    rows = rows.where("vec_id is not null and size(vector) > 0").groupBy("vec_id", "vector").agg(F.max("asks").alias("asks"))
-    rows = written(rows, "vectors")
+    rows = rows.where("vec_id is not null and size(vector) > 0")
+    rows = written(rows.withColumn("tag", F.monotonically_increasing_id()), "vectors")
     norm = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: s + x * x)
     n, norm2, width = rows.agg(F.count("*"), F.max(norm), F.max(F.size("vector"))).first()
     if not n:
         return spark.createDataFrame([], result)
 
     wanted = min(CELLS, -(-n // tree_rows))
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("vector").limit(wanted).collect()
+    chosen = rows.orderBy(F.xxhash64("vec_id", "tag"), "tag").select("vector").limit(wanted).collect()
     pivots = np.zeros((len(chosen), width), np.int64)
     for i, row in enumerate(chosen):
         pivots[i, : len(row[0])] = row[0]
-    ddl = "vec_id long, vector array<long>, cell int, far double"
-    dealt = written(rows.select("vec_id", "vector").mapInArrow(_assign(pivots, width, norm2), ddl), "dealt")
+    ddl = "vec_id long, vector array<long>, tag long, cell int, far double"
+    dealt = written(rows.select("vec_id", "vector", "tag").mapInArrow(_assign(pivots, width, norm2), ddl), "dealt")
     sizes = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.min("far").alias("least"), F.max("far").alias("most"))
     cells, trees = {}, 0
     for row in sizes.orderBy("cell").collect():  # at most CELLS rows
@@ -292,14 +292,13 @@ def top_inner_products(
         cells[row["cell"]] = (trees, count, row["least"], row["most"])
         trees += count
     firsts = spark.createDataFrame([(c, v[0], v[1]) for c, v in cells.items()], "cell int, first long, count long")
-    tree = (F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("count"))).alias("tree")
+    tree = (F.col("first") + F.pmod(F.xxhash64("vec_id", "tag"), F.col("count"))).alias("tree")
     # The trees are written before they are searched, so each is built once.
     own = dealt.join(F.broadcast(firsts), "cell").select(tree, "vec_id", "vector")
     own = own.repartition(max(1, min(trees, 100_000)), "tree").sortWithinPartitions("tree", "vec_id")
     forest = written(_arrow(own, _plant(width, norm2), "tree long, packed binary", 8), "forest")
 
-    asked = rows.where("asks").select(F.monotonically_increasing_id().alias("tag"), "vec_id", "vector")
-    asked = written(asked, "asked")
+    asked = rows.where("asks").select("tag", "vec_id", "vector")
 
     def answers(queries: DataFrame, home: bool) -> DataFrame:
         sent = _arrow(queries, _requests(pivots, cells, width, norm2, home), "tree long, queries binary", 16)

@@ -2,21 +2,22 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from classkit.llm.mtree import MTree, top_inner_products
-from classkit.llm.queries import QUERIES
+from classkit.llm.queries import ORACLES, QUERIES
 from classkit.llm.sharding import communication_matrix, hypergeometric, shuffle_into_shards
 from tests.llm.conftest import SF, make_docs
 
 
 def expected_top(rows, asks, k, scale=256):
-    fine = {}
+    fine = []
     for i, v in rows:
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            fine[(i, tuple(math.floor(scale * float(np.float32(x))) for x in v))] = None
+            fine.append((i, tuple(math.floor(scale * float(np.float32(x))) for x in v)))
     out = []
     for i, v in fine:
         if asks(i):
@@ -48,6 +49,21 @@ def test_few_vectors(spark):
     assert run_top(spark, rows) == expected_top(rows, lambda i: i % 10 == 0, 3)
 
 
+def test_repeated_vectors_as_in_sql(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(120)]
+    rows += [rows[1], *[rows[7]] * 90, rows[50], rows[50], (100, [0.5] * 6), (1, None)]
+    schema = "vec_id long, embedding array<float>"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    mine = QUERIES["op2_top_vectors"](spark, str(tmp_path)).collect()
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        want = duck.execute(ORACLES["op2_top_vectors"]).fetchall()
+    assert sorted(map(tuple, mine)) == sorted(want) and len(want) == 6 * 5
+    few = [(0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [3.0])]
+    assert run_top(spark, few, 5) == [(0, 1, 2, 256 * 768), (0, 2, 1, 256 * 512), (0, 3, 1, 256 * 512)]
+
+
 def test_tree_passes_over_pages():
     rng = np.random.default_rng(6)
     vectors = (rng.normal(size=(20, 4))[rng.integers(0, 20, 2_000)] * 200 + rng.normal(size=(2_000, 4)) * 4).astype(np.int64)
