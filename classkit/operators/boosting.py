@@ -4,8 +4,10 @@ After the published method for scalable tree boosting: features are cut into
 bins once; each level of a tree needs, per open node, feature and bin, the sums
 of the derivatives of the loss. Tasks sum them over their rows, Spark adds the
 partial histograms up and ranks the possible splits with a window per feature,
-and the driver receives one row per open node. Trees are grown for all classes
-at once, so a round costs one job per level, as long as nodes are large.
+and the driver receives one row per open node. Of two siblings only the one with
+fewer rows is measured; the other's sums are those of their parent, which were
+kept, less the measured ones. Trees are grown for all classes at once, so a round
+costs one job per level, as long as nodes are large.
 
 A node of few rows (LOCAL_VALUES) is finished inside a task, which gets its rows
 and grows the subtree to full depth by the same rule. If the whole table is that
@@ -242,9 +244,9 @@ def _open_rows(held, growing, nodes, number: int, seed: int, share: float) -> tu
     return rows, slot[rows]
 
 
-def _histogram(state: DataFrame, pending, growing, frontier, columns, settings: BoostingSettings, round_: int):
-    """Partial sums ``(tree, node, feature, bin, g, h, n)`` for the open nodes, added up over all blocks of a task."""
-    shared = state.sparkSession.sparkContext.broadcast((pending, growing, frontier, columns))
+def _histogram(state: DataFrame, pending, growing, measured, columns, settings: BoostingSettings, round_: int):
+    """Partial sums ``(tree, node, feature, bin, g, h, n)`` for the ``measured`` nodes, added up over all blocks of a task."""
+    shared = state.sparkSession.sparkContext.broadcast((pending, growing, measured, columns))
     bins_max, seed, subsample = settings.max_bins, settings.seed, settings.subsample
 
     def emit(tree, nodes, used, cells, sums):
@@ -256,13 +258,13 @@ def _histogram(state: DataFrame, pending, growing, frontier, columns, settings:
         )
 
     def sums(batches):
-        pending, growing, frontier, columns = shared.value
+        pending, growing, measured, columns = shared.value
         dense: dict[int, np.ndarray] = {}
         sparse: dict[int, tuple[list, list]] = {}
         for held in _state_blocks(batches, pending):
             bins = held["bins"]
             g, h = _derivatives(held["margin"], held["label"][:, 0])
-            for tree, nodes in frontier.items():
+            for tree, nodes in measured.items():
                 used = columns[tree]
                 rows, slot = _open_rows(held, growing[tree], nodes, round_ * held["margin"].shape[1] + tree, seed, subsample)
                 cells = (slot[:, None] * len(used) + np.arange(len(used))) * bins_max + bins[np.ix_(rows, used)]
@@ -284,13 +286,50 @@ def _histogram(state: DataFrame, pending, growing, frontier, columns, settings:
         for tree, part in dense.items():
             cells = np.nonzero(part[2])[0]
             if len(cells):
-                yield emit(tree, frontier[tree], columns[tree], cells, part[:, cells])
+                yield emit(tree, measured[tree], columns[tree], cells, part[:, cells])
         for tree, (found, parts) in sparse.items():
-            yield emit(tree, frontier[tree], columns[tree], *_merged(found, parts))
+            yield emit(tree, measured[tree], columns[tree], *_merged(found, parts))
 
     return state.mapInArrow(sums, HISTOGRAM)
 
 
+# Two siblings of the level to come: the measured one, and which of them are open.
+SIBLINGS = T.StructType(
+    [
+        *[T.StructField(c, T.IntegerType()) for c in ("tree", "parent", "node", "sibling")],
+        *[T.StructField(c, T.BooleanType()) for c in ("node_open", "sibling_open")],
+    ]
+)
+
+
+def _level_cells(partial: DataFrame, above: DataFrame | None, siblings: list[dict]) -> DataFrame:
+    """``(tree, parent, feature, node, bin, g, h, n)``: the sums of all open nodes of a level.
+
+    ``partial`` has those of one child of each parent, ``above`` the cells of the level before. Both are brought together
+    by parent and feature in one shuffle, which the running sums of the gains then use as well. ``siblings`` has one row
+    per split node, which the driver holds as part of the trees. Counts are whole numbers, so cells that are empty after
+    the subtraction are known exactly and go.
+    """
+    place, sums = ["tree", "parent", "feature"], ("g", "h", "n")
+    if above is None:
+        rows = partial.withColumn("parent", F.col("node")).repartition(*place)
+        return rows.groupBy(*place, "node", "bin").agg(*[F.sum(c).alias(c) for c in sums])
+    pairs = F.broadcast(local_table(partial.sparkSession, siblings, SIBLINGS))
+    none = F.lit(0.0)
+    found = partial.join(pairs.select("tree", "node", "parent"), ["tree", "node"]).select(
+        *place, "bin", *sums, *[none.alias(f"all_{c}") for c in sums]
+    )
+    parents = above.select("tree", F.col("node").alias("parent"), "feature", "bin", *[none.alias(c) for c in sums], *[F.col(c).alias(f"all_{c}") for c in sums])
+    kept = parents.join(pairs.select("tree", "parent"), ["tree", "parent"], "left_semi")
+    both = found.unionByName(kept).repartition(*place).groupBy(*place, "bin")
+    both = both.agg(*[F.sum(c).alias(c) for c in (*sums, *(f"all_{c}" for c in sums))]).join(pairs, ["tree", "parent"])
+    own = F.struct("node", F.col("node_open").alias("open"), *sums)
+    rest = [(F.col(f"all_{c}") - F.col(c)).alias(c) for c in sums]
+    other = F.struct(F.col("sibling").alias("node"), F.col("sibling_open").alias("open"), *rest)
+    cells = both.select(*place, "bin", F.inline(F.array(own, other)))
+    return cells.where("open and n > 0").select(*place, "node", "bin", *sums)
+
+
 def split_gains(histogram: DataFrame, settings: BoostingSettings = MULTICLASS) -> DataFrame:
     """Gain of every split "bin <= b" of ``(tree, node, feature, bin, g, h)`` sums.
 
@@ -298,13 +337,18 @@ def split_gains(histogram: DataFrame, settings: BoostingSettings = MULTICLASS) -
     feature together, so one shuffle of the partial histograms serves both.
     """
     place = ["tree", "node", "feature"]
-    counted = "n" in histogram.columns
-    sums = [F.sum(c).alias(c) for c in ("g", "h", *("n",) * counted)]
-    cells = histogram.repartition(*place).groupBy(*place, "bin").agg(*sums)
+    sums = [F.sum(c).alias(c) for c in ("g", "h", *("n",) * ("n" in histogram.columns))]
+    return _cell_gains(histogram.repartition(*place).groupBy(*place, "bin").agg(*sums), place, settings)
+
+
+def _cell_gains(cells: DataFrame, place: list[str], settings: BoostingSettings) -> DataFrame:
+    counted = "n" in cells.columns
     upto = Window.partitionBy(*place).orderBy("bin")
     whole = Window.partitionBy(*place)
     running = cells.select(
-        *place,
+        "tree",
+        "node",
+        "feature",
         "bin",
         F.sum("g").over(upto).alias("g_left"),
         F.sum("h").over(upto).alias("h_left"),
@@ -371,17 +415,28 @@ def fit_boosted(
     for round_ in range(settings.rounds):
         trees = [Tree() for _ in range(outputs)]
         columns = drawn_columns()
-        frontier = {t: [0] for t in range(outputs)}
+        measured: dict[int, list[int]] = {t: [0] for t in range(outputs)}
+        siblings: list[dict] = []
+        levels: list[DataFrame] = []  # kept for the length of a round, found again from the blocks if an executor is lost
+        growing = [t.columns(by_bin=True) for t in trees]
         for depth in range(settings.max_depth):
-            growing = [t.columns(by_bin=True) for t in trees]
-            partial = _histogram(state, pending, growing, frontier, columns, settings, round_)
-            found = best_splits(split_gains(partial, settings)).collect()  # one row per open node
+            partial = _histogram(state, pending, growing, measured, columns, settings, round_)
+            cells = _level_cells(partial, levels[-1] if levels else None, siblings).persist(StorageLevel.MEMORY_AND_DISK)
+            levels.append(cells)
+            gains = _cell_gains(cells, ["tree", "parent", "feature", "node"], settings)
+            found = best_splits(gains).collect()  # one row per open node
             left = settings.max_depth - depth - 1
-            frontier, small = _grow(trees, found, edges, settings, most, last=not left)
+            siblings, small = _grow(trees, found, edges, settings, most, last=not left)
+            growing = [t.columns(by_bin=True) for t in trees]  # before small nodes are finished: they may be measured for a sibling
             if small:
                 _finish(state, pending, trees, small, columns, edges, settings, round_, left)
-            if not frontier:
+            if not siblings:
                 break
+            measured = {}
+            for pair in siblings:
+                measured.setdefault(pair["tree"], []).append(pair["node"])
+        for cells in levels:
+            cells.unpersist()
         trees = [t.by_level() for t in trees]
         model.trees += trees
         pending += [t.columns(by_bin=True) for t in trees]
@@ -545,8 +600,8 @@ def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np
 
 
 def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, most: int, last: bool):
-    """Apply the best splits; returns the nodes that are open next, and those of them with at most ``most`` rows."""
-    frontier: dict[int, list[int]] = {}
+    """Apply the best splits; returns the siblings of which one at least is open next, and the nodes of at most ``most`` rows."""
+    siblings: list[dict] = []
     small: dict[int, list[int]] = {}
 
     def settle(tree: Tree, node: int, g: float, h: float) -> None:
@@ -562,9 +617,16 @@ def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, most: int
         settle(tree, left, row["g_left"], row["h_left"])
         settle(tree, right, row["g_all"] - row["g_left"], row["h_all"] - row["h_left"])
         if not last:
-            for node, n in ((left, row["n_left"]), (right, row["n_all"] - row["n_left"])):
-                (small if n <= most else frontier).setdefault(row["tree"], []).append(node)
-    return frontier, small
+            sides = sorted([(row["n_left"], left), (row["n_all"] - row["n_left"], right)])  # the smaller one is measured
+            for n, node in sides:
+                if n <= most:
+                    small.setdefault(row["tree"], []).append(node)
+            (n, node), (n_other, other) = sides
+            if n_other > most:
+                siblings.append(
+                    {"tree": row["tree"], "parent": row["node"], "node": node, "sibling": other, "node_open": n > most, "sibling_open": True}
+                )
+    return siblings, small
 
 
 def _parts(trees: Sequence[Tree], outputs: int) -> list[list[Tree]]:

@@ -257,6 +257,41 @@ def test_trees_are_the_same_wherever_they_are_grown(spark, monkeypatch, n_classe
     assert max(len(t.feature) for t in one.trees) > 15
 
 
+def test_siblings_by_subtraction(spark, monkeypatch):
+    """Below the root at most half of the rows are measured, and the cells are those of a direct count."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3).round(1).tolist(), int(rng.integers(0, 3))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int").repartition(3)
+    monkeypatch.setattr(boosting, "LOCAL_VALUES", 40 * (3 + 3))
+    histogram, level = boosting._histogram, boosting._level_cells
+    seen = []
+
+    def counted(state, pending, growing, measured, columns, settings, round_):
+        partial = histogram(state, pending, growing, measured, columns, settings, round_)
+        seen.append((partial.groupBy("tree", "feature").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0], state, growing, columns, settings, round_, pending))
+        return partial
+
+    def compared(partial, above, siblings):
+        cells = level(partial, above, siblings)
+        if above is not None:
+            _, state, growing, columns, settings, round_, pending = seen[-1]
+            open_nodes = {}
+            for s in siblings:
+                for node, is_open in ((s["node"], s["node_open"]), (s["sibling"], s["sibling_open"])):
+                    if is_open:
+                        open_nodes.setdefault(s["tree"], []).append(node)
+            keys = ["tree", "node", "feature", "bin"]
+            direct = histogram(state, pending, growing, open_nodes, columns, settings, round_).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in "ghn"])
+            a, b = (np.array(d.select(*keys, "n", "g", "h").orderBy(*keys).collect()) for d in (cells, direct))
+            assert a.shape == b.shape and (a[:, :5] == b[:, :5]).all() and np.allclose(a, b)
+        return cells
+
+    monkeypatch.setattr(boosting, "_histogram", counted)
+    monkeypatch.setattr(boosting, "_level_cells", compared)
+    boosting.fit_boosted(df, "id", n_classes=3, rounds=1, max_depth=4, max_bins=32, subsample=1.0)
+    assert len(seen) > 2 and seen[0][0] == 400 and all(s[0] <= 200 for s in seen[1:])
+
+
 def test_no_rows_to_boost(spark):
     empty = spark.createDataFrame([], "id long, features array<double>, label int")
     model = boosting.fit_boosted(empty, "id", rounds=2, edges=[np.array([0.5])])
