@@ -194,6 +194,46 @@ def test_early_stop_rule(spark, losses, best, stop, early):
     assert (rule.best_step, step, rule.stopped) == (best, stop, early)
 
 
+def plain_rule(losses, patience, min_delta):
+    rule, best, read = EarlyStopping(patience, min_delta), None, 0
+    for step, loss in enumerate(losses, 1):
+        if rule.stopped:
+            break
+        read = step
+        if rule.improved(step, float("nan") if loss is None else loss):
+            best = step
+    return best, rule.best if best else None, read, rule.stopped
+
+
+def test_runs_cut_into_pieces(spark):
+    """Every way of cutting a history gives the rule's own result."""
+    rng = np.random.default_rng(11)
+    runs = {}
+    for i in range(60):
+        falling = np.linspace(1, rng.uniform(-1, 1), 90) + rng.normal(size=90) * rng.choice([0, 1e-3, 0.05])
+        losses = [float(x) for x in falling.round(int(rng.integers(2, 6)))]
+        for j in rng.integers(0, 90, 6):
+            losses[j] = [None, float("nan"), float("inf")][int(rng.integers(0, 3))]
+        runs[i] = losses[: int(rng.integers(1, 91))]
+    runs |= {100: [None], 101: [float("inf")] * 30, 102: [1.0 - 1e-4 * i for i in range(90)], None: [0.5, 0.1], 103: [0.25] * 12}
+    rows = [(run, step, loss) for run, losses in runs.items() for step, loss in enumerate(losses, 1)]
+    df = spark.createDataFrame(rows, "run int, epoch int, val_loss double")
+    keep = "spark.sql.adaptive.coalescePartitions.enabled"
+    before, shuffles = spark.conf.get(keep), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set(keep, "false")
+        for parts, patience in ((1, 5), (40, 5), (40, 1), (40, 17)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got = {r["run"]: tuple(r)[1:] for r in early_stop(df, patience=patience).collect()}
+            assert got == {run: plain_rule(losses, patience, 1e-3) for run, losses in runs.items()}
+        got = {r["run"]: tuple(r)[1:] for r in early_stop(df, patience=9, max_epochs=25).collect()}
+        assert got == {run: plain_rule(losses[:25], 9, 1e-3) for run, losses in runs.items()}
+    finally:
+        spark.conf.set(keep, before)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    assert early_stop(df.where("false")).count() == 0
+
+
 def test_boosting_learns_a_ring(spark):
     df = moons(spark, 400)
     model = boosting.fit_boosted(df, "id", rounds=5, max_depth=4, eta=0.5, subsample=1.0, max_bins=32)
