@@ -22,7 +22,7 @@ number of rounds, and a lost executor costs only its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -42,6 +42,7 @@ LOCAL_VALUES = 1 << 22  # rows times features and outputs, up to which a task gr
 LOCAL_ROUNDS = 100  # rounds of a small table that a task grows in a row
 SKETCH_ACCURACY = 10_000  # quantile error at most 1 / 10,000; exact for fewer distinct values
 SENT_NODES = 2_000_000  # tree nodes broadcast at once, 40 bytes each; larger models score in several passes
+STORED_NODES = 200_000  # nodes of a part of a stored model, give or take a round
 GAIN_DIGITS = 9  # gains are ranked at this precision, ties by lower feature and bin
 
 
@@ -118,11 +119,20 @@ class Tree:
 
 @dataclass
 class Boosted:
-    """Trees in the order grown: all classes of round 0, then of round 1, .."""
+    """Trees in the order grown: all classes of round 0, then of round 1, .. They are in the list, or in a table of nodes."""
 
     trees: list[Tree]
     outputs: int  # 1 for two classes
     eta: float
+    path: str | None = None  # of the table, see `node_table`; trees that are not written yet are in the list
+    written: int = 0  # trees
+    parts: int = 0
+
+    def settle(self, spark: SparkSession, whole: bool = False) -> None:
+        """Move the trees from the list to the table once they are many, or ``whole`` if the model is complete."""
+        if self.path and self.trees and (whole or sum(len(t.feature) for t in self.trees) >= STORED_NODES):
+            spark.createDataFrame(_node_columns(self.trees, self.written)).write.parquet(f"{self.path}/part={self.parts}")
+            self.written, self.parts, self.trees = self.written + len(self.trees), self.parts + 1, []
 
 
 def _leaf(columns: tuple[np.ndarray, ...], rows: np.ndarray) -> np.ndarray:
@@ -385,13 +395,16 @@ def fit_boosted(
     settings: BoostingSettings | None = None,
     accuracy: int = SKETCH_ACCURACY,
     edges: list[np.ndarray] | None = None,
+    store: str | None = None,
     **changes,
 ) -> Boosted:
     """Boost ``settings.rounds`` rounds; two classes use one logistic output.
 
     ``accuracy`` is that of the quantile sketches behind the bins: ranks of bin
     edges are off by at most rows / ``accuracy``. ``edges`` are used instead,
-    if given: per feature, the values up to which a bin reaches.
+    if given: per feature, the values up to which a bin reaches. With ``store``,
+    a new path, finished trees go to a table of nodes there, so what the driver
+    holds does not grow with the rounds.
     """
     settings = replace(settings or (BINARY if n_classes == 2 else MULTICLASS), **changes)
     if not 2 <= settings.max_bins <= 256:
@@ -402,7 +415,7 @@ def fit_boosted(
     rng = np.random.default_rng(settings.seed)
     used = max(1, int(len(edges) * settings.colsample))
     most = LOCAL_VALUES // (len(edges) + outputs)  # rows of a node that a task finishes
-    model = Boosted([], outputs, settings.eta)
+    model, spark = Boosted([], outputs, settings.eta, store), train.sparkSession
 
     def drawn_columns() -> list[np.ndarray]:
         return [np.sort(rng.choice(len(edges), used, replace=False)) for _ in range(outputs)]
@@ -410,6 +423,7 @@ def fit_boosted(
     if (state.agg(F.sum("rows")).head()[0] or 0) <= most:
         _small_table(state, model, drawn_columns, edges, settings)
         discard(state)
+        model.settle(spark, whole=True)
         return model
     pending: list[tuple] = []
     for round_ in range(settings.rounds):
@@ -439,11 +453,13 @@ def fit_boosted(
             cells.unpersist()
         trees = [t.by_level() for t in trees]
         model.trees += trees
+        model.settle(spark)
         pending += [t.columns(by_bin=True) for t in trees]
         if len(pending) >= MARGIN_ROUNDS * outputs and round_ + 1 < settings.rounds:
             before, (state, pending) = state, (_with_margins(state, pending), [])
             discard(before)
     discard(state)
+    model.settle(spark, whole=True)
     return model
 
 
@@ -594,6 +610,7 @@ def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np
 
         for made, margins in state.sparkSession.sparkContext.runJob(whole, grow, [0]):
             model.trees += [Tree(threshold=_bounds(columns, edges), **columns) for columns in made]
+            model.settle(state.sparkSession)
     if margins is None:  # no rows, or no rounds
         model.trees += [Tree() for _ in range(settings.rounds * outputs)]
     whole.unpersist()
@@ -629,13 +646,46 @@ def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, most: int
     return siblings, small
 
 
-def _parts(trees: Sequence[Tree], outputs: int) -> list[list[Tree]]:
-    """Whole rounds of trees, at most SENT_NODES nodes together where a round allows it."""
+NODES = pa.schema(
+    [(c, pa.int32()) for c in ("tree_id", "node_id", "feature", "cut", "left", "right")]
+    + [(c, pa.float64()) for c in ("threshold", "gain", "cover", "value")]
+)
+
+
+def _node_columns(trees: Sequence[Tree], first: int) -> pa.Table:
+    """The nodes of consecutive trees, the first of number ``first``."""
+    sizes = [len(t.feature) for t in trees]
+    held = {"tree_id": np.repeat(np.arange(first, first + len(trees)), sizes), "node_id": np.concatenate([np.arange(n) for n in sizes])}
+    held |= {f.name: np.concatenate([np.asarray(getattr(t, f.name)) for t in trees]) for f in list(NODES)[2:]}
+    return pa.table([pa.array(held[f.name], f.type) for f in NODES], schema=NODES)
+
+
+def node_table(spark: SparkSession, model: Boosted) -> DataFrame:
+    """All nodes ``(tree_id, node_id, feature, cut, left, right, threshold, gain, cover, value, part)``; leaves have
+    feature -1. A part has whole rounds, about STORED_NODES nodes unless one round has more."""
+    if model.path:
+        return spark.read.parquet(model.path)
+    made, first = [], 0
+    for part, trees in enumerate(_parts(model.trees, model.outputs, STORED_NODES)):
+        nodes = _node_columns(trees, first)
+        made.append(nodes.append_column("part", pa.array(np.full(nodes.num_rows, part, np.int32))))
+        first += len(trees)
+    return spark.createDataFrame(pa.concat_tables(made))
+
+
+def stored_trees(spark: SparkSession, path: str, outputs: int, eta: float) -> Boosted:
+    """A model whose nodes are in the table at ``path``."""
+    row = spark.read.parquet(path).agg(F.max("tree_id"), F.max("part")).first()
+    return Boosted([], outputs, eta, path, row[0] + 1, row[1] + 1)
+
+
+def _parts(trees: Sequence[Tree], outputs: int, most: int) -> list[list[Tree]]:
+    """Whole rounds of trees, at most ``most`` nodes together where a round allows it."""
     parts, nodes = [[]], 0
     for at in range(0, len(trees), outputs):
         round_ = trees[at : at + outputs]
         size = sum(len(t.feature) for t in round_)
-        if parts[-1] and nodes + size > SENT_NODES:
+        if parts[-1] and nodes + size > most:
             parts.append([])
             nodes = 0
         parts[-1] += round_
@@ -643,17 +693,37 @@ def _parts(trees: Sequence[Tree], outputs: int) -> list[list[Tree]]:
     return parts
 
 
+def _sent_trees(spark: SparkSession, model: Boosted) -> Iterator[list[tuple]]:
+    """The columns that scoring needs of whole rounds of trees, one part of the model after the other."""
+    if not model.path:
+        for trees in _parts(model.trees, model.outputs, SENT_NODES):
+            yield [t.columns(by_bin=False) for t in trees]
+        return
+    nodes = spark.read.parquet(model.path)
+    sizes = nodes.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()  # STORED_NODES nodes a row
+    group, held = [], 0
+    for i, row in enumerate(sizes):
+        group.append(row["part"])
+        held += row["n"]
+        if i + 1 == len(sizes) or held + sizes[i + 1]["n"] > SENT_NODES:
+            table = nodes.where(F.col("part").isin(group)).select("tree_id", "node_id", "feature", "threshold", "left", "right", "value")
+            columns = [c.to_numpy() for c in table.toArrow().sort_by([("tree_id", "ascending"), ("node_id", "ascending")]).columns]
+            ends = np.flatnonzero(np.diff(columns[0])) + 1
+            yield list(zip(*(np.split(c, ends) for c in columns[2:])))
+            group, held = [], 0
+
+
 def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", target: str = "p") -> DataFrame:
     """Add the class probabilities as an array column; a map over the rows.
 
     The trees are broadcast, those of a large model part by part, each part
     adding to the margins of the one before.
     """
-    outputs, parts = model.outputs, _parts(model.trees, model.outputs)
+    outputs = model.outputs
     schema = T.StructType([*df.schema.fields, T.StructField(target, T.ArrayType(T.DoubleType()))])
 
-    def add(rows: DataFrame, trees: list[Tree], first: bool, last: bool) -> DataFrame:
-        shared = rows.sparkSession.sparkContext.broadcast([t.columns(by_bin=False) for t in trees])
+    def add(rows: DataFrame, trees: list[tuple], first: bool, last: bool) -> DataFrame:
+        shared = rows.sparkSession.sparkContext.broadcast(trees)
 
         def score(batches):
             for batch in batches:
@@ -668,8 +738,12 @@ def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", t
 
         return rows.mapInArrow(score, schema)
 
-    for i, trees in enumerate(parts):
-        df = add(df, trees, i == 0, i + 1 == len(parts))
+    first, parts = True, _sent_trees(df.sparkSession, model)
+    trees = next(parts)
+    while trees is not None:
+        following = next(parts, None)
+        df = add(df, trees, first, following is None)
+        first, trees = False, following
     return df
 
 
@@ -686,6 +760,10 @@ TREE_NODES = T.StructType(
 def tree_table(spark: SparkSession, model: Boosted, tree_ids: Sequence[int]) -> DataFrame:
     """One row per node of the chosen trees that the model has:
     ``(tree_id, node_id, feature, threshold, left, right, gain, cover, prediction)``."""
+    if model.path:
+        nodes, inner = spark.read.parquet(model.path).where(F.col("tree_id").isin(list(tree_ids))), F.col("feature") >= 0
+        cells = [F.when(inner, F.col(c)).alias(c) for c in ("feature", "threshold", "left", "right", "gain")]
+        return nodes.select("tree_id", "node_id", *cells, "cover", F.when(~inner, F.col("value")).alias("prediction"))
     rows = []
     for t in sorted(set(tree_ids) & set(range(len(model.trees)))):
         tree = model.trees[t]

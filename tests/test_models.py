@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from classkit.operators import boosting, knn, mlp, model_tables, scale, split
+from classkit.operators import boosting, knn, mlp, model_tables, scale, split, stored
 from classkit.operators.early_stop import EarlyStopping, early_stop
 from classkit.plans import QUERIES
 
@@ -338,6 +338,40 @@ def test_no_rows_to_boost(spark):
     assert [list(t.feature) for t in model.trees] == [[-1], [-1]]
 
 
+@pytest.mark.parametrize("local_values", [0, 1 << 22])
+def test_stored_trees_score_and_show_as_those_in_memory(spark, monkeypatch, tmp_path, local_values):
+    df = moons(spark, 120).withColumn("label", F.col("label") + (F.col("id") % 2).cast("int"))
+    monkeypatch.setattr(boosting, "LOCAL_VALUES", local_values)
+    monkeypatch.setattr(boosting, "LOCAL_ROUNDS", 2)
+    settings = {"n_classes": 3, "rounds": 4, "max_depth": 2, "max_bins": 8}
+    held = boosting.fit_boosted(df, "id", **settings)
+    monkeypatch.setattr(boosting, "STORED_NODES", 20)
+    monkeypatch.setattr(boosting, "SENT_NODES", 45)
+    model = boosting.fit_boosted(df, "id", store=f"{tmp_path}/grown", **settings)
+    assert model.trees == [] and model.parts > 1 and model.written == 12
+    p = lambda m: [r["p"] for r in boosting.predict_boosted(df, m).orderBy("id").collect()]
+    table = lambda m: sorted(map(tuple, boosting.tree_table(spark, m, [0, 5, 11, 12]).collect()), key=str)
+    assert p(model) == p(held) and table(model) == table(held)
+    for name, one in (("a", held), ("b", model)):
+        stored.save_pipeline(spark, f"{tmp_path}/{name}", stored.Pipeline(one, ["features"], ["4", "6", "8"]))
+        back = stored.load_pipeline(spark, f"{tmp_path}/{name}")
+        assert p(back.model) == p(held) and table(back.model) == table(held) and back.classes == ["4", "6", "8"]
+
+
+def test_stored_network_scores_alike(spark, tmp_path):
+    df = moons(spark, 90)
+    fit = mlp.fit_full_batch(df, hidden=(5, 3), max_iter=4, scalers=scale.fit_scaler(df, "features"))[0]
+    stored.save_pipeline(spark, f"{tmp_path}/net", stored.Pipeline(fit, ["features"], ["out", "in"]))
+    back = stored.load_pipeline(spark, f"{tmp_path}/net")
+    assert (back.model.network.flat == fit.network.flat).all()
+    scored = stored.apply_pipeline(df, back).orderBy("id").collect()
+    plain = mlp.predict(df, fit).orderBy("id").collect()
+    assert [r["p"] for r in scored] == [r["p"] for r in plain]
+    assert all(r["class"] == ["out", "in"][r["prediction"]] and r["prediction"] == (r["p"][1] >= 0.5) for r in scored)
+    with pytest.raises(Exception, match="(?i)exists"):
+        stored.save_pipeline(spark, f"{tmp_path}/net", stored.Pipeline(fit, ["features"], ["out", "in"]))
+
+
 def test_missing_trees_are_reported(spark):
     model = boosting.fit_boosted(moons(spark, 60), "id", rounds=2, max_depth=2, max_bins=8)
     nodes = boosting.chosen_trees(boosting.tree_table(spark, model, [0, 499]), [0, 499])
