@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -114,3 +115,28 @@ def test_too_many_classes_raise(spark):
     for found in (metrics.classification_report(scored), metrics.confusion_cells(scored)):
         with pytest.raises(Exception, match="too many classes"):
             found.count() if "name" not in found.columns else found.collect()
+
+
+def test_percentiles_from_brackets(spark, monkeypatch):
+    """Groups of many rows: spread, one hot value, two hot values, far outliers, negative, nulls, a null group, one row."""
+    rng = np.random.default_rng(4)
+    groups = {
+        "spread": rng.normal(size=3_000).tolist(),
+        "hot": [1.0] * 2_000 + rng.uniform(size=500).tolist(),
+        "two": [1.0] * 700 + [2.0] * 700,
+        "far": [1e300, -1e300] + rng.lognormal(0, 8, 2_000).tolist(),
+        "steps": [float(i % 7) for i in range(1_000)],
+        None: [float(i) for i in range(300)],
+        "one": [5.0],
+    }
+    rows = [(g, x) for g, values in groups.items() for x in [*values, None]]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    monkeypatch.setattr(ranking, "FEW_VALUES", 40)
+    for q in (0.0, 0.5, 0.99, 1.0):
+        got = {r["g"]: r["percentile"] for r in ranking.exact_percentile(df, "x", q, ["g"]).collect()}
+        assert got.keys() == groups.keys()
+        for g, values in groups.items():
+            assert got[g] == pytest.approx(np.percentile(values, q * 100), rel=1e-12), (g, q)
+    whole = [x for values in groups.values() for x in values]
+    assert ranking.exact_percentile(df, "x", 0.7).first()["percentile"] == pytest.approx(np.percentile(whole, 70))
+    assert ranking.exact_percentile(df.where("false"), "x", 0.5).count() == 0
