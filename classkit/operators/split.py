@@ -93,11 +93,8 @@ def _cut_keys(keyed: DataFrame, histogram: DataFrame, ends: list[dict], label_ty
     return cuts
 
 
-def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: PartEnds, target: str) -> DataFrame:
-    """Add ``target``: how many part ends lie below the row in the order of its class.
-
-    A row without a label gets no part.
-    """
+def _fit_cuts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: PartEnds) -> DataFrame:
+    """``(label, _cuts)``: where the parts of each class end in its order, one row per class."""
     keyed = df.where(F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(id_col).alias("id"), order_key(id_col, seed).alias("key")
     )
@@ -120,11 +117,18 @@ def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: P
     for e in ends:
         cuts[e["label"]].append(cut_of.get((e["label"], e["part"]), {"key": "", "id": None}))
     cut_type = T.ArrayType(T.StructType().add("key", "string").add("id", id_type))
-    cuts = local_table(
+    return local_table(
         df.sparkSession,
         [{label_col: label, "_cuts": c} for label, c in cuts.items()],
         T.StructType().add(label_col, label_type).add("_cuts", cut_type),
     )
+
+
+def _apply_cuts(df: DataFrame, cuts: DataFrame, id_col: str, label_col: str, seed, target: str) -> DataFrame:
+    """Add ``target``: how many part ends lie below the row in the order of its class.
+
+    A row without a label gets no part.
+    """
     below = F.filter(
         "_cuts",
         lambda c: (c["key"] < F.col("_key")) | ((c["key"] == F.col("_key")) & (c["id"] < F.col(id_col))),
@@ -137,6 +141,11 @@ def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: P
     )
 
 
+def _assign_parts(df: DataFrame, id_col: str, label_col: str, seed, part_ends: PartEnds, target: str) -> DataFrame:
+    cuts = _fit_cuts(df, id_col, label_col, seed, part_ends)
+    return _apply_cuts(df, cuts, id_col, label_col, seed, target)
+
+
 def _test_ends(test_size: float) -> PartEnds:
     """Test rows per class: floor of the proportional share, leftovers to the
     largest fractions, ties to the lower class."""
@@ -194,13 +203,19 @@ def nested_split(
     valid_size: float = 0.2,
     seed: int | str = 42,
 ) -> DataFrame:
-    """``split`` in train / valid / test: the validation part is drawn from train only."""
-    outer = stratified_split(df, id_col, label_col, test_size, seed, "_outer")
-    inner = stratified_split(
-        outer.where("_outer = 'train'"), id_col, label_col, valid_size, f"{seed}|valid", "split", ("valid", "train")
-    )
-    held = outer.where("_outer = 'test'").withColumn("split", F.lit("test"))
-    return inner.drop("_outer").unionByName(held.drop("_outer"))
+    """``split`` in train / valid / test: the validation part is drawn from train only; rows without a label go.
+
+    Ids and labels of the train part are written once, for the inner split to be found from. Both splits are then looked
+    up in the same scan of ``df``.
+    """
+    inner_seed, keys = f"{seed}|valid", df.select(id_col, label_col)
+    outer = _fit_cuts(df, id_col, label_col, seed, _test_ends(test_size))
+    train = written(_apply_cuts(keys, outer, id_col, label_col, seed, "_outer").where("_outer > 0").drop("_outer"), "outer")
+    inner = _fit_cuts(train, id_col, label_col, inner_seed, _test_ends(valid_size))
+    parts = _apply_cuts(df, outer, id_col, label_col, seed, "_outer").where("_outer >= 0")
+    parts = _apply_cuts(parts, inner, id_col, label_col, inner_seed, "_inner")
+    name = F.when(F.col("_outer") == 0, "test").when(F.col("_inner") == 0, "valid").otherwise("train")
+    return parts.withColumn("split", name).select(*df.columns, "split")
 
 
 def stratified_folds(

@@ -77,3 +77,14 @@ def test_nested_split_is_disjoint(spark):
     out = split.nested_split(labelled(spark, {"a": 50, "b": 50}), "id", "label")
     assert Counter(r["split"] for r in out.collect()) == {"test": 30, "valid": 14, "train": 56}
     assert out.select("id").distinct().count() == 100
+
+
+def test_nested_split_equals_a_split_of_the_train_part(spark):
+    df = labelled(spark, {"a": 60, "b": 31, "c": 9, "none": 1}).withColumn("more", F.lit(1))
+    df = df.withColumn("label", F.when(F.col("label") != "none", F.col("label")))
+    out = split.nested_split(df, "id", "label")
+    assert out.columns == [*df.columns, "split"] and out.count() == 100
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()  # one scan
+    train = split.stratified_split(df, "id", "label").where("split = 'train'").drop("split")
+    want = {r["id"]: r["s"] for r in split.stratified_split(train, "id", "label", 0.2, "42|valid", "s", ("valid", "train")).collect()}
+    assert {r["id"]: r["split"] for r in out.where("split != 'test'").collect()} == want
