@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from classkit.functions import bind
 from classkit.operators.blocks import matrix
 from classkit.operators.columns import bad_vector_aggregates, refuse_bad_vectors
-from classkit.operators.scale import apply_fold_scaler, apply_scaler, fit_fold_scalers, fit_scaler
+from classkit.operators.scale import apply_scaler, fit_fold_scalers, fit_scaler
 from classkit.runtime import local_table, small, written
 
 # The grid of odd k, and the number of folds.
@@ -149,8 +149,12 @@ def _cell_bounds(points: DataFrame, k: int) -> dict[tuple[int, int], tuple[float
     return {(r["_task"], r["_cell"]): (r["low"], r["high"], np.array(r["first"])) for r in rows}
 
 
-def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFrame:
-    """Add the cells that may hold one of the k nearest points of each query."""
+def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int, stretch: dict[int, float] | None = None) -> DataFrame:
+    """Add the cells that may hold one of the k nearest points of each query.
+
+    ``stretch`` is for neighbours by another distance than that of the cells: per task, how many times farther a point
+    may be by the cells' distance and still be nearer by the other.
+    """
 
     def route(batches):
         for batch in batches:
@@ -166,6 +170,7 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFra
                 # k-th smallest of (distance to pivot + radius of a point): no neighbour is farther.
                 reach = np.concatenate([to_cell[:, [i]] + bounds[task, c][2] for i, c in enumerate(cells)], axis=1)
                 limit = np.partition(reach, k - 1, axis=1)[:, k - 1] if reach.shape[1] >= k else np.full(len(rows), np.inf)
+                limit = limit * (stretch[task] if stretch else 1.0)
                 limit = (limit + 1e-6 * (1.0 + limit))[:, None]  # room for rounding
                 may = (to_cell - limit <= high) & (to_cell + limit >= low) & ((to_cell - home) / 2 <= limit)
                 query, cell = np.nonzero(may)
@@ -180,6 +185,34 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int) -> DataFra
     return queries.mapInArrow(route, schema).withColumn("_cell", F.explode("_cells")).drop("_cells")
 
 
+def _block_pairs(q: DataFrame, p: DataFrame, blocks: dict[tuple[int, int, str], int], join, schema: T.StructType) -> DataFrame:
+    """Every block of queries with every block of points of the same ``_task`` and ``_cell``, given to ``join`` once.
+
+    ``blocks`` has the number of blocks per task, cell and side ("p" or "q"): at most MAX_CELLS rows per task.
+    """
+    rows = [
+        {"_task": t, "_cell": c, "_p_blocks": n, "_q_blocks": blocks[t, c, "q"]}
+        for (t, c, side), n in blocks.items()
+        if side == "p" and (t, c, "q") in blocks
+    ]
+    names = ("_task", "_cell", "_p_blocks", "_q_blocks")
+    layout = F.broadcast(local_table(q.sparkSession, rows, T.StructType([T.StructField(name, T.IntegerType()) for name in names])))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(id_name: str, n: str) -> Column:
+        return F.pmod(F.xxhash64(id_name), F.col(n)).cast("int")
+
+    where = ["_task", "_cell", "_p_block", "_q_block"]
+    of_p, of_q = ([c for c in df.columns if c not in where] for df in (p, q))
+    p = p.join(layout, ["_task", "_cell"]).withColumn("_p_block", own("_pid", "_p_blocks"))
+    p = p.withColumn("_q_block", every("_q_blocks")).select(*where, *of_p)
+    q = q.join(layout, ["_task", "_cell"]).withColumn("_q_block", own("_qid", "_q_blocks"))
+    q = q.withColumn("_p_block", every("_p_blocks")).select(*where, *of_q)
+    return q.groupBy(*where).cogroup(p.groupBy(*where)).applyInArrow(join, schema)
+
+
 def nearest_neighbours(
     queries: DataFrame,
     points: DataFrame,
@@ -228,28 +261,6 @@ def nearest_neighbours(
         p, q = p.withColumn("_cell", F.lit(0)), q.withColumn("_cell", F.lit(0))
         blocks = {(r["_task"], 0, r["side"]): -(-r["n"] // per_block) for r in sizes}
 
-    # At most MAX_CELLS rows per task.
-    rows = [
-        {"_task": t, "_cell": c, "_p_blocks": n, "_q_blocks": blocks[t, c, "q"]}
-        for (t, c, side), n in blocks.items()
-        if side == "p" and (t, c, "q") in blocks
-    ]
-    names = ("_task", "_cell", "_p_blocks", "_q_blocks")
-    schema = T.StructType([T.StructField(name, T.IntegerType()) for name in names])
-    layout = F.broadcast(local_table(q.sparkSession, rows, schema))
-
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    def own(id_name: str, n: str) -> Column:
-        return F.pmod(F.xxhash64(id_name), F.col(n)).cast("int")
-
-    where = ["_task", "_cell", "_p_block", "_q_block"]
-    p = p.join(layout, ["_task", "_cell"]).withColumn("_p_block", own("_pid", "_p_blocks"))
-    p = p.withColumn("_q_block", every("_q_blocks")).select(*where, "_pid", "_payload", "_vec")
-    q = q.join(layout, ["_task", "_cell"]).withColumn("_q_block", own("_qid", "_q_blocks"))
-    q = q.withColumn("_p_block", every("_p_blocks")).select(*where, "_qid", "_vec")
-
     schema = T.StructType(
         [
             T.StructField("_task", T.IntegerType()),
@@ -259,7 +270,7 @@ def nearest_neighbours(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    found = q.groupBy(*where).cogroup(p.groupBy(*where)).applyInArrow(_block_join(k, to_arrow_schema(schema)), schema)
+    found = _block_pairs(q, p, blocks, _block_join(k, to_arrow_schema(schema)), schema)
     found = found.withColumnRenamed("_task", task) if task else found.drop("_task")
     # Later steps group by the same keys, so this shuffle serves them too.
     keys = [task, "query_id"] if task else ["query_id"]
@@ -268,6 +279,102 @@ def nearest_neighbours(
     return top.select(*keys, "rank", "neighbour_id", payload, "distance")
 
 
+def _fold_join(k: int, schema: pa.Schema, scales: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """As `_block_join`, for queries of several folds: each is scaled, with all points of other folds, by its fold's rule."""
+
+    def nearest(queries: pa.Table, points: pa.Table) -> pa.Table:
+        if not len(queries) or not len(points):
+            return schema.empty_table()
+        points = points.sort_by("_pid")
+        q_fold, p_fold = (t["_fold"].to_numpy() for t in (queries, points))
+        q_all, p_all = matrix(queries["_vec"]), matrix(points["_vec"])
+        made = []
+        for fold in np.unique(q_fold).tolist():
+            mine, others = np.flatnonzero(q_fold == fold), np.flatnonzero(p_fold != fold)
+            if fold not in scales or not len(others):
+                continue
+            mean, divisor = scales[fold]
+            for rows, cols, distances in _nearest_in_block((q_all[mine] - mean) / divisor, (p_all[others] - mean) / divisor, k):
+                made.append((mine[rows], others[cols], distances))
+        if not made:
+            return schema.empty_table()
+        rows, cols, distances = (np.concatenate(c) for c in zip(*made))
+        rows, cols = pa.array(rows), pa.array(cols)
+        columns = [queries["_fold"].take(rows), queries["_qid"].take(rows), points["_pid"].take(cols), points["_payload"].take(cols)]
+        return pa.table([*columns, pa.array(distances)], schema=schema)
+
+    return nearest
+
+
+def fold_neighbours(
+    train: DataFrame,
+    scalers: DataFrame,
+    k: int,
+    id_col: str,
+    features: str,
+    payload: str = "label",
+    fold: str = "fold",
+    cells: int | None = None,
+    block_values: int = BLOCK_VALUES,
+) -> DataFrame:
+    """``(fold, query_id, rank, neighbour_id, payload, distance)``: for every row the k nearest rows of other folds.
+
+    Distances are those after scaling with the row's own fold of ``scalers`` (`fit_fold_scalers`). Rows travel unscaled and
+    once for all folds: the tasks scale them by each fold's rule and leave the own fold out. Cells are cut by one scale
+    between those of the folds; a fold's distance is at most r and at least r' times that one's, r and r' its largest and
+    smallest ratio of divisors, so bounds widened by r / r' hold for it. Rows without a fold take no part.
+    """
+    scales = {r[fold]: (np.array(r["mean"]), np.array([s or 1.0 for s in r["std"]])) for r in scalers.collect()}
+    rows, vector = train.where(F.col(fold).isNotNull()), F.col(features).cast("array<double>")
+    key = F.col(fold).cast("int").alias("_task")
+    q = rows.select(key, F.col(id_col).alias("_qid"), vector.alias("_vec"))
+    p = rows.select(key, F.col(id_col).alias("_pid"), F.col(payload).alias("_payload"), vector.alias("_vec"))
+    p = _lowest_copies(p, k)
+    width = max((len(mean) for mean, _ in scales.values()), default=1)
+    per_block = max(1, block_values // max(1, width))
+    n = rows.count()
+    wanted = cells or min(MAX_CELLS, -(-n // CELL_POINTS))
+    if wanted > 1 and scales:
+        base = np.mean([divisor for _, divisor in scales.values()], axis=0)
+        ratios = {f: base / divisor for f, (_, divisor) in scales.items()}
+        by_base = F.zip_with("_vec", F.array(*[F.lit(float(x)) for x in base]), lambda x, s: x / s)
+        p, q = (df.withColumn("_raw", F.col("_vec")).withColumn("_vec", by_base) for df in (p, q))
+        p = written(p, "points")
+        picked = p.orderBy(F.md5(F.col("_pid").cast("string")), "_pid").limit(wanted).collect()
+        folds = sorted({r[0] for r in p.select("_task").distinct().collect()} | set(scales))
+        pivots = dict.fromkeys(folds, np.array([r["_vec"] for r in picked]))
+        p = written(_with_cell(p, pivots), "cells")
+        found = _cell_bounds(p, k)  # one row per fold and cell
+        bounds = {}
+        for held in scales:
+            for cell in {c for f, c in found if f != held}:
+                others = [b for (f, c), b in found.items() if c == cell and f != held]
+                first = np.sort(np.concatenate([b[2] for b in others]))[:k]
+                bounds[held, cell] = (min(b[0] for b in others), max(b[1] for b in others), first)
+        stretch = {f: float(r.max() / r.min()) for f, r in ratios.items()}
+        q = written(_with_candidate_cells(q.where(F.col("_task").isin(list(scales))), pivots, bounds, k, stretch), "queries")
+        p, q = (df.drop("_vec", "_radius").withColumnRenamed("_raw", "_vec") for df in (p, q))
+        sizes = {side: df.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect() for side, df in (("p", p), ("q", q))}
+        blocks = {(0, r["_cell"], side): -(-r["n"] // per_block) for side, found in sizes.items() for r in found}
+    else:
+        p, q = (df.withColumn("_cell", F.lit(0)) for df in (p, q))
+        blocks = {(0, 0, side): -(-n // per_block) for side in "pq" if n}
+    p, q = (df.withColumnRenamed("_task", "_fold").withColumn("_task", F.lit(0)) for df in (p, q))
+    schema = T.StructType(
+        [
+            T.StructField(fold, T.IntegerType()),
+            T.StructField("query_id", train.schema[id_col].dataType),
+            T.StructField("neighbour_id", train.schema[id_col].dataType),
+            T.StructField(payload, train.schema[payload].dataType),
+            T.StructField("distance", T.DoubleType()),
+        ]
+    )
+    met = _block_pairs(q, p, blocks, _fold_join(k, to_arrow_schema(schema), scales), schema)
+    best = Window.partitionBy(fold, "query_id").orderBy("distance", "neighbour_id")
+    top = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return top.select(fold, "query_id", "rank", "neighbour_id", payload, "distance")
+
+
 def _tally(labels: Column) -> Column:
     """``(votes, -class)`` of the winning class: most votes, then the lowest class."""
     return F.array_max(
@@ -333,20 +440,10 @@ def cross_validated_votes(
     """``(fold, id, label, k, prediction)``: every train row scored by the other folds.
 
     ``train`` carries a fold column. Each fold is scaled with the statistics of
-    the others, and one search with the largest k serves the whole grid.
+    the others, and one search with the largest k serves all folds and the whole grid.
     """
     scalers = fit_fold_scalers(train, features, fold)
-    held = apply_fold_scaler(train, scalers, features, fold)
-    folds = scalers.agg(F.collect_list(fold)).scalar()
-    others = (
-        train.withColumnRenamed(fold, "_own")
-        .withColumn("_all", folds)
-        .withColumn(fold, F.explode("_all"))
-        .where(F.col(fold) != F.col("_own"))
-        .drop("_own", "_all")
-    )
-    points = apply_fold_scaler(others, scalers, features, fold)
-    found = nearest_neighbours(held, points, max(grid), id_col, features, label_col, task=fold, **search)
+    found = fold_neighbours(train, scalers, max(grid), id_col, features, label_col, fold, **search)
     truth = train.select(fold, F.col(id_col).alias("query_id"), F.col(label_col).alias("label"))
     return grid_votes(found, [fold, "query_id"], grid, label_col, truth).withColumnRenamed("query_id", id_col)
 
@@ -392,6 +489,7 @@ __all__ = [
     "best_k",
     "cross_validated_votes",
     "fit_and_search",
+    "fold_neighbours",
     "grid_scores",
     "grid_votes",
     "majority_vote",

@@ -76,6 +76,28 @@ def test_cross_validation_never_looks_into_the_held_out_fold(spark):
         assert got[i, 3] == int(y[order[:3]].sum() >= 2)
 
 
+@pytest.mark.parametrize(("cells", "block_values"), [(None, 1 << 18), (None, 60), (6, 60), (15, 1 << 18)])
+def test_folds_share_one_search(spark, cells, block_values):
+    """Folds of very different spread, many copies, one feature that is constant outside a fold; rows move once."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(210):
+        fold = i % 3
+        x = rng.normal(size=3) * [1.0, 10.0 ** (fold - 1), 1.0 if fold == 2 else 0.0] + [10.0 * (i % 5), 0.0, 0.0]
+        rows.append((i, x.tolist(), i % 2, fold))
+    rows += [(1000 + i, rows[4][1], 1, i % 3) for i in range(90)]
+    folds = spark.createDataFrame(rows, "id long, features array<double>, label int, fold int").repartition(4)
+    near = knn.fold_neighbours(folds, scale.fit_fold_scalers(folds, "features"), 5, "id", "features", cells=cells, block_values=block_values)
+    want = {}
+    for f in range(3):
+        others = [r for r in rows if r[3] != f]
+        x = np.array([r[1] for r in others])
+        mean, std = x.mean(axis=0), np.where(x.std(axis=0) == 0, 1, x.std(axis=0))
+        scaled = [[(i, ((np.array(v) - mean) / std).tolist(), 0) for i, v, _, g in rows if (g == f) == own] for own in (True, False)]
+        want |= brute(*scaled, 5)
+    assert found(near) == want
+
+
 def test_best_k_prefers_f1_then_accuracy_then_small_k(spark):
     rows = [(1, 0.8, 0.7), (3, 0.9, 0.75), (5, 0.9, 0.75), (7, 0.95, 0.7)]
     grid = spark.createDataFrame(rows, "k int, cv_accuracy_mean double, cv_f1_mean double")
