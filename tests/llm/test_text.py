@@ -397,3 +397,20 @@ def test_pipeline(spark, sample, tmp_path):
     run = pipeline.run(spark, SF)
     same = lambda rows: sorted(tuple(r[c] for c in ("doc_id", "start", "length", "ids_crc32")) for r in rows)
     assert {r[0] for r in same(run.collect())} == {r[0] for r in same(seen["packing"])} == set(ids("personal_data"))
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_take_odd_documents(spark, odd_pairs, empty):
+    """Nulls, empty, long and repeated texts, null and repeated ids, clashing names, no documents at all."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    pairs = [] if empty else [*odd_pairs, *[(400 + i, "plain words of a language that can be told apart " * 3) for i in range(3)]]
+    docs = make_docs(spark, pairs, ["en"] * len(pairs))
+    ids = lambda df: sorted((str(r["doc_id"]) for r in df.select("doc_id").collect()))
+    given = ids(docs)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        kept = ids(out)
+        assert kept == given if name in ("recurring_lines", "personal_data") else set(kept) <= set(given), name
+    pieces = pipeline.packing(spark, docs, SF).groupBy("doc_id").count()
+    assert set(ids(pieces)) == set(given)
