@@ -27,6 +27,10 @@ MIN_TERM_CHARS = 3
 KEPT_TERMS = 200_000
 # So many further documents with a term, which hold an entity as often as all documents do, are added to those counted.
 SMOOTHING = 0.5
+# A term this many code points before or after something found, or nearer, stands near it.
+NEAR_CHARS = 80
+# So many different texts must hold a term together with an entity if it stands near none.
+FAR_TEXTS = 2
 
 # The patterns find what the plain ones in comments do, without trying a run of digits again from its middle.
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")  # with what stands before it: [A-Za-z0-9._%+-]+@...
@@ -108,6 +112,15 @@ def _words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int,
     return words
 
 
+def _near(words: list[tuple[str, int, int]], spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, bool]]:
+    """The term of each word and whether it stands near a span; both lists are by start."""
+    at, past = 0, -NEAR_CHARS - 1
+    for term, a, b in words:
+        while at < len(spans) and spans[at][0] < b:
+            past, at = max(past, spans[at][2]), at + 1
+        yield term, a - past <= NEAR_CHARS or (at < len(spans) and spans[at][0] - b <= NEAR_CHARS)
+
+
 def _private(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(text key, text, entities) of the texts with findings."""
     for batch in batches:
@@ -119,12 +132,15 @@ def _private(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _text_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(text number, term): the different terms of a text that could disclose what is in it."""
+    """(text number, term, near): the different terms of a text, and whether one stands near something found in it."""
     for batch in batches:
         for doc, text in zip(batch.column(0), batch.column(1)):
             text = text.as_py()
-            for term in {w for w, _, _ in _words(text, base_spans(text))}:
-                yield doc.as_py(), term
+            spans, terms = base_spans(text), {}
+            for term, near in _near(_words(text, spans), spans):
+                terms[term] = near or terms.get(term, False)
+            for term, near in terms.items():
+                yield doc.as_py(), term, near
 
 
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -201,9 +217,9 @@ def _rows(df: DataFrame, function, ddl: str, size: int = OUT_ROWS * 5) -> DataFr
     return df.mapInArrow(lambda batches: rebatched(function(batches), schema, size), ddl)
 
 
-def _set_of(column: str) -> list[Column]:
-    """Two hashes of the set of a group's numbers, which stand in it once."""
-    return [F.bit_xor(F.xxhash64(column)).alias("a"), F.bit_xor(F.xxhash64(column, F.lit(1))).alias("b")]
+def _set_of(*columns: str) -> list[Column]:
+    """Two hashes of the set of a group's members, which stand in it once."""
+    return [F.bit_xor(F.xxhash64(*columns)).alias("a"), F.bit_xor(F.xxhash64(*columns, F.lit(1))).alias("b")]
 
 
 def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text") -> DataFrame:
@@ -212,7 +228,9 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text"
     Documents are counted by text: copies of one text are pooled into one. Over them, an entity e (an address, a
     number) has information content IC = log2(1 / p), where p = with e / all. A word t anywhere in a text with e has
     PMI = log2((with e and t + SMOOTHING * p) / ((with t + SMOOTHING) * p)). It discloses e if PMI reaches ``share`` of
-    IC, that is, if knowing t nearly tells e. Smoothing leaves a term seen once, in the only document of an entity, a
+    IC, that is, if knowing t nearly tells e, and there is evidence that the two belong together: in one of the texts
+    with both t stands near something found (NEAR_CHARS code points), or there are FAR_TEXTS such texts. A rare word far
+    from every mention, met once, is no evidence and stays. Smoothing leaves a term seen once, in the only document of an entity, a
     PMI of log2(1 + SMOOTHING) bits less than IC: at a share of 0.9 that is enough among 58 texts or more. All
     occurrences of a term that discloses an entity are spans, in every text that holds that entity.
     """
@@ -238,23 +256,25 @@ def disclosing_spans(docs: DataFrame, share: float = 0.9, text_col: str = "text"
     content = -F.log2(p)
     # No term in more texts than this can reach the share, even if it is in all texts of the entity.
     most = (F.col("with_entity") + SMOOTHING * p) * F.pow(p, share - 1) - SMOOTHING
-    # Entities in the same texts are told alike by any term, and terms in the same texts tell alike: of either, only the
-    # sets of texts meet, so a list of many addresses and names does not make a row for each pair.
+    # Entities in the same texts are told alike by any term, and terms in the same texts, near in the same of them, tell
+    # alike: of either, only the sets of texts meet, so a list of many addresses and names does not make a row for each pair.
     entities = named_in.groupBy("entity").agg(F.count("*").alias("with_entity"), *_set_of("doc"))
     entities = entities.where(content > 0).select("entity", "with_entity", F.struct("with_entity", "a", "b").alias("e"))
     entities = written(entities.withColumn("most", most + 1e-6), "entities")
     rare = terms.where(F.col("with_term") <= F.lit(entities.agg(F.max("most")).head()[0] or 0.0))
-    held = _rows(private.select("doc", "text"), _text_terms, "doc long, term string").join(rare, "term")
+    held = _rows(private.select("doc", "text"), _text_terms, "doc long, term string, near boolean").join(rare, "term")
     held = written(held, "held")
-    sets = held.groupBy("term").agg(*_set_of("doc"), F.first("with_term").alias("with"))
+    sets = held.groupBy("term").agg(*_set_of("doc", "near"), F.first("with_term").alias("with"))
     sets = sets.select("term", F.struct("with", "a", "b").alias("t"))
     held = written(held.join(sets, "term"), "terms-of")
-    ours = held.select("doc", "t", "with_term").distinct()
+    ours = held.select("doc", "near", "t", "with_term").distinct()
     theirs = named_in.join(entities, "entity").select("doc", "e", "with_entity", "most").distinct()
     pairs = written(ours.join(theirs, "doc").where("with_term <= most").drop("most"), "pairs")
-    known = pairs.groupBy("e", "t", "with_entity", "with_term").agg(F.count("*").alias("together"))
+    known = pairs.groupBy("e", "t", "with_entity", "with_term").agg(
+        F.count("*").alias("together"), F.max("near").alias("near")
+    )
     pmi = F.log2((F.col("together") + SMOOTHING * p) / ((F.col("with_term") + SMOOTHING) * p))
-    telling = written(known.where(pmi >= share * content).select("e", "t"), "telling")
+    telling = written(known.where((pmi >= share * content) & (F.col("near") | (F.col("together") >= FAR_TEXTS))).select("e", "t"), "telling")
     told = pairs.join(telling, ["e", "t"]).select("doc", "t").distinct()
     found = held.join(told, ["doc", "t"]).groupBy("doc").agg(F.collect_set("term").alias("telling"))
     located = private.join(found, "doc").select("key", "text", "telling")
@@ -330,7 +350,7 @@ def _redacted(texts: pa.Array, spans: pa.Array) -> pa.Array:
 def sanitise(docs: DataFrame, share: float = 0.9, text_col: str = "text") -> DataFrame:
     """``docs``, all rows and columns, with every span of `private_spans` in the text replaced by a name of its kind.
 
-    Findings become ``<email>`` and so on; terms are generalised to ``<code>`` (with digits), ``<name>`` (capitalised)
+    Ids are not looked at: repeated rows are changed alike, an empty table gives an empty one. Findings become ``<email>`` and so on; terms are generalised to ``<code>`` (with digits), ``<name>`` (capitalised)
     or ``<term>``. Of spans that overlap, the first one's name is put in and all are taken out. Null texts stay null.
     """
     rows = _spans(docs, packed(docs), share, text_col)

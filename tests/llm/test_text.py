@@ -167,13 +167,18 @@ def plain_terms(pairs, share=0.9):
         for w in {m[0].lower() for m in re.finditer(r"[^\W_]+", t) if len(m[0].lower()) >= 3}:
             terms.setdefault(w, set()).add(t)
     inside = {t: {w for w, _, _ in pii._words(t, plain_spans(t))} for t in texts}
+    near = {
+        t: {w for w, a, b in pii._words(t, spans) if any(a - end <= 80 and start - b <= 80 for start, _, end in spans)}
+        for t, spans in ((t, plain_spans(t)) for t in texts)
+    }
     told = {}
     for rows in entities.values():
         p = len(rows) / len(texts)
         for w in set().union(*(inside[t] for t in rows)):
             together = sum(w in inside[t] for t in rows)
             pmi = np.log2((together + 0.5 * p) / ((len(terms[w]) + 0.5) * p))
-            if p < 1 and pmi >= -share * np.log2(p):
+            evidence = together >= 2 or any(w in near[t] for t in rows)
+            if p < 1 and pmi >= -share * np.log2(p) and evidence:
                 for t in rows:
                     if w in inside[t]:
                         told.setdefault(t, set()).add(w)
@@ -224,7 +229,23 @@ def test_a_disclosing_name_goes_from_the_whole_document(spark):
     pairs += [(200, f"QUILLON\n{body * 60}\nask Quillon at eve@z.org"), (201, f"Wexford {body * 60} +44 20 7946 0958")]
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(spark, pairs)).collect()}
     assert clean[200].startswith("<name>\n") and clean[200].endswith("<name> at <email>")
-    assert clean[201].startswith("<name> alpha") and clean[201].endswith("<phone>")
+    # Met once, and far from the number: no evidence that it belongs to it.
+    assert clean[201].startswith("Wexford alpha") and clean[201].endswith("<phone>")
+    assert all(clean[i] == text for i, text in pairs[:150])
+
+
+def test_evidence_is_graded_by_distance(spark):
+    """One meeting near a mention is enough; far from it a term needs two texts, and rare words stay."""
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    pairs = [(i, f"{words[i % 6]} {words[i // 6 % 6]} {words[i // 36]} plain") for i in range(150)]
+    far = " ".join(words * 4)  # over 80 code points
+    pairs += [(200, f"Quillon eve@z.org {far} typpo"), (201, f"mistaek {far} Wexford: +44 20 7946 0958")]
+    pairs += [(300, f"Yardley {far} sam@w.org"), (301, f"{far} sam@w.org {far} Yardley once")]
+    pairs += [(400, "eighty " + "x" * 78 + " a@b.org"), (401, "eightyone " + "y" * 79 + " c@d.org")]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(spark, pairs)).collect()}
+    assert clean[200] == f"<name> <email> {far} typpo" and clean[201] == f"mistaek {far} <name>: <phone>"
+    assert clean[300] == f"<name> {far} <email>" and clean[301] == f"{far} <email> {far} <name> once"
+    assert clean[400].startswith("<term> ") and clean[401].startswith("eightyone ")
     assert all(clean[i] == text for i, text in pairs[:150])
 
 
