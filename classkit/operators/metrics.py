@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classkit.functions import clipped_log_loss
-from classkit.runtime import MAX_CLASSES, bounded
+from classkit.runtime import MAX_CLASSES, bounded, written
+
+ZERO_CELLS = 1_000_000  # empty cells of a confusion grid that one task makes
+CLASS_VALUES = 1_000_000  # classes of all groups together up to which they are broadcast
 
 
 def accuracy(scored: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"):
@@ -35,8 +38,7 @@ def _counts(scored: DataFrame, by: Sequence[str], label: str, prediction: str) -
 def _listed(counts: DataFrame, by: Sequence[str], labels: Sequence) -> DataFrame:
     """``(by.., classes)`` with the given classes for every group."""
     groups = counts.select(*by).distinct() if by else counts.sparkSession.range(1)
-    values = F.array(*[F.lit(v) for v in labels]).cast(T.ArrayType(counts.schema["label"].dataType))
-    return groups.select(*by, values.alias("classes"))
+    return groups.select(*by, _class_list(counts, labels).alias("classes"))
 
 
 def confusion_cells(
@@ -48,27 +50,53 @@ def confusion_cells(
 ) -> DataFrame:
     """``(by.., label, prediction, rows)`` for the full grid of classes, zeros kept.
 
-    Without ``labels`` the classes are all values seen as real or predicted.
+    Without ``labels`` the classes are all values seen as real or predicted; a null label or prediction is in no cell.
+    Only zero cells are made: of each class, the classes it was never predicted as. They are made by so many tasks that
+    none has much over ZERO_CELLS of them, and nothing but the classes seen travels.
     """
-    counts = _counts(scored, by, label, prediction)
+    counts = written(_counts(scored, by, label, prediction), "cells")
     if labels is None:
-        # The classes are counted before any are gathered.
         both = F.explode(F.array("label", "prediction")).alias("_class")
         seen = counts.select(*by, both).where("_class IS NOT NULL").distinct()
-        sized = seen.withColumn("_one", F.lit(1)).groupBy(*by).agg(F.sum("_one").alias("_n"))
-        joined = seen.crossJoin(F.broadcast(sized)) if not by else seen.join(sized, list(by))
-        checked = joined.select(*by, bounded(F.col("_n"), F.col("_class"), "classes", MAX_CLASSES).alias("_class"))
-        classes = checked.groupBy(*by).agg(F.array_sort(F.collect_list("_class")).alias("classes"))
+        found = counts.where("label IS NOT NULL AND prediction IS NOT NULL")
     else:
-        classes = _listed(counts, by, labels)
-    grid = classes.select(*by, F.explode("classes").alias("label"), "classes").select(
-        *by, "label", F.explode("classes").alias("prediction")
-    )
-    keys = [*by, "label", "prediction"]
-    # Null-safe keys: a plain equality would push a null filter below one use only.
-    found = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], "rows")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return grid.join(found, same, "left").select(*keys, F.coalesce("rows", F.lit(0)).alias("rows"))
+        groups = counts.select(*by).distinct() if by else counts.sparkSession.range(1)
+        seen = groups.select(*by, F.explode(_class_list(counts, dict.fromkeys(labels))).alias("_class"))
+        found = counts.where(_listed_in("label", labels) & _listed_in("prediction", labels))
+    seen = written(seen, "classes")
+    # The classes of each group are counted before any are gathered.
+    sizes = seen.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else seen.agg(F.count(F.lit(1)).alias("n"))
+    largest, values, grid = sizes.agg(F.max("n"), F.sum("n"), F.sum(F.col("n") * F.col("n"))).head()
+    if (largest or 0) > MAX_CLASSES:
+        return counts.where(bounded(F.lit(largest), F.lit(True), "classes", MAX_CLASSES))  # fails once it runs
+    classes = seen.groupBy(*by).agg(F.collect_set("_class").alias("classes"), F.max(F.col("_class").isNull()).alias("_null"))
+    classes = classes.select(*[F.col(k).alias(f"_of_{k}") for k in by], _with_null("classes", "_null", counts).alias("classes"))
+    if (values or 0) <= CLASS_VALUES:
+        classes = F.broadcast(classes)  # its values are counted above
+    # One row per class of a group, and what it was predicted as.
+    met = found.select(*by, F.col("label").alias("_class"), F.struct("prediction").alias("_cell"))
+    held = seen.withColumn("_cell", F.lit(None).cast(met.schema["_cell"].dataType)).unionByName(met)
+    parts = max(1, -(-(grid or 0) // ZERO_CELLS))
+    held = held.repartition(parts, *by, "_class").groupBy(*by, "_class").agg(F.collect_list("_cell").alias("_cells"))
+    held = held.join(classes, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]) if by else held.crossJoin(classes)
+    missing = F.array_except("classes", F.transform("_cells", lambda c: c["prediction"]))
+    zeros = held.select(*by, F.col("_class").alias("label"), F.explode(missing).alias("prediction"))
+    return found.unionByName(zeros.withColumn("rows", F.lit(0).cast("long")))
+
+
+def _class_list(counts: DataFrame, labels) -> Column:
+    return F.array(*[F.lit(v) for v in labels]).cast(T.ArrayType(counts.schema["label"].dataType))
+
+
+def _listed_in(name: str, labels: Sequence) -> Column:
+    inside = F.coalesce(F.col(name).isin([v for v in labels if v is not None]), F.lit(False))
+    return inside | F.col(name).isNull() if None in labels else inside
+
+
+def _with_null(name: str, has_null: str, counts: DataFrame) -> Column:
+    """The gathered classes, which leave a null out, with it if it is one of them."""
+    null = F.array(F.lit(None).cast(counts.schema["label"].dataType))
+    return F.when(F.col(has_null), F.concat(F.col(name), null)).otherwise(F.col(name))
 
 
 def confusion_matrix(scored: DataFrame, labels: Sequence, by: Sequence[str] = (), prefix: str = "pred_", **names):

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from classkit.operators import metrics, ranking
 
@@ -117,6 +118,38 @@ def test_too_many_classes_raise(spark):
             found.count() if "name" not in found.columns else found.collect()
 
 
+def test_confusion_grid_by_definition(spark, monkeypatch):
+    """Groups with classes of their own, a null group, null labels and predictions, listed classes with a null."""
+    rng = random.Random(6)
+    rows = [(g, rng.choice([None, *range(5 + n)]), rng.choice([None, *range(3, 9)])) for n, g in enumerate(["a", "b", None]) for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, label int, prediction int").repartition(3)
+    count = lambda g, y, p: sum(r == (g, y, p) for r in rows)
+    for values in (metrics.CLASS_VALUES, 1):
+        monkeypatch.setattr(metrics, "CLASS_VALUES", values)
+        monkeypatch.setattr(metrics, "ZERO_CELLS", 7)
+        want = {}
+        for g in ("a", "b", None):
+            classes = {x for r in rows if r[0] == g for x in r[1:] if x is not None}
+            want |= {(g, y, p): count(g, y, p) for y in classes for p in classes}
+        got = metrics.confusion_cells(df, ["g"]).collect()
+        assert len(got) == len(want) and {(r["g"], r["label"], r["prediction"]): r["rows"] for r in got} == want
+        listed = [3, None, 4, 77]
+        got = metrics.confusion_cells(df, ["g"], labels=listed).collect()
+        want = {(g, y, p): count(g, y, p) for g in ("a", "b", None) for y in listed for p in listed}
+        assert len(got) == len(want) and {(r["g"], r["label"], r["prediction"]): r["rows"] for r in got} == want
+    assert metrics.confusion_cells(df.where("false")).count() == 0
+    got = metrics.confusion_cells(df.where("false"), labels=[1, 2]).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 0), (1, 2, 0), (2, 1, 0), (2, 2, 0)]
+
+
+def test_zero_cells_are_made_by_many_tasks(spark):
+    scored = spark.range(3_000).selectExpr("id AS label", "(id * 7) % 3000 AS prediction")
+    cells = metrics.confusion_cells(scored)
+    per_task = cells.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"), F.count("*")).head()
+    assert per_task[1] == 9_000_000 and per_task[0] < 2 * metrics.ZERO_CELLS and per_task[2] >= 9
+    assert cells.agg(F.sum("rows")).head()[0] == 3_000
+
+
 def test_percentiles_from_brackets(spark, monkeypatch):
     """Groups of many rows: spread, one hot value, two hot values, far outliers, negative, nulls, a null group, one row."""
     rng = np.random.default_rng(4)
