@@ -1,16 +1,18 @@
 """Exact k-nearest neighbours, majority vote, and choosing k by cross-validation.
 
-The neighbour search is a block join. Points and queries are cut into blocks of
-bounded size; a shuffle brings each pair of blocks together once, a matrix
-product inside the task finds the k nearest of that pair, and only those leave
-the task. No pair of rows is ever a row of a table.
-
-Large point sets are first cut into cells around a few pivots. The triangle
-inequality then gives, for every query, a bound on its k-th distance and hence
-the cells that cannot hold a neighbour: those are skipped, and the answer stays
-exact. Blocks split a cell however large it is, and identical points are reduced
-to the k lowest ids beforehand, so neither a crowded cell nor a group of copies
-ends up in one task.
+Points are cut into blocks of bounded size. A shuffle brings the queries to each
+block, whose task holds the block and lets the queries stream by in batches: a
+matrix product finds the k nearest of the block, and only those leave the task.
+No pair of rows is ever a row of a table, and a block of points travels once,
+however many queries there are (twice, if there are over QUERY_VALUES numbers in
+the queries of a block, and so on).
+
+Large point sets are first cut into leaves around pivots of two levels. Each
+query meets its home leaf first; the k-th distance found there, and the triangle
+inequality, say which other leaves can hold a neighbour: the rest is skipped,
+and the answer stays exact. Blocks split a leaf however large it is, and
+identical points are reduced to the k lowest ids beforehand, so neither a crowded
+leaf nor a group of copies ends up in one task.
 """
 
 from __future__ import annotations
@@ -35,9 +37,11 @@ from classkit.runtime import local_table, small, written
 K_GRID = tuple(range(1, 31, 2))
 CV_FOLDS = 5
 
-BLOCK_VALUES = 1 << 18  # numbers per block: 2 MB of doubles on either side
-CELL_POINTS = 100_000  # points per cell aimed at
-MAX_CELLS = 256  # pivots kept by every task
+BLOCK_VALUES = 1 << 18  # numbers per block of points: 2 MB of doubles
+QUERY_VALUES = 1 << 26  # numbers of queries that stream past one copy of a block
+CELL_POINTS = 25_000  # points per leaf aimed at
+MAX_CELLS = 2_048  # pivots kept by every task
+LIMIT_CELLS = 32  # nearest leaves whose points bound a query's k-th distance before it has met any
 DISTANCE_DIGITS = 9  # distances are ranked at this precision, ties by lower id
 
 
@@ -116,18 +120,48 @@ def _per_task(batch: pa.RecordBatch):
         yield int(task), rows, vectors[rows]
 
 
+class _Pivots:
+    """Pivots of two levels: the first few are tops, and every pivot belongs to its nearest top."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.tops = pivots[: int(np.ceil(np.sqrt(len(pivots))))]
+        self.top_of = _squared_distances(pivots, self.tops).argmin(axis=1)
+        self.used = np.unique(self.top_of)  # of equal tops one may have all the pivots
+
+    def assign(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every vector the nearest pivot below its nearest top, and the distance to it."""
+        top = self.used[_squared_distances(vectors, self.tops[self.used]).argmin(axis=1)]
+        cell, radius = np.zeros(len(vectors), np.int32), np.zeros(len(vectors))
+        for t in np.unique(top):
+            rows, members = np.flatnonzero(top == t), np.flatnonzero(self.top_of == t)
+            distances = np.sqrt(_squared_distances(vectors[rows], self.pivots[members]))
+            cell[rows], radius[rows] = members[distances.argmin(axis=1)], distances.min(axis=1)
+        return cell, radius
+
+    def nearer_elsewhere(self, vectors: np.ndarray, to_pivot: np.ndarray) -> np.ndarray:
+        """Per vector and pivot: a vector assigned to the pivot is at least this far (half the detour past other pivots)."""
+        to_top = np.sqrt(_squared_distances(vectors, self.tops))
+        past_tops = (to_top - to_top[:, self.used].min(axis=1)[:, None])[:, self.top_of]
+        least = np.full(to_top.shape, np.inf)
+        for t in self.used:
+            least[:, t] = to_pivot[:, self.top_of == t].min(axis=1)
+        return np.maximum(past_tops, to_pivot - least[:, self.top_of]) / 2
+
+
 def _with_cell(points: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """Add the cell (nearest pivot) of every point and its distance to that pivot."""
+    """Add the leaf of every row (see `_Pivots`) and the distance to its pivot; rows of unknown tasks are left out."""
 
     def assign(batches):
+        trees = {task: _Pivots(p) for task, p in pivots.items() if len(p)}
         for batch in batches:
-            cell = np.zeros(batch.num_rows, dtype=np.int32)
+            cell = np.full(batch.num_rows, -1, dtype=np.int32)
             radius = np.zeros(batch.num_rows)
             for task, rows, vectors in _per_task(batch):
-                distances = np.sqrt(_squared_distances(vectors, pivots[task]))
-                cell[rows] = distances.argmin(axis=1)
-                radius[rows] = distances.min(axis=1)
-            yield batch.append_column("_cell", pa.array(cell)).append_column("_radius", pa.array(radius))
+                if task in trees:
+                    cell[rows], radius[rows] = trees[task].assign(vectors)
+            made = batch.append_column("_cell", pa.array(cell)).append_column("_radius", pa.array(radius))
+            yield made.filter(pa.array(cell >= 0))
 
     added = [T.StructField("_cell", T.IntegerType()), T.StructField("_radius", T.DoubleType())]
     schema = T.StructType([*points.schema.fields, *added])
@@ -152,11 +186,14 @@ def _cell_bounds(points: DataFrame, k: int) -> dict[tuple[int, int], tuple[float
 def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int, stretch: dict[int, float] | None = None) -> DataFrame:
     """Add the cells that may hold one of the k nearest points of each query.
 
-    ``stretch`` is for neighbours by another distance than that of the cells: per task, how many times farther a point
-    may be by the cells' distance and still be nearer by the other.
+    Queries with a column ``_home`` have met that cell already, and know a distance ``_kth`` within which they have k
+    points (null: not yet). ``stretch`` is for neighbours by another distance than that of the cells: per task, how many
+    times farther a point may be by the cells' distance and still be nearer by the other.
     """
+    met = "_home" in queries.columns
 
     def route(batches):
+        trees = {task: _Pivots(p) for task, p in pivots.items() if len(p)}
         for batch in batches:
             rows_of, cells_of = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for task, rows, vectors in _per_task(batch):
@@ -164,38 +201,87 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int, stretch: d
                 if not cells:
                     continue
                 low, high = (np.array([bounds[task, c][i] for c in cells]) for i in (0, 1))
-                to_pivot = np.sqrt(_squared_distances(vectors, pivots[task]))
-                home = to_pivot.min(axis=1)[:, None]
-                to_cell = to_pivot[:, cells]
-                # k-th smallest of (distance to pivot + radius of a point): no neighbour is farther.
-                reach = np.concatenate([to_cell[:, [i]] + bounds[task, c][2] for i, c in enumerate(cells)], axis=1)
-                limit = np.partition(reach, k - 1, axis=1)[:, k - 1] if reach.shape[1] >= k else np.full(len(rows), np.inf)
-                limit = limit * (stretch[task] if stretch else 1.0)
-                limit = (limit + 1e-6 * (1.0 + limit))[:, None]  # room for rounding
-                may = (to_cell - limit <= high) & (to_cell + limit >= low) & ((to_cell - home) / 2 <= limit)
-                query, cell = np.nonzero(may)
-                rows_of.append(rows[query])
-                cells_of.append(np.array(cells, np.int32)[cell])
+                radii = np.full((len(cells), k), np.inf)
+                for i, c in enumerate(cells):
+                    radii[i, : len(bounds[task, c][2])] = bounds[task, c][2]
+                some_cells = min(LIMIT_CELLS, len(cells))
+                largest = np.sqrt(np.einsum("ij,ij->i", pivots[task], pivots[task]).max()) + high.max()
+                step = max(1, (1 << 22) // max(len(pivots[task]), some_cells * k))
+                for start in range(0, len(rows), step):
+                    some, part = rows[start : start + step], vectors[start : start + step]
+                    to_pivot = np.sqrt(_squared_distances(part, pivots[task]))
+                    to_cell = to_pivot[:, cells]
+                    # k-th smallest of (distance to pivot + radius of a point): no neighbour is farther.
+                    near = np.argpartition(to_cell, some_cells - 1, axis=1)[:, :some_cells]
+                    reach = (np.take_along_axis(to_cell, near, axis=1)[:, :, None] + radii[near]).reshape(len(some), -1)
+                    limit = np.partition(reach, k - 1, axis=1)[:, k - 1] * (stretch[task] if stretch else 1.0)
+                    if met:
+                        kth = batch.column("_kth").take(pa.array(some)).to_numpy(zero_copy_only=False).astype(float)
+                        limit = np.fmin(limit, kth)
+                    size = np.sqrt(np.einsum("ij,ij->i", part, part)) + largest
+                    limit = (limit + 1e-6 * (1.0 + limit) + 1e-7 * size)[:, None]  # room for rounding
+                    may = (to_cell - limit <= high) & (to_cell + limit >= low)
+                    may &= trees[task].nearer_elsewhere(part, to_pivot)[:, cells] <= limit
+                    if met:
+                        home = batch.column("_home").take(pa.array(some)).to_numpy()
+                        may &= np.array(cells)[None, :] != home[:, None]
+                    query, cell = np.nonzero(may)
+                    rows_of.append(some[query])
+                    cells_of.append(np.array(cells, np.int32)[cell])
             owner, cell = np.concatenate(rows_of), np.concatenate(cells_of)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cell[np.argsort(owner, kind="stable")]))
             yield batch.append_column("_cells", lists)
 
     schema = T.StructType([*queries.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
-    return queries.mapInArrow(route, schema).withColumn("_cell", F.explode("_cells")).drop("_cells")
+    return queries.mapInArrow(route, schema).withColumn("_cell", F.explode("_cells")).drop("_cells", "_home", "_kth")
 
 
-def _block_pairs(q: DataFrame, p: DataFrame, blocks: dict[tuple[int, int, str], int], join, schema: T.StructType) -> DataFrame:
-    """Every block of queries with every block of points of the same ``_task`` and ``_cell``, given to ``join`` once.
+_PLACE = ("_task", "_cell", "_p_block", "_q_part")
+
+
+def _sizes(p: DataFrame, q: DataFrame) -> dict[tuple[int, int, str], int]:
+    """Rows per task, cell and side ("p" or "q"): at most MAX_CELLS of them per task and side."""
+    sides = [df.groupBy("_task", "_cell").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(x)) for df, x in ((p, "p"), (q, "q"))]
+    return {(r["_task"], r["_cell"], r["side"]): r["n"] for r in sides[0].unionByName(sides[1]).collect()}
+
+
+def _past_points(join, schema: pa.Schema):
+    """Rows come ordered by place, points first: a block's points are held, its queries stream by."""
+
+    def run(batches):
+        place, held, points = None, [], None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in (*_PLACE, "_side")]
+            changes = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            starts = [0, *(np.flatnonzero(changes) + 1).tolist()] if batch.num_rows else []
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                *here, side = (c[start] for c in columns)
+                if here != place:
+                    place, held, points = here, [], None
+                rows = batch.slice(start, end - start)
+                if side == 0:
+                    held.append(rows)
+                elif held:
+                    points = points or pa.Table.from_batches(held).combine_chunks()
+                    yield from join(pa.Table.from_batches([rows]), points).to_batches()
+        yield from schema.empty_table().to_batches()
+
+    return run
+
+
+def _block_pairs(q: DataFrame, p: DataFrame, sizes: dict[tuple[int, int, str], int], width: int, block_values: int, join, schema) -> DataFrame:
+    """All queries with every block of points of the same ``_task`` and ``_cell``, given to ``join`` batch by batch."""
+
+    def parts(rows: int, values: int) -> int:
+        return -(-rows // max(1, values // max(1, width)))
 
-    ``blocks`` has the number of blocks per task, cell and side ("p" or "q"): at most MAX_CELLS rows per task.
-    """
     rows = [
-        {"_task": t, "_cell": c, "_p_blocks": n, "_q_blocks": blocks[t, c, "q"]}
-        for (t, c, side), n in blocks.items()
-        if side == "p" and (t, c, "q") in blocks
+        {"_task": t, "_cell": c, "_p_blocks": parts(n, block_values), "_q_parts": parts(sizes[t, c, "q"], QUERY_VALUES)}
+        for (t, c, side), n in sizes.items()
+        if side == "p" and (t, c, "q") in sizes
     ]
-    names = ("_task", "_cell", "_p_blocks", "_q_blocks")
+    names = ("_task", "_cell", "_p_blocks", "_q_parts")
     layout = F.broadcast(local_table(q.sparkSession, rows, T.StructType([T.StructField(name, T.IntegerType()) for name in names])))
 
     def every(n: str) -> Column:
@@ -204,13 +290,18 @@ def _block_pairs(q: DataFrame, p: DataFrame, blocks: dict[tuple[int, int, str],
     def own(id_name: str, n: str) -> Column:
         return F.pmod(F.xxhash64(id_name), F.col(n)).cast("int")
 
-    where = ["_task", "_cell", "_p_block", "_q_block"]
-    of_p, of_q = ([c for c in df.columns if c not in where] for df in (p, q))
+    of_p, of_q = ([c for c in df.columns if c not in _PLACE] for df in (p, q))
     p = p.join(layout, ["_task", "_cell"]).withColumn("_p_block", own("_pid", "_p_blocks"))
-    p = p.withColumn("_q_block", every("_q_blocks")).select(*where, *of_p)
-    q = q.join(layout, ["_task", "_cell"]).withColumn("_q_block", own("_qid", "_q_blocks"))
-    q = q.withColumn("_p_block", every("_p_blocks")).select(*where, *of_q)
-    return q.groupBy(*where).cogroup(p.groupBy(*where)).applyInArrow(join, schema)
+    p = p.withColumn("_q_part", every("_q_parts")).select(*_PLACE, F.lit(0).alias("_side"), *of_p)
+    q = q.join(layout, ["_task", "_cell"]).withColumn("_q_part", own("_qid", "_q_parts"))
+    q = q.withColumn("_p_block", every("_p_blocks")).select(*_PLACE, F.lit(1).alias("_side"), *of_q)
+    both = p.unionByName(q, allowMissingColumns=True).repartition(*_PLACE).sortWithinPartitions(*_PLACE, "_side")
+    return both.mapInArrow(_past_points(join, to_arrow_schema(schema)), schema)
+
+
+def _nearest_k(found: DataFrame, keys: list[str], k: int) -> DataFrame:
+    best = Window.partitionBy(*keys).orderBy("distance", "neighbour_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def nearest_neighbours(
@@ -244,23 +335,8 @@ def nearest_neighbours(
         refuse_bad_vectors(row, features)
     if len({r["width"] for r in sizes}) > 1:
         raise ValueError(f"{features}: vectors of widths {sorted({r['width'] for r in sizes})}")
-    per_block = max(1, block_values // max([r["width"] for r in sizes], default=1))
+    width = max([r["width"] for r in sizes], default=1)
     wanted = {r["_task"]: cells or min(MAX_CELLS, -(-r["n"] // CELL_POINTS)) for r in sizes if r["side"] == "p"}
-    if max(wanted.values(), default=1) > 1:
-        p = written(p, "points")
-        pivots = _pivots(p, wanted)
-        p = written(_with_cell(p, pivots), "cells")
-        bounds = _cell_bounds(p, k)
-        p = p.drop("_radius")
-        q = written(_with_candidate_cells(q, pivots, bounds, k), "queries")
-        in_cells = [df.groupBy("_task", "_cell").agg(F.count(F.lit(1)).alias("n")) for df in (p, q)]
-        sides = [df.withColumn("side", F.lit(side)) for df, side in zip(in_cells, "pq", strict=True)]
-        sizes = sides[0].unionByName(sides[1]).collect()  # one row per task, cell and side
-        blocks = {(r["_task"], r["_cell"], r["side"]): -(-r["n"] // per_block) for r in sizes}
-    else:
-        p, q = p.withColumn("_cell", F.lit(0)), q.withColumn("_cell", F.lit(0))
-        blocks = {(r["_task"], 0, r["side"]): -(-r["n"] // per_block) for r in sizes}
-
     schema = T.StructType(
         [
             T.StructField("_task", T.IntegerType()),
@@ -270,13 +346,29 @@ def nearest_neighbours(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    found = _block_pairs(q, p, blocks, _block_join(k, to_arrow_schema(schema)), schema)
-    found = found.withColumnRenamed("_task", task) if task else found.drop("_task")
-    # Later steps group by the same keys, so this shuffle serves them too.
-    keys = [task, "query_id"] if task else ["query_id"]
-    best = Window.partitionBy(*keys).orderBy("distance", "neighbour_id")
-    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return top.select(*keys, "rank", "neighbour_id", payload, "distance")
+
+    def search(q: DataFrame, sizes: dict) -> DataFrame:
+        return _block_pairs(q, p, sizes, width, block_values, _block_join(k, to_arrow_schema(schema)), schema)
+
+    ids = ["_task", "query_id"]
+    if max(wanted.values(), default=1) > 1:
+        p = written(p, "points")
+        pivots = _pivots(p, wanted)
+        p = written(_with_cell(p, pivots), "cells")
+        bounds = _cell_bounds(p, k)
+        p = p.drop("_radius")
+        q = written(_with_cell(q, pivots).drop("_radius"), "queries")
+        near = written(_nearest_k(search(q, _sizes(p, q)), ids, k).drop("rank"), "home")
+        kth = near.groupBy(*ids).agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_kth"))
+        q = q.withColumnRenamed("_cell", "_home").join(kth.withColumnRenamed("query_id", "_qid"), ["_task", "_qid"], "left")
+        q = written(_with_candidate_cells(q, pivots, bounds, k), "queries")
+        found = search(q, _sizes(p, q)).unionByName(near)
+    else:
+        p, q = p.withColumn("_cell", F.lit(0)), q.withColumn("_cell", F.lit(0))
+        found = search(q, {(r["_task"], 0, r["side"]): r["n"] for r in sizes})
+    top = _nearest_k(found, ids, k)
+    top = top.withColumnRenamed("_task", task) if task else top.drop("_task")
+    return top.select(*([task] if task else []), "query_id", "rank", "neighbour_id", payload, "distance")
 
 
 def _fold_join(k: int, schema: pa.Schema, scales: dict[int, tuple[np.ndarray, np.ndarray]]):
@@ -331,7 +423,6 @@ def fold_neighbours(
     p = rows.select(key, F.col(id_col).alias("_pid"), F.col(payload).alias("_payload"), vector.alias("_vec"))
     p = _lowest_copies(p, k)
     width = max((len(mean) for mean, _ in scales.values()), default=1)
-    per_block = max(1, block_values // max(1, width))
     n = rows.count()
     wanted = cells or min(MAX_CELLS, -(-n // CELL_POINTS))
     if wanted > 1 and scales:
@@ -344,21 +435,26 @@ def fold_neighbours(
         folds = sorted({r[0] for r in p.select("_task").distinct().collect()} | set(scales))
         pivots = dict.fromkeys(folds, np.array([r["_vec"] for r in picked]))
         p = written(_with_cell(p, pivots), "cells")
-        found = _cell_bounds(p, k)  # one row per fold and cell
+        found = {}
+        for (f, cell), bound in _cell_bounds(p, k).items():  # one of each fold and cell
+            found.setdefault(cell, {})[f] = bound
         bounds = {}
         for held in scales:
-            for cell in {c for f, c in found if f != held}:
-                others = [b for (f, c), b in found.items() if c == cell and f != held]
+            for cell, of_folds in found.items():
+                others = [b for f, b in of_folds.items() if f != held]
+                if not others:
+                    continue
                 first = np.sort(np.concatenate([b[2] for b in others]))[:k]
                 bounds[held, cell] = (min(b[0] for b in others), max(b[1] for b in others), first)
         stretch = {f: float(r.max() / r.min()) for f, r in ratios.items()}
         q = written(_with_candidate_cells(q.where(F.col("_task").isin(list(scales))), pivots, bounds, k, stretch), "queries")
         p, q = (df.drop("_vec", "_radius").withColumnRenamed("_raw", "_vec") for df in (p, q))
-        sizes = {side: df.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect() for side, df in (("p", p), ("q", q))}
-        blocks = {(0, r["_cell"], side): -(-r["n"] // per_block) for side, found in sizes.items() for r in found}
+        sizes = {}
+        for (_, cell, side), rows_in in _sizes(p, q).items():
+            sizes[0, cell, side] = sizes.get((0, cell, side), 0) + rows_in
     else:
         p, q = (df.withColumn("_cell", F.lit(0)) for df in (p, q))
-        blocks = {(0, 0, side): -(-n // per_block) for side in "pq" if n}
+        sizes = {(0, 0, side): n for side in "pq" if n}
     p, q = (df.withColumnRenamed("_task", "_fold").withColumn("_task", F.lit(0)) for df in (p, q))
     schema = T.StructType(
         [
@@ -369,10 +465,8 @@ def fold_neighbours(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    met = _block_pairs(q, p, blocks, _fold_join(k, to_arrow_schema(schema), scales), schema)
-    best = Window.partitionBy(fold, "query_id").orderBy("distance", "neighbour_id")
-    top = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return top.select(fold, "query_id", "rank", "neighbour_id", payload, "distance")
+    met = _block_pairs(q, p, sizes, width, block_values, _fold_join(k, to_arrow_schema(schema), scales), schema)
+    return _nearest_k(met, [fold, "query_id"], k).select(fold, "query_id", "rank", "neighbour_id", payload, "distance")
 
 
 def _tally(labels: Column) -> Column:

@@ -98,6 +98,42 @@ def test_folds_share_one_search(spark, cells, block_values):
     assert found(near) == want
 
 
+def test_leaves_of_two_levels_stay_exact(spark, monkeypatch):
+    """Queries in several parts, equal pivots, empty leaves, tasks, far offsets, queries of a task without points."""
+    monkeypatch.setattr(knn, "QUERY_VALUES", 40)
+    monkeypatch.setattr(knn, "LIMIT_CELLS", 3)
+    rng = np.random.default_rng(8)
+    for offset in (0.0, 1e6):
+        points = [(i, (rng.normal(size=2) + 20 * (i % 7) + offset).tolist(), i % 3, i % 2) for i in range(300)]
+        points += [(1000 + i, points[0][1], 1, i % 2) for i in range(100)]
+        queries = [(i, (rng.normal(size=2) * 30 + 60 + offset).tolist(), 0, i % 2) for i in range(50)]
+        queries += [(90, points[0][1], 0, 0), (91, points[0][1], 0, 2)]
+        ddl = "id long, features array<double>, label int, part int"
+        sides = [spark.createDataFrame(x, ddl).repartition(3) for x in (queries, points)]
+        near = knn.nearest_neighbours(*sides, 6, "id", "features", task="part", cells=25, block_values=30).collect()
+        for part in (0, 1):
+            want = brute(*[[r[:3] for r in x if r[3] == part] for x in (queries, points)], 6)
+            got = {}
+            for r in sorted((r for r in near if r["part"] == part), key=lambda r: (r["query_id"], r["rank"])):
+                got.setdefault(r["query_id"], []).append(r["neighbour_id"])
+            assert got == want
+        assert {r["part"] for r in near} == {0, 1}
+
+
+def test_a_tree_of_pivots_rules_out_only_what_it_may():
+    rng = np.random.default_rng(9)
+    pivots = rng.normal(size=(40, 3)).round(1)
+    pivots[7] = pivots[1]
+    tree = knn._Pivots(pivots)
+    points, queries = rng.normal(size=(500, 3)), rng.normal(size=(80, 3))
+    cell, radius = tree.assign(points)
+    assert np.allclose(radius, np.linalg.norm(points - pivots[cell], axis=1))
+    to_pivot = np.linalg.norm(queries[:, None] - pivots[None], axis=2)
+    least = tree.nearer_elsewhere(queries, to_pivot)[:, cell]
+    assert (least <= np.linalg.norm(queries[:, None] - points[None], axis=2) + 1e-9).all()
+    assert (least > 0.1).any()
+
+
 def test_best_k_prefers_f1_then_accuracy_then_small_k(spark):
     rows = [(1, 0.8, 0.7), (3, 0.9, 0.75), (5, 0.9, 0.75), (7, 0.95, 0.7)]
     grid = spark.createDataFrame(rows, "k int, cv_accuracy_mean double, cv_f1_mean double")
