@@ -225,7 +225,9 @@ def keep_identified(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is known with a score of ``min_score`` at least.
 
-    Rows that `identify` calls ``und`` go. Learning is as in `identify`.
+    Rows that `identify` calls ``und`` go, null and empty texts among them. If the two best languages tie, the score is
+    0, so the row stays only with a ``min_score`` of 0. Repeated rows are told alike and all stay or all go; an empty
+    table gives an empty one. Learning is as in `identify`; if no row can be learned from, none stays.
     """
     samples = _sample(docs, id_col, text_col, lang_col)
     rows = in_small_batches(docs).select(packed(docs).alias("row"), predicted(text_of(text_col), samples).alias("made"))

@@ -137,6 +137,7 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 3, blocks: int | None
 
     Every two such fingerprints are connected by the links, directly or over others as close. Fingerprints meet on the
     block keys; a key with more than ``block_rows`` of them is dealt into parts, and each pair of parts into a task.
+    The column must hold no nulls (null texts have fingerprint zero); an empty table has no links.
     """
     masks = block_masks(max_bits, blocks)
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("fingerprint").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m))) for i, m in enumerate(masks)])
