@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from classkit import functions as fn
 from classkit.operators import columns, early_stop, ranking, scale, split
+from classkit.operators.model_tables import ROBUST_PERCENTILE, WEAK_SHARE
 from classkit.plans.inputs import (
     JUDGED,
     LINE_FEATURES,
@@ -334,29 +335,33 @@ def weights(spark, sf_dir):
     )
 
 
+# Widths of drawn edges.
+WIDEST, NARROWEST_CLIPPED, WIDEST_CLIPPED = 4.0, 0.2, 3.0
+
+
 @query(
     "strong_weights",
     f"""WITH {WEIGHTS}, m AS (SELECT *, max(abs(weight)) OVER (PARTITION BY layer) AS largest FROM weights)
-SELECT layer, src, dst, weight FROM m WHERE abs(weight) >= 0.05::DOUBLE * largest""",
+SELECT layer, src, dst, weight FROM m WHERE abs(weight) >= {WEAK_SHARE}::DOUBLE * largest""",
 )
 def strong_weights(spark, sf_dir):
     from classkit.operators.model_tables import strong_edges
 
-    return strong_edges(weights(spark, sf_dir), 0.05)
+    return strong_edges(weights(spark, sf_dir))
 
 
 @query(
     "edge_styles",
-    f"""WITH {WEIGHTS}, c AS (SELECT quantile_cont(abs(weight), 0.99) AS robust, max(abs(weight)) AS largest FROM weights)
-SELECT layer, src, dst, round(greatest(0.3, 4.0 * abs(weight) / largest), 6) AS width,
-  round(0.2 + least(abs(weight), robust) / robust * (3.0 - 0.2), 6) AS clipped_width,
+    f"""WITH {WEIGHTS}, c AS (SELECT quantile_cont(abs(weight), {ROBUST_PERCENTILE}) AS robust, max(abs(weight)) AS largest FROM weights)
+SELECT layer, src, dst, round(greatest(0.3, {WIDEST} * abs(weight) / largest), 6) AS width,
+  round({NARROWEST_CLIPPED} + least(abs(weight), robust) / robust * ({WIDEST_CLIPPED} - {NARROWEST_CLIPPED}), 6) AS clipped_width,
   round(0.5 + 0.5 * weight / largest, 6) AS colour,
   round(least(greatest(0.5 + 0.5 * weight / robust, 0), 1), 6) AS robust_colour FROM weights, c""",
 )
 def edge_styles(spark, sf_dir):
     from classkit.operators.model_tables import edge_styles as styled
 
-    out = styled(weights(spark, sf_dir), widest=4.0, narrowest_clipped=0.2, widest_clipped=3.0)
+    out = styled(weights(spark, sf_dir), widest=WIDEST, narrowest_clipped=NARROWEST_CLIPPED, widest_clipped=WIDEST_CLIPPED)
     rounded = [F.round(c, 6).alias(c) for c in ("width", "clipped_width", "colour", "robust_colour")]
     return out.select("layer", "src", "dst", *rounded)
 
@@ -373,7 +378,7 @@ def layer_sizes(spark, sf_dir):
 
 @query(
     "robust_maximum",
-    f"""WITH {WEIGHTS} SELECT layer, round(CASE WHEN max(abs(weight)) = 0 THEN 1 ELSE quantile_cont(abs(weight), 0.99) END, 9) AS ceiling
+    f"""WITH {WEIGHTS} SELECT layer, round(CASE WHEN max(abs(weight)) = 0 THEN 1 ELSE quantile_cont(abs(weight), {ROBUST_PERCENTILE}) END, 9) AS ceiling
 FROM weights GROUP BY layer""",
 )
 def robust_maximum(spark, sf_dir):
