@@ -11,8 +11,12 @@ costs one job per level, as long as nodes are large.
 
 A node of few rows (LOCAL_VALUES) is finished inside a task, which gets its rows
 and grows the subtree to full depth by the same rule. If the whole table is that
-small, its roots are such nodes: one task then grows the trees of many rounds in
-a row, and hands the margins on to the next job. Either way gives the same trees.
+small, its roots are such nodes. Rows with equal bins and label are then one unit,
+which counts as often as rows of it are drawn, and ends in a leaf while the tree
+grows, so nothing is routed a second time. One task grows the trees of many rounds
+in a row, and hands the margins on to the next job; where a round of several
+classes is much work (SPREAD_VALUES), each of its trees is grown by a task of its
+own. Every way gives the same trees.
 
 Rows are binned into one byte per feature, packed into blocks and written with
 their margins to the shared folder. Every few rounds the margins are brought up to date and written
@@ -27,7 +31,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +42,11 @@ from classkit.runtime import discard, local_table, written
 
 MARGIN_ROUNDS = 10  # rounds between two writes of the margins
 DENSE_CELLS = 1 << 21  # above this many cells a task keeps no dense histogram
-LOCAL_VALUES = 1 << 22  # rows times features and outputs, up to which a task grows a subtree alone: some 200 MB
+LOCAL_VALUES = 1 << 25  # numbers that a node's rows take in a task that grows its subtree alone: 256 MB
+SPREAD_VALUES = 1 << 24  # rows times features and outputs of a small table, from which each tree of a round has a task
 LOCAL_ROUNDS = 100  # rounds of a small table that a task grows in a row
+SPREAD_ROUNDS = 5  # rounds between two generations of the margins of a small table whose trees have a task each
+DENSE_SHARE = 16  # cells per row up to which a subtree sums over all cells of a feature, else over those that have rows
 SKETCH_ACCURACY = 10_000  # quantile error at most 1 / 10,000; exact for fewer distinct values
 SENT_NODES = 2_000_000  # tree nodes broadcast at once, 40 bytes each; larger models score in several passes
 STORED_NODES = 200_000  # nodes of a part of a stored model, give or take a round
@@ -136,19 +143,23 @@ class Boosted:
 
 
 def _leaf(columns: tuple[np.ndarray, ...], rows: np.ndarray) -> np.ndarray:
-    """The node every row ends in."""
+    """The node every row ends in. Rows that stand column by column in memory are not copied."""
     feature, bound, left, right, _ = columns
-    node = np.zeros(len(rows), dtype=np.int64)
+    node, at, here = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.arange(len(rows))
+    values, line, inner = rows.ravel(order="F"), feature.astype(np.int64) * len(rows), feature >= 0
+    children = np.column_stack([left, right]).ravel()
     while True:
-        inner = np.nonzero(feature[node] >= 0)[0]
-        if not len(inner):
+        going = np.flatnonzero(inner[at])
+        if len(going) < len(at):
+            at, here = at[going], here[going]
+        if not len(here):
             return node
-        at = node[inner]
-        goes_left = rows[inner, feature[at]] <= bound[at]
-        node[inner] = np.where(goes_left, left[at], right[at])
+        at = children[2 * at + (values[line[at] + here] > bound[at])]
+        node[here] = at
 
 
 def _add_trees(margins: np.ndarray, trees: Sequence[tuple], rows: np.ndarray) -> np.ndarray:
+    rows = np.asfortranarray(rows)
     for i, columns in enumerate(trees):
         margins[:, i % margins.shape[1]] += columns[4][_leaf(columns, rows)]
     return margins
@@ -414,14 +425,17 @@ def fit_boosted(
     state = written(_binned(train, id_col, features, label, edges, outputs), "binned")
     rng = np.random.default_rng(settings.seed)
     used = max(1, int(len(edges) * settings.colsample))
-    most = LOCAL_VALUES // (len(edges) + outputs)  # rows of a node that a task finishes
+    row_bytes = len(edges) + 24 * outputs + 80  # bins, margins and derivatives, and the numbers of a level
+    most = 8 * LOCAL_VALUES // row_bytes  # rows of a node that a task finishes
     model, spark = Boosted([], outputs, settings.eta, store), train.sparkSession
 
     def drawn_columns() -> list[np.ndarray]:
         return [np.sort(rng.choice(len(edges), used, replace=False)) for _ in range(outputs)]
 
-    if (state.agg(F.sum("rows")).head()[0] or 0) <= most:
-        _small_table(state, model, drawn_columns, edges, settings)
+    n_rows = state.agg(F.sum("rows")).head()[0] or 0
+    if n_rows <= most:
+        spread = outputs > 1 and n_rows * len(edges) * outputs > SPREAD_VALUES
+        (_spread_table if spread else _small_table)(state, model, drawn_columns, edges, settings)
         discard(state)
         model.settle(spark, whole=True)
         return model
@@ -463,69 +477,101 @@ def fit_boosted(
     return model
 
 
-def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, depth: int, settings: BoostingSettings) -> Tree:
-    """The tree that `split_gains` and `best_splits` would grow from a node's rows, without thresholds."""
-    tree = Tree()
-    tree.cover[0] = float(h.sum())
-    tree.value[0] = -settings.eta * float(g.sum()) / (tree.cover[0] + settings.reg_lambda)
-    node, open_nodes = np.zeros(len(bins), np.int64), [0]
-    bins, shrink = bins[:, used].astype(np.int64), settings.reg_lambda
-    for _ in range(depth):
-        # Cells (node, feature, bin) that have rows, in order; running sums restart with each (node, feature).
-        slot_of = np.full(len(tree.feature), -1)
-        slot_of[open_nodes] = np.arange(len(open_nodes))
-        slot = slot_of[node]
-        rows = np.nonzero(slot >= 0)[0]
-        if not len(rows):
+def _level(cover: np.ndarray, value: np.ndarray) -> dict[str, np.ndarray]:
+    """The columns of a level of leaves, thresholds left out."""
+    n = len(cover)
+    made = {"feature": np.full(n, -1), "cut": np.zeros(n, np.int64), "left": np.full(n, -1), "right": np.full(n, -1)}
+    return made | {"gain": np.zeros(n), "cover": cover, "value": value}
+
+
+def _split_cells(slot, n: int, bins, size: int, g, h, settings: BoostingSettings):
+    """Of one feature, every cell (slot, bin) that may end a split: slots in order, bins, and the sums left of and in all."""
+    least, key = settings.min_child_weight, slot * size + bins
+    if n * size <= DENSE_SHARE * len(key) + (1 << 12):
+        g_left, h_left = (np.bincount(key, w, n * size).reshape(n, size).cumsum(axis=1) for w in (g, h))
+        rest = h_left[:, -1:] - h_left
+        heavy = np.flatnonzero((h_left >= least) & (rest >= least))
+        of, cut = heavy // size, heavy % size
+        return of, cut, g_left.ravel()[heavy], h_left.ravel()[heavy], g_left[of, -1], h_left[of, -1], rest.ravel()[heavy]
+    seen, at = np.unique(key, return_inverse=True)  # the cells that have rows, in order; running sums restart with each slot
+    of = seen // size
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    group = np.cumsum(np.diff(of, prepend=-1) != 0) - 1
+    running, whole = [], []
+    for weight in (g, h):
+        cell = np.bincount(at, weight, len(seen))
+        upto = np.cumsum(cell)
+        running.append(upto - (upto[first] - cell[first])[group])
+        whole.append(np.add.reduceat(cell, first)[group])
+    rest = whole[1] - running[1]
+    heavy = np.flatnonzero((running[1] >= least) & (rest >= least))
+    return of[heavy], seen[heavy] % size, *(c[heavy] for c in (*running, *whole, rest))
+
+
+def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, depth: int, settings: BoostingSettings) -> tuple[Tree, np.ndarray]:
+    """The tree that `split_gains` and `best_splits` would grow from a node's rows, without thresholds, and every row's leaf.
+
+    ``bins`` has a line per feature. Rows without weight are only led to their leaves; they stand behind the others. Nodes
+    are numbered level by level. A node whose weight is not enough for two children is a leaf, its rows are left behind.
+    """
+    shrink, least, n_rows = settings.reg_lambda, settings.min_child_weight, bins.shape[1]
+    total = float(h.sum())
+    levels = [_level(np.array([total]), np.array([-settings.eta * float(g.sum()) / (total + shrink)]))]
+    weighed = (g != 0) | (h != 0)
+    active = np.concatenate([np.flatnonzero(weighed), np.flatnonzero(~weighed)])
+    n_weighed = int(weighed.sum())
+    g, h = g[active[:n_weighed]], h[active[:n_weighed]]
+    leaf, slot, columns = np.zeros(n_rows, np.int64), np.zeros(n_rows, np.int64), bins[used].take(active, axis=1)
+    sizes = [int(c.max()) + 1 for c in columns] if n_rows else []
+    first, places = 0, np.zeros(1, np.int64)  # the level's first node, and which of the level's nodes are open
+    for left_over in range(depth, 0, -1):
+        n = len(places)
+        best = np.zeros((6, n))  # per open node the rounded gain, the sums left of the split and in all, the gain itself
+        cut_of, column_of = np.full(n, 256), np.zeros(n, np.int64)  # no bin is over 255
+        for column, size in enumerate(sizes):
+            of, cut, g_left, h_left, g_all, h_all, rest = _split_cells(slot[:n_weighed], n, columns[column, :n_weighed], size, g, h, settings)
+            if not len(of):
+                continue
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = g_left * g_left / (h_left + shrink) + (g_all - g_left) ** 2 / (rest + shrink) - g_all * g_all / (h_all + shrink)
+            exact = 0.5 * gain - settings.gamma
+            gain = np.round(exact, GAIN_DIGITS)
+            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            top = np.full(n, -np.inf)
+            top[of[begins]] = np.maximum.reduceat(gain, begins)
+            top[~(top > best[0])] = np.inf  # of equal gains that of the lower feature stays, then that of the lower bin
+            hit = np.flatnonzero(gain == top[of])
+            hit = hit[np.flatnonzero(np.diff(of[hit], prepend=-1))]
+            to = of[hit]
+            best[:, to] = gain[hit], g_left[hit], h_left[hit], g_all[hit], h_all[hit], exact[hit]
+            cut_of[to], column_of[to] = cut[hit], column
+        parts = np.flatnonzero(best[0] > 0)
+        if not len(parts):
             break
-        key = ((slot[rows, None] * len(used) + np.arange(len(used))) * 256 + bins[rows]).ravel()
-        size = len(open_nodes) * len(used) * 256
-        if size <= 4 * len(key):  # dense cells, else only those that have rows
-            seen, at = np.arange(size), key
-        else:
-            seen, at = np.unique(key, return_inverse=True)
-        some = np.bincount(at, minlength=len(seen)) > 0
-        seen = seen[some]
-        place = seen >> 8
-        first = np.flatnonzero(np.diff(place, prepend=-1))
-        group = np.cumsum(np.diff(place, prepend=-1) != 0) - 1
-        running, whole = [], []
-        for weight in (g, h):
-            cell = np.bincount(at, np.repeat(weight[rows], len(used)), len(some))[some]
-            upto = np.cumsum(cell)
-            running.append(upto - (upto[first] - cell[first])[group])
-            whole.append(np.add.reduceat(cell, first)[group])
-        (g_left, h_left), (g_all, h_all) = running, whole
-        rest = h_all - h_left
+        above, begin = levels[-1], first + len(levels[-1]["feature"])
+        children = begin + 2 * np.arange(len(parts))
+        _, g_left, h_left, g_all, h_all, exact = best[:, parts]
+        made = {"feature": used[column_of[parts]], "cut": cut_of[parts], "left": children, "right": children + 1, "gain": exact}
+        for name, values in made.items():
+            above[name][places[parts]] = values
+        g_of, h_of = (np.column_stack([left, whole - left]).ravel() for left, whole in ((g_left, g_all), (h_left, h_all)))
         with np.errstate(divide="ignore", invalid="ignore"):
-            gain = g_left * g_left / (h_left + shrink) + (g_all - g_left) ** 2 / (rest + shrink) - g_all * g_all / (h_all + shrink)
-        exact = 0.5 * gain - settings.gamma
-        gain = np.round(exact, GAIN_DIGITS)
-        gain[~(np.minimum(h_left, rest) >= settings.min_child_weight)] = -np.inf
-        of = place // len(used)  # cells of a node are side by side, by feature and bin: the first of the best wins ties
-        begins = np.flatnonzero(np.diff(of, prepend=-1))
-        top = np.maximum.reduceat(gain, begins)
-        best = np.flatnonzero(gain == top[of])
-        best = best[np.flatnonzero(np.diff(of[best], prepend=-1))]
-        best = best[gain[best] > 0]
-        if not len(best):
+            levels.append(_level(h_of, -settings.eta * g_of / (h_of + shrink)))
+        goes_to = first + places
+        goes_to[parts] = children
+        node = goes_to[slot] + (columns.ravel()[column_of[slot] * len(slot) + np.arange(len(slot))] > cut_of[slot])
+        leaf[active] = node
+        first, places = begin, np.flatnonzero(h_of >= 2 * least * (1 - 1e-9)) if left_over > 1 else np.empty(0, np.int64)
+        if not len(places):
             break
-        next_nodes, cut_of, column_of = [], np.full(len(open_nodes), -1), np.zeros(len(open_nodes), np.int64)
-        left_of = np.zeros(len(open_nodes), np.int64)
-        for c in best.tolist():
-            parent = open_nodes[of[c]]
-            column, cut = int(place[c] % len(used)), int(seen[c] & 255)
-            left, right = tree.split(parent, int(used[column]), 0.0, cut, float(exact[c]))
-            for child, gs, hs in ((left, g_left[c], h_left[c]), (right, g_all[c] - g_left[c], rest[c])):
-                tree.value[child], tree.cover[child] = float(-settings.eta * gs / (hs + shrink)), float(hs)
-            cut_of[of[c]], column_of[of[c]], left_of[of[c]] = cut, column, left
-            next_nodes += (left, right)
-        goes_on = cut_of[slot[rows]] >= 0
-        rows, at_node = rows[goes_on], slot[rows][goes_on]
-        node[:] = 0  # which is not open any more
-        node[rows] = left_of[at_node] + (bins[rows, column_of[at_node]] > cut_of[at_node])
-        open_nodes = next_nodes
-    return tree
+        slot_of = np.full(begin + len(h_of), -1)
+        slot_of[begin + places] = np.arange(len(places))
+        slot = slot_of[node]
+        keep = np.flatnonzero(slot >= 0)
+        active, slot, columns = active[keep], slot[keep], columns.take(keep, axis=1)
+        n_weighed = int(np.searchsorted(keep, n_weighed))
+        g, h = g[keep[:n_weighed]], h[keep[:n_weighed]]
+    return Tree(threshold=None, **{n: np.concatenate([of_level[n] for of_level in levels]) for n in levels[0]}), leaf
 
 
 # A grown tree as it leaves a task: its columns but for the thresholds.
@@ -534,7 +580,7 @@ GROWN = pa.struct([(c, pa.list_(pa.int32())) for c in ("feature", "cut", "left",
 
 
 def _sent(tree: Tree) -> dict[str, list]:
-    return {f.name: np.asarray(getattr(tree, f.name)).tolist() for f in GROWN}
+    return {f.name: getattr(tree, f.name).tolist() for f in GROWN}
 
 
 def _received(columns: dict[str, list], edges: list[np.ndarray]) -> Tree:
@@ -543,12 +589,17 @@ def _received(columns: dict[str, list], edges: list[np.ndarray]) -> Tree:
 
 
 def _bounds(columns, edges: list[np.ndarray]) -> np.ndarray:
-    return np.array([float(edges[f][c]) if f >= 0 else 0.0 for f, c in zip(columns["feature"], columns["cut"])])
+    feature, cut = (np.asarray(columns[n], np.int64) for n in ("feature", "cut"))
+    bounds, inner = np.zeros(len(feature)), np.flatnonzero(feature >= 0)
+    for f in np.unique(feature[inner]):
+        own = inner[feature[inner] == f]
+        bounds[own] = edges[f][cut[own]]
+    return bounds
 
 
 def _finish(state, pending, trees, small, columns, edges, settings: BoostingSettings, round_: int, depth: int) -> None:
     """Grow the subtrees of small nodes, each in the task that gets the node's rows."""
-    spark = state.sparkSession
+    spark, n_features = state.sparkSession, len(edges)
     shared = spark.sparkContext.broadcast((pending, [t.columns(by_bin=True) for t in trees], small, columns))
 
     def send(batches):
@@ -566,8 +617,8 @@ def _finish(state, pending, trees, small, columns, edges, settings: BoostingSett
     def grow(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("bins", "ascending"), ("g", "ascending")])
         tree, node = table["tree"][0].as_py(), table["node"][0].as_py()
-        bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        grown = _subtree(bins, table["g"].to_numpy(), table["h"].to_numpy(), shared.value[3][tree], depth, settings)
+        bins = np.frombuffer(table["bins"].combine_chunks().buffers()[2], np.uint8)[: table.num_rows * n_features].reshape(-1, n_features)
+        grown, _ = _subtree(bins.T, table["g"].to_numpy(), table["h"].to_numpy(), shared.value[3][tree], depth, settings)
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int32()), "grown": pa.array([_sent(grown)], GROWN)})
 
     rows = state.mapInArrow(send, "tree int, node int, key long, bins binary, g double, h double")
@@ -577,35 +628,54 @@ def _finish(state, pending, trees, small, columns, edges, settings: BoostingSett
             trees[row["tree"]].graft(row["node"], sub)
 
 
+@dataclass
+class _Units:
+    """Rows of equal bins and label as one unit: a line of bins per feature, and every unit's rows side by side in ``key``."""
+
+    bins: np.ndarray
+    label: np.ndarray
+    key: np.ndarray
+    ends: np.ndarray  # the place after a unit's last row
+
+    @classmethod
+    def of(cls, rows) -> Iterator[_Units]:
+        """One or none, from the rows of a state; the order in which they come does not matter."""
+        held = [[np.frombuffer(r[n], t).reshape(r["rows"], -1) for n, t in STATE.items() if n != "margin"] for r in rows]
+        if held:
+            key, bins, label = (np.concatenate(column) for column in zip(*held))
+            order = np.lexsort([key[:, 0], label[:, 0], *bins.T])
+            key, bins, label = key[order, 0], bins[order], label[order, 0]
+            changes = (bins[1:] != bins[:-1]).any(axis=1) | (label[1:] != label[:-1])
+            ends = np.append(np.flatnonzero(changes) + 1, len(key))
+            yield cls(np.ascontiguousarray(bins[ends - 1].T), label[ends - 1], key, ends)
+
+    def grown(self, g: np.ndarray, h: np.ndarray, number: int, used: np.ndarray, settings: BoostingSettings) -> tuple[Tree, np.ndarray]:
+        """The tree of that number, which says what rows are drawn, and every unit's leaf."""
+        upto = np.cumsum(_drawn(self.key, number, settings.seed, settings.subsample))
+        times = np.diff(upto[self.ends - 1], prepend=0).astype(float)
+        return _subtree(self.bins, times * g, times * h, used, settings.max_depth, settings)
+
+
 def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings) -> None:
     """All rounds of a table of few rows: tasks grow LOCAL_ROUNDS rounds one after the other, from the margins that the
     task before has handed on."""
-
-    def gathered(rows):
-        held = [[np.frombuffer(r[n], t).reshape(r["rows"], -1) for n, t in STATE.items()] for r in rows]
-        if held:
-            key, bins, label, _ = (np.concatenate(column) for column in zip(*held))
-            order = np.lexsort([*bins.T, label[:, 0], key[:, 0]])
-            yield key[order, 0], bins[order], label[order, 0]
-
-    whole = state.coalesce(1).rdd.mapPartitions(gathered).persist(StorageLevel.MEMORY_AND_DISK)
+    whole = state.drop("margin").coalesce(1).rdd.mapPartitions(_Units.of).persist(StorageLevel.MEMORY_AND_DISK)
     margins: np.ndarray | None = None
     outputs = model.outputs
     for first in range(0, settings.rounds, LOCAL_ROUNDS):
         columns = [drawn_columns() for _ in range(min(LOCAL_ROUNDS, settings.rounds - first))]
 
         def grow(parts, first=first, columns=columns, given=margins):
-            for key, bins, label in parts:
-                at = np.zeros((len(key), outputs)) if given is None else given
+            for units in parts:
+                at = np.zeros((len(units.label), outputs)) if given is None else given
                 made = []
                 for n, used in enumerate(columns):
-                    g, h = _derivatives(at, label)
-                    trees = []
+                    g, h = _derivatives(at, units.label)
+                    at = at.copy()
                     for t in range(outputs):
-                        rows = np.nonzero(_drawn(key, (first + n) * outputs + t, settings.seed, settings.subsample))[0]
-                        trees.append(_subtree(bins[rows], g[rows, t], h[rows, t], used[t], settings.max_depth, settings).by_level())
-                    at = _add_trees(at.copy(), [t.columns(by_bin=True) for t in trees], bins)
-                    made += [{n: np.asarray(c) for n, c in vars(t).items() if n != "threshold"} for t in trees]
+                        tree, leaf = units.grown(g[:, t], h[:, t], (first + n) * outputs + t, used[t], settings)
+                        at[:, t] += tree.value[leaf]
+                        made.append(_grown_columns(tree))
                 yield made, at
 
         for made, margins in state.sparkSession.sparkContext.runJob(whole, grow, [0]):
@@ -616,6 +686,51 @@ def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np
     whole.unpersist()
 
 
+def _grown_columns(tree: Tree) -> dict[str, np.ndarray]:
+    return {n: c for n, c in vars(tree).items() if n != "threshold"}
+
+
+def _spread_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings) -> None:
+    """A round is a job with a task per output. Each holds the table, which is small, brings the margins up to date with the
+    trees grown since they were kept, and grows its output's tree; only trees travel."""
+    outputs = model.outputs
+    copies = state.drop("margin").rdd.flatMap(lambda row: [(t, row) for t in range(outputs)]).partitionBy(outputs, lambda t: t)
+
+    def begun(rows):
+        for units in _Units.of(rows):
+            yield units, np.zeros((len(units.label), outputs))
+
+    def with_trees(held: RDD, pending: list[tuple]) -> RDD:
+        def added(parts):
+            for units, margins in parts:
+                yield units, _add_trees(margins.copy(), pending, units.bins.T)
+
+        return held.mapPartitions(added).persist(StorageLevel.MEMORY_AND_DISK)
+
+    held = copies.values().mapPartitions(begun).persist(StorageLevel.MEMORY_AND_DISK)
+    before: RDD | None = None
+    pending: list[tuple] = []
+    for round_ in range(settings.rounds):
+        if len(pending) >= SPREAD_ROUNDS * outputs:
+            before, held, pending = held, with_trees(held, pending), []
+
+        def grow(at, parts, round_=round_, columns=drawn_columns(), pending=pending):
+            for units, margins in parts:
+                g, h = _derivatives(_add_trees(margins.copy(), pending, units.bins.T), units.label)
+                tree, _ = units.grown(g[:, at], h[:, at], round_ * outputs + at, columns[at], settings)
+                yield at, _grown_columns(tree)
+
+        made = sorted(held.mapPartitionsWithIndex(grow).collect(), key=lambda grown: grown[0])
+        trees = [Tree(threshold=_bounds(columns, edges), **columns) for _, columns in made]
+        model.trees += trees
+        model.settle(state.sparkSession)
+        pending += [t.columns(by_bin=True) for t in trees]
+        if before is not None:  # all tasks have read the generation that it led to
+            before.unpersist()
+            before = None
+    held.unpersist()
+
+
 def _grow(trees: list[Tree], found, edges, settings: BoostingSettings, most: int, last: bool):
     """Apply the best splits; returns the siblings of which one at least is open next, and the nodes of at most ``most`` rows."""
     siblings: list[dict] = []

@@ -297,6 +297,40 @@ def test_trees_are_the_same_wherever_they_are_grown(spark, monkeypatch, n_classe
     assert max(len(t.feature) for t in one.trees) > 15
 
 
+def test_a_round_of_several_classes_has_a_task_per_tree(spark, monkeypatch):
+    """The same trees as from one task, with rows that repeat, ids that repeat, and margins kept anew."""
+    rng = np.random.default_rng(11)
+    rows = [(i % 250, rng.integers(0, 4, 3).astype(float).tolist(), int(rng.integers(0, 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int").repartition(3)
+    settings = {"n_classes": 3, "rounds": 5, "max_depth": 4, "max_bins": 16}
+    one = boosting.fit_boosted(df, "id", **settings)
+    spread, called = boosting._spread_table, []
+    monkeypatch.setattr(boosting, "SPREAD_VALUES", 0)
+    monkeypatch.setattr(boosting, "SPREAD_ROUNDS", 2)
+    monkeypatch.setattr(boosting, "_spread_table", lambda *a: called.append(1) or spread(*a))
+    other = boosting.fit_boosted(df.repartition(5), "id", **settings)
+    assert called and len(one.trees) == len(other.trees) == 15 and max(len(t.feature) for t in one.trees) > 7
+    for a, b in zip(one.trees, other.trees, strict=True):
+        assert list(a.feature) == list(b.feature) and list(a.cut) == list(b.cut) and np.allclose(a.value, b.value)
+
+
+def test_equal_rows_are_one_unit_that_counts_as_often_as_drawn():
+    rng = np.random.default_rng(12)
+    bins, label = rng.integers(0, 3, (200, 2)).astype(np.uint8), rng.integers(0, 2, 200).astype(np.int32)
+    key = rng.integers(-(2**63), 2**63, 200)
+    (units,) = boosting._Units.of([{"rows": 200, "key": key.tobytes(), "bins": bins.tobytes(), "label": label.tobytes()}])
+    assert len(units.label) <= 18 and units.ends[-1] == 200
+    settings, used = boosting.replace(boosting.BINARY, subsample=0.5, max_depth=3), np.arange(2)
+    g, h = boosting._derivatives(np.zeros((len(units.label), 1)), units.label)
+    tree, leaf = units.grown(g[:, 0], h[:, 0], 4, used, settings)
+    drawn = boosting._drawn(key, 4, settings.seed, 0.5)
+    g, h = (d[drawn, 0] for d in boosting._derivatives(np.zeros((200, 1)), label))
+    plain, places = boosting._subtree(bins[drawn].T, g, h, used, 3, settings)
+    assert len(tree.feature) > 3 and all(np.allclose(getattr(tree, n), getattr(plain, n)) for n in ("feature", "cut", "left", "gain", "cover", "value"))
+    columns = (tree.feature, tree.cut, tree.left, tree.right, tree.value)
+    assert (boosting._leaf(columns, units.bins.T) == leaf).all() and (boosting._leaf(columns, bins[drawn]) == places).all()
+
+
 def test_siblings_by_subtraction(spark, monkeypatch):
     """Below the root at most half of the rows are measured, and the cells are those of a direct count."""
     rng = np.random.default_rng(9)
