@@ -529,7 +529,8 @@ def stored_trees_scores(spark, sf_dir):
 
 def _document_trees(spark, sf_dir):
     parts = split.stratified_split(documents(spark, sf_dir), "doc_id", "label", TEST_SIZE, SEED)
-    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id")
+    # 15,000 trees are some million nodes: they go to a table as they are grown.
+    model = boosting.fit_boosted(parts.where("split = 'train'"), "doc_id", store=scratch_path(spark, "trees"))
     return model, parts.where("split = 'test'")
 
 
