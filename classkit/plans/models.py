@@ -545,6 +545,7 @@ def boosted_multiclass_report(spark, sf_dir):
 @query("boosted_binary_report")
 def boosted_binary_report(spark, sf_dir):
     model, test = _document_trees(spark, sf_dir)
+    test = test.repartition(spark.sparkContext.defaultParallelism)  # few rows, but each meets 15,000 trees
     score = fn.positive_probability(F.col("p"))
     scored = boosting.predict_boosted(test, model).withColumn("prediction", fn.threshold(score))
     names = {0: "low", 1: "high"}
