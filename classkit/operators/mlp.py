@@ -37,13 +37,19 @@ from classkit.runtime import local_table
 
 # Adam's decay rates and guard, and the stall rule of the full-batch fit.
 ADAM_BETA1, ADAM_BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
+# Weights of units that no row reaches shrink by a third with each step, to numbers below 1e-308 that take a processor a hundred
+# times as long. So now and then what is below VANISHED becomes 0; it is far too little to change a sum.
+VANISHED, VANISH_STEPS = 1e-100, 32
 STALL_TOLERANCE, STALL_ITERATIONS = 1e-4, 10
 
 BATCH_ROWS = 32  # rows of an Adam step of the relay, on average (fixed value)
 FAN_IN = 256  # partial results added up by one task
 TASK_VALUES = 1 << 21  # numbers that a task of a training pass should have at least: 16 MB
-RELAY_ROWS = 100_000  # rows of a relay's partition, which a task reads whole
+# Rows and numbers of a relay's partition, which a task reads whole (32 MB): an epoch takes a job for each.
+RELAY_ROWS, RELAY_VALUES = 1_000_000, 1 << 22
 UNIT_ROWS = 1_000  # validation rows that are measured together
+LARGE_ROWS = 100_000  # rows of a partition where all tasks sum a large batch at once
+MEASURED_ROWS = 20_000  # validation rows of a partition: these are measured at once, not one after the other
 
 
 @dataclass
@@ -89,10 +95,16 @@ class Network:
         """Outputs of every layer, the input first and the probabilities last."""
         layers = [x]
         for w, b in zip(self.weights[:-1], self.biases[:-1], strict=True):
-            layers.append(np.maximum(layers[-1] @ w + b, 0.0))
-        z = layers[-1] @ self.weights[-1] + self.biases[-1]
+            z = layers[-1] @ w
+            z += b
+            layers.append(np.maximum(z, 0.0, out=z))
+        z = layers[-1] @ self.weights[-1]
+        z += self.biases[-1]
         if z.shape[1] == 1:
-            layers.append(1.0 / (1.0 + np.exp(-np.clip(z, -700, 700))))
+            np.minimum(np.maximum(z, -700.0, out=z), 700.0, out=z)
+            np.exp(np.negative(z, out=z), out=z)
+            z += 1.0
+            layers.append(np.divide(1.0, z, out=z))
         else:
             e = np.exp(z - z.max(axis=1, keepdims=True))
             layers.append(e / e.sum(axis=1, keepdims=True))
@@ -105,15 +117,26 @@ class Network:
 
     def gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
         """Summed cross-entropy of the rows and its flat gradient, without the penalty."""
-        layers = self.activations(x)
-        target = y[:, None].astype(float) if layers[-1].shape[1] == 1 else np.eye(layers[-1].shape[1])[y]
+        layers, made = self.activations(x), np.empty(sum(a.size for arrays in self.arrays for a in arrays))
         loss = cross_entropy(layers[-1], y).sum()
-        delta, parts = layers[-1] - target, []
+        self._backward(layers, y, self.like(made))
+        return loss, made
+
+    def _backward(self, layers: list[np.ndarray], y: np.ndarray, made: Network) -> None:
+        """The gradient at the activations of rows, written to ``made``, a network of the same shape."""
+        target = y[:, None].astype(float) if layers[-1].shape[1] == 1 else np.eye(layers[-1].shape[1])[y]
+        delta = layers[-1] - target
         for i in range(len(self.weights) - 1, -1, -1):
-            parts.append((layers[i].T @ delta, delta.sum(axis=0)))
+            np.matmul(layers[i].T, delta, out=made.weights[i])
+            np.add.reduce(delta, axis=0, out=made.biases[i])
             if i:
-                delta = (delta @ self.weights[i].T) * (layers[i] > 0)
-        return loss, np.concatenate([a.ravel() for pair in reversed(parts) for a in pair])
+                positive = layers[i] > 0
+                delta = delta @ self.weights[i].T
+                delta *= positive
+
+    def step_gradient(self, x: np.ndarray, y: np.ndarray, made: Network) -> None:
+        """As `gradient`, into ``made`` and without the loss: an epoch of small batches takes many thousands."""
+        self._backward(self.activations(x), y, made)
 
     def decay(self, alpha: float) -> np.ndarray:
         """Factor of every flat weight in the penalty's gradient: biases are free."""
@@ -135,10 +158,26 @@ class Adam:
 
     def move(self, gradient: np.ndarray) -> None:
         self.step += 1
-        self.first += (1 - ADAM_BETA1) * (gradient - self.first)
-        self.second += (1 - ADAM_BETA2) * (gradient * gradient - self.second)
-        scale = np.sqrt(1 - ADAM_BETA2**self.step) / (1 - ADAM_BETA1**self.step)
-        self.flat -= self.rate * scale * self.first / (np.sqrt(self.second) + ADAM_EPS)
+        room, other = self._room = getattr(self, "_room", None) or (np.empty_like(self.flat), np.empty_like(self.flat))
+        np.subtract(gradient, self.first, out=room)
+        room *= 1 - ADAM_BETA1
+        self.first += room
+        np.multiply(gradient, gradient, out=room)
+        room -= self.second
+        room *= 1 - ADAM_BETA2
+        self.second += room
+        scale = math.sqrt(1 - ADAM_BETA2**self.step) / (1 - ADAM_BETA1**self.step)
+        np.sqrt(self.second, out=other)
+        other += ADAM_EPS
+        np.multiply(self.first, self.rate * scale, out=room)
+        room /= other
+        self.flat -= room
+        if self.step % VANISH_STEPS == 0:
+            for values, least in ((self.flat, VANISHED), (self.first, VANISHED), (self.second, VANISHED * VANISHED)):
+                values[np.abs(values) < least] = 0.0
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in vars(self).items() if name != "_room"}
 
 
 def _added(partials: list[dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
@@ -210,15 +249,15 @@ def _in_units(rows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[i
         yield held[0], held[1], held[2][:1], [0, len(held[0])]
 
 
-def _dealt(df: DataFrame, id_col: str, features: str, label: str, rows: int, units: int, seed: int) -> RDD:
-    """Rows dealt to ``units`` batches by their ids, over partitions of about RELAY_ROWS rows in the batches' order.
+def _dealt(df: DataFrame, id_col: str, features: str, label: str, rows: int, units: int, seed: int, part_rows: int) -> RDD:
+    """Rows dealt to ``units`` batches by their ids, over partitions of about ``part_rows`` rows in the batches' order.
 
     A partition holds whole batches or, of batches that are larger, a share of one; either is told by number alone.
     Rows of a batch are in the order of ids, features and labels. So the same table gives the same blocks, however it
     was partitioned.
     """
     key = batch_key(F.col(id_col), seed)
-    parts, shares = _partitions(rows, units)
+    parts, shares = _partitions(rows, units, part_rows)
     unit, share = key % units, F.floor(key / units) % shares
     named = df.select(
         F.col(features).cast("array<double>").alias("features"),
@@ -232,9 +271,9 @@ def _dealt(df: DataFrame, id_col: str, features: str, label: str, rows: int, uni
     return packed.rdd.mapPartitions(_in_units).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _partitions(rows: int, units: int) -> tuple[int, int]:
+def _partitions(rows: int, units: int, part_rows: int) -> tuple[int, int]:
     """Partitions for whole batches, and shares of each batch: one of both is 1 or the other all batches."""
-    parts = max(1, -(-rows // RELAY_ROWS))
+    parts = max(1, -(-rows // part_rows))
     return (parts, 1) if parts <= units else (units, -(-parts // units))
 
 
@@ -375,10 +414,14 @@ def _relay(units: RDD, adam: Adam, shape: Network, decay: np.ndarray) -> Adam:
 
         def run(blocks, given=adam):
             network = shape.like(given.flat)  # views of the moving weights
+            gradient, room = np.empty_like(given.flat), np.empty_like(given.flat)
+            made = shape.like(gradient)
             for x, y, _, edges in blocks:
                 for a, b in zip(edges, edges[1:]):
-                    _, gradient = network.gradient(x[a:b], y[a:b])
-                    given.move((gradient + decay * given.flat) / (b - a))
+                    network.step_gradient(x[a:b], y[a:b], made)
+                    gradient += np.multiply(decay, given.flat, out=room)
+                    gradient /= b - a
+                    given.move(gradient)
             yield given
 
         (adam,) = units.context.runJob(units, run, [at])
@@ -430,7 +473,7 @@ def fit_epochs(
 
     Rows are dealt by their ids to batches of ``batch_rows`` rows on average, and
     an epoch takes an Adam step per batch, in their order: a relay of one small
-    job per RELAY_ROWS rows, whose tasks hold no more than their partition. Such
+    job per RELAY_VALUES numbers at most, whose tasks hold no more than their partition. Such
     steps follow one another by nature, so an epoch takes as long on a cluster as
     on one machine. With ``steps``, there are as many large batches, and a step
     is a distributed sum of gradients: the way for tables of very many rows.
@@ -444,8 +487,9 @@ def fit_epochs(
     if valid_width != width:
         raise ValueError(f"{features}: the validation vectors have another width than {width}")
     spread = steps or max(1, -(-n_train // batch_rows))
-    dealt = _dealt(train, id_col, features, label, n_train, spread, seed)
-    held_out = _dealt(valid, id_col, features, label, n_valid, max(1, -(-n_valid // UNIT_ROWS)), seed)
+    part_rows = min(RELAY_ROWS, LARGE_ROWS if steps else max(1, RELAY_VALUES // (width + 2)))
+    dealt = _dealt(train, id_col, features, label, n_train, spread, seed, part_rows)
+    held_out = _dealt(valid, id_col, features, label, n_valid, max(1, -(-n_valid // UNIT_ROWS)), seed, min(RELAY_ROWS, MEASURED_ROWS))
     start = start or Network.create([width, *hidden, output_units(n_classes)], seed)
     adam, decay = Adam(start.flat, rate), start.decay(alpha)
     best, history = start, []

@@ -234,6 +234,22 @@ def test_runs_cut_into_pieces(spark):
     assert early_stop(df.where("false")).count() == 0
 
 
+def test_weights_that_no_row_reaches_do_not_become_subnormal():
+    """Their gradient is the decay alone; numbers below 1e-308 made a step ten times as long."""
+    adam = mlp.Adam(np.array([0.5, -0.3]), 1e-3)
+    for _ in range(20_000):
+        adam.move(np.array([1e-4, 1e-4]) * adam.flat / 32)
+    for values in (adam.flat, adam.first, adam.second):
+        assert not ((values != 0) & (np.abs(values) < 1e-300)).any()
+
+
+def test_an_epoch_of_many_narrow_rows_is_one_job(spark):
+    """689,000 rows of 4 features, as 6 GB have: one relay job; the validation rows are measured by many tasks."""
+    width, rows = 4, 689_000
+    assert mlp._partitions(rows, rows // 32, min(mlp.RELAY_ROWS, mlp.RELAY_VALUES // (width + 2))) == (1, 1)
+    assert mlp._partitions(172_000, 172, mlp.MEASURED_ROWS) == (9, 1)
+
+
 def test_boosting_learns_a_ring(spark):
     df = moons(spark, 400)
     model = boosting.fit_boosted(df, "id", rounds=5, max_depth=4, eta=0.5, subsample=1.0, max_bins=32)
