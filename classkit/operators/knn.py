@@ -42,12 +42,14 @@ QUERY_VALUES = 1 << 26  # numbers of queries that stream past one copy of a bloc
 CELL_POINTS = 25_000  # points per leaf aimed at
 MAX_CELLS = 2_048  # pivots kept by every task
 LIMIT_CELLS = 32  # nearest leaves whose points bound a query's k-th distance before it has met any
+STEP_VALUES = 1 << 20  # distances that a task holds at once: 8 MB, and as much again for the product and the partition
 DISTANCE_DIGITS = 9  # distances are ranked at this precision, ties by lower id
 
 
 def _squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     norms = np.einsum("ij,ij->i", left, left)[:, None] + np.einsum("ij,ij->i", right, right)[None, :]
-    return np.maximum(norms - 2.0 * left @ right.T, 0.0)
+    norms -= (2.0 * left) @ right.T
+    return np.maximum(norms, 0.0, out=norms)
 
 
 def _nearest_in_block(queries: np.ndarray, points: np.ndarray, k: int):
@@ -57,7 +59,7 @@ def _nearest_in_block(queries: np.ndarray, points: np.ndarray, k: int):
     shortlist, with room for its error, is measured again by differences.
     """
     k = min(k, len(points))
-    step = max(1, (1 << 22) // len(points))
+    step = max(1, STEP_VALUES // len(points))
     largest = np.einsum("ij,ij->i", points, points).max()
     for start in range(0, len(queries), step):
         part = queries[start : start + step]
@@ -206,7 +208,7 @@ def _with_candidate_cells(queries: DataFrame, pivots, bounds, k: int, stretch: d
                     radii[i, : len(bounds[task, c][2])] = bounds[task, c][2]
                 some_cells = min(LIMIT_CELLS, len(cells))
                 largest = np.sqrt(np.einsum("ij,ij->i", pivots[task], pivots[task]).max()) + high.max()
-                step = max(1, (1 << 22) // max(len(pivots[task]), some_cells * k))
+                step = max(1, STEP_VALUES // max(len(pivots[task]), some_cells * k))
                 for start in range(0, len(rows), step):
                     some, part = rows[start : start + step], vectors[start : start + step]
                     to_pivot = np.sqrt(_squared_distances(part, pivots[task]))

@@ -157,3 +157,17 @@ def test_nan_features_are_refused(spark):
     df = table(spark, [(1, [1.0, float("nan")], 0), (2, [2.0, 1.0], 1)])
     with pytest.raises(ValueError, match="'nan_rows': 1"):
         scale.fit_scaler(df, "features")
+
+
+def test_a_task_measures_few_queries_at_once(monkeypatch):
+    """A batch of queries against a full block: what is held besides the rows stays small, the answer is the plain one."""
+    rng = np.random.default_rng(5)
+    queries, points = rng.normal(size=(2_000, 64)), rng.normal(size=(knn.BLOCK_VALUES // 64, 64))
+    measured, held = knn._squared_distances, []
+    monkeypatch.setattr(knn, "_squared_distances", lambda a, b: held.append(len(a) * len(b)) or measured(a, b))
+    found = list(knn._nearest_in_block(queries, points, 3))
+    assert max(held) * 8 <= 8 << 20
+    rows, cols = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    for row in (0, 255, 256, 1_999):
+        plain = np.sqrt(((queries[row] - points) ** 2).sum(axis=1))
+        assert cols[rows == row].tolist() == np.argsort(plain)[:3].tolist()
