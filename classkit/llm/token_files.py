@@ -37,6 +37,7 @@ PAGE_BYTES, PAGE_ROWS = 256 << 10, 4_096
 BATCH_ROWS, BATCH_IDS = 1_000, 1 << 20
 # Characters whose words are looked up at once, and words that a worker remembers.
 SLICE_CHARS, KEPT_WORDS = 1 << 20, 500_000
+KEPT_RUNS = 10_000  # runs of marks that a worker remembers
 MAX_PARTS = 1_000_000
 
 # What a file's pre-tokeniser must be so that no match ever holds white space (fixed value).
@@ -80,6 +81,7 @@ class WordEncoder:
         self.simple = self.by_words and not any(_SIMPLE.fullmatch(t["content"]) for t in about.get("added_tokens") or [])
         self.letters = {byte: letter for letter, byte in _byte_letters().items()}
         self.known = _Known(self.word, {})
+        self.runs: dict[str, bytes] = {}
 
     @staticmethod
     def _divides(about: dict) -> bool:
@@ -102,14 +104,25 @@ class WordEncoder:
     def word(self, word: bytes) -> bytes:
         """The ids of a word: a simple one's straight from the library's merges, several times as fast."""
         text = word.decode()
+        if self.simple and word.isalpha() and word.islower():  # of ASCII letters, as most are
+            return self._merged(text)
         simple = _SIMPLE.fullmatch(text) if self.simple else None
         if not simple:
             return self._library(text)
         letters, marks = simple[1].lower(), simple[2]
         if marks or letters != text:  # made of others
-            return self.known[letters.encode()] + (self._merged(marks) if marks else b"")
+            return self.known[letters.encode()] + (self._marks(marks) if marks else b"")
         return self._merged(text if text.isascii() else "".join(map(self.letters.__getitem__, word)))
 
+    def _marks(self, marks: str) -> bytes:
+        """The same few runs of marks end very many words."""
+        ids = self.runs.get(marks)
+        if ids is None:
+            if len(self.runs) >= KEPT_RUNS:
+                self.runs.clear()
+            ids = self.runs[marks] = self._merged(marks)
+        return ids
+
     def _merged(self, run: str) -> bytes:
         ids = [t.id for t in self.tokenizer.model.tokenize(run)]
         return pack(f"<{len(ids)}I", *ids)

@@ -73,3 +73,12 @@ def test_parts_of_the_files(spark, tmp_path, odd_pairs):
 def test_no_documents(spark, tmp_path):
     write_tokens(make_docs(spark, []), f"{tmp_path}/t", WORDS, 2)
     assert read_tokens(spark, f"{tmp_path}/t").collect() == [] and read_span(spark, f"{tmp_path}/t", 0, 5).collect() == []
+
+
+def test_runs_of_marks_are_merged_once():
+    own = WordEncoder(WORDS)
+    merged, asked = own._merged, []
+    own._merged = lambda run: asked.append(run) or merged(run)
+    text = " ".join(f"word{'abcdefghij'[i]}, Word{'klmnopqrst'[i]}?!" for i in range(10))
+    assert own.encode(text) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert asked.count(",") == asked.count("?!") == 1
