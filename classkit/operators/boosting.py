@@ -26,12 +26,15 @@ number of rounds, and a lost executor costs only its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel
+from pyspark import RDD, InheritableThread, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +49,16 @@ LOCAL_VALUES = 1 << 25  # numbers that a node's rows take in a task that grows i
 SPREAD_VALUES = 1 << 24  # rows times features and outputs of a small table, from which each tree of a round has a task
 LOCAL_ROUNDS = 100  # rounds of a small table that a task grows in a row
 SPREAD_ROUNDS = 5  # rounds between two generations of the margins of a small table whose trees have a task each
-DENSE_SHARE = 16  # cells per row up to which a subtree sums over all cells of a feature, else over those that have rows
+LARGE_ROWS = 1 << 11  # rows from which a node is held by itself in a subtree, but not fewer than
+LARGE_ROWS_A_FEATURE = 154  # for each feature: its sums then take 40 bytes a row at most
+LANES = 4  # sums that are kept of a cell while it is added up
+TOGETHER = 1 << 16  # numbers of several features or nodes that are ranked in one go
+MARKED_SHARE, MARKED_CELLS = 8, 1 << 22  # cells per row, and in any case, up to which those with rows are marked, else sorted
+MERGED_DRAWS = 8  # possible draws of features up to which rows that are equal in the drawn ones are found beforehand
+DRAWN_ROWS = 1 << 13  # rows drawn at once
+KEPT_SHARE = 0.75  # of rows led through a tree that are not in a leaf: below it the others are left out
+MERGED_TREES = 32  # trees of the same features from which rows are scored by the distinct ones
+SCORED_ROWS, SCORED_BYTES = 1 << 16, 1 << 25  # rows scored together
 SKETCH_ACCURACY = 10_000  # quantile error at most 1 / 10,000; exact for fewer distinct values
 SENT_NODES = 2_000_000  # tree nodes broadcast at once, 40 bytes each; larger models score in several passes
 STORED_NODES = 200_000  # nodes of a part of a stored model, give or take a round
@@ -135,27 +147,66 @@ class Boosted:
     written: int = 0  # trees
     parts: int = 0
 
-    def settle(self, spark: SparkSession, whole: bool = False) -> None:
-        """Move the trees from the list to the table once they are many, or ``whole`` if the model is complete."""
+    def settle(self, spark: SparkSession, beside: _Beside, whole: bool = False) -> None:
+        """Move the trees from the list to the table once they are many, or ``whole`` if the model is complete.
+
+        A part is written while the next trees are grown; all are there once the model is complete.
+        """
         if self.path and self.trees and (whole or sum(len(t.feature) for t in self.trees) >= STORED_NODES):
-            spark.createDataFrame(_node_columns(self.trees, self.written)).write.parquet(f"{self.path}/part={self.parts}")
+            beside.run(_write_part, spark, self.trees, self.written, f"{self.path}/part={self.parts}")
             self.written, self.parts, self.trees = self.written + len(self.trees), self.parts + 1, []
+        if whole:
+            beside.wait()
+
+
+class _Beside:
+    """One call at a time that runs beside its caller; the next call, or `wait`, raises what it raised."""
+
+    def __init__(self) -> None:
+        self.thread: InheritableThread | None = None
+        self.error: BaseException | None = None
+
+    def run(self, call: Callable, *given) -> None:
+        def kept() -> None:
+            try:
+                call(*given)
+            except BaseException as error:
+                self.error = error
+
+        self.wait()
+        self.thread = InheritableThread(target=kept)
+        self.thread.start()
+
+    def wait(self) -> None:
+        if self.thread is not None:
+            self.thread.join()
+            self.thread = None
+        if self.error is not None:
+            error, self.error = self.error, None
+            raise error
+
+
+def _write_part(spark: SparkSession, trees: list[Tree], first: int, path: str) -> None:
+    spark.createDataFrame(_node_columns(trees, first)).write.parquet(path)
 
 
 def _leaf(columns: tuple[np.ndarray, ...], rows: np.ndarray) -> np.ndarray:
     """The node every row ends in. Rows that stand column by column in memory are not copied."""
     feature, bound, left, right, _ = columns
     node, at, here = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), np.arange(len(rows))
-    values, line, inner = rows.ravel(order="F"), feature.astype(np.int64) * len(rows), feature >= 0
-    children = np.column_stack([left, right]).ravel()
+    values, inner, own = rows.ravel(order="F"), feature >= 0, np.arange(len(feature))
+    line = np.where(inner, feature, 0).astype(np.int64) * len(rows)
+    children = np.where(inner[:, None], np.column_stack([left, right]), own[:, None]).ravel()  # a leaf leads to itself
     while True:
-        going = np.flatnonzero(inner[at])
-        if len(going) < len(at):
+        going = inner[at]
+        n = np.count_nonzero(going)
+        if n <= KEPT_SHARE * len(at):  # those that have arrived are no longer led along
+            node[here] = at
+            going = np.flatnonzero(going)
             at, here = at[going], here[going]
-        if not len(here):
+        if not n:
             return node
         at = children[2 * at + (values[line[at] + here] > bound[at])]
-        node[here] = at
 
 
 def _add_trees(margins: np.ndarray, trees: Sequence[tuple], rows: np.ndarray) -> np.ndarray:
@@ -165,6 +216,55 @@ def _add_trees(margins: np.ndarray, trees: Sequence[tuple], rows: np.ndarray) ->
     return margins
 
 
+@dataclass
+class _Coded:
+    """Trees whose bounds are places among all bounds of a feature, so that rows between the same bounds are equal."""
+
+    edges: list[np.ndarray]
+    trees: list[tuple]
+    used: list[tuple]  # the features of each tree
+    shared: Counter  # how many trees have them
+
+    @classmethod
+    def of(cls, trees: Sequence[tuple]) -> _Coded:
+        feature, bound = (np.concatenate([np.empty(0), *(t[i] for t in trees)]) for i in (0, 1))
+        edges, code = [], np.zeros(len(feature), np.int64)
+        for f in range(int(feature.max(initial=-1)) + 1):
+            own = np.flatnonzero(feature == f)
+            found, code[own] = np.unique(bound[own], return_inverse=True)
+            edges.append(found)
+        code = code.astype(np.uint8 if max(map(len, edges), default=0) < 256 else np.int64)
+        codes = np.split(code, np.cumsum([len(t[0]) for t in trees])[:-1])
+        used = [tuple(np.flatnonzero(np.bincount(t[0] + 1)[1:]).tolist()) for t in trees]
+        return cls(edges, [(t[0], c, *t[2:]) for t, c in zip(trees, codes)], used, Counter(used))
+
+    def add(self, margins: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """`_add_trees`; rows that are equal in the features of many trees are led through these as one."""
+        kind = self.trees[0][1].dtype if self.trees else np.uint8
+        lines = np.empty((len(self.edges), len(x)), kind)
+        for f, found in enumerate(self.edges):
+            lines[f] = np.searchsorted(found, x[:, f], side="left")
+        merged = {u: _equal(lines, u) for u, n in self.shared.items() if n >= MERGED_TREES and u}
+        for i, (columns, used) in enumerate(zip(self.trees, self.used)):
+            some, at = merged.get(used, (lines, None))
+            value = columns[4][_leaf(columns, some.T)]
+            margins[:, i % margins.shape[1]] += value if at is None else value[at]
+        return margins
+
+
+def _equal(lines: np.ndarray, used: Sequence[int], share: float = 0.75) -> tuple[np.ndarray, np.ndarray | None]:
+    """The columns of ``lines`` that differ in the ``used`` lines, and where each column's are; all of them, and None, if
+    they are more than that share."""
+    order = np.lexsort(lines[list(used)])
+    held = lines[:, order]
+    begins = np.append(np.ones(min(1, len(order)), bool), (held[list(used), 1:] != held[list(used), :-1]).any(axis=0))
+    if begins.sum() > share * len(order):
+        return lines, None
+    at = np.empty(len(order), np.int32)
+    at[order] = np.cumsum(begins) - 1
+    return np.ascontiguousarray(held[:, begins]), at
+
+
 def _probabilities(margins: np.ndarray) -> np.ndarray:
     if margins.shape[1] == 1:
         p = 1.0 / (1.0 + np.exp(-np.clip(margins, -700, 700)))
@@ -183,11 +283,22 @@ def _derivatives(margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _drawn(keys: np.ndarray, tree: int, seed: int, share: float) -> np.ndarray:
     """A repeatable draw of rows: a mixed hash of key and the tree's number against the share."""
-    x = keys.astype(np.uint64) + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64) + np.uint64(seed)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    x ^= x >> np.uint64(31)
-    return (x >> np.uint64(11)) < np.uint64(int(share * 2**53))
+    keys, drawn = keys.astype(np.int64, copy=False).view(np.uint64), np.empty(len(keys), bool)
+    start = np.uint64(((tree + 1) * 0x9E3779B97F4A7C15 + seed) % 2**64)
+    held, moved = np.empty((2, min(len(keys), DRAWN_ROWS)), np.uint64)
+    for begin in range(0, len(keys), DRAWN_ROWS):  # numbers that stay in the processor's cache
+        some = keys[begin : begin + DRAWN_ROWS]
+        x, shifted = held[: len(some)], moved[: len(some)]
+        np.add(some, start, out=x)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            np.right_shift(x, np.uint64(shift), out=shifted)
+            x ^= shifted
+            x *= np.uint64(factor)
+        np.right_shift(x, np.uint64(31), out=shifted)
+        x ^= shifted
+        x >>= np.uint64(11)
+        np.less(x, np.uint64(int(share * 2**53)), out=drawn[begin : begin + len(some)])
+    return drawn
 
 
 def bin_edges(df: DataFrame, features: str, max_bins: int, accuracy: int = SKETCH_ACCURACY) -> list[np.ndarray]:
@@ -427,7 +538,7 @@ def fit_boosted(
     used = max(1, int(len(edges) * settings.colsample))
     row_bytes = len(edges) + 24 * outputs + 80  # bins, margins and derivatives, and the numbers of a level
     most = 8 * LOCAL_VALUES // row_bytes  # rows of a node that a task finishes
-    model, spark = Boosted([], outputs, settings.eta, store), train.sparkSession
+    model, spark, beside = Boosted([], outputs, settings.eta, store), train.sparkSession, _Beside()
 
     def drawn_columns() -> list[np.ndarray]:
         return [np.sort(rng.choice(len(edges), used, replace=False)) for _ in range(outputs)]
@@ -435,9 +546,9 @@ def fit_boosted(
     n_rows = state.agg(F.sum("rows")).head()[0] or 0
     if n_rows <= most:
         spread = outputs > 1 and n_rows * len(edges) * outputs > SPREAD_VALUES
-        (_spread_table if spread else _small_table)(state, model, drawn_columns, edges, settings)
+        (_spread_table if spread else _small_table)(state, model, drawn_columns, edges, settings, beside)
         discard(state)
-        model.settle(spark, whole=True)
+        model.settle(spark, beside, whole=True)
         return model
     pending: list[tuple] = []
     for round_ in range(settings.rounds):
@@ -467,13 +578,13 @@ def fit_boosted(
             cells.unpersist()
         trees = [t.by_level() for t in trees]
         model.trees += trees
-        model.settle(spark)
+        model.settle(spark, beside)
         pending += [t.columns(by_bin=True) for t in trees]
         if len(pending) >= MARGIN_ROUNDS * outputs and round_ + 1 < settings.rounds:
             before, (state, pending) = state, (_with_margins(state, pending), [])
             discard(before)
     discard(state)
-    model.settle(spark, whole=True)
+    model.settle(spark, beside, whole=True)
     return model
 
 
@@ -484,28 +595,146 @@ def _level(cover: np.ndarray, value: np.ndarray) -> dict[str, np.ndarray]:
     return made | {"gain": np.zeros(n), "cover": cover, "value": value}
 
 
+@dataclass
+class _Rows:
+    """Rows of open nodes: a line of bins per drawn feature, those with weight first.
+
+    Rows of a large node that went to a child stay behind, marked, until they are most; ``cells`` has the node's sums.
+    """
+
+    columns: list[np.ndarray]
+    g: np.ndarray
+    h: np.ndarray
+    place: np.ndarray  # which rows of the table they are
+    here: np.ndarray  # false for those that went
+    n: int  # how many are here
+    cells: np.ndarray | None = None
+
+    @classmethod
+    def of(cls, columns: list[np.ndarray], g: np.ndarray, h: np.ndarray, place: np.ndarray) -> _Rows:
+        return cls(columns, g, h, place, np.ones(len(place), bool), len(place))
+
+    @classmethod
+    def joined(cls, held: Sequence[_Rows]) -> _Rows:
+        def side_by_side(lines):
+            return np.concatenate([x[: len(r.g)] for r, x in zip(held, lines)] + [x[len(r.g) :] for r, x in zip(held, lines)])
+
+        columns = [side_by_side(lines) for lines in zip(*(r.columns for r in held))]
+        return cls.of(columns, *(np.concatenate([getattr(r, n) for r in held]) for n in "gh"), side_by_side([r.place for r in held]))
+
+    def taken(self, which: np.ndarray) -> _Rows:
+        own = which[: np.searchsorted(which, len(self.g))]
+        return _Rows.of([c.take(which) for c in self.columns], self.g.take(own), self.h.take(own), self.place.take(which))
+
+    def kept(self) -> _Rows:
+        return self if self.n == len(self.here) else self.taken(np.flatnonzero(self.here))
+
+    def places(self) -> np.ndarray:
+        return self.place if self.n == len(self.here) else self.place.take(np.flatnonzero(self.here))
+
+    def measured(self, lanes: np.ndarray, size: int) -> np.ndarray:
+        """Sums of g and of h, and counts, per feature and bin. Neighbouring rows add to different lanes: additions to one
+        cell wait for each other, and rows of few values, or in order, would all add to one."""
+        n, cells = len(self.g), LANES * size
+        sums = np.empty((3, len(self.columns), cells))
+        for i, column in enumerate(self.columns):
+            key = column[:n] + lanes[:n]
+            sums[:, i] = np.bincount(key, self.g, cells), np.bincount(key, self.h, cells), np.bincount(key, None, cells)
+        return sums.reshape(3, -1, LANES, size).sum(axis=2)
+
+    def split(self, column: int, cut: int) -> tuple[_Rows, _Rows, bool]:
+        """The smaller child's rows, the larger one's, and whether the smaller is the right one."""
+        going = self.columns[column] > cut
+        going &= self.here
+        right = 2 * int(np.count_nonzero(going)) <= self.n
+        if not right:
+            going = self.here > going
+        which = np.flatnonzero(going)
+        self.here ^= going
+        self.n -= len(which)
+        return self.taken(which), self.kept() if 2 * self.n < len(self.here) else self, right
+
+
+def _exact_gain(g_left, h_left, g_all, h_all, rest, settings: BoostingSettings) -> np.ndarray:
+    shrink = settings.reg_lambda
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = g_left * g_left / (h_left + shrink) + (g_all - g_left) ** 2 / (rest + shrink) - g_all * g_all / (h_all + shrink)
+    return 0.5 * gain - settings.gamma
+
+
+def _best_of_cells(cells: np.ndarray, settings: BoostingSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of nodes by their sums [node, (g, h, n), feature, bin]: the best split's feature and bin, and per node its rounded
+    gain, 0 if there is none, the sums left of it and in all, the gain itself."""
+    (g_left, h_left) = (cells[:, i].cumsum(axis=-1) for i in (0, 1))
+    g_all, h_all = g_left[..., -1:], h_left[..., -1:]
+    rest = h_all - h_left
+    exact = _exact_gain(g_left, h_left, g_all, h_all, rest, settings)
+    gain = np.where(np.minimum(h_left, rest) >= settings.min_child_weight, np.round(exact, GAIN_DIGITS), -np.inf)
+    tops = gain.max(axis=-1)
+    tops[~(tops > 0)] = 0
+    node, column = np.arange(len(cells)), tops.argmax(axis=1)  # of equal gains that of the lower feature, then of the lower bin
+    top = tops[node, column]
+    cut = (gain[node, column] == top[:, None]).argmax(axis=1)
+    at = node, column, cut
+    return column, cut, np.stack([top, g_left[at], h_left[at], g_all[node, column, 0], h_all[node, column, 0], exact[at]])
+
+
 def _split_cells(slot, n: int, bins, size: int, g, h, settings: BoostingSettings):
-    """Of one feature, every cell (slot, bin) that may end a split: slots in order, bins, and the sums left of and in all."""
-    least, key = settings.min_child_weight, slot * size + bins
-    if n * size <= DENSE_SHARE * len(key) + (1 << 12):
-        g_left, h_left = (np.bincount(key, w, n * size).reshape(n, size).cumsum(axis=1) for w in (g, h))
-        rest = h_left[:, -1:] - h_left
-        heavy = np.flatnonzero((h_left >= least) & (rest >= least))
-        of, cut = heavy // size, heavy % size
-        return of, cut, g_left.ravel()[heavy], h_left.ravel()[heavy], g_left[of, -1], h_left[of, -1], rest.ravel()[heavy]
-    seen, at = np.unique(key, return_inverse=True)  # the cells that have rows, in order; running sums restart with each slot
+    """Every cell (slot, bin) that has rows and may end a split: slots in order, bins, the sums left of and in all, and h right of it."""
+    key = slot * size + bins
+    if n * size <= MARKED_SHARE * len(key) + MARKED_CELLS:
+        held = np.zeros(n * size, bool)
+        held[key] = True
+        seen = np.flatnonzero(held)
+        number = np.empty(n * size, np.int32)
+        number[seen] = np.arange(len(seen))
+        at = number.take(key)
+    else:
+        seen, at = np.unique(key, return_inverse=True)
     of = seen // size
-    first = np.flatnonzero(np.diff(of, prepend=-1))
-    group = np.cumsum(np.diff(of, prepend=-1) != 0) - 1
-    running, whole = [], []
+    begins = np.diff(of, prepend=-1) != 0
+    first, group = np.flatnonzero(begins), np.cumsum(begins) - 1
+    running, whole = [], []  # running sums restart with each slot
     for weight in (g, h):
         cell = np.bincount(at, weight, len(seen))
         upto = np.cumsum(cell)
         running.append(upto - (upto[first] - cell[first])[group])
-        whole.append(np.add.reduceat(cell, first)[group])
-    rest = whole[1] - running[1]
-    heavy = np.flatnonzero((running[1] >= least) & (rest >= least))
-    return of[heavy], seen[heavy] % size, *(c[heavy] for c in (*running, *whole, rest))
+        whole.append(np.add.reduceat(cell, first))
+    rest = whole[1][group] - running[1]
+    heavy = np.flatnonzero(np.minimum(running[1], rest) >= settings.min_child_weight)
+    group = group[heavy]
+    return of[heavy], seen[heavy] % size, running[0][heavy], running[1][heavy], whole[0][group], whole[1][group], rest[heavy]
+
+
+def _best_of_rows(slot: np.ndarray, n: int, rows: _Rows, size: int, settings: BoostingSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`_best_of_cells` of ``n`` nodes by their rows; ``slot`` says which node a row is in."""
+    best, cut_of, column_of = np.zeros((6, n)), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    own = len(rows.g)
+    width = max(1, TOGETHER // max(1, own))  # features at once
+    for begin in range(0, len(rows.columns) if own else 0, width):
+        some = [c[:own] for c in rows.columns[begin : begin + width]]
+        k = len(some)
+        line = (slot[:own] * k + np.arange(k)[:, None]).ravel()  # a slot per node and feature
+        cells = _split_cells(line, n * k, np.concatenate(some), size, np.tile(rows.g, k), np.tile(rows.h, k), settings)
+        of, cut, *sums = cells
+        if not len(of):
+            continue
+        exact = _exact_gain(*sums, settings)
+        gain = np.round(exact, GAIN_DIGITS)
+        begins = np.flatnonzero(np.diff(of, prepend=-1))
+        tops = np.full(n * k, -np.inf)
+        tops[of[begins]] = np.maximum.reduceat(gain, begins)
+        tops = tops.reshape(n, k)
+        tops[~(tops > best[0][:, None])] = -np.inf  # of equal gains that of the lower feature stays, then that of the lower bin
+        better = np.flatnonzero((tops > -np.inf).any(axis=1))
+        column = tops[better].argmax(axis=1)
+        wanted = np.full((n, k), np.inf)
+        wanted[better, column] = tops[better, column]
+        hit = np.flatnonzero(gain == wanted.ravel()[of])
+        hit = hit[np.flatnonzero(np.diff(of[hit], prepend=-1))]
+        best[:, better] = gain[hit], *(c[hit] for c in sums[:4]), exact[hit]
+        cut_of[better], column_of[better] = cut[hit], begin + column
+    return column_of, cut_of, best
 
 
 def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, depth: int, settings: BoostingSettings) -> tuple[Tree, np.ndarray]:
@@ -513,38 +742,39 @@ def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, d
 
     ``bins`` has a line per feature. Rows without weight are only led to their leaves; they stand behind the others. Nodes
     are numbered level by level. A node whose weight is not enough for two children is a leaf, its rows are left behind.
+
+    A node of many rows is held by itself, with its sums per bin. Only the rows of its smaller child are looked up, moved and
+    measured; the larger child keeps the arrays, its sums are those of the node less the measured ones, and counts tell
+    which of them are none. Nodes of few rows are held together, and measured by all their rows.
     """
     shrink, least, n_rows = settings.reg_lambda, settings.min_child_weight, bins.shape[1]
     total = float(h.sum())
     levels = [_level(np.array([total]), np.array([-settings.eta * float(g.sum()) / (total + shrink)]))]
     weighed = (g != 0) | (h != 0)
-    active = np.concatenate([np.flatnonzero(weighed), np.flatnonzero(~weighed)])
-    n_weighed = int(weighed.sum())
-    g, h = g[active[:n_weighed]], h[active[:n_weighed]]
-    leaf, slot, columns = np.zeros(n_rows, np.int64), np.zeros(n_rows, np.int64), bins[used].take(active, axis=1)
-    sizes = [int(c.max()) + 1 for c in columns] if n_rows else []
+    own = np.flatnonzero(weighed)
+    place = np.concatenate([own, np.flatnonzero(~weighed)])
+    leaf = np.zeros(n_rows, np.int64)
+    root = _Rows.of([bins[f].take(place) for f in used], g.take(own), h.take(own), place)
+    size = max((int(c.max()) + 1 for c in root.columns if n_rows), default=1)
+    lanes = np.resize(size * np.arange(LANES), len(own))
+    many = max(LARGE_ROWS, LARGE_ROWS_A_FEATURE * len(used))
     first, places = 0, np.zeros(1, np.int64)  # the level's first node, and which of the level's nodes are open
+    large: list[tuple[int, _Rows]] = []  # open nodes of many rows, by their place among the open ones
+    few, few_rows, slot = places, root, np.zeros(n_rows, np.int64)  # the other open ones, their rows, and the one each is in
+    if n_rows >= many:
+        root.cells = root.measured(lanes, size)
+        large, few, few_rows, slot = [(0, root)], places[:0], root.taken(places[:0]), slot[:0]
     for left_over in range(depth, 0, -1):
         n = len(places)
         best = np.zeros((6, n))  # per open node the rounded gain, the sums left of the split and in all, the gain itself
-        cut_of, column_of = np.full(n, 256), np.zeros(n, np.int64)  # no bin is over 255
-        for column, size in enumerate(sizes):
-            of, cut, g_left, h_left, g_all, h_all, rest = _split_cells(slot[:n_weighed], n, columns[column, :n_weighed], size, g, h, settings)
-            if not len(of):
-                continue
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = g_left * g_left / (h_left + shrink) + (g_all - g_left) ** 2 / (rest + shrink) - g_all * g_all / (h_all + shrink)
-            exact = 0.5 * gain - settings.gamma
-            gain = np.round(exact, GAIN_DIGITS)
-            begins = np.flatnonzero(np.diff(of, prepend=-1))
-            top = np.full(n, -np.inf)
-            top[of[begins]] = np.maximum.reduceat(gain, begins)
-            top[~(top > best[0])] = np.inf  # of equal gains that of the lower feature stays, then that of the lower bin
-            hit = np.flatnonzero(gain == top[of])
-            hit = hit[np.flatnonzero(np.diff(of[hit], prepend=-1))]
-            to = of[hit]
-            best[:, to] = gain[hit], g_left[hit], h_left[hit], g_all[hit], h_all[hit], exact[hit]
-            cut_of[to], column_of[to] = cut[hit], column
+        cut_of, column_of = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if len(few):
+            column_of[few], cut_of[few], best[:, few] = _best_of_rows(slot, len(few), few_rows, size, settings)
+        at_once = max(1, TOGETHER // (len(used) * size))
+        for begin in range(0, len(large), at_once):
+            some = large[begin : begin + at_once]
+            at = [to for to, _ in some]
+            column_of[at], cut_of[at], best[:, at] = _best_of_cells(np.stack([rows.cells for _, rows in some]), settings)
         parts = np.flatnonzero(best[0] > 0)
         if not len(parts):
             break
@@ -559,18 +789,59 @@ def _subtree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, used: np.ndarray, d
             levels.append(_level(h_of, -settings.eta * g_of / (h_of + shrink)))
         goes_to = first + places
         goes_to[parts] = children
-        node = goes_to[slot] + (columns.ravel()[column_of[slot] * len(slot) + np.arange(len(slot))] > cut_of[slot])
-        leaf[active] = node
-        first, places = begin, np.flatnonzero(h_of >= 2 * least * (1 - 1e-9)) if left_over > 1 else np.empty(0, np.int64)
+        cut_of[best[0] <= 0] = 256  # no bin is over 255
+        opened = np.flatnonzero(h_of >= 2 * least * (1 - 1e-9)) if left_over > 1 else np.empty(0, np.int64)
+        open_of = np.full(begin + len(h_of), -1)
+        open_of[begin + opened] = np.arange(len(opened))
+
+        before, large = large, []
+        came: list[tuple[int, _Rows]] = []
+        for at, rows in before:
+            node, column, cut = int(goes_to[at]), int(column_of[at]), int(cut_of[at])
+            if cut > 255:
+                leaf[rows.places()] = node
+                continue
+            if open_of[node] < 0 and open_of[node + 1] < 0:
+                rows = rows.kept()
+                leaf[rows.place] = node + (rows.columns[column] > cut)
+                continue
+            cells = rows.cells
+            less, more, right = rows.split(column, cut)
+            pair = (less, node + right), (more, node + (not right))
+            if any(rows.n >= many and open_of[its] >= 0 for rows, its in pair):
+                less.cells = less.measured(lanes, size)
+                more.cells = np.where(cells[2] > less.cells[2], cells - less.cells, 0)
+            for rows, its in pair:
+                if open_of[its] < 0:
+                    leaf[rows.places()] = its
+                else:
+                    (large if rows.n >= many else came).append((int(open_of[its]), rows))
+        is_few = np.ones(len(opened), bool)
+        is_few[[to for to, _ in large]] = False
+        slot_of = np.full(len(opened) + 1, -1)  # the last one is that of closed nodes
+        next_few = np.flatnonzero(is_few)
+        slot_of[next_few] = np.arange(len(next_few))
+        if len(slot):
+            at = few[slot]
+            node = goes_to[at] + (np.concatenate(few_rows.columns)[column_of[at] * len(slot) + np.arange(len(slot))] > cut_of[at])
+            slot = slot_of[open_of[node]]
+            gone = np.flatnonzero(slot < 0)
+            if len(gone):
+                leaf[few_rows.place[gone]] = node[gone]
+                keep = np.flatnonzero(slot >= 0)
+                few_rows, slot = few_rows.taken(keep), slot[keep]
+        if came:
+            held = [few_rows, *(rows.kept() for _, rows in came)]
+            slots = [slot, *(np.full(rows.n, slot_of[to]) for to, rows in came)]
+            few_rows = _Rows.joined(held)
+            slot = np.concatenate([x[: len(r.g)] for r, x in zip(held, slots)] + [x[len(r.g) :] for r, x in zip(held, slots)])
+        first, places, few = begin, opened, next_few
         if not len(places):
             break
-        slot_of = np.full(begin + len(h_of), -1)
-        slot_of[begin + places] = np.arange(len(places))
-        slot = slot_of[node]
-        keep = np.flatnonzero(slot >= 0)
-        active, slot, columns = active[keep], slot[keep], columns.take(keep, axis=1)
-        n_weighed = int(np.searchsorted(keep, n_weighed))
-        g, h = g[keep[:n_weighed]], h[keep[:n_weighed]]
+    if len(places):  # nothing was split: all open nodes are leaves
+        for at, rows in large:
+            leaf[rows.places()] = first + places[at]
+        leaf[few_rows.place] = first + places[few[slot]]
     return Tree(threshold=None, **{n: np.concatenate([of_level[n] for of_level in levels]) for n in levels[0]}), leaf
 
 
@@ -636,6 +907,7 @@ class _Units:
     label: np.ndarray
     key: np.ndarray
     ends: np.ndarray  # the place after a unit's last row
+    merged: dict[tuple, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # see `merge`
 
     @classmethod
     def of(cls, rows) -> Iterator[_Units]:
@@ -649,17 +921,36 @@ class _Units:
             ends = np.append(np.flatnonzero(changes) + 1, len(key))
             yield cls(np.ascontiguousarray(bins[ends - 1].T), label[ends - 1], key, ends)
 
+    def merge(self, n_used: int) -> _Units:
+        """For every draw of ``n_used`` features, if there are few: the bins that differ in these, and where each unit's are.
+
+        A tree cannot tell units apart that are equal in its features. Draws that leave over three quarters are not kept.
+        """
+        if comb(len(self.bins), n_used) <= MERGED_DRAWS:
+            for used in combinations(range(len(self.bins)), n_used):
+                bins, at = _equal(self.bins, used)
+                if at is not None:
+                    self.merged[used] = bins, at
+        return self
+
     def grown(self, g: np.ndarray, h: np.ndarray, number: int, used: np.ndarray, settings: BoostingSettings) -> tuple[Tree, np.ndarray]:
         """The tree of that number, which says what rows are drawn, and every unit's leaf."""
         upto = np.cumsum(_drawn(self.key, number, settings.seed, settings.subsample))
         times = np.diff(upto[self.ends - 1], prepend=0).astype(float)
-        return _subtree(self.bins, times * g, times * h, used, settings.max_depth, settings)
+        g, h = times * g, times * h
+        if tuple(used.tolist()) not in self.merged:
+            return _subtree(self.bins, g, h, used, settings.max_depth, settings)
+        bins, at = self.merged[tuple(used.tolist())]
+        tree, leaf = _subtree(bins, *(np.bincount(at, weight, bins.shape[1]) for weight in (g, h)), used, settings.max_depth, settings)
+        return tree, leaf[at]
 
 
-def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings) -> None:
+def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings, beside: _Beside) -> None:
     """All rounds of a table of few rows: tasks grow LOCAL_ROUNDS rounds one after the other, from the margins that the
     task before has handed on."""
-    whole = state.drop("margin").coalesce(1).rdd.mapPartitions(_Units.of).persist(StorageLevel.MEMORY_AND_DISK)
+    n_used = max(1, int(len(edges) * settings.colsample))
+    whole = state.drop("margin").coalesce(1).rdd.mapPartitions(lambda rows: (units.merge(n_used) for units in _Units.of(rows)))
+    whole.persist(StorageLevel.MEMORY_AND_DISK)
     margins: np.ndarray | None = None
     outputs = model.outputs
     for first in range(0, settings.rounds, LOCAL_ROUNDS):
@@ -680,7 +971,7 @@ def _small_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np
 
         for made, margins in state.sparkSession.sparkContext.runJob(whole, grow, [0]):
             model.trees += [Tree(threshold=_bounds(columns, edges), **columns) for columns in made]
-            model.settle(state.sparkSession)
+            model.settle(state.sparkSession, beside)
     if margins is None:  # no rows, or no rounds
         model.trees += [Tree() for _ in range(settings.rounds * outputs)]
     whole.unpersist()
@@ -690,7 +981,7 @@ def _grown_columns(tree: Tree) -> dict[str, np.ndarray]:
     return {n: c for n, c in vars(tree).items() if n != "threshold"}
 
 
-def _spread_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings) -> None:
+def _spread_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[np.ndarray], settings: BoostingSettings, beside: _Beside) -> None:
     """A round is a job with a task per output. Each holds the table, which is small, brings the margins up to date with the
     trees grown since they were kept, and grows its output's tree; only trees travel."""
     outputs = model.outputs
@@ -723,7 +1014,7 @@ def _spread_table(state: DataFrame, model: Boosted, drawn_columns, edges: list[n
         made = sorted(held.mapPartitionsWithIndex(grow).collect(), key=lambda grown: grown[0])
         trees = [Tree(threshold=_bounds(columns, edges), **columns) for _, columns in made]
         model.trees += trees
-        model.settle(state.sparkSession)
+        model.settle(state.sparkSession, beside)
         pending += [t.columns(by_bin=True) for t in trees]
         if before is not None:  # all tasks have read the generation that it led to
             before.unpersist()
@@ -828,6 +1119,19 @@ def _sent_trees(spark: SparkSession, model: Boosted) -> Iterator[list[tuple]]:
             group, held = [], 0
 
 
+def _side_by_side(batches) -> Iterator[list[pa.RecordBatch]]:
+    """Batches with rows, up to SCORED_ROWS rows or SCORED_BYTES together: more rows have more that are equal."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= SCORED_ROWS or sum(b.nbytes for b in held) >= SCORED_BYTES:
+                yield held
+                held = []
+    if held:
+        yield held
+
+
 def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", target: str = "p") -> DataFrame:
     """Add the class probabilities as an array column; a map over the rows.
 
@@ -841,12 +1145,14 @@ def predict_boosted(df: DataFrame, model: Boosted, features: str = "features", t
         shared = rows.sparkSession.sparkContext.broadcast(trees)
 
         def score(batches):
-            for batch in batches:
-                if batch.num_rows:
-                    x = matrix(batch.column(features))
-                    margins = np.zeros((len(x), outputs)) if first else matrix(batch.column(target)).copy()
-                    margins = _add_trees(margins, shared.value, x)
-                    found = list_column(_probabilities(margins) if last else margins)
+            trees = _Coded.of(shared.value)
+            for held in _side_by_side(batches):
+                x = np.concatenate([matrix(batch.column(features)) for batch in held])
+                margins = np.zeros((len(x), outputs)) if first else np.concatenate([matrix(batch.column(target)) for batch in held])
+                margins = trees.add(margins, x)
+                ends = np.cumsum([batch.num_rows for batch in held])[:-1]
+                for batch, own in zip(held, np.split(_probabilities(margins) if last else margins, ends)):
+                    found = list_column(own)
                     place = batch.num_columns if first else batch.schema.get_field_index(target)
                     kept = batch if first else batch.remove_column(place)
                     yield kept.append_column(target, found)

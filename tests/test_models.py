@@ -347,6 +347,94 @@ def test_equal_rows_are_one_unit_that_counts_as_often_as_drawn():
     assert (boosting._leaf(columns, units.bins.T) == leaf).all() and (boosting._leaf(columns, bins[drawn]) == places).all()
 
 
+def test_a_subtree_measures_the_smaller_child_and_gives_the_plain_tree(monkeypatch):
+    """Against sums over all rows of a node; in a narrow tree, whose splits cut few rows off, few rows are measured."""
+    rng = np.random.default_rng(13)
+    n = 20_000
+    bins = np.stack([np.minimum(rng.geometric(0.02, n) - 1, 255), np.minimum(rng.geometric(0.5, n) - 1, 30), rng.integers(0, 200, n)]).astype(np.uint8)
+    times = rng.integers(0, 3, n).astype(float)
+    y = (np.searchsorted([90, 110, 130, 150, 170], bins[0]) + np.searchsorted([3, 5], bins[1])) % 2 ^ (bins[2] > 190) ^ (rng.random(n) < 0.1)
+    p = rng.uniform(0.2, 0.8, n)
+    g, h, settings = times * (p - y), times * p * (1 - p), boosting.replace(boosting.BINARY, max_depth=9, min_child_weight=5.0)
+    added, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda at, *rest: added.append(len(at)) or bincount(at, *rest))
+    tree, leaf = boosting._subtree(bins, g, h, np.arange(3), 9, settings)
+    monkeypatch.undo()
+
+    def best(rows):
+        found = []
+        for f in range(3):
+            left = [np.bincount(bins[f, rows], w[rows], 256).cumsum() for w in (g, h)]
+            (a, b), (ga, ha) = left, (left[0][-1], left[1][-1])
+            gain = 0.5 * (a * a / (b + 1) + (ga - a) ** 2 / (ha - b + 1) - ga * ga / (ha + 1))
+            gain = np.where(np.minimum(b, ha - b) >= 5, gain.round(9), -np.inf)
+            found.append((gain.max(), -f, -int(gain.argmax())))
+        return max(found)
+
+    held, levels = {0: np.arange(n)}, 0
+    for node in range(len(tree.feature)):
+        rows = held[node]
+        gain, f, cut = best(rows)
+        assert np.isclose(tree.cover[node], h[rows].sum()) and np.isclose(tree.value[node], -0.05 * g[rows].sum() / (h[rows].sum() + 1))
+        if tree.feature[node] < 0:
+            assert (leaf[rows] == node).all()
+            continue
+        assert (tree.feature[node], tree.cut[node]) == (-f, -cut) and np.isclose(tree.gain[node], gain)
+        right = bins[tree.feature[node], rows] > tree.cut[node]
+        held[tree.left[node]], held[tree.right[node]] = rows[~right], rows[right]
+        levels += len(rows)
+    assert len(tree.feature) > 60
+    assert sum(added) < 0.8 * 3 * 2 * levels * (times > 0).mean()  # those of g and h over all rows of all split nodes
+
+
+def test_units_equal_in_the_drawn_features_are_grown_as_one(monkeypatch):
+    rng = np.random.default_rng(14)
+    n = 5_000
+    bins, label = rng.integers(0, 9, (n, 4)).astype(np.uint8), rng.integers(0, 2, n).astype(np.int32)
+    key = rng.integers(-(2**63), 2**63, n)
+    (units,) = boosting._Units.of([{"rows": n, "key": key.tobytes(), "bins": bins.tobytes(), "label": label.tobytes()}])
+    settings, used = boosting.replace(boosting.BINARY, max_depth=5), np.array([0, 1, 3])
+    g, h = (d[:, 0] for d in boosting._derivatives(rng.normal(size=(len(units.label), 1)), units.label))
+    plain, places = units.grown(g, h, 4, used, settings)
+    assert set(units.merge(3).merged) == {(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3)}
+    subtree, seen = boosting._subtree, []
+    monkeypatch.setattr(boosting, "_subtree", lambda lines, *rest: seen.append(lines.shape[1]) or subtree(lines, *rest))
+    tree, leaf = units.grown(g, h, 4, used, settings)
+    assert seen[0] <= 9**3 < len(units.label)
+    assert (leaf == places).all() and all(np.allclose(getattr(tree, c), getattr(plain, c)) for c in ("feature", "cut", "left", "gain", "cover", "value"))
+
+
+def test_scores_by_distinct_rows_are_those_of_every_row(spark, monkeypatch):
+    """Bounds that rows lie on, rows that repeat, and trees of one leaf; to the last bit."""
+    rng = np.random.default_rng(15)
+    x = rng.integers(0, 12, (400, 3)).astype(float)
+    df = spark.createDataFrame([(i, r.tolist(), int((r[0] > 5) ^ (r[1] > 3) ^ (rng.random() < 0.1))) for i, r in enumerate(x)], "id long, features array<double>, label int")
+    model = boosting.fit_boosted(df, "id", rounds=60, max_depth=4, max_bins=16)
+    model.trees.insert(30, boosting.Tree())
+    columns = [t.columns(by_bin=False) for t in model.trees]
+    plain = boosting._probabilities(boosting._add_trees(np.zeros((400, 1)), columns, x))
+    led, leaf = [], boosting._leaf
+    monkeypatch.setattr(boosting, "MERGED_TREES", 2)
+    monkeypatch.setattr(boosting, "_leaf", lambda columns, rows: led.append(len(rows)) or leaf(columns, rows))
+    assert (boosting._probabilities(boosting._Coded.of(columns).add(np.zeros((400, 1)), x)) == plain).all()
+    assert sum(led) < 0.7 * 400 * len(columns)
+    monkeypatch.undo()
+    monkeypatch.setattr(boosting, "SENT_NODES", 200)  # several parts
+    monkeypatch.setattr(boosting, "SCORED_ROWS", 50)
+    found = boosting.predict_boosted(df.repartition(2), model).orderBy("id").select("p").collect()
+    assert [r["p"] for r in found] == plain.tolist()
+
+
+def test_a_part_of_the_trees_that_cannot_be_written_is_an_error(spark, monkeypatch, tmp_path):
+    """Parts are written beside the growing; what fails there is not lost."""
+    monkeypatch.setattr(boosting, "STORED_NODES", 5)
+    monkeypatch.setattr(boosting, "LOCAL_ROUNDS", 2)
+    (tmp_path / "grown").mkdir()
+    (tmp_path / "grown" / "part=1").mkdir()
+    with pytest.raises(Exception, match="(?i)exists"):
+        boosting.fit_boosted(moons(spark, 60), "id", rounds=6, max_depth=2, max_bins=8, store=f"{tmp_path}/grown")
+
+
 def test_siblings_by_subtraction(spark, monkeypatch):
     """Below the root at most half of the rows are measured, and the cells are those of a direct count."""
     rng = np.random.default_rng(9)
