@@ -440,11 +440,12 @@ def _level_cells(partial: DataFrame, above: DataFrame | None, siblings: list[dic
     ``partial`` has those of one child of each parent, ``above`` the cells of the level before. Both are brought together
     by parent and feature in one shuffle, which the running sums of the gains then use as well. ``siblings`` has one row
     per split node, which the driver holds as part of the trees. Counts are whole numbers, so cells that are empty after
-    the subtraction are known exactly and go.
+    the subtraction are known exactly and go. Rows are in order before they are added up, so that sums are the same to the
+    last bit in whatever order the tasks' parts arrive.
     """
     place, sums = ["tree", "parent", "feature"], ("g", "h", "n")
     if above is None:
-        rows = partial.withColumn("parent", F.col("node")).repartition(*place)
+        rows = partial.withColumn("parent", F.col("node")).repartition(*place).sortWithinPartitions(*place, "node", "bin", *sums)
         return rows.groupBy(*place, "node", "bin").agg(*[F.sum(c).alias(c) for c in sums])
     pairs = F.broadcast(local_table(partial.sparkSession, siblings, SIBLINGS))
     none = F.lit(0.0)
@@ -453,8 +454,9 @@ def _level_cells(partial: DataFrame, above: DataFrame | None, siblings: list[dic
     )
     parents = above.select("tree", F.col("node").alias("parent"), "feature", "bin", *[none.alias(c) for c in sums], *[F.col(c).alias(f"all_{c}") for c in sums])
     kept = parents.join(pairs.select("tree", "parent"), ["tree", "parent"], "left_semi")
-    both = found.unionByName(kept).repartition(*place).groupBy(*place, "bin")
-    both = both.agg(*[F.sum(c).alias(c) for c in (*sums, *(f"all_{c}" for c in sums))]).join(pairs, ["tree", "parent"])
+    every = (*sums, *(f"all_{c}" for c in sums))
+    both = found.unionByName(kept).repartition(*place).sortWithinPartitions(*place, "bin", *every).groupBy(*place, "bin")
+    both = both.agg(*[F.sum(c).alias(c) for c in every]).join(pairs, ["tree", "parent"])
     own = F.struct("node", F.col("node_open").alias("open"), *sums)
     rest = [(F.col(f"all_{c}") - F.col(c)).alias(c) for c in sums]
     other = F.struct(F.col("sibling").alias("node"), F.col("sibling_open").alias("open"), *rest)
